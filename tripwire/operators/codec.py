@@ -21,10 +21,9 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def decode_alerts(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Alert messages -> the 10 alert columns."""
-    return messages.select(
-        F.from_json(F.col(value_col).cast("string"), ALERT_SCHEMA).alias("alert")
-    ).select("alert.*")
+    """Alert messages -> the 10 alert columns (flattened by a generator, so later
+    filters do not re-parse the JSON; see ``tripwire.operators.parse``)."""
+    return messages.select(F.inline(F.array(F.from_json(F.col(value_col).cast("string"), ALERT_SCHEMA))))
 
 
 def encode_events(events: DataFrame) -> DataFrame:

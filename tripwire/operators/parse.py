@@ -6,11 +6,18 @@ frame, batch or streaming). Parsing is ``from_json`` in PERMISSIVE mode: unknown
 keys are ignored, missing or wrongly typed fields become NULL, and a payload
 that is not a JSON object gives an all-NULL row, which the event-time filter
 then drops.
+
+The parsed struct is flattened with ``inline`` (a generator) rather than
+``select("data.*")``. With a projection, Catalyst pushes every later filter on
+the parsed fields (``event_time IS NOT NULL``, the rules' action tests) below
+it by inlining the ``from_json`` call into the predicate, so each payload is
+parsed once per predicate and once more for the projection. Predicates on
+generator output stay above the generator: each payload is parsed once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.functions import event_time, is_json_object, missing_fields
@@ -24,13 +31,15 @@ BAD_TIMESTAMP = "bad_timestamp"
 MISSING_FIELDS = "missing_fields"
 
 
+def _fields(payload: Column) -> Column:
+    """Generator: one row holding the 12 event fields parsed from ``payload``."""
+    return F.inline(F.array(F.from_json(payload, EVENT_SCHEMA)))
+
+
 def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Payload text to the 12 event fields plus ``event_time`` (no row dropped)."""
-    return (
-        raw.select(F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("data"))
-        .select("data.*")
-        .withColumn("event_time", event_time("timestamp"))
-    )
+    return raw.select(_fields(F.col(value_col).cast("string"))).withColumn(
+        "event_time", event_time("timestamp"))
 
 
 def parse_events(raw: DataFrame, watermark: str | None = None, value_col: str = "value") -> DataFrame:
@@ -62,10 +71,8 @@ def classify_events(raw: DataFrame, level: str | None = None, value_col: str = "
     a validation ``level`` also ``missing_fields``. The JSON-object test only
     runs for rows that already lack an event time.
     """
-    decoded = raw.select(
-        F.col(value_col).cast("string").alias("payload"),
-        F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("data"),
-    ).select("payload", "data.*")
+    payload = F.col(value_col).cast("string")
+    decoded = raw.select(payload.alias("payload"), _fields(payload))
     decoded = decoded.withColumn("event_time", event_time("timestamp"))
     reason = F.when(
         F.col("event_time").isNull(),

@@ -73,6 +73,23 @@ def event_records(table: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Fan a batch scan out to the session's parallelism when it has fewer splits.
+
+    A Parquet row group is the smallest split, so a small single-row-group file
+    is read by one task and every narrow step after it (JSON rendering and
+    parsing, window expansion, partial aggregation) would run on one core. A
+    hash repartition on the unique ``key`` spreads that work evenly and is
+    deterministic, so a retried task gets the same rows (round-robin would
+    need a sort first to be). A large input already has at least as many
+    splits as cores, and then nothing is added.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -86,7 +103,7 @@ def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False
     """
     path = table_path(sf_dir, "events")
     if not streaming:
-        return event_records(spark.read.parquet(path))
+        return event_records(spread(spark.read.parquet(path)))
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
