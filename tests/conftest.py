@@ -1,0 +1,34 @@
+import os
+import sys
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+BASE = datetime(2026, 8, 20, 10, 0, 0, tzinfo=timezone.utc)
+
+
+def at(seconds: float = 0, minutes: float = 0) -> datetime:
+    return BASE + timedelta(seconds=seconds, minutes=minutes)
+
+
+def naive(dt: datetime) -> datetime:
+    """Spark returns TIMESTAMP values as naive datetimes in the session zone (UTC)."""
+    return dt.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tripwire.session import local_session
+
+    session = local_session("*", shuffle_partitions=8, app="tripwire-tests")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def scratch(tmp_path):
+    return str(tmp_path)
