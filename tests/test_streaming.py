@@ -158,3 +158,31 @@ def test_parse_events_stream_has_watermark(spark, scratch):
     assert df.isStreaming
     with pytest.raises(Exception):
         write_events(df, f"{scratch}/x")  # a streaming sink needs a checkpoint
+
+
+def test_streaming_first_alerts_shares_the_watermark(spark, scratch):
+    from tripwire.operators import first_alerts
+    from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
+
+    two_ips = logins("u", "10:00", ip="1.1.1.1") + logins("u", "10:00", ip="2.2.2.2")
+    src = write_files(f"{scratch}/in", [two_ips, logins("v", "11:00")])
+    live = detect_alerts(stream(spark, src), Rules(), keep_window=True)
+    deduped = first_alerts(live, REFERENCE_FIRST_KEYS)
+    assert "window" not in deduped.columns
+    run_once(write_alerts(deduped, f"{scratch}/out", f"{scratch}/ckpt", trigger=ONCE))
+    out = read_alerts(spark, f"{scratch}/out").collect()
+    assert len(out) == 5 and {r.user_id for r in out} == {"u"}  # one IP kept per (user, type, window end)
+    with pytest.raises(ValueError):
+        first_alerts(detect_alerts(stream(spark, src), Rules()))
+
+
+def test_watermark_report_counts_late_rows(spark, scratch):
+    from tripwire.streaming import watermark_report
+
+    src = write_files(f"{scratch}/in", LATE_BATCHES)
+    q = run_once(write_alerts(detect_alerts(stream(spark, src), Rules()), f"{scratch}/out",
+                              f"{scratch}/ckpt", trigger=ONCE))
+    report = watermark_report(q)
+    assert sum(r["dropped_late_rows"] for r in report) == 5  # late2: 5 events x 5 windows, pre-aggregated
+    assert [r["input_rows"] for r in report][:6] == [5] * 6
+    assert report[-1]["watermark"] == "2026-08-20T11:50:50.000Z"

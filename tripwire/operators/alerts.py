@@ -38,18 +38,23 @@ def _pick(alerts: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return alerts.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*cols)
 
 
-def first_alerts(alerts: DataFrame, keys: Sequence[str] = FIRST_KEYS,
-                 watermark: str | None = None) -> DataFrame:
+def first_alerts(alerts: DataFrame, keys: Sequence[str] = FIRST_KEYS) -> DataFrame:
     """D1: keep the first alert recorded per key (earliest ``detection_timestamp``;
     remaining columns break ties, so the result is deterministic).
 
-    On a stream this is ``dropDuplicatesWithinWatermark`` on ``window_end``
-    (pass the lateness bound as ``watermark``): the first arrival wins.
+    On a stream the first arrival wins (``dropDuplicatesWithinWatermark``); the
+    key state expires with the input's watermark. That needs the alerts' own
+    event-time column, so build them with ``detect_alerts(..., keep_window=True)``;
+    it is dropped here. (A second watermark on ``window_end`` would hold the
+    global watermark back: append output appears only once the watermark
+    passes a window, so it could never advance.)
     """
     if alerts.isStreaming:
-        return alerts.withWatermark("window_end", watermark or "10 minutes").dropDuplicatesWithinWatermark(
-            list(keys))
-    return _pick(alerts, keys, ["detection_timestamp"], latest=False)
+        if "window" not in alerts.columns:
+            raise ValueError("streaming first_alerts needs detect_alerts(..., keep_window=True)")
+        return alerts.dropDuplicatesWithinWatermark(list(keys)).drop("window")
+    return _pick(alerts.drop("window") if "window" in alerts.columns else alerts, keys,
+                 ["detection_timestamp"], latest=False)
 
 
 def latest_alerts(alerts: DataFrame, keys: Sequence[str] = ALERT_KEYS) -> DataFrame:

@@ -66,6 +66,12 @@ def _project(agg: DataFrame, keys: Sequence[str], kind: str, count: Column, tota
     )
 
 
+def _event_time_col(keep_window: bool) -> list[str]:
+    # The window struct is the aggregate's event-time column: a later stateful
+    # step on a stream (first_alerts) needs it to share the input's watermark.
+    return ["window"] if keep_window else []
+
+
 def brute_force(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     """A1: at least ``max_failed_logins`` login_failed events in a window."""
     agg = (
@@ -114,7 +120,8 @@ def detect_alerts_union(events: DataFrame, rules: Rules = Rules(),
     )
 
 
-def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str] = DEFAULT_KEYS,
+                  keep_window: bool = False) -> DataFrame:
     """A4: all three rules from one scan, one shuffle and one aggregation.
 
     Per (window, keys) the conditional counts and the transaction sum are taken
@@ -123,7 +130,9 @@ def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str]
     actions (equal to the union even with thresholds <= 0).
 
     On a stream in update mode, a change to any rule of a group re-emits every
-    rule that group matches; reduce with ``latest_alerts``.
+    rule that group matches; reduce with ``latest_alerts``. ``keep_window``
+    adds the ``window`` struct (the event-time column) for a later stateful
+    step on the stream, e.g. ``first_alerts``.
     """
     is_login = F.col("action") == LOGIN_FAILED
     is_txn = F.col("action") == TRANSACTION_SUCCESS
@@ -146,6 +155,7 @@ def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str]
         lambda a: a.isNotNull(),
     )
     return agg.select(
+        F.col("window"),
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         *_key_cols(keys),
@@ -153,4 +163,5 @@ def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str]
     ).select(
         "window_start", "window_end", *DEFAULT_KEYS, "alert.*",
         F.current_timestamp().alias("detection_timestamp"),
+        *_event_time_col(keep_window),
     )

@@ -1,4 +1,11 @@
-from tripwire.streaming.pipeline import PipelineSpec, await_pipeline, run_once, start_pipeline, stop_all
+from tripwire.streaming.pipeline import (
+    PipelineSpec,
+    await_pipeline,
+    run_once,
+    start_pipeline,
+    stop_all,
+    watermark_report,
+)
 from tripwire.streaming.sinks import (
     kafka_sink_options,
     write_alerts,
@@ -10,5 +17,5 @@ from tripwire.streaming.sinks import (
 
 __all__ = [
     "PipelineSpec", "await_pipeline", "kafka_sink_options", "run_once", "start_pipeline", "stop_all",
-    "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka",
+    "watermark_report", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka",
 ]

@@ -88,3 +88,19 @@ def run_once(query: StreamingQuery, timeout: float = 600.0) -> StreamingQuery:
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def watermark_report(query: StreamingQuery) -> list[dict]:
+    """Per recent micro-batch: batch id, input rows, event-time watermark and the
+    rows each stateful operator dropped as too late (ST3). The late count is of
+    partially aggregated (window, key) rows, not of input events."""
+    out = []
+    for p in query.recentProgress:
+        out.append({
+            "batch_id": p["batchId"],
+            "input_rows": p.get("numInputRows", 0),
+            "watermark": p.get("eventTime", {}).get("watermark"),
+            "dropped_late_rows": sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", [])),
+            "state_rows": sum(s.get("numRowsTotal", 0) for s in p.get("stateOperators", [])),
+        })
+    return out
