@@ -45,8 +45,8 @@ from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.functions import missing_fields
 from tripwire.schemas import CORE_FIELDS, EVENT_FIELDS, STRICT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
-from tripwire.sources import read_alerts, read_event_records, read_events
-from tripwire.streaming import run_once, write_alerts, write_events
+from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_events
+from tripwire.streaming import run_once, write_alert_updates, write_alerts, write_events
 
 # Rule parameters for the driver's events table.
 DRIVER_RULES = Rules(
@@ -232,6 +232,17 @@ def q_stream_alerts_append(spark, sf_dir):
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
+def q_stream_alerts_update(spark, sf_dir):
+    """ST5 update mode (the Kafka alert path) + D2: every change of every window
+    is logged as it happens; the latest version of each alert is the batch result."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "stream_updates")
+    raw = read_event_records(spark, sf_dir, streaming=True)
+    live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
+    run_once(write_alert_updates(live, f"{base}/updates", f"{base}/_checkpoint", trigger={"availableNow": True}))
+    return comparable_alerts(latest_alerts(read_alert_updates(spark, f"{base}/updates").drop("batch_id")))
+
+
 QUERIES = {
     "parse_events": q_parse_events,
     "rejected_events": q_rejected_events,
@@ -255,4 +266,5 @@ QUERIES = {
     "encode_events_roundtrip": q_encode_events_roundtrip,
     "stream_events_parquet": q_stream_events_parquet,
     "stream_alerts_append": q_stream_alerts_append,
+    "stream_alerts_update": q_stream_alerts_update,
 }

@@ -9,7 +9,7 @@ Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tripwire.schemas import ALERT_SCHEMA, PARSED_EVENT_SCHEMA
 
@@ -26,3 +26,9 @@ def read_events(spark: SparkSession, path: str, streaming: bool = False) -> Data
 def read_alerts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
     return reader.schema(_nullable(ALERT_SCHEMA)).parquet(path)
+
+
+def read_alert_updates(spark: SparkSession, path: str) -> DataFrame:
+    """The update log written by ``write_alert_updates``, with its ``batch_id``."""
+    schema = StructType(_nullable(ALERT_SCHEMA).fields + [StructField("batch_id", LongType(), True)])
+    return spark.read.schema(schema).parquet(path)

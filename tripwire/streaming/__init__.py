@@ -8,6 +8,7 @@ from tripwire.streaming.pipeline import (
 )
 from tripwire.streaming.sinks import (
     kafka_sink_options,
+    write_alert_updates,
     write_alerts,
     write_alerts_kafka,
     write_console,
@@ -17,5 +18,5 @@ from tripwire.streaming.sinks import (
 
 __all__ = [
     "PipelineSpec", "await_pipeline", "kafka_sink_options", "run_once", "start_pipeline", "stop_all",
-    "watermark_report", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka",
+    "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka",
 ]

@@ -70,6 +70,29 @@ def write_alerts(alerts: DataFrame, path: str, checkpoint: str | None = None,
     return None
 
 
+def write_alert_updates(alerts: DataFrame, path: str, checkpoint: str | None = None,
+                        trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
+    """Update-mode alerts (early and repeated, as the Kafka sink gets them) as a
+    Parquet log, one ``batch_id=N`` folder per micro-batch.
+
+    Each micro-batch overwrites its own folder, so a batch replayed after a
+    failure replaces its first attempt instead of adding to it. Reduce the log
+    with ``latest_alerts`` (read it with ``read_alert_updates``).
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    if not alerts.isStreaming:
+        write_batch(alerts, 0)
+        return None
+    writer = (alerts.writeStream.outputMode("update").foreachBatch(write_batch)
+              .option("checkpointLocation", _need_checkpoint(checkpoint))
+              .trigger(**(trigger or DEFAULT_TRIGGER)))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return writer.start()
+
+
 def kafka_sink_options(bootstrap_servers: str, topic: str, **extra: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic,
             **{k: str(v) for k, v in extra.items()}}
