@@ -40,3 +40,8 @@ def test_kafka_options():
         "startingOffsets": "latest", "failOnDataLoss": "false"}
     assert kafka_sink_options("b:9092", "events.anomalies") == {
         "kafka.bootstrap.servers": "b:9092", "topic": "events.anomalies"}
+
+
+def test_kafka_min_partitions_and_batch_offsets(spark):
+    opts = kafka_source_options("b:9092", "t", min_partitions=64)
+    assert opts["minPartitions"] == "64"

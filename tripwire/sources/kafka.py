@@ -10,14 +10,21 @@ from tripwire.operators.codec import decode_alerts
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
-                         fail_on_data_loss: bool = False, **extra: str) -> dict[str, str]:
-    """Options of the reference's raw-event source (defaults: latest, no fail on loss)."""
+                         fail_on_data_loss: bool = False, min_partitions: int | None = None,
+                         **extra: str) -> dict[str, str]:
+    """Options of the reference's raw-event source (defaults: latest, no fail on loss).
+
+    ``min_partitions`` splits large topic partitions over more Spark tasks, so a
+    partition holding a hot key's messages is still read in parallel.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
     }
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
@@ -36,10 +43,10 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
 
 def read_events_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = "events.raw",
                       starting_offsets: str = "latest", fail_on_data_loss: bool = False,
-                      streaming: bool = True) -> DataFrame:
+                      streaming: bool = True, min_partitions: int | None = None) -> DataFrame:
     """S1: raw event records from a topic (parse them with ``parse_events``)."""
     return read_kafka(spark, kafka_source_options(bootstrap_servers, topic, starting_offsets,
-                                                  fail_on_data_loss), streaming)
+                                                  fail_on_data_loss, min_partitions), streaming)
 
 
 def read_alerts_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = "events.anomalies",
