@@ -73,8 +73,14 @@ def event_records(table: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """Fan a batch scan out to the session's parallelism when it has fewer splits.
+def _too_few_splits(scan: DataFrame) -> int:
+    """The session's parallelism if a batch scan has fewer splits than that, else 0."""
+    want = scan.sparkSession.sparkContext.defaultParallelism
+    return want if scan.rdd.getNumPartitions() < want else 0
+
+
+def spread(df: DataFrame, parts: int, key: str = "event_id") -> DataFrame:
+    """Fan a small input out to ``parts`` tasks (no-op for ``parts == 0``).
 
     A Parquet row group is the smallest split, so a small single-row-group file
     is read by one task and every narrow step after it (JSON rendering and
@@ -84,10 +90,7 @@ def spread(df: DataFrame, key: str = "event_id") -> DataFrame:
     need a sort first to be). A large input already has at least as many
     splits as cores, and then nothing is added.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
-    return df
+    return df.repartition(parts, key) if parts else df
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -102,10 +105,11 @@ def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False
     events file, with the table's own schema (read from the Parquet footer).
     """
     path = table_path(sf_dir, "events")
+    scan = spark.read.parquet(path)
+    parts = _too_few_splits(scan)
     if not streaming:
-        return event_records(spread(spark.read.parquet(path)))
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+        return event_records(spread(scan, parts))
+    reader = spark.readStream.schema(scan.schema).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return event_records(reader.parquet(sf_dir))
+    return event_records(spread(reader.parquet(sf_dir), parts))
