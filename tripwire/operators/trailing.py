@@ -11,10 +11,11 @@ Window bounds are ``as_of - trailing_minutes`` and ``as_of``; the detection
 stamp is ``as_of``. The range has no upper bound unless ``upper=True`` (then
 events after ``as_of`` are left out too).
 
-Plan: one scan, one aggregation keyed by (user, ip) with conditional counts;
-the per-IP click totals are re-aggregated from that small result, which reuses
-its shuffle instead of scanning the events again. A hot IP is absorbed by the
-map-side partial aggregates.
+Plan: one scan and one aggregation with two grouping sets, (user, ip) for
+A5/A6 and (ip) for A7, then one generator that emits the matched rules. One
+shuffle in all; a hot IP is collapsed by the map-side partial aggregate. (A
+union of per-rule branches would not share its aggregate: column pruning makes
+each branch's aggregate different, so each would scan and shuffle again.)
 """
 
 from __future__ import annotations
@@ -47,26 +48,11 @@ def _as_of(events: DataFrame, as_of: datetime | str | Column | None) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def _rows(agg: DataFrame, user: Column, kind: str, count: str, total: Column, details: Column,
-          start: Column, end: Column) -> DataFrame:
-    return agg.select(
-        start.alias("window_start"),
-        end.alias("window_end"),
-        user.alias("user_id"),
-        F.col("ip_address"),
-        F.lit(kind).alias("anomaly_type"),
-        F.lit(SEVERITY[kind]).alias("severity"),
-        F.col(count).cast("int").alias("event_count"),
-        total.cast("double").alias("total_amount"),
-        details.alias("details"),
-        end.alias("detection_timestamp"),
-    )
-
-
 def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper: bool = False) -> DataFrame:
     """A5-A7 over events with ``event_time`` in ``[as_of - minutes, as_of]``.
 
-    ``as_of`` defaults to the latest event time in ``events``.
+    ``as_of`` defaults to the latest event time in ``events``; an explicit value
+    becomes a literal filter that reaches the scan.
     """
     minutes = rules.trailing_minutes
     end = _as_of(events, as_of)
@@ -78,39 +64,54 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
     is_txn = F.col("action") == TRANSACTION_SUCCESS
     is_click = F.col("action").isin(*CLICK_ACTIONS)
 
-    per_pair = (
+    levels = (
         events.filter(in_range & (is_login | is_txn | is_click))
-        .groupBy("user_id", "ip_address")
+        .groupingSets([["user_id", "ip_address"], ["ip_address"]], "user_id", "ip_address")
         .agg(
+            F.grouping("user_id").alias("per_ip"),  # 1 on the (ip) grouping set
             F.count_if(is_login).alias("n_login"),
             F.count_if(is_txn).alias("n_txn"),
             F.coalesce(F.sum(F.when(is_txn, nan_to_null("amount"))), F.lit(0.0)).alias("txn_amount"),
             F.count_if(is_click).alias("n_click"),
         )
     )
-    logins = _rows(
-        per_pair.filter((F.col("n_login") > 0) & (F.col("n_login") >= rules.trailing_failed_logins)),
-        F.col("user_id"), BRUTE_FORCE, "n_login", F.lit(0.0),
-        F.format_string("%d failed login attempts in %d-minute sliding window", "n_login", F.lit(minutes)),
-        start, end,
+    pair, per_ip = F.col("per_ip") == 0, F.col("per_ip") == 1
+    n_login, n_txn, amount, n_click = (F.col(c) for c in ("n_login", "n_txn", "txn_amount", "n_click"))
+    candidates = [
+        (BRUTE_FORCE, pair & (n_login > 0) & (n_login >= rules.trailing_failed_logins),
+         F.col("user_id"), n_login, F.lit(0.0),
+         F.format_string("%d failed login attempts in %d-minute sliding window", n_login, F.lit(minutes))),
+        (VELOCITY, pair & (n_txn > 0) & ((n_txn >= rules.trailing_transaction_velocity)
+                                         | (amount >= rules.trailing_transaction_amount)),
+         F.col("user_id"), n_txn, F.round(amount, 2),
+         F.format_string("Rapid sequence: %d transactions totaling $%s", n_txn, F.format_number(amount, 2))),
+        (BOT_BURST, per_ip & (n_click > 0) & (n_click >= rules.trailing_clicks_per_ip),
+         F.lit(AUTOMATED_CLIENT), n_click, F.lit(0.0),
+         F.format_string("Volumetric spike: %d requests within window", n_click)),
+    ]
+    matched = F.filter(
+        F.array(*[
+            F.when(cond, F.struct(
+                user.cast("string").alias("user_id"),
+                F.lit(kind).alias("anomaly_type"),
+                F.lit(SEVERITY[kind]).alias("severity"),
+                count.cast("int").alias("event_count"),
+                total.cast("double").alias("total_amount"),
+                details.alias("details"),
+            ))
+            for kind, cond, user, count, total, details in candidates
+        ]),
+        lambda a: a.isNotNull(),
     )
-    txns = _rows(
-        per_pair.filter((F.col("n_txn") > 0) & ((F.col("n_txn") >= rules.trailing_transaction_velocity)
-                                                | (F.col("txn_amount") >= rules.trailing_transaction_amount))),
-        F.col("user_id"), VELOCITY, "n_txn", F.round("txn_amount", 2),
-        F.format_string("Rapid sequence: %d transactions totaling $%s", F.col("n_txn"),
-                        F.format_number("txn_amount", 2)),
-        start, end,
-    )
-    per_ip = (
-        per_pair.filter(F.col("n_click") > 0)
-        .groupBy("ip_address")
-        .agg(F.sum("n_click").alias("n_click"))
-        .filter(F.col("n_click") >= rules.trailing_clicks_per_ip)
-    )
-    clicks = _rows(
-        per_ip, F.lit(AUTOMATED_CLIENT), BOT_BURST, "n_click", F.lit(0.0),
-        F.format_string("Volumetric spike: %d requests within window", "n_click"),
-        start, end,
+    return levels.select("ip_address", F.explode(matched).alias("a")).select(
+        start.alias("window_start"),
+        end.alias("window_end"),
+        "a.user_id",
+        "ip_address",
+        "a.anomaly_type",
+        "a.severity",
+        "a.event_count",
+        "a.total_amount",
+        "a.details",
+        end.alias("detection_timestamp"),
     )
-    return logins.unionByName(txns).unionByName(clicks)
