@@ -57,9 +57,13 @@ def test_update_log_replay_overwrites_its_batch(spark, scratch):
 def test_kafka_writers_need_the_connector(spark, scratch):
     if kafka_available(spark):
         pytest.skip("connector present; broker I/O is not exercised by the unit tests")
+    from test_parse import VALID
+    from tripwire.operators import parse_events
+
+    events = parse_events(spark.createDataFrame([(VALID,)], "value string"))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_events_kafka(events, "localhost:9092", "events.raw")
     src = write_files(f"{scratch}/in", [logins("u", "10:00")])
     batch = spark.read.schema(stream(spark, src).schema).json(src)
-    with pytest.raises(Exception, match="(?i)kafka"):
-        write_events_kafka(batch, "localhost:9092", "events.raw")
     with pytest.raises(Exception, match="(?i)kafka"):
         write_alerts_kafka(detect_alerts(batch, Rules()), "localhost:9092")
