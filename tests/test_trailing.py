@@ -67,3 +67,12 @@ def test_upper_bound(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert trailing_alerts(df, Rules(), as_of=at(30)).first().event_count == 5  # no upper bound
     assert trailing_alerts(df, Rules(), as_of=at(30), upper=True).count() == 0
+
+
+def test_trailing_is_batch_only(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(SCHEMA).json(str(tmp_path / "in"))
+    with pytest.raises(ValueError):
+        trailing_alerts(stream)

@@ -52,8 +52,11 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
     """A5-A7 over events with ``event_time`` in ``[as_of - minutes, as_of]``.
 
     ``as_of`` defaults to the latest event time in ``events``; an explicit value
-    becomes a literal filter that reaches the scan.
+    becomes a literal filter that reaches the scan. Batch only: on a stream the
+    hopping-window rules (``detect_alerts``) are the equivalent.
     """
+    if events.isStreaming:
+        raise ValueError("trailing_alerts reads a bounded range; on a stream use detect_alerts")
     minutes = rules.trailing_minutes
     end = _as_of(events, as_of)
     start = end - F.make_interval(mins=F.lit(minutes))

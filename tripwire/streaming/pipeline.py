@@ -30,6 +30,9 @@ class PipelineSpec:
     console: bool = False
     trigger: dict | None = None
     events_by_date: bool = False
+    rocksdb_state: bool = False  # keep window state in RocksDB (large key sets) instead of the JVM heap
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> list[StreamingQuery]:
@@ -37,6 +40,9 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     alert Kafka sink and the console sink. On a failure to start any of them,
     the ones already running are stopped."""
     base = (spec.checkpoint_base or f"{checkpoint_root(spark)}/tripwire").rstrip("/")
+    if spec.rocksdb_state:
+        # Read when a stateful query first starts; its checkpoint then records it.
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     events = parse_events(raw, spec.rules.watermark)
     alerts = detect_alerts(events, spec.rules)
     queries: list[StreamingQuery] = []
