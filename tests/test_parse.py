@@ -120,3 +120,11 @@ def test_watermark_is_set_on_streams_only_when_asked(spark):
 
 def test_amount_type(spark):
     assert dict(parse_events(payloads(spark, VALID)).dtypes)["amount"] == DoubleType().simpleString()
+
+
+def test_split_materialized_reads_one_decode(spark):
+    raw = payloads(spark, VALID, INVALID, "garbage")
+    valid, rejected = split_events(raw, level="core", materialize=True)
+    assert valid.count() == 1 and rejected.count() == 2
+    text = valid._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in text  # reads the checkpointed rows, no second parse
