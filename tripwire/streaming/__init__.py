@@ -1,4 +1,4 @@
-from tripwire.streaming.pipeline import (
+from tripwire.streaming.job import (
     PipelineSpec,
     await_pipeline,
     run_once,
