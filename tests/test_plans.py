@@ -58,3 +58,14 @@ def test_dedup_and_latest_aggregate_partially(at_rest):
     assert "partial_min_by" in plan(first_alerts(alerts))
     assert "partial_max_by" in plan(latest_alerts(alerts))
     assert "Window" not in plan(first_alerts(alerts))
+
+
+def test_trailing_prunes_date_partitions(spark, tmp_path):
+    path = str(tmp_path / "by_date")
+    write_events(events(spark, SF), path, by_date=True)
+    ev = spark.read.parquet(path)
+    for df in (trailing_alerts(ev, DRIVER_RULES), trailing_alerts(ev, DRIVER_RULES, as_of="2024-01-28 00:00:00")):
+        df.write.format("noop").mode("overwrite").save()
+        scans = [line for line in plan(df).splitlines() if "FileScan" in line and "user_id" in line]
+        assert scans and all("PartitionFilters: [isnotnull(event_date" in s and "event_date" in s.split("PartitionFilters")[1]
+                             for s in scans)

@@ -63,6 +63,10 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
     in_range = F.col("event_time") >= start
     if upper:
         in_range = in_range & (F.col("event_time") <= end)
+    if "event_date" in events.columns:
+        # Events at rest partitioned by date (write_events(by_date=True)): bound the
+        # partition column too, so only the range's date folders are listed and read.
+        in_range = in_range & (F.col("event_date") >= F.to_date(start))
     is_login = F.col("action") == LOGIN_FAILED
     is_txn = F.col("action") == TRANSACTION_SUCCESS
     is_click = F.col("action").isin(*CLICK_ACTIONS)
