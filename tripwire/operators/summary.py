@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:
-    """A8: one row: total alerts, CRITICAL and HIGH counts, distinct non-empty IPs."""
+    """A8: one row: total alerts, CRITICAL and HIGH counts, distinct non-empty IPs.
+
+    The dashboard showed these over its newest 200 alerts: pass
+    ``recent_alerts(alerts, 200)`` for that view.
+    """
     ip = F.col("ip_address")
     return alerts.agg(
         F.count(F.lit(1)).cast("int").alias("total_alerts"),
