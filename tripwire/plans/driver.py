@@ -190,6 +190,11 @@ def q_alert_kpis(spark, sf_dir):
     return alert_kpis(alerts(spark, sf_dir))
 
 
+def q_buffer_kpis(spark, sf_dir):
+    """The dashboard's KPI cards: computed over the newest 200 alerts only."""
+    return alert_kpis(recent_alerts(stamped(alerts(spark, sf_dir)), 200))
+
+
 def q_event_count(spark, sf_dir):
     return event_count(events(spark, sf_dir))
 
@@ -259,6 +264,7 @@ QUERIES = {
     "alert_feed": q_alert_feed,
     "recent_events": q_recent_events,
     "alert_kpis": q_alert_kpis,
+    "buffer_kpis": q_buffer_kpis,
     "event_count": q_event_count,
     "alerts_by_type": q_alerts_by_type,
     "top_ips": q_top_ips,

@@ -182,6 +182,12 @@ SELECT CAST(count(*) AS INTEGER) AS total_alerts,
        CAST(count(*) FILTER (WHERE severity = 'HIGH') AS INTEGER) AS high_alerts,
        CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS INTEGER) AS flagged_ips
 FROM alerts""",
+    "buffer_kpis": STAMPED + f"""
+SELECT CAST(count(*) AS INTEGER) AS total_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'CRITICAL') AS INTEGER) AS critical_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'HIGH') AS INTEGER) AS high_alerts,
+       CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS INTEGER) AS flagged_ips
+FROM (SELECT * FROM stamped ORDER BY {ORDER_ALERTS} LIMIT 200)""",
     "event_count": f"WITH {EV}\nSELECT CAST(count(*) AS INTEGER) AS total_events FROM ev",
     "alerts_by_type": ALL_ALERTS + """
 SELECT anomaly_type, CAST(count(*) AS INTEGER) AS alert_count FROM alerts
