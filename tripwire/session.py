@@ -49,7 +49,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     session without one gets a fresh temporary folder, as in tests.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = getattr(spark, "sparkContext", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client
+        sc = None
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if root:

@@ -75,8 +75,11 @@ def event_records(table: DataFrame) -> DataFrame:
 
 def _too_few_splits(scan: DataFrame) -> int:
     """The session's parallelism if a batch scan has fewer splits than that, else 0."""
-    want = scan.sparkSession.sparkContext.defaultParallelism
-    return want if scan.rdd.getNumPartitions() < want else 0
+    try:
+        want = scan.sparkSession.sparkContext.defaultParallelism
+        return want if scan.rdd.getNumPartitions() < want else 0
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as it is
+        return 0
 
 
 def spread(df: DataFrame, parts: int, key: str = "event_id") -> DataFrame:
