@@ -2,8 +2,8 @@
 
 The SQL restates each operator's semantics directly over the ``events`` table:
 the payload adapter becomes a plain projection (records that would be
-rejected are left out), hopping windows become a join with the five window
-offsets, and rules become filtered aggregates. Parameters are those of
+rejected are left out), each event is unnested into its five hopping windows,
+and rules become filtered aggregates. Parameters are those of
 ``DRIVER_RULES``.
 """
 
@@ -46,9 +46,9 @@ EV_COLUMNS = ("event_id, \"timestamp\", user_id, session_id, ip_address, device_
 # starting 0..4 days before its epoch-aligned day.
 WINDOWED = EV + """,
 win AS (
-  SELECT time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') - to_days(CAST(r.i AS INTEGER))
-           AS window_start, ev.*
-  FROM ev, range(5) AS r(i)
+  SELECT time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') - to_days(CAST(i AS INTEGER))
+           AS window_start, *
+  FROM (SELECT *, UNNEST(range(5)) AS i FROM ev)
 ),
 agg AS (
   SELECT window_start, window_start + INTERVAL 5 DAY AS window_end, user_id, ip_address,
@@ -94,10 +94,9 @@ ALL_ALERTS = _alerts_cte(LOGIN_ROWS, TXN_ROWS, CLICK_ROWS)
 STAMPED = ALL_ALERTS.rstrip() + ",\nstamped AS (SELECT *, window_end AS detection_timestamp FROM alerts)\n"
 
 TRAILING = "WITH " + EV + """,
-bounds AS (SELECT max(event_time) AS as_of FROM ev),
 rng AS (
-  SELECT ev.*, bounds.as_of FROM ev, bounds
-  WHERE ev.event_time >= bounds.as_of - INTERVAL 7200 MINUTE
+  SELECT *, (SELECT max(event_time) FROM ev) AS as_of FROM ev
+  WHERE event_time >= (SELECT max(event_time) FROM ev) - INTERVAL 7200 MINUTE
 ),
 pair AS (
   SELECT user_id, ip_address, any_value(as_of) AS as_of,
@@ -150,14 +149,14 @@ SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END
 FROM events
 WHERE event_id % 97 = 0 OR event_id % 89 = 0""",
     "validation_errors": """
-WITH bad AS (SELECT count(*) AS n FROM events WHERE event_id % 97 = 0),
-fields(level, field) AS (VALUES
+WITH fields(level, field) AS (VALUES
   ('core', 'event_id'), ('core', 'timestamp'), ('core', 'user_id'), ('core', 'session_id'),
   ('core', 'ip_address'), ('core', 'action'),
   ('strict', 'event_id'), ('strict', 'timestamp'), ('strict', 'user_id'), ('strict', 'session_id'),
   ('strict', 'ip_address'), ('strict', 'device_type'), ('strict', 'location_country'),
   ('strict', 'location_city'), ('strict', 'action'), ('strict', 'url_path'), ('strict', 'user_agent'))
-SELECT level, field, CAST(n AS INTEGER) AS n_events FROM fields, bad WHERE n > 0""",
+SELECT level, field, CAST((SELECT count(*) FROM events WHERE event_id % 97 = 0) AS INTEGER) AS n_events
+FROM fields WHERE (SELECT count(*) FROM events WHERE event_id % 97 = 0) > 0""",
     "brute_force": _alerts_cte(LOGIN_ROWS) + f"SELECT {ALERT_OUT} FROM alerts",
     "transaction_velocity": _alerts_cte(TXN_ROWS) + f"SELECT {ALERT_OUT} FROM alerts",
     "click_burst": _alerts_cte(CLICK_ROWS) + f"SELECT {ALERT_OUT} FROM alerts",
