@@ -150,17 +150,16 @@ def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str]
                                   | (amount >= rules.max_transaction_amount)), n_txn, amount),
         (BOT_BURST, (n_click > 0) & (n_click >= rules.max_clicks_per_window), n_click, F.lit(0.0)),
     ]
-    matched = F.filter(
-        F.array(*[F.when(cond, F.struct(*_alert(kind, n, total))) for kind, cond, n, total in candidates]),
-        lambda a: a.isNotNull(),
-    )
+    # One slot per rule, NULL when it does not fire; exploded and filtered in
+    # codegen-friendly steps (a lambda filter on the array would not be).
+    slots = F.array(*[F.when(cond, F.struct(*_alert(kind, n, total))) for kind, cond, n, total in candidates])
     return agg.select(
         F.col("window"),
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         *_key_cols(keys),
-        F.explode(matched).alias("alert"),
-    ).select(
+        F.explode(slots).alias("alert"),
+    ).filter(F.col("alert").isNotNull()).select(
         "window_start", "window_end", *DEFAULT_KEYS, "alert.*",
         F.current_timestamp().alias("detection_timestamp"),
         *_event_time_col(keep_window),

@@ -96,21 +96,18 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
          F.lit(AUTOMATED_CLIENT), n_click, F.lit(0.0),
          F.format_string("Volumetric spike: %d requests within window", n_click)),
     ]
-    matched = F.filter(
-        F.array(*[
-            F.when(cond, F.struct(
-                user.cast("string").alias("user_id"),
-                F.lit(kind).alias("anomaly_type"),
-                F.lit(SEVERITY[kind]).alias("severity"),
-                count.cast("int").alias("event_count"),
-                total.cast("double").alias("total_amount"),
-                details.alias("details"),
-            ))
-            for kind, cond, user, count, total, details in candidates
-        ]),
-        lambda a: a.isNotNull(),
-    )
-    return levels.select("ip_address", F.explode(matched).alias("a")).select(
+    slots = F.array(*[
+        F.when(cond, F.struct(
+            user.cast("string").alias("user_id"),
+            F.lit(kind).alias("anomaly_type"),
+            F.lit(SEVERITY[kind]).alias("severity"),
+            count.cast("int").alias("event_count"),
+            total.cast("double").alias("total_amount"),
+            details.alias("details"),
+        ))
+        for kind, cond, user, count, total, details in candidates
+    ])
+    return levels.select("ip_address", F.explode(slots).alias("a")).filter(F.col("a").isNotNull()).select(
         start.alias("window_start"),
         end.alias("window_end"),
         "a.user_id",
