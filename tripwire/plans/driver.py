@@ -237,6 +237,17 @@ def q_stream_alerts_append(spark, sf_dir):
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
+def q_stream_first_alerts(spark, sf_dir):
+    """D1 on a stream: first-wins dedup sharing the rules' watermark, in append mode."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "stream_first")
+    raw = read_event_records(spark, sf_dir, streaming=True)
+    live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES, keep_window=True)
+    run_once(write_alerts(first_alerts(live), f"{base}/alerts", f"{base}/_checkpoint",
+                          trigger={"availableNow": True}))
+    return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
+
+
 def q_stream_alerts_update(spark, sf_dir):
     """ST5 update mode (the Kafka alert path) + D2: every change of every window
     is logged as it happens; the latest version of each alert is the batch result."""
@@ -273,4 +284,5 @@ QUERIES = {
     "stream_events_parquet": q_stream_events_parquet,
     "stream_alerts_append": q_stream_alerts_append,
     "stream_alerts_update": q_stream_alerts_update,
+    "stream_first_alerts": q_stream_first_alerts,
 }

@@ -199,6 +199,9 @@ ORDER BY alert_count DESC, ip_address ASC LIMIT 6""",
     "encode_events_roundtrip": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "stream_events_parquet": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "stream_alerts_update": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "stream_first_alerts": ALL_ALERTS + f"""
+SELECT {ALERT_OUT} FROM alerts
+WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
     "stream_alerts_append": ALL_ALERTS + f"""
 SELECT {ALERT_OUT} FROM alerts
 WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
