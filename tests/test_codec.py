@@ -45,3 +45,8 @@ def test_kafka_options():
 def test_kafka_min_partitions_and_batch_offsets(spark):
     opts = kafka_source_options("b:9092", "t", min_partitions=64)
     assert opts["minPartitions"] == "64"
+
+
+def test_decode_garbage_alert_message(spark):
+    rows = decode_alerts(spark.createDataFrame([("garbage",), (None,)], "value string")).collect()
+    assert len(rows) == 2 and all(all(v is None for v in r) for r in rows)
