@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.schemas import ALERT_COLUMNS
+from tripwire.schemas import ALERT_BUFFER, ALERT_COLUMNS, EVENT_BUFFER, FEED_ROWS
 
 # D1 key. The dashboard keyed on (user_id, anomaly_type, window_end) only; that
 # form merges click bursts of different IPs (their user is a constant) and is
@@ -73,7 +73,7 @@ def _alert_order() -> list[Column]:
     ]
 
 
-def recent_alerts(alerts: DataFrame, n: int = 200, columns: Sequence[str] | None = None) -> DataFrame:
+def recent_alerts(alerts: DataFrame, n: int = ALERT_BUFFER, columns: Sequence[str] | None = None) -> DataFrame:
     """L1/L3: the ``n`` newest alerts, newest first, optionally only ``columns``
     (those present). Ties on the stamp are broken by window, type and target."""
     out = alerts.orderBy(*_alert_order()).limit(n)
@@ -82,12 +82,12 @@ def recent_alerts(alerts: DataFrame, n: int = 200, columns: Sequence[str] | None
     return out
 
 
-def alert_feed(alerts: DataFrame, n: int = 30) -> DataFrame:
+def alert_feed(alerts: DataFrame, n: int = FEED_ROWS) -> DataFrame:
     """L3: the live feed, newest ``n`` alerts with the eight feed columns."""
     return recent_alerts(alerts, n, FEED_COLUMNS)
 
 
-def recent_events(events: DataFrame, n: int = 1000) -> DataFrame:
+def recent_events(events: DataFrame, n: int = EVENT_BUFFER) -> DataFrame:
     """L2: the ``n`` newest events by event time (event_id breaks ties). Not applied
     implicitly before any rule."""
     return events.orderBy(F.col("event_time").desc_nulls_last(), F.col("event_id").desc_nulls_last()).limit(n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripwire.schemas import KPI_SEVERITIES, TOP_IPS
+
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:
     """A8: one row: total alerts, CRITICAL and HIGH counts, distinct non-empty IPs.
@@ -15,8 +17,7 @@ def alert_kpis(alerts: DataFrame) -> DataFrame:
     ip = F.col("ip_address")
     return alerts.agg(
         F.count(F.lit(1)).cast("int").alias("total_alerts"),
-        F.count_if(F.col("severity") == "CRITICAL").cast("int").alias("critical_alerts"),
-        F.count_if(F.col("severity") == "HIGH").cast("int").alias("high_alerts"),
+        *[F.count_if(F.col("severity") == sev).cast("int").alias(f"{sev.lower()}_alerts") for sev in KPI_SEVERITIES],
         F.count_distinct(F.when(ip != "", ip)).cast("int").alias("flagged_ips"),
     )
 
@@ -35,7 +36,7 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
     )
 
 
-def top_ips(alerts: DataFrame, n: int = 6) -> DataFrame:
+def top_ips(alerts: DataFrame, n: int = TOP_IPS) -> DataFrame:
     """A10: the ``n`` IPs with most alerts (ties: lower IP first; NULL skipped)."""
     return (
         alerts.filter(F.col("ip_address").isNotNull())

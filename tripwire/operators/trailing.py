@@ -33,6 +33,7 @@ from tripwire.schemas import (
     CLICK_ACTIONS,
     LOGIN_FAILED,
     SEVERITY,
+    TRAILING_DETAILS,
     TRANSACTION_SUCCESS,
     VELOCITY,
     Rules,
@@ -87,14 +88,14 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
     candidates = [
         (BRUTE_FORCE, pair & (n_login > 0) & (n_login >= rules.trailing_failed_logins),
          F.col("user_id"), n_login, F.lit(0.0),
-         F.format_string("%d failed login attempts in %d-minute sliding window", n_login, F.lit(minutes))),
+         F.format_string(TRAILING_DETAILS[BRUTE_FORCE], n_login, F.lit(minutes))),
         (VELOCITY, pair & (n_txn > 0) & ((n_txn >= rules.trailing_transaction_velocity)
                                          | (amount >= rules.trailing_transaction_amount)),
          F.col("user_id"), n_txn, F.round(amount, 2),
-         F.format_string("Rapid sequence: %d transactions totaling $%s", n_txn, F.format_number(amount, 2))),
+         F.format_string(TRAILING_DETAILS[VELOCITY], n_txn, F.format_number(amount, 2))),
         (BOT_BURST, per_ip & (n_click > 0) & (n_click >= rules.trailing_clicks_per_ip),
          F.lit(AUTOMATED_CLIENT), n_click, F.lit(0.0),
-         F.format_string("Volumetric spike: %d requests within window", n_click)),
+         F.format_string(TRAILING_DETAILS[BOT_BURST], n_click)),
     ]
     slots = F.array(*[
         F.when(cond, F.struct(

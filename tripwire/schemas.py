@@ -75,13 +75,30 @@ DETAILS = {
     VELOCITY: "High volume or high cumulative transaction amount in window",
     BOT_BURST: "Rapid clickstream request frequency matching bot signature",
 }
-# Constant user of the per-IP trailing click rule.
+# The trailing (dashboard) rules' constant user and details texts
+# (printf-style: count, then window minutes or the amount with thousands separators).
 AUTOMATED_CLIENT = "automated_client"
+TRAILING_DETAILS = {
+    BRUTE_FORCE: "%d failed login attempts in %d-minute sliding window",
+    VELOCITY: "Rapid sequence: %d transactions totaling $%s",
+    BOT_BURST: "Volumetric spike: %d requests within window",
+}
+# Severities counted by the KPI cards.
+KPI_SEVERITIES = ("CRITICAL", "HIGH")
+# Topics, micro-batch trigger, and dashboard sizes (alert buffer,
+# event buffer, feed rows, top IPs).
+EVENTS_TOPIC = "events.raw"
+ALERTS_TOPIC = "events.anomalies"
+TRIGGER_INTERVAL = "5 seconds"
+ALERT_BUFFER = 200
+EVENT_BUFFER = 1000
+FEED_ROWS = 30
+TOP_IPS = 6
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Window sizes and thresholds. Defaults are the reference configuration.
+    """Window sizes and thresholds. Defaults (fixed values) are the reference configuration.
 
     Thresholds are inclusive (``>=``). ``window``/``slide``/``watermark`` are
     Spark interval strings; slide equal to window gives tumbling windows.

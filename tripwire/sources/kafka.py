@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwire.operators.codec import decode_alerts
+from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "latest",
@@ -41,7 +42,7 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
     return reader.format("kafka").options(**options).load()
 
 
-def read_events_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = "events.raw",
+def read_events_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = EVENTS_TOPIC,
                       starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                       streaming: bool = True, min_partitions: int | None = None) -> DataFrame:
     """S1: raw event records from a topic (parse them with ``parse_events``)."""
@@ -49,7 +50,7 @@ def read_events_kafka(spark: SparkSession, bootstrap_servers: str, topic: str =
                                                   fail_on_data_loss, min_partitions), streaming)
 
 
-def read_alerts_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = "events.anomalies",
+def read_alerts_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = ALERTS_TOPIC,
                       starting_offsets: str = "latest", streaming: bool = True) -> DataFrame:
     """S2: alert messages from a topic, decoded to the alert schema."""
     return decode_alerts(read_kafka(spark, kafka_source_options(bootstrap_servers, topic,

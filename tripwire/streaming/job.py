@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripwire.operators.parse import parse_events
 from tripwire.operators.rules import detect_alerts
-from tripwire.schemas import Rules
+from tripwire.schemas import ALERTS_TOPIC, Rules
 from tripwire.session import checkpoint_root
 from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events
 
@@ -26,7 +26,7 @@ class PipelineSpec:
     checkpoint_base: str | None = None  # default: <spark.checkpoint.dir>/tripwire
     rules: Rules = field(default_factory=Rules)
     kafka_bootstrap_servers: str | None = None
-    alerts_topic: str = "events.anomalies"
+    alerts_topic: str = ALERTS_TOPIC
     console: bool = False
     trigger: dict | None = None
     events_by_date: bool = False

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripwire.operators.codec import encode_alerts, encode_events
+from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, TRIGGER_INTERVAL
 
-DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
+DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 
 
 def _start(df: DataFrame, fmt: str, options: dict[str, str], checkpoint: str | None,
@@ -98,7 +99,7 @@ def kafka_sink_options(bootstrap_servers: str, topic: str, **extra: str) -> dict
             **{k: str(v) for k, v in extra.items()}}
 
 
-def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str = "events.anomalies",
+def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str = ALERTS_TOPIC,
                        checkpoint: str | None = None, trigger: dict | None = None,
                        output_mode: str = "update", query_name: str | None = None) -> StreamingQuery | None:
     """K3: alerts as JSON messages keyed by user_id (update mode by default)."""
@@ -111,7 +112,7 @@ def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str = "
     return None
 
 
-def write_events_kafka(events: DataFrame, bootstrap_servers: str, topic: str = "events.raw",
+def write_events_kafka(events: DataFrame, bootstrap_servers: str, topic: str = EVENTS_TOPIC,
                        checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery | None:
     """K5: events as JSON messages keyed by user_id (one user's events stay in
     one partition, hence ordered)."""
