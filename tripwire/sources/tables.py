@@ -32,6 +32,9 @@ CITIES = ("San Francisco", "Berlin", "Mumbai", "Sao Paulo")  # by user_id % 4
 USER_AGENT = "Mozilla/5.0"
 NOT_JSON_EVERY = 97
 BAD_TIMESTAMP_EVERY = 89
+# The driver's events table. Given explicitly so a read does not
+# open a Parquet footer to infer it.
+EVENTS_TABLE_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
@@ -105,14 +108,14 @@ def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False
     """Payload records from ``{sf_dir}/events.parquet``, as a batch or a stream.
 
     The streaming form is a file source over the directory restricted to the
-    events file, with the table's own schema (read from the Parquet footer).
+    events file, with the table's fixed schema.
     """
     path = table_path(sf_dir, "events")
-    scan = spark.read.parquet(path)
+    scan = spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(path)
     parts = _too_few_splits(scan)
     if not streaming:
         return event_records(spread(scan, parts))
-    reader = spark.readStream.schema(scan.schema).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(EVENTS_TABLE_SCHEMA).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return event_records(spread(reader.parquet(sf_dir), parts))
