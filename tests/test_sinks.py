@@ -67,3 +67,19 @@ def test_kafka_writers_need_the_connector(spark, scratch):
     batch = spark.read.schema(stream(spark, src).schema).json(src)
     with pytest.raises(Exception, match="(?i)kafka"):
         write_alerts_kafka(detect_alerts(batch, Rules()), "localhost:9092")
+
+
+def test_job_cli_once(spark, scratch):
+    import json as _json
+
+    from tripwire.streaming.job import main
+
+    lines = [_json.dumps({"event_id": str(i), "timestamp": f"2026-08-20T10:00:{10 + i:02d}Z", "user_id": "u",
+                          "session_id": "s", "ip_address": "i", "action": "login_failed"}) for i in range(5)]
+    lines.append(_json.dumps({"event_id": "z", "timestamp": "2026-08-20T11:00:00Z", "user_id": "z",
+                              "session_id": "s", "ip_address": "j", "action": "page_view"}))
+    src = write_files(f"{scratch}/raw", [lines[:5], lines[5:]], as_text=True)
+    assert main(["--source-dir", src, "--events-path", f"{scratch}/ev", "--alerts-path", f"{scratch}/al",
+                 "--checkpoint-base", f"{scratch}/ck", "--once"]) == 0
+    assert read_events(spark, f"{scratch}/ev").count() == 6
+    assert read_alerts(spark, f"{scratch}/al").count() == 5

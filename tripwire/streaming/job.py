@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripwire.operators.parse import parse_events
 from tripwire.operators.rules import detect_alerts
-from tripwire.schemas import ALERTS_TOPIC, Rules
+from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, Rules
 from tripwire.session import checkpoint_root
 from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events
 
@@ -110,3 +110,65 @@ def watermark_report(query: StreamingQuery) -> list[dict]:
             "state_rows": sum(s.get("numRowsTotal", 0) for s in p.get("stateOperators", [])),
         })
     return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Run the live job (the reference's streaming entry point).
+
+    spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version> \\
+        -m tripwire.streaming.job --bootstrap-servers broker:9092 \\
+        --events-path s3a://bucket/events --alerts-path s3a://bucket/anomalies
+
+    Cluster settings (master, shuffle partitions, checkpoint folder, S3
+    credentials) come from spark-submit, not from here. ``--source-dir`` reads
+    JSON-lines files instead of Kafka; ``--once`` processes what is there and
+    stops (availableNow).
+    """
+    import argparse
+
+    from tripwire.sources.kafka import read_events_kafka
+
+    ap = argparse.ArgumentParser(prog="tripwire.streaming.job")
+    ap.add_argument("--bootstrap-servers")
+    ap.add_argument("--topic", default=None)
+    ap.add_argument("--starting-offsets", default="latest")
+    ap.add_argument("--source-dir", help="JSON-lines folder instead of Kafka")
+    ap.add_argument("--events-path", required=True)
+    ap.add_argument("--alerts-path", required=True)
+    ap.add_argument("--checkpoint-base")
+    ap.add_argument("--kafka-alerts", action="store_true", help="also publish alerts to Kafka (update mode)")
+    ap.add_argument("--console", action="store_true")
+    ap.add_argument("--once", action="store_true")
+    ap.add_argument("--rocksdb-state", action="store_true")
+    args = ap.parse_args(argv)
+    if not args.source_dir and not args.bootstrap_servers:
+        ap.error("give --bootstrap-servers or --source-dir")
+
+    spark = SparkSession.builder.appName("tripwire").getOrCreate()
+    if args.source_dir:
+        raw = spark.readStream.text(args.source_dir)
+    else:
+        raw = read_events_kafka(spark, args.bootstrap_servers, args.topic or EVENTS_TOPIC, args.starting_offsets)
+    spec = PipelineSpec(
+        events_path=args.events_path,
+        alerts_path=args.alerts_path,
+        checkpoint_base=args.checkpoint_base,
+        kafka_bootstrap_servers=args.bootstrap_servers if args.kafka_alerts else None,
+        console=args.console,
+        trigger={"availableNow": True} if args.once else None,
+        rocksdb_state=args.rocksdb_state,
+    )
+    queries = start_pipeline(spark, raw, spec)
+    try:
+        if args.once:
+            for q in queries:
+                run_once(q)
+        else:
+            await_pipeline(spark, queries)
+    except KeyboardInterrupt:
+        stop_all(queries)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
