@@ -115,10 +115,12 @@ def watermark_report(query: StreamingQuery) -> list[dict]:
 def main(argv: list[str] | None = None) -> int:
     """Run the live job (the reference's streaming entry point).
 
-    spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version> \\
-        -m tripwire.streaming.job --bootstrap-servers broker:9092 \\
+    spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version> \\
+        --py-files tripwire.zip tripwire/streaming/job.py --bootstrap-servers broker:9092 \\
         --events-path s3a://bucket/events --alerts-path s3a://bucket/anomalies
 
+    (locally: ``python -m tripwire.streaming.job ...``)
+
     Cluster settings (master, shuffle partitions, checkpoint folder, S3
     credentials) come from spark-submit, not from here. ``--source-dir`` reads
     JSON-lines files instead of Kafka; ``--once`` processes what is there and
