@@ -208,3 +208,16 @@ def test_stateful_restart_resumes_from_checkpoint(spark, scratch):
     after = counts(read_alerts(spark, out).collect())
     assert before == {"u": 5, "late1": 5}  # watermark 10:50:50: w's windows (to 11:05) still open
     assert after == {"u": 5, "w": 5, "late1": 5, "late3": 5}  # as in the uninterrupted run
+
+
+def test_fused_rules_keep_one_state_store(spark, scratch):
+    from tripwire.operators import detect_alerts_union
+
+    src = write_files(f"{scratch}/in", LATE_BATCHES[:2])
+    fused = run_once(write_alerts(detect_alerts(stream(spark, src), Rules()), f"{scratch}/a", f"{scratch}/ca",
+                                  trigger=ONCE))
+    union = run_once(write_alerts(detect_alerts_union(stream(spark, src), Rules()), f"{scratch}/b",
+                                  f"{scratch}/cb", trigger=ONCE))
+    assert len(fused.lastProgress["stateOperators"]) == 1
+    assert len(union.lastProgress["stateOperators"]) == 3
+    assert counts(read_alerts(spark, f"{scratch}/a").collect()) == counts(read_alerts(spark, f"{scratch}/b").collect())
