@@ -83,3 +83,17 @@ def test_job_cli_once(spark, scratch):
                  "--checkpoint-base", f"{scratch}/ck", "--once"]) == 0
     assert read_events(spark, f"{scratch}/ev").count() == 6
     assert read_alerts(spark, f"{scratch}/al").count() == 5
+
+
+def test_null_action_round_trips_through_the_partition_folder(spark, scratch):
+    import os
+
+    from test_parse import VALID
+    from tripwire.operators import parse_events
+
+    no_action = VALID.replace('"action":"page_view",', "")
+    events = parse_events(spark.createDataFrame([(VALID,), (no_action,)], "value string"))
+    write_events(events, f"{scratch}/ev")
+    assert "action=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{scratch}/ev")
+    back = sorted((r.action is None, r.action) for r in read_events(spark, f"{scratch}/ev").collect())
+    assert back == [(False, "page_view"), (True, None)]
