@@ -221,3 +221,32 @@ def test_fused_rules_keep_one_state_store(spark, scratch):
     assert len(fused.lastProgress["stateOperators"]) == 1
     assert len(union.lastProgress["stateOperators"]) == 3
     assert counts(read_alerts(spark, f"{scratch}/a").collect()) == counts(read_alerts(spark, f"{scratch}/b").collect())
+
+
+def test_continuous_pipeline_picks_up_new_files(spark, scratch):
+    """Processing-time trigger: files arriving while the queries run are processed."""
+    def payload(i, minute, user="u"):
+        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2026-08-20T{minute}:{10 + i:02d}Z",
+                           "user_id": user, "session_id": "s", "ip_address": "i", "action": "login_failed"})
+
+    src = f"{scratch}/raw"
+    os.makedirs(src)
+    raw = spark.readStream.text(src)
+    spec = PipelineSpec(events_path=f"{scratch}/events", alerts_path=f"{scratch}/alerts",
+                        checkpoint_base=f"{scratch}/ckpt", rules=Rules(), trigger={"processingTime": "1 second"})
+    queries = start_pipeline(spark, raw, spec)
+    try:
+        with open(f"{src}/a.json", "w") as f:
+            f.write("\n".join(payload(i, "10:00") for i in range(5)) + "\n")
+        for q in queries:
+            q.processAllAvailable()
+        assert read_alerts(spark, f"{scratch}/alerts").count() == 0  # windows still open
+        with open(f"{src}/b.json", "w") as f:
+            f.write(payload(0, "10:30", user="z") + "\n")
+        for q in queries:
+            q.processAllAvailable()
+        assert all(q.isActive for q in queries)
+    finally:
+        stop_all(queries)
+    assert read_events(spark, f"{scratch}/events").count() == 6
+    assert read_alerts(spark, f"{scratch}/alerts").count() == 5  # closed by the 10:30 event
