@@ -7,8 +7,8 @@ from tripwire.schemas import ALERT_SCHEMA
 T = datetime(2026, 8, 20, 10, 0)
 
 
-def alert(spark_rows, spark):
-    return spark.createDataFrame(spark_rows, ALERT_SCHEMA)
+def alert(rows, spark):
+    return spark.createDataFrame(rows, ALERT_SCHEMA)
 
 
 def row(user, ip, kind, count, stamp_min, end_min=5, total=0.0):
