@@ -46,3 +46,18 @@ def test_recent_events(spark):
     df = spark.createDataFrame([(str(i), T + timedelta(seconds=i)) for i in range(20)],
                                "event_id string, event_time timestamp")
     assert [r.event_id for r in recent_events(df, 3).collect()] == ["19", "18", "17"]
+
+
+def test_top_n_two_level_equals_plain(spark):
+    from pyspark.sql import functions as F
+
+    from tripwire.operators.alerts import top_n
+
+    df = spark.range(0, 50000, numPartitions=20).withColumn("k", (F.col("id") * 7919) % 10007)
+    order = [F.col("k").desc(), F.col("id").asc()]
+    plain = top_n(df, order, 50)  # 20 x 50 rows: one merge
+    two = top_n(df, order, 50, max_rows_per_task=200)  # groups of 4 partitions first
+    assert [tuple(r) for r in two.collect()] == [tuple(r) for r in plain.collect()]
+    text = two._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "Partial" in text  # ranked map-side before the shuffle
+    assert "WindowGroupLimit" not in plain._jdf.queryExecution().executedPlan().toString()

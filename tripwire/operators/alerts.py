@@ -3,16 +3,21 @@ alerts (L1/L3) and newest events (L2).
 
 Dedup and latest are aggregations (``min_by``/``max_by`` over a struct), not a
 ranking window: the partial aggregate runs map-side, so a key with millions of
-versions never lands whole in one task. Top-N reads are ``orderBy().limit()``,
-which Spark plans as a per-partition top-N and a merge of N rows per
-partition.
+versions never lands whole in one task.
+
+Top-N reads use :func:`top_n`. ``orderBy().limit(n)`` keeps n rows per input
+partition and merges them all in one task: fine for a few thousand
+partitions, not for a 100 TB scan with ~10^6 splits (10^9 rows in one task).
+Past a size check, ``top_n`` ranks rows within groups of consecutive input
+partitions first. Catalyst applies that rank limit map-side (a partial
+WindowGroupLimit), so no task merges more than about ``max_rows_per_task`` rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwire.schemas import ALERT_BUFFER, ALERT_COLUMNS, EVENT_BUFFER, FEED_ROWS
@@ -63,6 +68,34 @@ def latest_alerts(alerts: DataFrame, keys: Sequence[str] = ALERT_KEYS) -> DataFr
     return _pick(alerts, keys, ["detection_timestamp", "event_count"], latest=True)
 
 
+def _partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()  # plans the input; runs nothing
+    except Exception:  # no RDD access (e.g. Spark Connect)
+        return None
+
+
+def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000) -> DataFrame:
+    """The first ``n`` rows by ``order`` (give a total order for a unique result).
+
+    Small inputs (partitions x n within ``max_rows_per_task``) take the plain
+    ``orderBy().limit()``. Larger ones first keep the top ``n`` of each group of
+    ``max_rows_per_task // n`` consecutive input partitions; the final merge
+    then sees at most n rows per group.
+    """
+    parts = _partitions(df)
+    if parts is None or parts * n <= max_rows_per_task:
+        return df.orderBy(*order).limit(n)
+    fan_in = max(2, max_rows_per_task // n)
+    ranked = (
+        df.withColumn("_topn_group", F.floor(F.spark_partition_id() / F.lit(fan_in)))
+        .withColumn("_topn_rank", F.row_number().over(Window.partitionBy("_topn_group").orderBy(*order)))
+        .filter(F.col("_topn_rank") <= n)
+        .drop("_topn_group", "_topn_rank")
+    )
+    return ranked.orderBy(*order).limit(n)
+
+
 def _alert_order() -> list[Column]:
     return [
         F.col("detection_timestamp").desc_nulls_last(),
@@ -76,7 +109,7 @@ def _alert_order() -> list[Column]:
 def recent_alerts(alerts: DataFrame, n: int = ALERT_BUFFER, columns: Sequence[str] | None = None) -> DataFrame:
     """L1/L3: the ``n`` newest alerts, newest first, optionally only ``columns``
     (those present). Ties on the stamp are broken by window, type and target."""
-    out = alerts.orderBy(*_alert_order()).limit(n)
+    out = top_n(alerts, _alert_order(), n)
     if columns is not None:
         out = out.select(*[c for c in columns if c in alerts.columns])
     return out
@@ -90,7 +123,8 @@ def alert_feed(alerts: DataFrame, n: int = FEED_ROWS) -> DataFrame:
 def recent_events(events: DataFrame, n: int = EVENT_BUFFER) -> DataFrame:
     """L2: the ``n`` newest events by event time (event_id breaks ties). Not applied
     implicitly before any rule."""
-    return events.orderBy(F.col("event_time").desc_nulls_last(), F.col("event_id").desc_nulls_last()).limit(n)
+    return top_n(events, [F.col("event_time").desc_nulls_last(), F.col("event_id").desc_nulls_last()], n)
 
 
-__all__ = ["ALERT_COLUMNS", "alert_feed", "first_alerts", "latest_alerts", "recent_alerts", "recent_events"]
+__all__ = ["ALERT_COLUMNS", "alert_feed", "first_alerts", "latest_alerts", "recent_alerts", "recent_events",
+           "top_n"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripwire.operators.alerts import top_n
 from tripwire.schemas import KPI_SEVERITIES, TOP_IPS
 
 
@@ -38,10 +39,9 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
 
 def top_ips(alerts: DataFrame, n: int = TOP_IPS) -> DataFrame:
     """A10: the ``n`` IPs with most alerts (ties: lower IP first; NULL skipped)."""
-    return (
+    counts = (
         alerts.filter(F.col("ip_address").isNotNull())
         .groupBy("ip_address")
         .agg(F.count(F.lit(1)).cast("int").alias("alert_count"))
-        .orderBy(F.col("alert_count").desc(), F.col("ip_address").asc())
-        .limit(n)
     )
+    return top_n(counts, [F.col("alert_count").desc(), F.col("ip_address").asc()], n)
