@@ -55,8 +55,8 @@ def test_top_n_two_level_equals_plain(spark):
 
     df = spark.range(0, 50000, numPartitions=20).withColumn("k", (F.col("id") * 7919) % 10007)
     order = [F.col("k").desc(), F.col("id").asc()]
-    plain = top_n(df, order, 50)  # 20 x 50 rows: one merge
-    two = top_n(df, order, 50, max_rows_per_task=200)  # groups of 4 partitions first
+    plain = top_n(df, order, 50)  # a small input: one merge
+    two = top_n(df, order, 50, max_rows_per_task=40)  # forced: ranked in groups of 2 partitions first
     assert [tuple(r) for r in two.collect()] == [tuple(r) for r in plain.collect()]
     text = two._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "Partial" in text  # ranked map-side before the shuffle

@@ -68,22 +68,39 @@ def latest_alerts(alerts: DataFrame, keys: Sequence[str] = ALERT_KEYS) -> DataFr
     return _pick(alerts, keys, ["detection_timestamp", "event_count"], latest=True)
 
 
-def _partitions(df: DataFrame) -> int | None:
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    text = text.strip().lower()
+    digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(digits) * _UNITS.get(text[len(digits):] or "b", 1)
+
+
+def _estimated_splits(df: DataFrame) -> int | None:
+    """Input splits implied by the optimizer's size estimate; runs nothing.
+
+    (``df.rdd.getNumPartitions()`` would materialize the shuffle stages of an
+    adaptive plan just to count.) Downstream of an aggregate the estimate is
+    the input's size, so the check errs toward the two-level plan.
+    """
     try:
-        return df.rdd.getNumPartitions()  # plans the input; runs nothing
-    except Exception:  # no RDD access (e.g. Spark Connect)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        return max(1, -(-size // split))
+    except Exception:  # no plan access (e.g. Spark Connect): take the plain plan
         return None
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000) -> DataFrame:
     """The first ``n`` rows by ``order`` (give a total order for a unique result).
 
-    Small inputs (partitions x n within ``max_rows_per_task``) take the plain
-    ``orderBy().limit()``. Larger ones first keep the top ``n`` of each group of
-    ``max_rows_per_task // n`` consecutive input partitions; the final merge
+    Small inputs (estimated splits x n within ``max_rows_per_task``) take the
+    plain ``orderBy().limit()``. Larger ones first keep the top ``n`` of each
+    group of ``max_rows_per_task // n`` consecutive partitions; the final merge
     then sees at most n rows per group.
     """
-    parts = _partitions(df)
+    parts = _estimated_splits(df)
     if parts is None or parts * n <= max_rows_per_task:
         return df.orderBy(*order).limit(n)
     fan_in = max(2, max_rows_per_task // n)
