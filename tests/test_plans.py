@@ -69,3 +69,11 @@ def test_trailing_prunes_date_partitions(spark, tmp_path):
         scans = [line for line in plan(df).splitlines() if "FileScan" in line and "user_id" in line]
         assert scans and all("PartitionFilters: [isnotnull(event_date" in s and "event_date" in s.split("PartitionFilters")[1]
                              for s in scans)
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_building_a_plan_runs_no_job(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    QUERIES[name](spark, SF)
+    assert set(tracker.getJobIdsForGroup(None)) == before, name
