@@ -21,6 +21,8 @@ from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_con
 
 @dataclass
 class PipelineSpec:
+    """Where the live job writes, which rules it applies, and how it triggers."""
+
     events_path: str
     alerts_path: str
     checkpoint_base: str | None = None  # default: <spark.checkpoint.dir>/tripwire
@@ -32,6 +34,7 @@ class PipelineSpec:
     events_by_date: bool = False
     rocksdb_state: bool = False  # keep window state in RocksDB (large key sets) instead of the JVM heap
 
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
