@@ -21,3 +21,12 @@ def test_rule_defaults():
             r.max_clicks_per_window) == (5, 3, 10000.0, 100)
     assert (r.trailing_minutes, r.trailing_clicks_per_ip) == (5, 80)
     assert r.with_(max_failed_logins=3).max_failed_logins == 3
+
+
+def test_rules_from_reference_config():
+    config = {"streaming": {"watermark_duration": "2 minutes", "window_duration": "10 minutes",
+                            "rules": {"max_failed_logins": 3, "max_transaction_amount": 5000.0}}}
+    r = Rules.from_config(config)
+    assert (r.watermark, r.window, r.slide) == ("2 minutes", "10 minutes", "1 minute")
+    assert (r.max_failed_logins, r.max_transaction_amount, r.max_clicks_per_window) == (3, 5000.0, 100)
+    assert Rules.from_config({}) == Rules()

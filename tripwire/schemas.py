@@ -120,3 +120,18 @@ class Rules:
 
     def with_(self, **changes) -> "Rules":
         return replace(self, **changes)
+
+    @classmethod
+    def from_config(cls, config: dict) -> "Rules":
+        """Rules from the reference's configuration layout (a parsed YAML/JSON
+        dict): ``streaming.{watermark,window,slide}_duration`` and
+        ``streaming.rules.max_*``. Keys that are absent keep the defaults."""
+        streaming = (config or {}).get("streaming", {}) or {}
+        thresholds = streaming.get("rules", {}) or {}
+        # The reference's configuration keys -> Rules fields.
+        durations = {"watermark_duration": "watermark", "window_duration": "window", "slide_duration": "slide"}
+        limits = ("max_failed_logins", "max_transaction_velocity", "max_transaction_amount",
+                  "max_clicks_per_window")
+        changes = {field: streaming[key] for key, field in durations.items() if key in streaming}
+        changes.update({key: thresholds[key] for key in limits if key in thresholds})
+        return cls().with_(**changes)
