@@ -28,7 +28,7 @@ def _norm(v):
     if hasattr(v, "isoformat"):
         return v.replace(tzinfo=None).isoformat() if hasattr(v, "tzinfo") else v.isoformat()
     if isinstance(v, float):
-        return repr(round(v, 6))
+        return repr(v)
     return str(v)
 
 
