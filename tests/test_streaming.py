@@ -138,10 +138,11 @@ def test_pipeline_from_raw_payloads(spark, scratch):
     src = write_files(f"{scratch}/raw", [lines[:7], lines[7:]], as_text=True)
     raw = spark.readStream.option("maxFilesPerTrigger", "1").text(src)
     spec = PipelineSpec(events_path=f"{scratch}/events", alerts_path=f"{scratch}/alerts",
-                        checkpoint_base=f"{scratch}/ckpt", rules=Rules(), trigger=ONCE, rocksdb_state=True)
+                        checkpoint_base=f"{scratch}/ckpt", rules=Rules(), trigger=ONCE, rocksdb_state=True,
+                        rejected_path=f"{scratch}/rejected")
     queries = start_pipeline(spark, raw, spec)
     try:
-        assert [q.name for q in queries] == ["events_parquet", "alerts_parquet"]
+        assert [q.name for q in queries] == ["events_parquet", "alerts_parquet", "rejected_parquet"]
         for q in queries:
             run_once(q)
     finally:
@@ -150,6 +151,9 @@ def test_pipeline_from_raw_payloads(spark, scratch):
     alerts = read_alerts(spark, f"{scratch}/alerts").collect()
     # 10:00 burst windows are closed by the 10:20 events; the 10:20 ones are still open.
     assert len(alerts) == 5 and {r.event_count for r in alerts} == {5}
+    rejected = spark.read.parquet(f"{scratch}/rejected").collect()
+    assert sorted(r.reject_reason for r in rejected) == ["bad_timestamp", "not_json_object"]
+    assert {r.payload for r in rejected} == {"not json", '{"event_id":"b","timestamp":"bad"}'}
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
 

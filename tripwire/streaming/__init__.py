@@ -14,9 +14,10 @@ from tripwire.streaming.sinks import (
     write_console,
     write_events,
     write_events_kafka,
+    write_rejected,
 )
 
 __all__ = [
     "PipelineSpec", "await_pipeline", "kafka_sink_options", "run_once", "start_pipeline", "stop_all",
-    "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka",
+    "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka", "write_rejected",
 ]

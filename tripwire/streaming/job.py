@@ -12,11 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tripwire.operators.parse import parse_events
+from tripwire.operators.parse import parse_events, split_events
 from tripwire.operators.rules import detect_alerts
 from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, Rules
 from tripwire.session import checkpoint_root
-from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events
+from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events, write_rejected
 
 
 @dataclass
@@ -33,6 +33,8 @@ class PipelineSpec:
     trigger: dict | None = None
     events_by_date: bool = False
     rocksdb_state: bool = False  # keep window state in RocksDB (large key sets) instead of the JVM heap
+    rejected_path: str | None = None  # dead-letter sink for payloads that do not parse (or validate)
+    validation_level: str | None = None  # "core" / "strict": also reject events missing required fields
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,13 +42,17 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> list[StreamingQuery]:
     """Start the event sink, the alert Parquet sink and, if configured, the
-    alert Kafka sink and the console sink. On a failure to start any of them,
-    the ones already running are stopped."""
+    alert Kafka sink, the rejected-payload sink and the console sink. On a
+    failure to start any of them, the ones already running are stopped."""
     base = (spec.checkpoint_base or f"{checkpoint_root(spark)}/tripwire").rstrip("/")
     if spec.rocksdb_state:
         # Read when a stateful query first starts; its checkpoint then records it.
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    events = parse_events(raw, spec.rules.watermark)
+    rejected = None
+    if spec.rejected_path or spec.validation_level:
+        events, rejected = split_events(raw, spec.validation_level, spec.rules.watermark)
+    else:
+        events = parse_events(raw, spec.rules.watermark)
     alerts = detect_alerts(events, spec.rules)
     queries: list[StreamingQuery] = []
     try:
@@ -59,6 +65,9 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
             queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
                                               f"{base}/anomalies_kafka", trigger=spec.trigger,
                                               query_name="alerts_kafka"))
+        if spec.rejected_path:
+            queries.append(write_rejected(rejected, spec.rejected_path, f"{base}/rejected",
+                                          trigger=spec.trigger, query_name="rejected_parquet"))
         if spec.console:
             queries.append(write_console(alerts, "live_anomalies"))
     except Exception:
@@ -145,6 +154,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--once", action="store_true")
     ap.add_argument("--rocksdb-state", action="store_true")
+    ap.add_argument("--rejected-path", help="dead-letter folder for payloads that do not parse")
+    ap.add_argument("--validation-level", choices=("core", "strict"))
     args = ap.parse_args(argv)
     if not args.source_dir and not args.bootstrap_servers:
         ap.error("give --bootstrap-servers or --source-dir")
@@ -162,6 +173,8 @@ def main(argv: list[str] | None = None) -> int:
         console=args.console,
         trigger={"availableNow": True} if args.once else None,
         rocksdb_state=args.rocksdb_state,
+        rejected_path=args.rejected_path,
+        validation_level=args.validation_level,
     )
     queries = start_pipeline(spark, raw, spec)
     try:

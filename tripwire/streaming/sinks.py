@@ -71,6 +71,19 @@ def write_alerts(alerts: DataFrame, path: str, checkpoint: str | None = None,
     return None
 
 
+def write_rejected(rejected: DataFrame, path: str, checkpoint: str | None = None,
+                   trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
+    """Rejected payloads (from ``split_events``) to Parquet by ``reject_reason``:
+    the dead-letter output of the parse step, kept whole for inspection or replay."""
+    cols = ["payload", "event_id", "timestamp", "user_id", "action", "reject_reason"]
+    out = rejected.select(*cols)
+    if out.isStreaming:
+        return _start(out, "parquet", {"path": path}, _need_checkpoint(checkpoint), trigger, "append",
+                      ("reject_reason",), query_name)
+    out.write.mode("append").partitionBy("reject_reason").parquet(path)
+    return None
+
+
 def write_alert_updates(alerts: DataFrame, path: str, checkpoint: str | None = None,
                         trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
     """Update-mode alerts (early and repeated, as the Kafka sink gets them) as a
