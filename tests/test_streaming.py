@@ -254,3 +254,12 @@ def test_continuous_pipeline_picks_up_new_files(spark, scratch):
         stop_all(queries)
     assert read_events(spark, f"{scratch}/events").count() == 6
     assert read_alerts(spark, f"{scratch}/alerts").count() == 5  # closed by the 10:30 event
+
+
+def test_state_partitions_apply_to_the_query_only(spark, scratch):
+    src = write_files(f"{scratch}/in", LATE_BATCHES[:2])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = run_once(write_alerts(detect_alerts(stream(spark, src), Rules()), f"{scratch}/a", f"{scratch}/ca",
+                              trigger=ONCE, state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3

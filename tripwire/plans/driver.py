@@ -45,6 +45,11 @@ from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.functions import missing_fields
 from tripwire.schemas import CORE_FIELDS, EVENT_FIELDS, STRICT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
+
+
+def _state_partitions(spark: SparkSession) -> int:
+    # The test tables are small: one state partition per core, not the session's default.
+    return spark.sparkContext.defaultParallelism
 from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_events
 from tripwire.streaming import run_once, write_alert_updates, write_alerts, write_events
 
@@ -233,7 +238,8 @@ def q_stream_alerts_append(spark, sf_dir):
     base = scratch_path(spark, "stream_alerts")
     raw = read_event_records(spark, sf_dir, streaming=True)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
-    run_once(write_alerts(live, f"{base}/alerts", f"{base}/_checkpoint", trigger={"availableNow": True}))
+    run_once(write_alerts(live, f"{base}/alerts", f"{base}/_checkpoint", trigger={"availableNow": True},
+                          state_partitions=_state_partitions(spark)))
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
@@ -244,7 +250,7 @@ def q_stream_first_alerts(spark, sf_dir):
     raw = read_event_records(spark, sf_dir, streaming=True)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES, keep_window=True)
     run_once(write_alerts(first_alerts(live), f"{base}/alerts", f"{base}/_checkpoint",
-                          trigger={"availableNow": True}))
+                          trigger={"availableNow": True}, state_partitions=_state_partitions(spark)))
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
@@ -255,7 +261,8 @@ def q_stream_alerts_update(spark, sf_dir):
     base = scratch_path(spark, "stream_updates")
     raw = read_event_records(spark, sf_dir, streaming=True)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
-    run_once(write_alert_updates(live, f"{base}/updates", f"{base}/_checkpoint", trigger={"availableNow": True}))
+    run_once(write_alert_updates(live, f"{base}/updates", f"{base}/_checkpoint", trigger={"availableNow": True},
+                                 state_partitions=_state_partitions(spark)))
     return comparable_alerts(latest_alerts(read_alert_updates(spark, f"{base}/updates").drop("batch_id")))
 
 

@@ -35,6 +35,7 @@ class PipelineSpec:
     rocksdb_state: bool = False  # keep window state in RocksDB (large key sets) instead of the JVM heap
     rejected_path: str | None = None  # dead-letter sink for payloads that do not parse (or validate)
     validation_level: str | None = None  # "core" / "strict": also reject events missing required fields
+    state_partitions: int | None = None  # window-state partitions of new alert queries (default: session's)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -60,11 +61,12 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
                                     by_date=spec.events_by_date, trigger=spec.trigger,
                                     query_name="events_parquet"))
         queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/anomalies_parquet",
-                                    trigger=spec.trigger, query_name="alerts_parquet"))
+                                    trigger=spec.trigger, query_name="alerts_parquet",
+                                    state_partitions=spec.state_partitions))
         if spec.kafka_bootstrap_servers:
             queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
                                               f"{base}/anomalies_kafka", trigger=spec.trigger,
-                                              query_name="alerts_kafka"))
+                                              query_name="alerts_kafka", state_partitions=spec.state_partitions))
         if spec.rejected_path:
             queries.append(write_rejected(rejected, spec.rejected_path, f"{base}/rejected",
                                           trigger=spec.trigger, query_name="rejected_parquet"))
@@ -156,6 +158,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rocksdb-state", action="store_true")
     ap.add_argument("--rejected-path", help="dead-letter folder for payloads that do not parse")
     ap.add_argument("--validation-level", choices=("core", "strict"))
+    ap.add_argument("--state-partitions", type=int, help="window-state partitions of a new alert query")
     args = ap.parse_args(argv)
     if not args.source_dir and not args.bootstrap_servers:
         ap.error("give --bootstrap-servers or --source-dir")
@@ -175,6 +178,7 @@ def main(argv: list[str] | None = None) -> int:
         rocksdb_state=args.rocksdb_state,
         rejected_path=args.rejected_path,
         validation_level=args.validation_level,
+        state_partitions=args.state_partitions,
     )
     queries = start_pipeline(spark, raw, spec)
     try:

@@ -13,9 +13,10 @@ update, i.e. early and repeated alerts; reduce them with ``latest_alerts``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,9 +26,32 @@ from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, TRIGGER_INTERVAL
 DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 
 
+@contextmanager
+def state_partitions_for_start(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Shuffle (and state store) partitions for a streaming query being started.
+
+    A stateful query fixes this number at its first start and records it in its
+    checkpoint; later restarts keep the recorded value. The session setting is
+    changed only while the query starts.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _start(df: DataFrame, fmt: str, options: dict[str, str], checkpoint: str | None,
            trigger: dict | None, output_mode: str, partition_by: Sequence[str] = (),
-           query_name: str | None = None) -> StreamingQuery:
+           query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     writer = df.writeStream.format(fmt).options(**options).outputMode(output_mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
@@ -36,7 +60,8 @@ def _start(df: DataFrame, fmt: str, options: dict[str, str], checkpoint: str | N
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(**(trigger or DEFAULT_TRIGGER))
-    return writer.start()
+    with state_partitions_for_start(df.sparkSession, state_partitions):
+        return writer.start()
 
 
 def _need_checkpoint(checkpoint: str | None) -> str:
@@ -62,11 +87,14 @@ def write_events(events: DataFrame, path: str, checkpoint: str | None = None,
 
 
 def write_alerts(alerts: DataFrame, path: str, checkpoint: str | None = None,
-                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
-    """K2: alerts to Parquet, append (closed windows only on a stream)."""
+                 trigger: dict | None = None, query_name: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery | None:
+    """K2: alerts to Parquet, append (closed windows only on a stream).
+    ``state_partitions`` sizes the window state of a new query (see
+    :func:`state_partitions_for_start`)."""
     if alerts.isStreaming:
         return _start(alerts, "parquet", {"path": path}, _need_checkpoint(checkpoint), trigger,
-                      "append", (), query_name)
+                      "append", (), query_name, state_partitions)
     alerts.write.mode("append").parquet(path)
     return None
 
@@ -85,7 +113,8 @@ def write_rejected(rejected: DataFrame, path: str, checkpoint: str | None = None
 
 
 def write_alert_updates(alerts: DataFrame, path: str, checkpoint: str | None = None,
-                        trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
+                        trigger: dict | None = None, query_name: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery | None:
     """Update-mode alerts (early and repeated, as the Kafka sink gets them) as a
     Parquet log, one ``batch_id=N`` folder per micro-batch.
 
@@ -104,7 +133,8 @@ def write_alert_updates(alerts: DataFrame, path: str, checkpoint: str | None = N
               .trigger(**(trigger or DEFAULT_TRIGGER)))
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start()
+    with state_partitions_for_start(alerts.sparkSession, state_partitions):
+        return writer.start()
 
 
 def kafka_sink_options(bootstrap_servers: str, topic: str, **extra: str) -> dict[str, str]:
@@ -114,13 +144,14 @@ def kafka_sink_options(bootstrap_servers: str, topic: str, **extra: str) -> dict
 
 def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str = ALERTS_TOPIC,
                        checkpoint: str | None = None, trigger: dict | None = None,
-                       output_mode: str = "update", query_name: str | None = None) -> StreamingQuery | None:
+                       output_mode: str = "update", query_name: str | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery | None:
     """K3: alerts as JSON messages keyed by user_id (update mode by default)."""
     messages = encode_alerts(alerts)
     options = kafka_sink_options(bootstrap_servers, topic)
     if messages.isStreaming:
         return _start(messages, "kafka", options, _need_checkpoint(checkpoint), trigger, output_mode,
-                      (), query_name)
+                      (), query_name, state_partitions)
     messages.write.format("kafka").options(**options).save()
     return None
 
