@@ -114,15 +114,15 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- plans
 
-def q_parse_events(spark, sf_dir):
+def q_parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_events(events(spark, sf_dir))
 
 
-def q_rejected_events(spark, sf_dir):
+def q_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_events(records(spark, sf_dir)).select("event_id", "user_id", "action", "reject_reason")
 
 
-def q_validation_errors(spark, sf_dir):
+def q_validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per validation level and field: how many records lack that field."""
     decoded = decode_events(records(spark, sf_dir))
     per_level = decoded.select(F.inline(F.array(
@@ -136,36 +136,36 @@ def q_validation_errors(spark, sf_dir):
     )
 
 
-def q_brute_force(spark, sf_dir):
+def q_brute_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(brute_force(events(spark, sf_dir), DRIVER_RULES))
 
 
-def q_transaction_velocity(spark, sf_dir):
+def q_transaction_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(transaction_velocity(events(spark, sf_dir), DRIVER_RULES))
 
 
-def q_click_burst(spark, sf_dir):
+def q_click_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(click_burst(events(spark, sf_dir), DRIVER_RULES))
 
 
-def q_detect_alerts(spark, sf_dir):
+def q_detect_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(alerts(spark, sf_dir))
 
 
-def q_detect_alerts_union(spark, sf_dir):
+def q_detect_alerts_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(detect_alerts_union(events(spark, sf_dir), DRIVER_RULES))
 
 
-def q_trailing_alerts(spark, sf_dir):
+def q_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(trailing_alerts(events(spark, sf_dir), DRIVER_RULES), stamp=True)
 
 
-def q_first_alerts(spark, sf_dir):
+def q_first_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dashboard dedup key (user, type, window end): one IP kept per key."""
     return comparable_alerts(first_alerts(stamped(alerts(spark, sf_dir)), REFERENCE_FIRST_KEYS), stamp=True)
 
 
-def q_latest_alerts(spark, sf_dir):
+def q_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each alert in two versions (count - 1 one minute earlier, then the final
     one), as update-mode output delivers them; the latest must be the final."""
     a = stamped(alerts(spark, sf_dir))
@@ -177,50 +177,50 @@ def q_latest_alerts(spark, sf_dir):
     return comparable_alerts(latest_alerts(versions), stamp=True)
 
 
-def q_recent_alerts(spark, sf_dir):
+def q_recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(recent_alerts(stamped(alerts(spark, sf_dir)), 200), stamp=True)
 
 
-def q_alert_feed(spark, sf_dir):
+def q_alert_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = alert_feed(stamped(alerts(spark, sf_dir)), 30)
     return feed.withColumn("detection_timestamp", as_ntz("detection_timestamp")).withColumn(
         "total_amount", F.round("total_amount", 2))
 
 
-def q_recent_events(spark, sf_dir):
+def q_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_events(recent_events(events(spark, sf_dir), 1000))
 
 
-def q_alert_kpis(spark, sf_dir):
+def q_alert_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alert_kpis(alerts(spark, sf_dir))
 
 
-def q_buffer_kpis(spark, sf_dir):
+def q_buffer_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard's KPI cards: computed over the newest 200 alerts only."""
     return alert_kpis(recent_alerts(stamped(alerts(spark, sf_dir)), 200))
 
 
-def q_event_count(spark, sf_dir):
+def q_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_count(events(spark, sf_dir))
 
 
-def q_alerts_by_type(spark, sf_dir):
+def q_alerts_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts_by_type(alerts(spark, sf_dir))
 
 
-def q_top_ips(spark, sf_dir):
+def q_top_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ips(alerts(spark, sf_dir), 6)
 
 
-def q_encode_alerts_roundtrip(spark, sf_dir):
+def q_encode_alerts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(decode_alerts(encode_alerts(alerts(spark, sf_dir))))
 
 
-def q_encode_events_roundtrip(spark, sf_dir):
+def q_encode_events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_events(parse_events(encode_events(events(spark, sf_dir))))
 
 
-def q_stream_events_parquet(spark, sf_dir):
+def q_stream_events_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + S3: a real stream (availableNow) of the payload records, parsed with
     the watermark, written to Parquet by action, read back."""
     ensure_utc(spark)
@@ -231,7 +231,7 @@ def q_stream_events_parquet(spark, sf_dir):
     return comparable_events(read_events(spark, f"{base}/events"))
 
 
-def q_stream_alerts_append(spark, sf_dir):
+def q_stream_alerts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST6 + K2: streaming fused rules in append mode to Parquet; only the
     windows the watermark has closed come out."""
     ensure_utc(spark)
@@ -243,7 +243,7 @@ def q_stream_alerts_append(spark, sf_dir):
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
-def q_stream_first_alerts(spark, sf_dir):
+def q_stream_first_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 on a stream: first-wins dedup sharing the rules' watermark, in append mode."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_first")
@@ -254,7 +254,7 @@ def q_stream_first_alerts(spark, sf_dir):
     return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
 
 
-def q_stream_alerts_update(spark, sf_dir):
+def q_stream_alerts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5 update mode (the Kafka alert path) + D2: every change of every window
     is logged as it happens; the latest version of each alert is the batch result."""
     ensure_utc(spark)
