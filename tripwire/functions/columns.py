@@ -1,5 +1,5 @@
 """Column expressions shared by the operators. All are built-in Spark
-expressions, so they stay inside whole-stage codegen."""
+expressions evaluated in the JVM; none runs Python."""
 
 from __future__ import annotations
 

@@ -42,8 +42,9 @@ def _pick(values: tuple[str, ...], index: Column) -> Column:
 
 
 def _action(event_type: Column) -> Column:
-    out = F.when(F.lit(False), F.lit(None))
-    for t, a in ACTION_OF_TYPE.items():
+    (first_type, first_action), *rest = ACTION_OF_TYPE.items()
+    out = F.when(event_type == first_type, F.lit(first_action))
+    for t, a in rest:
         out = out.when(event_type == t, F.lit(a))
     return out.otherwise(event_type)
 
