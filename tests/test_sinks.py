@@ -97,3 +97,14 @@ def test_null_action_round_trips_through_the_partition_folder(spark, scratch):
     assert "action=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{scratch}/ev")
     back = sorted((r.action is None, r.action) for r in read_events(spark, f"{scratch}/ev").collect())
     assert back == [(False, "page_view"), (True, None)]
+
+
+def test_kafka_readers_need_the_connector(spark):
+    from tripwire.sources import read_alerts_kafka, read_events_kafka
+
+    if kafka_available(spark):
+        pytest.skip("connector present; broker I/O is not exercised by the unit tests")
+    for read in (read_events_kafka, read_alerts_kafka):
+        for streaming in (True, False):
+            with pytest.raises(Exception, match="(?i)kafka"):
+                read(spark, "localhost:9092", streaming=streaming)
