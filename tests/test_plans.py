@@ -71,7 +71,11 @@ def test_trailing_prunes_date_partitions(spark, tmp_path):
                              for s in scans)
 
 
-@pytest.mark.parametrize("name", BATCH)
+# split_valid_events materializes its decoded rows on purpose (an eager checkpoint).
+LAZY = [n for n in BATCH if n != "split_valid_events"]
+
+
+@pytest.mark.parametrize("name", LAZY)
 def test_building_a_plan_runs_no_job(spark, name):
     tracker = spark.sparkContext.statusTracker()
     before = set(tracker.getJobIdsForGroup(None))

@@ -41,6 +41,7 @@ from tripwire.operators import (
     trailing_alerts,
     transaction_velocity,
 )
+from tripwire.operators import split_events
 from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.functions import missing_fields
 from tripwire.schemas import CORE_FIELDS, EVENT_FIELDS, STRICT_FIELDS, Rules
@@ -156,6 +157,22 @@ def q_detect_alerts_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(detect_alerts_union(events(spark, sf_dir), DRIVER_RULES))
 
 
+def q_per_user_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 keyed by user only: a burst spread over several IPs still counts."""
+    return comparable_alerts(transaction_velocity(events(spark, sf_dir), DRIVER_RULES, keys=("user_id",)))
+
+
+def q_tumbling_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 with slide equal to the window: one-day tumbling windows."""
+    return comparable_alerts(detect_alerts(events(spark, sf_dir), DRIVER_RULES.with_(window="1 day", slide="1 day")))
+
+
+def q_split_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 split with the decoded rows checkpointed once (lineage cut), valid side."""
+    valid, _ = split_events(records(spark, sf_dir), materialize=True)
+    return comparable_events(valid)
+
+
 def q_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(trailing_alerts(events(spark, sf_dir), DRIVER_RULES), stamp=True)
 
@@ -275,6 +292,9 @@ QUERIES = {
     "click_burst": q_click_burst,
     "detect_alerts": q_detect_alerts,
     "detect_alerts_union": q_detect_alerts_union,
+    "per_user_velocity": q_per_user_velocity,
+    "tumbling_alerts": q_tumbling_alerts,
+    "split_valid_events": q_split_valid_events,
     "trailing_alerts": q_trailing_alerts,
     "first_alerts": q_first_alerts,
     "latest_alerts": q_latest_alerts,

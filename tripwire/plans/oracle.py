@@ -133,6 +133,32 @@ FROM per_ip WHERE n_click >= 20
 ORDER_ALERTS = ("detection_timestamp DESC NULLS LAST, window_start DESC NULLS LAST, anomaly_type ASC NULLS FIRST, "
                 "user_id ASC NULLS FIRST, ip_address ASC NULLS FIRST")
 
+# One-day tumbling windows.
+TUMBLING = EV + """,
+tagg AS (
+  SELECT time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') AS window_start, user_id, ip_address,
+         count(*) FILTER (WHERE action = 'login_failed') AS n_login,
+         count(*) FILTER (WHERE action = 'transaction_success') AS n_txn,
+         sum(amount) FILTER (WHERE action = 'transaction_success' AND NOT isnan(amount)) AS txn_amount,
+         count(*) FILTER (WHERE action IN ('page_view', 'product_click')) AS n_click
+  FROM ev GROUP BY 1, 2, 3
+),
+agg AS (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, * EXCLUDE (window_start) FROM tagg)"""
+
+# Transactions per (5-day window, user), IP not a key.
+PER_USER = EV + """,
+win AS (
+  SELECT time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') - to_days(CAST(i AS INTEGER))
+           AS window_start, *
+  FROM (SELECT *, UNNEST(range(5)) AS i FROM ev)
+),
+agg AS (
+  SELECT window_start, window_start + INTERVAL 5 DAY AS window_end, user_id, CAST(NULL AS VARCHAR) AS ip_address,
+         count(*) AS n_txn, sum(amount) FILTER (WHERE NOT isnan(amount)) AS txn_amount
+  FROM win WHERE action = 'transaction_success'
+  GROUP BY window_start, user_id
+)"""
+
 ORACLE_SQL = {
     "parse_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "rejected_events": """
@@ -162,6 +188,10 @@ FROM fields WHERE (SELECT count(*) FROM events WHERE event_id % 97 = 0) > 0""",
     "click_burst": _alerts_cte(CLICK_ROWS) + f"SELECT {ALERT_OUT} FROM alerts",
     "detect_alerts": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "detect_alerts_union": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "per_user_velocity": "WITH " + PER_USER + ",\nalerts AS (" + TXN_ROWS + "\n)\n" + f"SELECT {ALERT_OUT} FROM alerts",
+    "tumbling_alerts": "WITH " + TUMBLING + ",\nalerts AS (" + "\n  UNION ALL".join((LOGIN_ROWS, TXN_ROWS, CLICK_ROWS))
+                       + "\n)\n" + f"SELECT {ALERT_OUT} FROM alerts",
+    "split_valid_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "trailing_alerts": TRAILING,
     "first_alerts": STAMPED + f"""
 SELECT {ALERT_OUT}, detection_timestamp FROM (
