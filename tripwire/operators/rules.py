@@ -36,6 +36,9 @@ RULE_ACTIONS = (LOGIN_FAILED, TRANSACTION_SUCCESS, *CLICK_ACTIONS)
 
 
 def _grouped(events: DataFrame, cond: Column, rules: Rules, keys: Sequence[str]):
+    if not keys or not set(keys) <= set(DEFAULT_KEYS):
+        # The alert record carries user_id and ip_address only.
+        raise ValueError(f"keys must be a non-empty subset of {DEFAULT_KEYS}, got {tuple(keys)}")
     return events.filter(watermark_safe(events, cond)).groupBy(
         F.window("event_time", rules.window, rules.slide).alias("window"), *keys
     )
