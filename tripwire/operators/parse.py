@@ -50,15 +50,16 @@ def parse_events(raw: DataFrame, watermark: str | None = None, value_col: str =
     return parsed
 
 
-def validate_events(events: DataFrame, level: str = "strict", default_amount: bool = False) -> DataFrame:
-    """Add ``errors``: the names of required fields that are NULL.
+def validate_events(events: DataFrame, level: str = "strict", default_amount: bool = False,
+                    column: str = "errors") -> DataFrame:
+    """Add ``column`` (default ``errors``): the names of required fields that are NULL.
 
     ``strict`` checks every field the event record requires (all but amount);
     ``core`` checks the non-null fields of the Spark schema. With
     ``default_amount`` a NULL amount becomes 0.0 (after ``from_json`` a missing
     key and an explicit null are the same).
     """
-    out = events.withColumn("errors", missing_fields(LEVELS[level]))
+    out = events.withColumn(column, missing_fields(LEVELS[level]))
     if default_amount:
         out = out.withColumn("amount", F.coalesce(F.col("amount"), F.lit(0.0)))
     return out

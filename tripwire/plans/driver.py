@@ -40,11 +40,11 @@ from tripwire.operators import (
     top_ips,
     trailing_alerts,
     transaction_velocity,
+    validate_events,
 )
 from tripwire.operators import split_events
 from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
-from tripwire.functions import missing_fields
-from tripwire.schemas import CORE_FIELDS, EVENT_FIELDS, STRICT_FIELDS, Rules
+from tripwire.schemas import EVENT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
 
 
@@ -126,9 +126,10 @@ def q_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per validation level and field: how many records lack that field."""
     decoded = decode_events(records(spark, sf_dir))
-    per_level = decoded.select(F.inline(F.array(
-        F.struct(F.lit("core").alias("level"), missing_fields(CORE_FIELDS).alias("errors")),
-        F.struct(F.lit("strict").alias("level"), missing_fields(STRICT_FIELDS).alias("errors")),
+    checked = validate_events(validate_events(decoded, "core", column="core"), "strict", column="strict")
+    per_level = checked.select(F.inline(F.array(
+        F.struct(F.lit("core").alias("level"), F.col("core").alias("errors")),
+        F.struct(F.lit("strict").alias("level"), F.col("strict").alias("errors")),
     )))
     return (
         per_level.select("level", F.explode("errors").alias("field"))
