@@ -108,3 +108,18 @@ def test_kafka_readers_need_the_connector(spark):
         for streaming in (True, False):
             with pytest.raises(Exception, match="(?i)kafka"):
                 read(spark, "localhost:9092", streaming=streaming)
+
+
+def test_read_events_by_date_leaves_the_shared_schema_alone(spark, scratch):
+    from tripwire.schemas import PARSED_EVENT_SCHEMA
+
+    n = len(PARSED_EVENT_SCHEMA.fields)
+    src = write_files(f"{scratch}/in", [logins("u", "10:00")])
+    batch = spark.read.schema(stream(spark, src).schema).json(src)
+    from test_parse import VALID
+    from tripwire.operators import parse_events
+
+    write_events(parse_events(spark.createDataFrame([(VALID,)], "value string")), f"{scratch}/ev", by_date=True)
+    back = read_events(spark, f"{scratch}/ev", by_date=True)
+    assert back.columns[-1] == "event_date" and back.first().event_date.isoformat() == "2026-08-20"
+    assert len(PARSED_EVENT_SCHEMA.fields) == n and batch is not None

@@ -249,6 +249,18 @@ def q_stream_events_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_events(read_events(spark, f"{base}/events"))
 
 
+def q_backfill_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 -> S3 -> A4: the live job's event folders (by action) read back as a batch and
+    run through the rules; the rules' action filter prunes the folders."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "backfill")
+    raw = read_event_records(spark, sf_dir, streaming=True)
+    run_once(write_events(parse_events(raw, DRIVER_RULES.watermark), f"{base}/events", f"{base}/_checkpoint",
+                          trigger={"availableNow": True}))
+    at_rest = read_events(spark, f"{base}/events")
+    return comparable_alerts(detect_alerts(at_rest, DRIVER_RULES))
+
+
 def q_stream_alerts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1-ST6 + K2: streaming fused rules in append mode to Parquet; only the
     windows the watermark has closed come out."""
@@ -310,6 +322,7 @@ QUERIES = {
     "encode_alerts_roundtrip": q_encode_alerts_roundtrip,
     "encode_events_roundtrip": q_encode_events_roundtrip,
     "stream_events_parquet": q_stream_events_parquet,
+    "backfill_from_sink": q_backfill_from_sink,
     "stream_alerts_append": q_stream_alerts_append,
     "stream_alerts_update": q_stream_alerts_update,
     "stream_first_alerts": q_stream_first_alerts,

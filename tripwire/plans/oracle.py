@@ -228,6 +228,7 @@ ORDER BY alert_count DESC, ip_address ASC LIMIT 6""",
     "encode_alerts_roundtrip": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "encode_events_roundtrip": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "stream_events_parquet": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
+    "backfill_from_sink": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "stream_alerts_update": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "stream_first_alerts": ALL_ALERTS + f"""
 SELECT {ALERT_OUT} FROM alerts

@@ -9,7 +9,7 @@ Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tripwire.schemas import ALERT_SCHEMA, PARSED_EVENT_SCHEMA
 
@@ -18,9 +18,13 @@ def _nullable(schema: StructType) -> StructType:
     return StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])
 
 
-def read_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_events(spark: SparkSession, path: str, streaming: bool = False, by_date: bool = False) -> DataFrame:
+    """Events written by ``write_events``; ``by_date`` for the (action, event_date) layout."""
+    schema = PARSED_EVENT_SCHEMA
+    if by_date:
+        schema = StructType(schema.fields + [StructField("event_date", DateType(), True)])
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(PARSED_EVENT_SCHEMA).parquet(path)
+    return reader.schema(schema).parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
