@@ -61,3 +61,5 @@ def test_top_n_two_level_equals_plain(spark):
     text = two._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "Partial" in text  # ranked map-side before the shuffle
     assert "WindowGroupLimit" not in plain._jdf.queryExecution().executedPlan().toString()
+    forced = top_n(df, order, 50, two_level=True)
+    assert [tuple(r) for r in forced.collect()] == [tuple(r) for r in plain.collect()]

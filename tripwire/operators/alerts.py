@@ -92,16 +92,20 @@ def _estimated_splits(df: DataFrame) -> int | None:
         return None
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000,
+          two_level: bool | None = None) -> DataFrame:
     """The first ``n`` rows by ``order`` (give a total order for a unique result).
 
     Small inputs (estimated splits x n within ``max_rows_per_task``) take the
     plain ``orderBy().limit()``. Larger ones first keep the top ``n`` of each
     group of ``max_rows_per_task // n`` consecutive partitions; the final merge
-    then sees at most n rows per group.
+    then sees at most n rows per group. ``two_level`` forces either plan
+    (the size estimate needs plan access, which e.g. Spark Connect lacks).
     """
-    parts = _estimated_splits(df)
-    if parts is None or parts * n <= max_rows_per_task:
+    if two_level is None:
+        parts = _estimated_splits(df)
+        two_level = parts is not None and parts * n > max_rows_per_task
+    if not two_level:
         return df.orderBy(*order).limit(n)
     fan_in = max(2, max_rows_per_task // n)
     ranked = (
