@@ -276,3 +276,15 @@ def test_union_in_update_mode_re_emits_only_the_changed_rule(spark, scratch):
     latest = sorted(tuple(r[k] for k in key) for r in latest_alerts(updates).collect())
     batch = detect_alerts(spark.read.schema(SCHEMA).json(src), WM_RULES)
     assert latest == sorted(tuple(r[k] for k in key) for r in batch.collect())
+
+
+def test_incremental_backfill_over_events_at_rest(spark, scratch):
+    """Events at rest read as a stream with availableNow: bounded batches, progress in the checkpoint."""
+    src = write_files(f"{scratch}/in", LATE_BATCHES[:2])
+    batch = spark.read.schema(SCHEMA).json(src)
+    rest = f"{scratch}/rest"
+    batch.write.partitionBy("action").parquet(rest)
+    live = read_events(spark, rest, streaming=True, max_files_per_trigger=1).withWatermark("event_time", "10 minutes")
+    q = run_once(write_alerts(detect_alerts(live, Rules()), f"{scratch}/out", f"{scratch}/ck", trigger=ONCE))
+    assert counts(read_alerts(spark, f"{scratch}/out").collect()) == {"u": 5}  # w's windows still open
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 10

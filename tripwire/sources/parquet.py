@@ -18,18 +18,33 @@ def _nullable(schema: StructType) -> StructType:
     return StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])
 
 
-def read_events(spark: SparkSession, path: str, streaming: bool = False, by_date: bool = False) -> DataFrame:
-    """Events written by ``write_events``; ``by_date`` for the (action, event_date) layout."""
+def _reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None):
+    if not streaming:
+        return spark.read
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
+    return reader
+
+
+def read_events(spark: SparkSession, path: str, streaming: bool = False, by_date: bool = False,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Events written by ``write_events``; ``by_date`` for the (action, event_date) layout.
+
+    As a stream (``streaming=True``) with an ``availableNow`` trigger this is an
+    incremental backfill: each run processes only files not yet seen, in
+    micro-batches of at most ``max_files_per_trigger`` files, and its
+    checkpoint records the progress.
+    """
     schema = PARSED_EVENT_SCHEMA
     if by_date:
         schema = StructType(schema.fields + [StructField("event_date", DateType(), True)])
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).parquet(path)
+    return _reader(spark, streaming, max_files_per_trigger).schema(schema).parquet(path)
 
 
-def read_alerts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(_nullable(ALERT_SCHEMA)).parquet(path)
+def read_alerts(spark: SparkSession, path: str, streaming: bool = False,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    return _reader(spark, streaming, max_files_per_trigger).schema(_nullable(ALERT_SCHEMA)).parquet(path)
 
 
 def read_alert_updates(spark: SparkSession, path: str) -> DataFrame:
