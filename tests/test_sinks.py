@@ -123,3 +123,22 @@ def test_read_events_by_date_leaves_the_shared_schema_alone(spark, scratch):
     back = read_events(spark, f"{scratch}/ev", by_date=True)
     assert back.columns[-1] == "event_date" and back.first().event_date.isoformat() == "2026-08-20"
     assert len(PARSED_EVENT_SCHEMA.fields) == n and batch is not None
+
+
+def test_files_per_folder_bounds_the_file_count(spark, scratch):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from test_parse import VALID
+    from tripwire.operators import parse_events
+
+    payloads = spark.range(0, 400, numPartitions=16).select(
+        F.regexp_replace(F.lit(VALID), "9b1deb4d", F.col("id").cast("string")).alias("value"))
+    many = parse_events(payloads)
+    write_events(many, f"{scratch}/plain")
+    write_events(many, f"{scratch}/bounded", files_per_folder=2)
+    plain = glob.glob(f"{scratch}/plain/action=page_view/*.parquet")
+    bounded = glob.glob(f"{scratch}/bounded/action=page_view/*.parquet")
+    assert len(plain) == 16 and len(bounded) <= 2
+    assert read_events(spark, f"{scratch}/bounded").count() == 400

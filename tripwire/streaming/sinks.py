@@ -72,13 +72,24 @@ def _need_checkpoint(checkpoint: str | None) -> str:
 
 def write_events(events: DataFrame, path: str, checkpoint: str | None = None,
                  partition_by: Sequence[str] = ("action",), by_date: bool = False,
-                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
+                 trigger: dict | None = None, query_name: str | None = None,
+                 files_per_folder: int | None = None) -> StreamingQuery | None:
     """K1: parsed events to Parquet, partitioned by ``action`` (and by
-    ``event_date`` with ``by_date``). Unaggregated, so late rows are kept."""
+    ``event_date`` with ``by_date``). Unaggregated, so late rows are kept.
+
+    By default each task writes one file per folder it has rows for (no
+    shuffle). With ``files_per_folder = m`` the events are first
+    hash-partitioned on the folder columns plus a bucket of ``event_id`` (m
+    buckets), so each micro-batch writes about m files per folder, and a hot
+    folder is still spread over m tasks. That costs one shuffle of the events.
+    """
     cols = list(partition_by)
     if by_date:
         events = events.withColumn("event_date", F.to_date("event_time"))
         cols.append("event_date")
+    if files_per_folder:
+        bucket = F.pmod(F.xxhash64("event_id"), F.lit(int(files_per_folder)))
+        events = events.repartition(*[F.col(c) for c in cols], bucket)
     if events.isStreaming:
         return _start(events, "parquet", {"path": path}, _need_checkpoint(checkpoint), trigger,
                       "append", cols, query_name)
