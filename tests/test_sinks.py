@@ -80,7 +80,7 @@ def test_job_cli_once(spark, scratch):
                               "session_id": "s", "ip_address": "j", "action": "page_view"}))
     src = write_files(f"{scratch}/raw", [lines[:5], lines[5:]], as_text=True)
     assert main(["--source-dir", src, "--events-path", f"{scratch}/ev", "--alerts-path", f"{scratch}/al",
-                 "--checkpoint-base", f"{scratch}/ck", "--once"]) == 0
+                 "--checkpoint-base", f"{scratch}/ck", "--once", "--event-files-per-folder", "2"]) == 0
     assert read_events(spark, f"{scratch}/ev").count() == 6
     assert read_alerts(spark, f"{scratch}/al").count() == 5
 

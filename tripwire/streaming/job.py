@@ -36,6 +36,7 @@ class PipelineSpec:
     rejected_path: str | None = None  # dead-letter sink for payloads that do not parse (or validate)
     validation_level: str | None = None  # "core" / "strict": also reject events missing required fields
     state_partitions: int | None = None  # window-state partitions of new alert queries (default: session's)
+    event_files_per_folder: int | None = None  # salted repartition of the event sink (fewer, larger files)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -59,7 +60,7 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     try:
         queries.append(write_events(events, spec.events_path, f"{base}/raw_events",
                                     by_date=spec.events_by_date, trigger=spec.trigger,
-                                    query_name="events_parquet"))
+                                    query_name="events_parquet", files_per_folder=spec.event_files_per_folder))
         queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/anomalies_parquet",
                                     trigger=spec.trigger, query_name="alerts_parquet",
                                     state_partitions=spec.state_partitions))
@@ -159,6 +160,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rejected-path", help="dead-letter folder for payloads that do not parse")
     ap.add_argument("--validation-level", choices=("core", "strict"))
     ap.add_argument("--state-partitions", type=int, help="window-state partitions of a new alert query")
+    ap.add_argument("--event-files-per-folder", type=int, help="about this many event files per folder and batch")
+    ap.add_argument("--events-by-date", action="store_true", help="partition events by action and date")
     args = ap.parse_args(argv)
     if not args.source_dir and not args.bootstrap_servers:
         ap.error("give --bootstrap-servers or --source-dir")
@@ -179,6 +182,8 @@ def main(argv: list[str] | None = None) -> int:
         rejected_path=args.rejected_path,
         validation_level=args.validation_level,
         state_partitions=args.state_partitions,
+        event_files_per_folder=args.event_files_per_folder,
+        events_by_date=args.events_by_date,
     )
     queries = start_pipeline(spark, raw, spec)
     try:
