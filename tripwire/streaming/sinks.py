@@ -1,8 +1,8 @@
 """Sinks (K1-K5) with trigger, output mode and checkpoint (ST4-ST6).
 
-Every writer accepts a streaming frame (returns the started ``StreamingQuery``)
-or a batch frame (writes it and returns ``None``), so a backfill takes the same
-path as the live job. Streaming writers require a checkpoint location: the
+The Parquet and Kafka writers accept a streaming frame (and return the started
+``StreamingQuery``) or a batch frame (written at once; returns ``None``), so a
+backfill takes the same path as the live job. The console sink is stream-only. Streaming writers require a checkpoint location: the
 query restarts from it after a failure or a lost executor, and the file sink's
 commit log makes the output exactly-once.
 
