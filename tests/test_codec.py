@@ -43,8 +43,8 @@ def test_kafka_options():
 
 
 def test_kafka_min_partitions_and_batch_offsets(spark):
-    opts = kafka_source_options("b:9092", "t", min_partitions=64)
-    assert opts["minPartitions"] == "64"
+    opts = kafka_source_options("b:9092", "t", min_partitions=64, max_offsets_per_trigger=5_000_000)
+    assert opts["minPartitions"] == "64" and opts["maxOffsetsPerTrigger"] == "5000000"
 
 
 def test_decode_garbage_alert_message(spark):

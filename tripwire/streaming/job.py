@@ -149,6 +149,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--bootstrap-servers")
     ap.add_argument("--topic", default=None)
     ap.add_argument("--starting-offsets", default="latest")
+    ap.add_argument("--min-partitions", type=int, help="Kafka: split topic partitions over at least this many tasks")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound each micro-batch")
     ap.add_argument("--source-dir", help="JSON-lines folder instead of Kafka")
     ap.add_argument("--events-path", required=True)
     ap.add_argument("--alerts-path", required=True)
@@ -170,7 +172,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.source_dir:
         raw = spark.readStream.text(args.source_dir)
     else:
-        raw = read_events_kafka(spark, args.bootstrap_servers, args.topic or EVENTS_TOPIC, args.starting_offsets)
+        raw = read_events_kafka(spark, args.bootstrap_servers, args.topic or EVENTS_TOPIC, args.starting_offsets,
+                                min_partitions=args.min_partitions,
+                                max_offsets_per_trigger=args.max_offsets_per_trigger)
     spec = PipelineSpec(
         events_path=args.events_path,
         alerts_path=args.alerts_path,
