@@ -22,6 +22,11 @@ from tripwire.plans import QUERIES  # noqa: E402
 from tripwire.session import local_session  # noqa: E402
 
 
+# A fixed set of core-operator plans: their sum stays comparable when plans are added.
+CORE = ("parse_events", "brute_force", "transaction_velocity", "click_burst", "detect_alerts",
+        "trailing_alerts", "first_alerts", "latest_alerts", "alert_kpis", "top_ips")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -50,6 +55,7 @@ def main() -> None:
         "sf": sf[2:] if sf.startswith("sf") else sf,
         "cpus": cpus,
         "runs": runs,
+        "core_sum": round(sum(times[q] for q in CORE if q in times), 3),
         "events": n_events,
         # raw payloads -> parse -> all three sliding-window rules, per second of wall time
         "flagship_events_per_sec": round(n_events / times["detect_alerts"]) if "detect_alerts" in times else None,
