@@ -71,8 +71,10 @@ def test_trailing_prunes_date_partitions(spark, tmp_path):
                              for s in scans)
 
 
-# split_valid_events materializes its decoded rows on purpose (an eager checkpoint).
-LAZY = [n for n in BATCH if n != "split_valid_events"]
+# Plans that do work while being built, on purpose: split_valid_events checkpoints its decoded
+# rows eagerly, backfill_from_sink first runs the event stream whose output it reads. (Streaming
+# jobs run in their own job group, which the group-less job check below would not see.)
+LAZY = [n for n in BATCH if n not in ("split_valid_events", "backfill_from_sink")]
 
 
 @pytest.mark.parametrize("name", LAZY)
