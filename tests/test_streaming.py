@@ -288,3 +288,14 @@ def test_incremental_backfill_over_events_at_rest(spark, scratch):
     q = run_once(write_alerts(detect_alerts(live, Rules()), f"{scratch}/out", f"{scratch}/ck", trigger=ONCE))
     assert counts(read_alerts(spark, f"{scratch}/out").collect()) == {"u": 5}  # w's windows still open
     assert sum(p["numInputRows"] for p in q.recentProgress) == 10
+
+
+def test_stream_parses_each_payload_once(spark, scratch):
+    lines = [json.dumps({"event_id": str(i), "timestamp": f"2026-08-20T10:00:{10 + i:02d}Z", "user_id": "u",
+                         "session_id": "s", "ip_address": "i", "action": "login_failed"}) for i in range(5)]
+    src = write_files(f"{scratch}/raw", [lines], as_text=True)
+    live = detect_alerts(parse_events(spark.readStream.text(src), "10 minutes"), Rules())
+    q = run_once(write_alerts(live, f"{scratch}/out", f"{scratch}/ck", trigger=ONCE))
+    plan = q._jsq.explainInternal(False)
+    assert plan.count("from_json") == 1 and "EventTimeWatermark" in plan
+    assert plan.count("StateStoreSave") == 1
