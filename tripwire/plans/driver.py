@@ -46,7 +46,6 @@ from tripwire.operators import (
 from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.schemas import EVENT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
-
 from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_events
 from tripwire.streaming import run_once, write_alert_updates, write_alerts, write_events
 
