@@ -142,3 +142,16 @@ def test_files_per_folder_bounds_the_file_count(spark, scratch):
     bounded = glob.glob(f"{scratch}/bounded/action=page_view/*.parquet")
     assert len(plain) == 16 and len(bounded) <= 2
     assert read_events(spark, f"{scratch}/bounded").count() == 400
+
+
+def test_await_pipeline_reraises_and_stops_the_rest(spark, scratch):
+    from pyspark.sql import functions as F
+
+    src = write_files(f"{scratch}/in", [logins("u", "10:00")])
+    failing = (stream(spark, src).select(F.raise_error(F.lit("boom")).alias("x")).writeStream
+               .format("noop").option("checkpointLocation", f"{scratch}/c1").start())
+    healthy = (stream(spark, src).writeStream.format("noop").option("checkpointLocation", f"{scratch}/c2")
+               .trigger(processingTime="1 second").start())
+    with pytest.raises(Exception, match="boom"):
+        await_pipeline(spark, [failing, healthy], timeout=120)
+    assert not failing.isActive and not healthy.isActive

@@ -7,6 +7,7 @@ One parsed frame feeds every sink. The alert query uses the fused rule
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,13 +87,20 @@ def stop_all(queries: list[StreamingQuery]) -> None:
 
 
 def await_pipeline(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until any query ends; then (or on interrupt / error) stop them all.
-    A query that failed re-raises its error here."""
+    """Wait until any of ``queries`` ends (or ``timeout`` seconds pass); then, or
+    on interrupt or error, stop them all. A query that failed re-raises its
+    error here.
+
+    The session's ``awaitAnyTermination`` also returns for queries that ended
+    earlier, so this waits in short slices until one of *these* queries is down.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        while all(q.isActive for q in queries):
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            spark.streams.resetTerminated()
+            spark.streams.awaitAnyTermination(1.0)
         for q in queries:
             if q.exception() is not None:
                 raise q.exception()
