@@ -155,3 +155,19 @@ def test_await_pipeline_reraises_and_stops_the_rest(spark, scratch):
     with pytest.raises(Exception, match="boom"):
         await_pipeline(spark, [failing, healthy], timeout=120)
     assert not failing.isActive and not healthy.isActive
+
+
+def test_write_rejected_batch(spark, scratch):
+    import os
+
+    from test_parse import INVALID, VALID
+    from tripwire.operators import split_events
+    from tripwire.streaming import write_rejected
+
+    raw = spark.createDataFrame([(VALID,), (INVALID,), ("garbage",)], "value string")
+    _, rejected = split_events(raw, level="core")
+    assert write_rejected(rejected, f"{scratch}/dead") is None
+    assert sorted(os.listdir(f"{scratch}/dead")) == ["_SUCCESS", "reject_reason=missing_fields",
+                                                    "reject_reason=not_json_object"]
+    back = spark.read.parquet(f"{scratch}/dead")
+    assert sorted(r.payload for r in back.collect()) == sorted([INVALID, "garbage"])
