@@ -299,3 +299,12 @@ def test_stream_parses_each_payload_once(spark, scratch):
     plan = q._jsq.explainInternal(False)
     assert plan.count("from_json") == 1 and "EventTimeWatermark" in plan
     assert plan.count("StateStoreSave") == 1
+
+
+def test_run_once_timeout_stops_a_query_that_does_not_finish(spark, scratch):
+    src = write_files(f"{scratch}/in", [logins("u", "10:00")])
+    endless = write_alerts(detect_alerts(stream(spark, src), Rules()), f"{scratch}/o", f"{scratch}/c",
+                           trigger={"processingTime": "1 second"})
+    with pytest.raises(TimeoutError):
+        run_once(endless, timeout=3)
+    assert not endless.isActive

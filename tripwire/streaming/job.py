@@ -108,9 +108,14 @@ def await_pipeline(spark: SparkSession, queries: list[StreamingQuery], timeout:
         stop_all(queries)
 
 
-def run_once(query: StreamingQuery, timeout: float = 600.0) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; raise if it failed or hangs."""
-    finished = query.awaitTermination(timeout)
+def run_once(query: StreamingQuery, timeout: float | None = 600.0) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish; raise if it failed, or if it
+    is still running after ``timeout`` seconds (``None``: wait as long as it takes)."""
+    if timeout is None:
+        query.awaitTermination()
+        finished = True
+    else:
+        finished = query.awaitTermination(timeout)
     if not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout}s")
@@ -201,7 +206,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.once:
             for q in queries:
-                run_once(q)
+                run_once(q, timeout=None)  # a backlog takes as long as it takes
         else:
             await_pipeline(spark, queries)
     except KeyboardInterrupt:
