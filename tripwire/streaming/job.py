@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripwire.operators.parse import parse_events, split_events
 from tripwire.operators.rules import detect_alerts
 from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, Rules
-from tripwire.session import checkpoint_root
+from tripwire.session import checkpoint_root, ensure_utc
 from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events, write_rejected
 
 
@@ -47,6 +47,7 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     """Start the event sink, the alert Parquet sink and, if configured, the
     alert Kafka sink, the rejected-payload sink and the console sink. On a
     failure to start any of them, the ones already running are stopped."""
+    ensure_utc(spark)  # offset-free event times and the alert JSON are read / written in UTC
     base = (spec.checkpoint_base or f"{checkpoint_root(spark)}/tripwire").rstrip("/")
     if spec.rocksdb_state:
         # Read when a stateful query first starts; its checkpoint then records it.
