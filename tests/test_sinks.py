@@ -171,3 +171,12 @@ def test_write_rejected_batch(spark, scratch):
     assert folders == ["reject_reason=missing_fields", "reject_reason=not_json_object"]
     back = spark.read.parquet(f"{scratch}/dead")
     assert sorted(r.payload for r in back.collect()) == sorted([INVALID, "garbage"])
+
+
+def test_job_cli_argument_errors():
+    from tripwire.streaming.job import main
+
+    with pytest.raises(SystemExit):
+        main(["--events-path", "e", "--alerts-path", "a"])  # no source
+    with pytest.raises(SystemExit):
+        main(["--source-dir", "s", "--events-path", "e", "--alerts-path", "a", "--kafka-alerts"])

@@ -181,6 +181,8 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     if not args.source_dir and not args.bootstrap_servers:
         ap.error("give --bootstrap-servers or --source-dir")
+    if args.kafka_alerts and not args.bootstrap_servers:
+        ap.error("--kafka-alerts needs --bootstrap-servers")
 
     spark = SparkSession.builder.appName("tripwire").getOrCreate()
     if args.source_dir:
