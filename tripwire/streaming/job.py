@@ -17,7 +17,14 @@ from tripwire.operators.parse import parse_events, split_events
 from tripwire.operators.rules import detect_alerts
 from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, Rules
 from tripwire.session import checkpoint_root, ensure_utc
-from tripwire.streaming.sinks import write_alerts, write_alerts_kafka, write_console, write_events, write_rejected
+from tripwire.streaming.sinks import (
+    session_conf,
+    write_alerts,
+    write_alerts_kafka,
+    write_console,
+    write_events,
+    write_rejected,
+)
 
 
 @dataclass
@@ -49,9 +56,6 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     failure to start any of them, the ones already running are stopped."""
     ensure_utc(spark)  # offset-free event times and the alert JSON are read / written in UTC
     base = (spec.checkpoint_base or f"{checkpoint_root(spark)}/tripwire").rstrip("/")
-    if spec.rocksdb_state:
-        # Read when a stateful query first starts; its checkpoint then records it.
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     rejected = None
     if spec.rejected_path or spec.validation_level:
         events, rejected = split_events(raw, spec.validation_level, spec.rules.watermark)
@@ -59,17 +63,21 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
         events = parse_events(raw, spec.rules.watermark)
     alerts = detect_alerts(events, spec.rules)
     queries: list[StreamingQuery] = []
+    # The state store provider is read when a stateful query first starts (and recorded in its
+    # checkpoint), so it is set only while these queries start.
+    provider = ROCKSDB_PROVIDER if spec.rocksdb_state else None
     try:
         queries.append(write_events(events, spec.events_path, f"{base}/raw_events",
                                     by_date=spec.events_by_date, trigger=spec.trigger,
                                     query_name="events_parquet", files_per_folder=spec.event_files_per_folder))
-        queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/anomalies_parquet",
-                                    trigger=spec.trigger, query_name="alerts_parquet",
-                                    state_partitions=spec.state_partitions))
-        if spec.kafka_bootstrap_servers:
-            queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
-                                              f"{base}/anomalies_kafka", trigger=spec.trigger,
-                                              query_name="alerts_kafka", state_partitions=spec.state_partitions))
+        with session_conf(spark, "spark.sql.streaming.stateStore.providerClass", provider):
+            queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/anomalies_parquet",
+                                        trigger=spec.trigger, query_name="alerts_parquet",
+                                        state_partitions=spec.state_partitions))
+            if spec.kafka_bootstrap_servers:
+                queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
+                                                  f"{base}/anomalies_kafka", trigger=spec.trigger,
+                                                  query_name="alerts_kafka", state_partitions=spec.state_partitions))
         if spec.rejected_path:
             queries.append(write_rejected(rejected, spec.rejected_path, f"{base}/rejected",
                                           trigger=spec.trigger, query_name="rejected_parquet"))

@@ -27,19 +27,13 @@ DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 
 
 @contextmanager
-def state_partitions_for_start(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """Shuffle (and state store) partitions for a streaming query being started.
-
-    A stateful query fixes this number at its first start and records it in its
-    checkpoint; later restarts keep the recorded value. The session setting is
-    changed only while the query starts.
-    """
-    if not n:
+def session_conf(spark: SparkSession, key: str, value: object | None) -> Iterator[None]:
+    """Set a session setting for the duration of the block (no-op for ``None``)."""
+    if value is None:
         yield
         return
-    key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key, None)
-    spark.conf.set(key, str(int(n)))
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
@@ -49,6 +43,16 @@ def state_partitions_for_start(spark: SparkSession, n: int | None) -> Iterator[N
             spark.conf.set(key, before)
 
 
+def state_partitions_for_start(spark: SparkSession, n: int | None):
+    """Shuffle (and state store) partitions for a streaming query being started.
+
+    A stateful query fixes this number at its first start and records it in its
+    checkpoint; later restarts keep the recorded value. The session setting is
+    changed only while the query starts.
+    """
+    return session_conf(spark, "spark.sql.shuffle.partitions", int(n) if n else None)
+
+
 def _start(df: DataFrame, fmt: str, options: dict[str, str], checkpoint: str | None,
            trigger: dict | None, output_mode: str, partition_by: Sequence[str] = (),
            query_name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
