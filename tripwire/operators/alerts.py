@@ -102,6 +102,8 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int
     then sees at most n rows per group. ``two_level`` forces either plan
     (the size estimate needs plan access, which e.g. Spark Connect lacks).
     """
+    if n <= 0:
+        return df.limit(0)
     if two_level is None:
         parts = _estimated_splits(df)
         two_level = parts is not None and parts * n > max_rows_per_task
