@@ -309,3 +309,32 @@ def test_run_once_timeout_stops_a_query_that_does_not_finish(spark, scratch):
     with pytest.raises(TimeoutError):
         run_once(endless, timeout=3)
     assert not endless.isActive
+
+
+def test_pipeline_alerts_from_the_event_sink(spark, scratch):
+    """alerts_from_events: the alert query reads the event sink's committed output (parse once)."""
+    lines = []
+    for minute in ("10:00", "10:20"):
+        for s in range(10, 60, 10):
+            lines.append(json.dumps({"event_id": f"{minute}-{s}", "timestamp": f"2026-08-20T{minute}:{s:02d}Z",
+                                     "user_id": "u", "session_id": "s", "ip_address": "i",
+                                     "action": "login_failed"}))
+    src = write_files(f"{scratch}/raw", [lines[:5], lines[5:]], as_text=True)
+    results = {}
+    for from_events in (False, True):
+        out = f"{scratch}/{from_events}"
+        raw = spark.readStream.option("maxFilesPerTrigger", "1").text(src)
+        spec = PipelineSpec(events_path=f"{out}/events", alerts_path=f"{out}/alerts", checkpoint_base=f"{out}/ck",
+                            rules=Rules(), trigger=ONCE, alerts_from_events=from_events)
+        queries = start_pipeline(spark, raw, spec)
+        try:
+            for q in queries:
+                run_once(q)
+        finally:
+            stop_all(queries)
+        key = ("window_start", "user_id", "ip_address", "anomaly_type", "event_count")
+        results[from_events] = sorted(tuple(r[k] for k in key) for r in read_alerts(spark, f"{out}/alerts").collect())
+        if from_events:
+            plan = queries[1]._jsq.explainInternal(False)
+            assert "from_json" not in plan  # the alert query reads parsed Parquet columns
+    assert len(results[False]) == 5 and results[True] == results[False]
