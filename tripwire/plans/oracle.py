@@ -230,6 +230,9 @@ ORDER BY alert_count DESC, ip_address ASC LIMIT 6""",
     "stream_events_parquet": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "backfill_from_sink": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "stream_alerts_update": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "pipeline_alerts_from_events": ALL_ALERTS + f"""
+SELECT {ALERT_OUT} FROM alerts
+WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
     "stream_first_alerts": ALL_ALERTS + f"""
 SELECT {ALERT_OUT} FROM alerts
 WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
