@@ -338,3 +338,34 @@ def test_pipeline_alerts_from_the_event_sink(spark, scratch):
             plan = queries[1]._jsq.explainInternal(False)
             assert "from_json" not in plan  # the alert query reads parsed Parquet columns
     assert len(results[False]) == 5 and results[True] == results[False]
+
+
+def test_continuous_alerts_from_the_event_sink(spark, scratch):
+    """Seed with a run-once start, then run continuously: the alert query keeps reading the event
+    sink's output from its checkpoint. Starting on an empty event folder is refused."""
+    def payload(i, minute, user="u"):
+        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2026-08-20T{minute}:{10 + i:02d}Z",
+                           "user_id": user, "session_id": "s", "ip_address": "i", "action": "login_failed"})
+
+    src = f"{scratch}/raw"
+    os.makedirs(src)
+    paths = dict(events_path=f"{scratch}/events", alerts_path=f"{scratch}/alerts", checkpoint_base=f"{scratch}/ckpt")
+    live = PipelineSpec(**paths, rules=Rules(), trigger={"processingTime": "1 second"}, alerts_from_events=True)
+    with pytest.raises(ValueError):
+        start_pipeline(spark, spark.readStream.text(src), live)
+    with open(f"{src}/a.json", "w") as f:
+        f.write("\n".join(payload(i, "10:00") for i in range(5)) + "\n")
+    seed = PipelineSpec(**paths, rules=Rules(), trigger=ONCE, alerts_from_events=True)
+    for q in start_pipeline(spark, spark.readStream.text(src), seed):
+        run_once(q)
+    queries = start_pipeline(spark, spark.readStream.text(src), live)
+    try:
+        with open(f"{src}/b.json", "w") as f:
+            f.write("\n".join(payload(i, "10:30", user="z") for i in range(5)) + "\n")
+        for q in queries:  # events first: the alert query reads what the event query committed
+            q.processAllAvailable()
+        assert "from_json" not in queries[1]._jsq.explainInternal(False)
+    finally:
+        stop_all(queries)
+    assert read_events(spark, f"{scratch}/events").count() == 10
+    assert read_alerts(spark, f"{scratch}/alerts").count() == 5  # u's windows, closed by z at 10:30

@@ -49,7 +49,8 @@ class PipelineSpec:
     # Alerts from the event sink's committed Parquet output instead of the raw source: each payload
     # is parsed once (not once per query), and the alert query reads 5 of the 14 columns. (All action
     # folders are read: every event must advance the watermark.) Costs one trigger interval of
-    # latency; late rows are judged on the sink's batch boundaries.
+    # latency; late rows are judged on the sink's batch boundaries. The event folder must hold data
+    # when the alert query first starts (seed it with a run-once start); an empty one is refused.
     alerts_from_events: bool = False
 
 
@@ -77,11 +78,17 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
                                     query_name="events_parquet", files_per_folder=spec.event_files_per_folder)
         queries.append(events_query)
         if spec.alerts_from_events:
-            # Starting the event sink created its commit log, so the folder can be read as a stream
-            # (the file source follows the log, not a listing). A run-once alert query sees only
-            # what is committed when it starts, so it waits for the run-once event query.
+            # The alert query reads the event sink's committed output (the file source follows the
+            # sink's commit log). A run-once alert query sees only what is committed when it starts,
+            # so it waits for the run-once event query. A file source also fixes its partition
+            # columns when it starts, so the partition folders must exist already. The alert
+            # query's source must then stay the same for its checkpoint: no silent fallback.
             if (spec.trigger or {}).get("availableNow"):
                 run_once(events_query, timeout=None)
+            if not _has_partitioned_output(spark, spec.events_path, ["action"]):
+                raise ValueError(
+                    f"alerts_from_events: {spec.events_path} holds no event data yet; seed it with a "
+                    "run-once start (trigger availableNow) first, or run without alerts_from_events")
             source = read_events(spark, spec.events_path, streaming=True, by_date=spec.events_by_date)
             alerts = detect_alerts(source.withWatermark("event_time", spec.rules.watermark), spec.rules)
         else:
@@ -105,6 +112,14 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     return queries
 
 
+def _has_partitioned_output(spark: SparkSession, path: str, partition_cols: list[str]) -> bool:
+    """Whether ``path`` holds committed data with the given partition folders."""
+    try:
+        return set(partition_cols) <= set(spark.read.parquet(path).columns)
+    except Exception:  # nothing committed yet: no schema to infer
+        return False
+
+
 def stop_all(queries: list[StreamingQuery]) -> None:
     for q in queries:
         if q.isActive:
