@@ -147,3 +147,20 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_path_factory, rows):
     batch = detect_alerts(spark.read.schema(SCHEMA).json(src), RULES)
     want = sorted((tuple(r[k] for k in key) for r in batch.collect() if r.window_end <= closed), key=repr)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(min_value=0, max_value=30), max_size=200), st.integers(min_value=1, max_value=25),
+       st.integers(min_value=1, max_value=12))
+def test_top_n_two_level_equals_plain(spark, keys, n, parts):
+    """Two-level top-N (ranked per group of partitions first) equals the plain merge, ties included
+    (the order is total: key desc, then id)."""
+    from pyspark.sql import functions as F
+
+    from tripwire.operators.alerts import top_n
+
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long").repartition(parts)
+    order = [F.col("k").desc(), F.col("id").asc()]
+    plain = [tuple(r) for r in top_n(df, order, n, two_level=False).collect()]
+    two = [tuple(r) for r in top_n(df, order, n, max_rows_per_task=max(1, n), two_level=True).collect()]
+    assert two == plain == sorted(((i, k) for i, k in enumerate(keys)), key=lambda r: (-r[1], r[0]))[:n]
