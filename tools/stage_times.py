@@ -40,6 +40,7 @@ def main() -> None:
     ap.add_argument("plan")
     ap.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.1")
     ap.add_argument("--runs", type=int, default=2, help="runs; stages of the last one are shown")
+    ap.add_argument("--cpus", type=int, default=8, help="local cores (and shuffle partitions)")
     args = ap.parse_args()
 
     from pyspark.sql import SparkSession
@@ -48,8 +49,9 @@ def main() -> None:
     from tripwire.session import ENGINE_CONF
 
     log_dir = tempfile.mkdtemp(prefix="run-eventlog-", dir="/tmp")
-    builder = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
+    builder = (SparkSession.builder.master(f"local[{args.cpus}]").config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.shuffle.partitions", str(args.cpus))
                .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir))
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
