@@ -43,8 +43,10 @@ def main() -> None:
     for name, fn in QUERIES.items():
         try:
             times[name] = round(min(run(fn) for _ in range(runs)), 3)
+            print(f"bench {name}: {times[name]:.3f} s", file=sys.stderr, flush=True)
         except Exception as exc:  # keep measuring the others; report the failure
             failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"bench {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
     n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     sf = os.path.basename(sf_dir)
     print(json.dumps({
