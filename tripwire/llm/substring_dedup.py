@@ -68,9 +68,11 @@ def _unpack(body: bytes, *types: type) -> list[np.ndarray]:
 
 
 def _by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    edges = np.flatnonzero(np.diff(bucket, prepend=-1)) if len(bucket) else np.zeros(0, np.int64)
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
     for lo, hi in zip(edges, [*edges[1:], len(bucket)], strict=True):
         yield int(bucket[lo]), [c[order[lo:hi]] for c in columns]
 
