@@ -39,8 +39,7 @@ from tripwire.llm import _text
 from tripwire.llm._tables import partitions
 
 WINDOW = 20
-HELD = 1 << 20  # probes that a task packs at a time
-BUCKETS_A_PARTITION = 4
+HELD = 1 << 21  # probes that a task packs at a time
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 ROW = "key int, kind int, doc_id long, rk long, n_words long, n_removed long, kept_sha256 string, body binary"
@@ -55,7 +54,9 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.int64(len(columns[0])).tobytes() + b"".join(c.tobytes() for c in columns))
+    """Columns of one length; all but the last as differences, which are small in sorted columns."""
+    steps = [np.diff(c, prepend=c.dtype.type(0)) for c in columns[:-1]]
+    return zstandard.ZstdCompressor(level=1).compress(np.int64(len(columns[0])).tobytes() + b"".join(c.tobytes() for c in (*steps, columns[-1])))
 
 
 def _unpack(body: bytes, *types: type) -> list[np.ndarray]:
@@ -64,7 +65,7 @@ def _unpack(body: bytes, *types: type) -> list[np.ndarray]:
     for t in types:
         out.append(np.frombuffer(raw, t, n, at))
         at += n * np.dtype(t).itemsize
-    return out
+    return [*(np.cumsum(c, dtype=c.dtype) for c in out[:-1]), out[-1]]
 
 
 def _by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -125,7 +126,7 @@ def _probe(window: int, buckets: int):
         key, rk, flag, told = key[send], rk[send], flag[send] | settled[group[send]], told[send]
         state = (flag.astype(np.uint8) | (told.astype(np.uint8) << 1)).astype(np.uint8)
         order = np.argsort(rk, kind="stable")
-        yield from _packed((key >> _U(32)).astype(np.int64)[order], rk[order], key.astype(np.uint32)[order], state[order])
+        yield from _packed((key >> _U(32)).astype(np.int64)[order], rk[order], state[order], key.astype(np.uint32)[order])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -170,12 +171,12 @@ def _match(buckets: int):
             parts = []
             for row in rows:
                 if row[1] == PACKED:
-                    parts.append(_unpack(row[-1], np.uint32, np.uint32, np.uint8))
+                    parts.append(_unpack(row[-1], np.uint32, np.uint8, np.uint32))
                 else:
                     yield _rows([(row[0], PACKED, *row[2:])])
             if not parts:
                 continue
-            rk, value, state = (np.concatenate(c) for c in zip(*parts, strict=True))
+            rk, state, value = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.argsort(value, kind="stable")
             rk, value, state = rk[order], value[order], state[order]
             new = np.ones(len(value), bool)
@@ -189,9 +190,9 @@ def _match(buckets: int):
     return run
 
 
-def _finished(doc_id, rk, raw: bytes) -> tuple:
+def _finished(key: int, doc_id, rk, raw: bytes) -> tuple:
     words = raw.split()
-    return (rk & 0x3FFFFFFF, DONE, doc_id, rk, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), None)
+    return (key, DONE, doc_id, rk, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), None)
 
 
 def _extend(window: int, buckets: int):
@@ -230,9 +231,9 @@ def _extend(window: int, buckets: int):
                     at = (_text.grams(_text.mix(hashes + _U(0x632BE59BD9B4E019)), window)[starts] % _U(buckets)).astype(np.int64)
                     held.append((at, wide, np.full(len(starts), NO_ID if doc_id is None else doc_id), starts.astype(np.uint32)))
                     n += len(starts)
-                    out.append((rk & 0x3FFFFFFF, TEXT, doc_id, rk, None, None, None, body))
+                    out.append((rk % buckets, TEXT, doc_id, rk, None, None, None, body))
                 else:
-                    out.append(_finished(doc_id, rk, raw))
+                    out.append(_finished(rk % buckets, doc_id, rk, raw))
                 size += len(body)
                 if size > 1 << 22:
                     yield _rows(out)
@@ -329,7 +330,7 @@ def _cut(window: int):
 
 def _texts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=7)
         for batch in batches:
             rks = batch.column(1).to_numpy(zero_copy_only=False)
             where = (_short(rks) % np.uint32(buckets)).tolist()
@@ -350,11 +351,11 @@ def repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     were removed, else null. ``rk`` is ``xxhash64(doc_id, text)``.
     """
     parts = partitions(documents.sparkSession)
-    buckets = BUCKETS_A_PARTITION * parts
+    buckets = parts
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rk"), "text")
 
     def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition(parts, "key").sortWithinPartitions("key", "kind")
+        return df.repartitionById(parts, "key").sortWithinPartitions("key", "kind")
 
     hits = dealt(rows.mapInArrow(_probe(window, buckets), ROW)).mapInArrow(_match(buckets), ROW)
     extended = dealt(hits.union(rows.mapInArrow(_texts(buckets), ROW))).mapInArrow(_extend(window, buckets), ROW)
