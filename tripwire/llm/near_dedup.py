@@ -7,10 +7,14 @@ and steps whose ranks can't improve any place are not taken (early stopping).
 
 Texts with equal shingle sets form a *class*; classes, not copies, are
 compared. A class meets the others of a band bucket through a pivot (the
-bucket's least class), never all pairs. After the links found so far are
-grouped, only buckets that still hold several groups are looked at again, with
-other pivots, and at last with every pair of classes of different groups that
-share two bands or more. Each link is confirmed on the full shingle sets.
+bucket's least class), never all pairs, and the links that hold are grouped.
+Only buckets that still have classes of several groups are looked at again, in
+blocks: a task gets two blocks of a bucket and joins those classes of different
+groups that share two bands or more into candidate clusters, of which it returns
+a spanning forest. Clusters that hold several groups are compared in full, again
+in blocks, and again only a forest of the confirmed links is returned. So rows
+grow with the classes, and every candidate pair of different groups is decided.
+Each link is confirmed on the full shingle sets.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and keep their own id as component (null for a null id). A text with
@@ -35,9 +39,9 @@ from tripwire.llm._graph import components
 from tripwire.llm._tables import partitions, stored
 
 BANDS, ROWS = 28, 4  # a pair at similarity 0.8 shares no band with probability 3.9e-7
-PIVOT_ROUNDS = 3
 SHARED_BANDS = 2  # a pair at 0.8 shares fewer than this many bands with probability 8e-6
 MEMBERS_A_TASK_GROUP = 64
+BLOCK_CLASSES = 192  # of a bucket or cluster that meet another block at a time
 _LISTED = 6  # steps after which the permutations of the elements still at work are held whole
 _BLOCK = 100_000  # elements at a time
 _U = np.uint64
@@ -158,13 +162,104 @@ def _compare(percent: int):
     return run
 
 
+def _sets_of(asked: DataFrame, classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
+    """``(class, shingles)`` of the classes asked for, each from one of its texts."""
+    needed = classes.join(asked, "class").select("class", "doc_id")
+    texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["doc_id"])).select("class", "text")
+    # repeated rows of one id give the same set more than once
+    return stored(texts.mapInArrow(_expected_sets(shingle), "class binary, shingles binary").dropDuplicates(["class"]), "sets")
+
+
+def _several_groups(member: DataFrame, key: str) -> DataFrame:
+    """The rows of those buckets or clusters that hold classes of several groups, with their number."""
+    mixed = member.groupBy(key).agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")).where("least != most")
+    return stored(member.join(mixed.select(key, "n"), key), "split")
+
+
+def _in_blocks(member: DataFrame, key: str) -> DataFrame:
+    """Every class once for each block of its bucket or cluster: with (i, j), the pair of blocks that it is to meet in."""
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK_CLASSES)).cast("int")
+    own = member.withColumn("own", F.pmod(F.xxhash64("class"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return own.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "root")
+
+
+def _forest(near: np.ndarray, classes: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of a symmetric relation: each class with the first of its tree."""
+    left, edges = np.ones(len(classes), bool), []
+    for seed in range(len(classes)):
+        if not left[seed]:
+            continue
+        left[seed] = False
+        front = np.array([seed])
+        while len(front):
+            front = np.flatnonzero(near[front].any(0) & left)
+            left[front] = False
+            edges += [(classes[seed], classes[k]) for k in front.tolist()]
+    return edges
+
+
+def _share_bands(classes: list[bytes], roots: np.ndarray, bodies: list) -> np.ndarray:
+    bands = np.array(bodies, np.int64)
+    shared = np.zeros((len(classes), len(classes)), np.int16)
+    for k in range(bands.shape[1]):
+        shared += bands[:, k][:, None] == bands[:, k][None, :]
+    return (shared >= SHARED_BANDS) & (roots[:, None] != roots[None, :])
+
+
+def _compare_all(percent: int):
+    def compare(classes: list[bytes], roots: np.ndarray, bodies: list) -> np.ndarray:
+        sets = [np.frombuffer(b, np.uint64) for b in bodies]
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(times > 1) - 1
+        owner, column = owner[times[at] > 1], column[at[times[at] > 1]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, lo), np.searchsorted(column, lo + 4096)
+            holds = np.zeros((len(sets), 4096), np.float32)
+            holds[owner[a:b], column[a:b] - lo] = 1
+            shared += holds @ holds.T
+        shared = shared.astype(np.int64)
+        union = sizes[:, None] + sizes[None, :] - shared
+        return (100 * shared >= percent * union) & (roots[:, None] != roots[None, :])
+
+    return compare
+
+
+def _by_blocks(rows: DataFrame, key: str, relation) -> DataFrame:
+    """Forests ``(a, b)`` of a relation between the classes of two blocks, one pair of blocks at a time.
+    ``rows``: key, i, j, class, root and what the relation looks at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(held: list) -> pa.RecordBatch:
+            names = [r[0] for r in held]
+            _, roots = np.unique(np.array([r[1] for r in held], object), return_inverse=True)
+            edges = _forest(relation(names, roots, [r[2] for r in held]), names)
+            return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.binary()), pa.array([e[1] for e in edges], pa.binary())], names=["a", "b"])
+
+        held, current = [], None
+        for batch in batches:
+            for group, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (group, i, j) != current:
+                    if len(held) > 1:
+                        yield send(held)
+                    held, current = [], (group, i, j)
+                held.append(row)
+        if len(held) > 1:
+            yield send(held)
+
+    dealt = rows.repartition(partitions(rows.sparkSession), key, "i", "j").sortWithinPartitions(key, "i", "j")
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar enough. A pivot's set goes once to every 64 or so
     partners, so neither a frequent pivot nor its partners meet in one task."""
-    needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct().join(classes.select("class", "doc_id"), "class")
-    texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["doc_id"])).select("class", "text")
-    # repeated rows of one id give the same set more than once
-    sets = stored(texts.mapInArrow(_expected_sets(shingle), "class binary, shingles binary").dropDuplicates(["class"]), "sets")
+    classes_asked = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    sets = _sets_of(classes_asked, classes, documents, shingle)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS_A_TASK_GROUP)).cast("int").alias("parts"))
     members = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"))
     pivots = parts.select("a", F.lit(None).cast("binary").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
@@ -192,31 +287,21 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     crowded = stored(rows.join(crowded, "bucket"), "buckets")
 
     asked = crowded.where("class != pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-    asked = stored(asked, "pairs")
-    links = _confirm(asked, classes, documents, shingle, percent)
+    links = _confirm(stored(asked, "pairs"), classes, documents, shingle, percent)
+    roots = components(links)
+
+    member = crowded.join(roots.withColumnRenamed("node", "class"), "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("root"))
+    split = _several_groups(member, "bucket")
+    with_bands = _in_blocks(split, "bucket").join(classes.select("class", "bands"), "class").select("bucket", "i", "j", "class", "root", "bands")
+    near = _by_blocks(with_bands, "bucket", _share_bands)
+    clusters = components(near.distinct())
+    inside = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")).union(clusters.select("root", "root").distinct())
+    inside = inside.join(roots.withColumnRenamed("node", "class"), "class", "left").select("cluster", "class", F.coalesce("root", "class").alias("root"))
+    split = _several_groups(inside, "cluster")
+    sets = _sets_of(split.select("class").distinct(), classes, documents, shingle)
+    with_sets = _in_blocks(split, "cluster").join(sets, "class").select("cluster", "i", "j", "class", "root", "shingles")
+    links = links.union(stored(_by_blocks(with_sets, "cluster", _compare_all(percent)), "links"))
     roots = components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        member = crowded.join(roots.withColumnRenamed("node", "class"), "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("root"))
-        split = member.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
-        member = stored(member.join(split.select("bucket"), "bucket"), "split")
-        if turn < PIVOT_ROUNDS:
-            chance = F.struct(F.xxhash64("class", F.lit(turn)).alias("chance"), "class", "root")
-            pivot = member.groupBy("bucket").agg(F.min(chance).alias("pivot")).select("bucket", F.col("pivot.class").alias("p"), F.col("pivot.root").alias("pr"))
-            pairs = member.join(pivot, "bucket").where("root != pr").select(F.least("p", "class").alias("a"), F.greatest("p", "class").alias("b")).distinct()
-        else:
-            x, y = member.alias("x"), member.alias("y")
-            pairs = x.join(y, "bucket").where("x.class < y.class and x.root != y.root").groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).count()
-            pairs = pairs.where(F.col("count") >= SHARED_BANDS).select("a", "b")
-        pairs = stored(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < PIVOT_ROUNDS:
-                continue
-            break
-        asked = asked.union(pairs)
-        found = _confirm(pairs, classes, documents, shingle, percent)
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
 
     grouped = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
