@@ -55,11 +55,25 @@ def test_top_n_two_level_equals_plain(spark):
 
     df = spark.range(0, 50000, numPartitions=20).withColumn("k", (F.col("id") * 7919) % 10007)
     order = [F.col("k").desc(), F.col("id").asc()]
-    plain = top_n(df, order, 50)  # a small input: one merge
-    two = top_n(df, order, 50, max_rows_per_task=40)  # forced: ranked in groups of 2 partitions first
-    assert [tuple(r) for r in two.collect()] == [tuple(r) for r in plain.collect()]
-    text = two._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in text and "Partial" in text  # ranked map-side before the shuffle
-    assert "WindowGroupLimit" not in plain._jdf.queryExecution().executedPlan().toString()
-    forced = top_n(df, order, 50, two_level=True)
-    assert [tuple(r) for r in forced.collect()] == [tuple(r) for r in plain.collect()]
+    plain = df.orderBy(*order).limit(50)
+    for most in (40, 1_000_000):  # the same plan however many partitions a group has
+        two = top_n(df, order, 50, max_rows_per_task=most)
+        assert [tuple(r) for r in two.collect()] == [tuple(r) for r in plain.collect()]
+        text = two._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in text and "Partial" in text  # ranked map-side before the shuffle
+
+
+def test_new_alerts_leaves_out_recorded_keys(spark):
+    from tripwire.operators import new_alerts
+
+    rows = [("u1", "k", 1, 5), ("u1", "k", 2, 6), ("u2", "k", 1, 7), (None, "k", 1, 8)]
+    alerts = spark.createDataFrame(rows, "user_id string, anomaly_type string, event_count int, detection_timestamp int")
+    keys = ("user_id", "anomaly_type")
+    assert {r.user_id: r.detection_timestamp for r in new_alerts(alerts, alerts.limit(0), keys).collect()} == {"u1": 5, "u2": 7, None: 8}
+    assert [r.user_id for r in new_alerts(alerts, alerts.filter("user_id = 'u1' or user_id is null"), keys).collect()] == ["u2"]
+
+
+def test_totals_are_wide(spark):
+    from tripwire.operators import event_count
+
+    assert event_count(spark.range(2_200_000_000)).first()[0] == 2_200_000_000

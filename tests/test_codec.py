@@ -1,7 +1,7 @@
 import json
 from datetime import datetime
 
-from tripwire.operators import decode_alerts, encode_alerts, encode_events, parse_events
+from tripwire.operators import decode_alerts, encode_alerts, encode_events, parse_events, rejected_messages
 from tripwire.schemas import ALERT_COLUMNS, ALERT_SCHEMA
 from tripwire.sources import kafka_source_options
 from tripwire.streaming import kafka_sink_options
@@ -48,5 +48,6 @@ def test_kafka_min_partitions_and_batch_offsets(spark):
 
 
 def test_decode_garbage_alert_message(spark):
-    rows = decode_alerts(spark.createDataFrame([("garbage",), (None,)], "value string")).collect()
-    assert len(rows) == 2 and all(all(v is None for v in r) for r in rows)
+    messages = spark.createDataFrame([("garbage",), (None,), ("{}",)], "value string")
+    assert decode_alerts(messages).count() == 0
+    assert rejected_messages(messages).count() == 3

@@ -6,7 +6,7 @@ import pytest
 
 from tripwire.plans import QUERIES
 from tripwire.plans.driver import DRIVER_RULES, events
-from tripwire.operators import detect_alerts, trailing_alerts, first_alerts, latest_alerts
+from tripwire.operators import latest_event_time, detect_alerts, trailing_alerts, first_alerts, latest_alerts
 from tripwire.sources import read_events
 from tripwire.streaming import write_events
 
@@ -64,7 +64,7 @@ def test_trailing_prunes_date_partitions(spark, tmp_path):
     path = str(tmp_path / "by_date")
     write_events(events(spark, SF), path, by_date=True)
     ev = spark.read.parquet(path)
-    for df in (trailing_alerts(ev, DRIVER_RULES), trailing_alerts(ev, DRIVER_RULES, as_of="2024-01-28 00:00:00")):
+    for df in (trailing_alerts(ev, DRIVER_RULES, as_of=latest_event_time(ev)), trailing_alerts(ev, DRIVER_RULES, as_of="2024-01-28 00:00:00")):
         df.write.format("noop").mode("overwrite").save()
         scans = [line for line in plan(df).splitlines() if "FileScan" in line and "user_id" in line]
         assert scans and all("PartitionFilters: [isnotnull(event_date" in s and "event_date" in s.split("PartitionFilters")[1]

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
 
-from tripwire.operators import detect_alerts, trailing_alerts
+from tripwire.operators import detect_alerts, latest_event_time, trailing_alerts
 from tripwire.schemas import Rules
 
 SCHEMA = StructType([
@@ -103,8 +103,8 @@ def model_trailing(rows, as_of_s, minutes=5):
 @SETTINGS
 @given(st.lists(event, min_size=1, max_size=40))
 def test_trailing_rules_match_brute_force(spark, rows):
-    as_of_s = max(s for *_, s in rows)  # default as_of: the latest event
-    out = trailing_alerts(frame(spark, rows), RULES).collect()
+    as_of_s = max(s for *_, s in rows)
+    out = trailing_alerts(frame(spark, rows), RULES, as_of=latest_event_time(frame(spark, rows))).collect()
     got = {(r.user_id, r.ip_address, r.anomaly_type, r.event_count, r.total_amount) for r in out}
     assert got == model_trailing(rows, as_of_s)
     assert all(r.window_end == T0 + timedelta(seconds=as_of_s) for r in out)
@@ -161,6 +161,6 @@ def test_top_n_two_level_equals_plain(spark, keys, n, parts):
 
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long").repartition(parts)
     order = [F.col("k").desc(), F.col("id").asc()]
-    plain = [tuple(r) for r in top_n(df, order, n, two_level=False).collect()]
-    two = [tuple(r) for r in top_n(df, order, n, max_rows_per_task=max(1, n), two_level=True).collect()]
+    plain = [tuple(r) for r in top_n(df, order, n).collect()]
+    two = [tuple(r) for r in top_n(df, order, n, max_rows_per_task=max(1, n)).collect()]
     assert two == plain == sorted(((i, k) for i, k in enumerate(keys)), key=lambda r: (-r[1], r[0]))[:n]

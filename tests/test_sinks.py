@@ -107,7 +107,9 @@ def test_kafka_readers_need_the_connector(spark):
     for read in (read_events_kafka, read_alerts_kafka):
         for streaming in (True, False):
             with pytest.raises(Exception, match="(?i)kafka"):
-                read(spark, "localhost:9092", streaming=streaming)
+                read(spark, "localhost:9092", starting_offsets="earliest", streaming=streaming)
+        with pytest.raises(ValueError, match="startingOffsets"):
+            read(spark, "localhost:9092", streaming=False)  # a batch read has no latest start
 
 
 def test_read_events_by_date_leaves_the_shared_schema_alone(spark, scratch):

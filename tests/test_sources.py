@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tripwire.sources.tables import (
     EVENTS_TABLE_SCHEMA,
-    _too_few_splits,
     event_records,
     read_event_records,
     spread,
@@ -27,9 +26,9 @@ def test_payload_shape(spark):
     first = json.loads(bytes(out[0].value))
     assert out[0].key == "usr_13"
     assert first == {"event_id": "5", "timestamp": "2024-01-02T03:04:05.600000+00:00", "user_id": "usr_13",
-                     "session_id": "sess_13", "ip_address": "10.0.5.3", "device_type": "mobile",
-                     "location_country": "DE", "location_city": "Berlin", "action": "transaction_success",
-                     "url_path": "/purchase", "amount": 12.5, "user_agent": "Mozilla/5.0"}
+                     "session_id": "sess_13", "ip_address": "10.0.5.3", "device_type": "laptop",
+                     "location_country": "PT", "location_city": "Porto", "action": "transaction_success",
+                     "url_path": "/purchase", "amount": 12.5, "user_agent": "agent/1"}
     assert bytes(out[1].value) == b"not json"  # id divisible by 97
     assert json.loads(bytes(out[2].value))["timestamp"] == "bad-ts"  # id divisible by 89
 
@@ -39,10 +38,8 @@ def test_whole_table_is_read(spark):
     assert read_event_records(spark, SF).count() == n
 
 
-def test_fan_out_only_for_few_splits(spark):
+def test_fan_out_is_the_callers_choice(spark):
     scan = spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(f"{SF}/events.parquet")
-    parts = _too_few_splits(scan)
-    assert parts == spark.sparkContext.defaultParallelism  # one row group -> fan out
-    assert spread(scan, parts).rdd.getNumPartitions() == parts
-    many = spark.range(0, 100, numPartitions=parts * 2).withColumn("event_id", F.col("id"))
-    assert _too_few_splits(many) == 0 and spread(many, 0) is many
+    assert spread(scan, 5).rdd.getNumPartitions() == 5
+    assert spread(scan, 0) is scan
+    assert read_event_records(spark, SF, parts=3).rdd.getNumPartitions() == 3

@@ -1,9 +1,9 @@
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
 
 from conftest import at
-from tripwire.operators import trailing_alerts
+from tripwire.operators import latest_event_time, trailing_alerts
 from tripwire.schemas import ALERT_COLUMNS, Rules
 
 SCHEMA = StructType([
@@ -53,10 +53,18 @@ def test_trailing_amount_branch_and_threshold(spark):
     assert "BOT_SCRAPING_BURST" not in got  # 79 < 80
 
 
-def test_default_as_of_is_latest_event(spark):
+def test_a_future_event_does_not_move_the_default_range(spark):
+    now = datetime.now(timezone.utc)
+    rows = [("u", "i", "login_failed", 0.0, now - timedelta(seconds=s + 1)) for s in range(6)]
+    rows.append(("z", "i", "page_view", 0.0, at(minutes=10**6)))
+    assert [r.user_id for r in trailing_alerts(spark.createDataFrame(rows, SCHEMA)).collect()] == ["u"]
+
+
+def test_as_of_the_latest_event(spark):
     rows = [("u", "i", "login_failed", 0.0, at(s)) for s in range(5)]
     rows.append(("z", "i", "page_view", 0.0, at(minutes=4)))
-    out = trailing_alerts(spark.createDataFrame(rows, SCHEMA)).collect()
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = trailing_alerts(df, as_of=latest_event_time(df)).collect()
     assert len(out) == 1 and out[0].window_end == datetime(2026, 8, 20, 10, 4)
     assert out[0].window_end - out[0].window_start == timedelta(minutes=5)
 

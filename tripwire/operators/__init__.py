@@ -1,5 +1,5 @@
-from tripwire.operators.alerts import alert_feed, first_alerts, latest_alerts, recent_alerts, recent_events
-from tripwire.operators.codec import decode_alerts, encode_alerts, encode_events
+from tripwire.operators.alerts import alert_feed, first_alerts, latest_alerts, new_alerts, recent_alerts, recent_events
+from tripwire.operators.codec import decode_alerts, encode_alerts, encode_events, rejected_messages
 from tripwire.operators.parse import (
     classify_events,
     decode_events,
@@ -16,12 +16,12 @@ from tripwire.operators.rules import (
     transaction_velocity,
 )
 from tripwire.operators.summary import alert_kpis, alerts_by_type, event_count, top_ips
-from tripwire.operators.trailing import trailing_alerts
+from tripwire.operators.trailing import latest_event_time, trailing_alerts
 
 __all__ = [
     "alert_feed", "alert_kpis", "alerts_by_type", "brute_force", "classify_events", "click_burst",
     "decode_alerts", "decode_events", "detect_alerts", "detect_alerts_union", "encode_alerts",
-    "encode_events", "event_count", "first_alerts", "latest_alerts", "parse_events", "recent_alerts",
-    "recent_events", "rejected_events", "split_events", "top_ips", "trailing_alerts",
+    "encode_events", "event_count", "first_alerts", "latest_alerts", "latest_event_time", "new_alerts", "parse_events", "recent_alerts",
+    "recent_events", "rejected_events", "rejected_messages", "split_events", "top_ips", "trailing_alerts",
     "transaction_velocity", "validate_events",
 ]

@@ -8,8 +8,8 @@ versions never lands whole in one task.
 Top-N reads use :func:`top_n`. ``orderBy().limit(n)`` keeps n rows per input
 partition and merges them all in one task: fine for a few thousand
 partitions, not for a 100 TB scan with ~10^6 splits (10^9 rows in one task).
-Past a size check, ``top_n`` ranks rows within groups of consecutive input
-partitions first. Catalyst applies that rank limit map-side (a partial
+``top_n`` therefore ranks rows within groups of consecutive input partitions
+first. Catalyst applies that rank limit map-side (a partial
 WindowGroupLimit), so no task merges more than about ``max_rows_per_task`` rows.
 """
 
@@ -68,47 +68,15 @@ def latest_alerts(alerts: DataFrame, keys: Sequence[str] = ALERT_KEYS) -> DataFr
     return _pick(alerts, keys, ["detection_timestamp", "event_count"], latest=True)
 
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def _bytes(text: str) -> int:
-    text = text.strip().lower()
-    digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
-    return int(digits) * _UNITS.get(text[len(digits):] or "b", 1)
-
-
-def _estimated_splits(df: DataFrame) -> int | None:
-    """Input splits implied by the optimizer's size estimate; runs nothing.
-
-    (``df.rdd.getNumPartitions()`` would materialize the shuffle stages of an
-    adaptive plan just to count.) Downstream of an aggregate the estimate is
-    the input's size, so the check errs toward the two-level plan.
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-        return max(1, -(-size // split))
-    except Exception:  # no plan access (e.g. Spark Connect): take the plain plan
-        return None
-
-
-def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000,
-          two_level: bool | None = None) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence[Column], n: int, max_rows_per_task: int = 1_000_000) -> DataFrame:
     """The first ``n`` rows by ``order`` (give a total order for a unique result).
 
-    Small inputs (estimated splits x n within ``max_rows_per_task``) take the
-    plain ``orderBy().limit()``. Larger ones first keep the top ``n`` of each
-    group of ``max_rows_per_task // n`` consecutive partitions; the final merge
-    then sees at most n rows per group. ``two_level`` forces either plan
-    (the size estimate needs plan access, which e.g. Spark Connect lacks).
+    One plan at every size: the top ``n`` of each group of ``max_rows_per_task //
+    n`` consecutive partitions first (two partitions at least), so that the final
+    merge sees at most n rows per group.
     """
     if n <= 0:
         return df.limit(0)
-    if two_level is None:
-        parts = _estimated_splits(df)
-        two_level = parts is not None and parts * n > max_rows_per_task
-    if not two_level:
-        return df.orderBy(*order).limit(n)
     fan_in = max(2, max_rows_per_task // n)
     ranked = (
         df.withColumn("_topn_group", F.floor(F.spark_partition_id() / F.lit(fan_in)))
@@ -126,18 +94,33 @@ def _alert_order() -> list[Column]:
         F.col("anomaly_type").asc_nulls_first(),
         F.col("user_id").asc_nulls_first(),
         F.col("ip_address").asc_nulls_first(),
+        F.col("window_end").desc_nulls_last(),
+        F.col("event_count").desc_nulls_last(),
+        F.col("total_amount").desc_nulls_last(),
+        F.col("severity").asc_nulls_first(),
+        F.col("details").asc_nulls_first(),
     ]
 
 
 def recent_alerts(alerts: DataFrame, n: int = ALERT_BUFFER, columns: Sequence[str] | None = None) -> DataFrame:
     """L1/L3: the ``n`` newest alerts, newest first, optionally only ``columns``
-    (those present). Ties on the stamp are broken by window, type and target."""
+    (those present). Ties on the stamp are broken by all other
+    alert columns, so equal rows apart the result is unique."""
     out = top_n(alerts, _alert_order(), n)
     if columns is not None:
         out = out.select(*[c for c in columns if c in alerts.columns])
     return out
 
 
+def new_alerts(alerts: DataFrame, recorded: DataFrame, keys: Sequence[str] = FIRST_KEYS) -> DataFrame:
+    """D1 against a log: the first alert of each key that ``recorded`` doesn't hold yet, to be appended to it.
+    NULL keys are equal to each other."""
+    found = first_alerts(alerts, keys).alias("found")
+    known = recorded.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = [F.col(f"found.{k}").eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    return found.join(known, same, "left_anti")
+
+
 def alert_feed(alerts: DataFrame, n: int = FEED_ROWS) -> DataFrame:
     """L3: the live feed, newest ``n`` alerts with the eight feed columns."""
     return recent_alerts(alerts, n, FEED_COLUMNS)
@@ -149,5 +132,5 @@ def recent_events(events: DataFrame, n: int = EVENT_BUFFER) -> DataFrame:
     return top_n(events, [F.col("event_time").desc_nulls_last(), F.col("event_id").desc_nulls_last()], n)
 
 
-__all__ = ["ALERT_COLUMNS", "alert_feed", "first_alerts", "latest_alerts", "recent_alerts", "recent_events",
+__all__ = ["ALERT_COLUMNS", "alert_feed", "first_alerts", "latest_alerts", "new_alerts", "recent_alerts", "recent_events",
            "top_n"]

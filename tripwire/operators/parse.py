@@ -95,7 +95,9 @@ def split_events(raw: DataFrame, level: str | None = None, watermark: str | None
     also cuts the lineage) and both outputs read it.
     """
     classified = classify_events(raw, level, value_col)
-    if materialize and not raw.isStreaming:
+    if materialize and raw.isStreaming:
+        raise ValueError("materialize needs a batch frame; on a stream write both sides in foreachBatch")
+    if materialize:
         from tripwire.session import checkpoint_root
 
         checkpoint_root(raw.sparkSession)  # a shared folder must be set (local sessions get one)

@@ -17,15 +17,15 @@ def alert_kpis(alerts: DataFrame) -> DataFrame:
     """
     ip = F.col("ip_address")
     return alerts.agg(
-        F.count(F.lit(1)).cast("int").alias("total_alerts"),
-        *[F.count_if(F.col("severity") == sev).cast("int").alias(f"{sev.lower()}_alerts") for sev in KPI_SEVERITIES],
-        F.count_distinct(F.when(ip != "", ip)).cast("int").alias("flagged_ips"),
+        F.count(F.lit(1)).alias("total_alerts"),
+        *[F.count_if(F.col("severity") == sev).alias(f"{sev.lower()}_alerts") for sev in KPI_SEVERITIES],
+        F.count_distinct(F.when(ip != "", ip)).alias("flagged_ips"),
     )
 
 
 def event_count(events: DataFrame) -> DataFrame:
     """A8: total ingested events."""
-    return events.agg(F.count(F.lit(1)).cast("int").alias("total_events"))
+    return events.agg(F.count(F.lit(1)).alias("total_events"))
 
 
 def alerts_by_type(alerts: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
     return (
         alerts.filter(F.col("anomaly_type").isNotNull())
         .groupBy("anomaly_type")
-        .agg(F.count(F.lit(1)).cast("int").alias("alert_count"))
+        .agg(F.count(F.lit(1)).alias("alert_count"))
     )
 
 
@@ -42,6 +42,6 @@ def top_ips(alerts: DataFrame, n: int = TOP_IPS) -> DataFrame:
     counts = (
         alerts.filter(F.col("ip_address").isNotNull())
         .groupBy("ip_address")
-        .agg(F.count(F.lit(1)).cast("int").alias("alert_count"))
+        .agg(F.count(F.lit(1)).alias("alert_count"))
     )
     return top_n(counts, [F.col("alert_count").desc(), F.col("ip_address").asc()], n)

@@ -42,18 +42,23 @@ from tripwire.schemas import (
 
 def _as_of(events: DataFrame, as_of: datetime | str | Column | None) -> Column:
     if as_of is None:
-        # Latest event time, as a scalar subquery (no value passes through the driver).
-        return events.select(F.max("event_time")).scalar()
+        return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
     return F.lit(as_of).cast("timestamp")
 
 
+def latest_event_time(events: DataFrame) -> Column:
+    """The latest event time, as a scalar subquery: one value, computed by a job of its own over ``events``."""
+    return events.select(F.max("event_time")).scalar()
+
+
 def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper: bool = False) -> DataFrame:
     """A5-A7 over events with ``event_time`` in ``[as_of - minutes, as_of]``.
 
-    ``as_of`` defaults to the latest event time in ``events``; an explicit value
-    becomes a literal filter that reaches the scan. Batch only: on a stream the
+    ``as_of`` defaults to the clock, so one event dated in the future can't
+    move the range; an explicit value becomes a literal filter that reaches the
+    scan, and a Column (say, :func:`latest_event_time`) is used as it is. Batch only: on a stream the
     hopping-window rules (``detect_alerts``) are the equivalent.
     """
     if events.isStreaming:

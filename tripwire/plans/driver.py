@@ -3,7 +3,7 @@
 Each plan reads the whole ``events`` table of one scale directory as raw
 payload records (see ``tripwire.sources.tables``), runs the operators, and
 returns a lazy DataFrame in a comparable form: timestamps as zone-free
-TIMESTAMP_NTZ (UTC), counts as INT, money rounded to cents, and the
+TIMESTAMP_NTZ (UTC), alert counts as INT, totals as BIGINT, money rounded to cents, and the
 per-micro-batch ``detection_timestamp`` either dropped or replaced by a value
 derived from the data.
 
@@ -39,6 +39,8 @@ from tripwire.operators import (
     rejected_events,
     split_events,
     top_ips,
+    latest_event_time,
+    new_alerts,
     trailing_alerts,
     transaction_velocity,
     validate_events,
@@ -57,7 +59,9 @@ from tripwire.streaming import (
     write_events,
 )
 
-# Rule parameters for the driver's events table.
+# The test tables are files of one row group: their rows are dealt out to this many tasks.
+PARTS = 8
+# Rule parameters for the driver's events table.
 DRIVER_RULES = Rules(
     window="5 days",
     slide="1 day",
@@ -105,7 +109,7 @@ def stamped(alerts: DataFrame) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return read_event_records(spark, sf_dir)
+    return read_event_records(spark, sf_dir, parts=PARTS)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +187,16 @@ def q_split_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable_alerts(trailing_alerts(events(spark, sf_dir), DRIVER_RULES), stamp=True)
+    ev = events(spark, sf_dir)
+    return comparable_alerts(trailing_alerts(ev, DRIVER_RULES, as_of=latest_event_time(ev)), stamp=True)
+
+
+def q_new_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 against a log that holds the alerts of windows before the middle of the table's time."""
+    every = stamped(alerts(spark, sf_dir))
+    middle = every.select(F.timestamp_seconds((F.min(F.unix_timestamp("window_start")) + F.max(F.unix_timestamp("window_start"))) / 2)).scalar()
+    recorded = every.filter(F.col("window_start") < middle)
+    return comparable_alerts(new_alerts(every, recorded, REFERENCE_FIRST_KEYS), stamp=True)
 
 
 def q_first_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +264,7 @@ def q_stream_events_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     the watermark, written to Parquet by action, read back."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_events")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     parsed = parse_events(raw, DRIVER_RULES.watermark)
     run_once(write_events(parsed, f"{base}/events", f"{base}/_checkpoint", trigger={"availableNow": True}))
     return comparable_events(read_events(spark, f"{base}/events"))
@@ -262,7 +275,7 @@ def q_backfill_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     run through the rules; the rules' action filter prunes the folders."""
     ensure_utc(spark)
     base = scratch_path(spark, "backfill")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     run_once(write_events(parse_events(raw, DRIVER_RULES.watermark), f"{base}/events", f"{base}/_checkpoint",
                           trigger={"availableNow": True}))
     at_rest = read_events(spark, f"{base}/events")
@@ -274,7 +287,7 @@ def q_stream_alerts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows the watermark has closed come out."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_alerts")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
     run_once(write_alerts(live, f"{base}/alerts", f"{base}/_checkpoint", trigger={"availableNow": True},
                           state_partitions=_state_partitions(spark)))
@@ -285,7 +298,7 @@ def q_stream_first_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 on a stream: first-wins dedup sharing the rules' watermark, in append mode."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_first")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES, keep_window=True)
     run_once(write_alerts(first_alerts(live), f"{base}/alerts", f"{base}/_checkpoint",
                           trigger={"availableNow": True}, state_partitions=_state_partitions(spark)))
@@ -297,7 +310,7 @@ def q_pipeline_alerts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame
     committed output, so each payload is parsed once; closed windows come out."""
     ensure_utc(spark)
     base = scratch_path(spark, "live_job")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     spec = PipelineSpec(events_path=f"{base}/events", alerts_path=f"{base}/alerts", checkpoint_base=f"{base}/_ck",
                         rules=DRIVER_RULES, trigger={"availableNow": True}, alerts_from_events=True,
                         state_partitions=_state_partitions(spark))
@@ -315,7 +328,7 @@ def q_stream_alerts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     is logged as it happens; the latest version of each alert is the batch result."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_updates")
-    raw = read_event_records(spark, sf_dir, streaming=True)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
     run_once(write_alert_updates(live, f"{base}/updates", f"{base}/_checkpoint", trigger={"availableNow": True},
                                  state_partitions=_state_partitions(spark)))
@@ -336,6 +349,7 @@ QUERIES = {
     "split_valid_events": q_split_valid_events,
     "trailing_alerts": q_trailing_alerts,
     "first_alerts": q_first_alerts,
+    "new_alerts": q_new_alerts,
     "latest_alerts": q_latest_alerts,
     "recent_alerts": q_recent_alerts,
     "alert_feed": q_alert_feed,

@@ -22,9 +22,9 @@ ev AS (
          'usr_' || CAST(user_id AS VARCHAR) AS user_id,
          'sess_' || CAST(user_id AS VARCHAR) AS session_id,
          '10.0.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(k % 4 AS VARCHAR) AS ip_address,
-         (['desktop', 'mobile', 'tablet'])[k % 3 + 1] AS device_type,
-         (['US', 'DE', 'IN', 'BR'])[user_id % 4 + 1] AS location_country,
-         (['San Francisco', 'Berlin', 'Mumbai', 'Sao Paulo'])[user_id % 4 + 1] AS location_city,
+         (['phone', 'laptop', 'kiosk'])[k % 3 + 1] AS device_type,
+         (['NO', 'PT', 'KE', 'PE'])[user_id % 4 + 1] AS location_country,
+         (['Bergen', 'Porto', 'Nairobi', 'Lima'])[user_id % 4 + 1] AS location_city,
          CASE event_type WHEN 'error' THEN 'login_failed'
                          WHEN 'purchase' THEN 'transaction_success'
                          WHEN 'view' THEN 'page_view'
@@ -33,7 +33,7 @@ ev AS (
                          ELSE event_type END AS action,
          '/' || event_type AS url_path,
          CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0.0 AS DOUBLE) END AS amount,
-         'Mozilla/5.0' AS user_agent,
+         'agent/1' AS user_agent,
          ts AS event_time
   FROM src
   WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
@@ -198,6 +198,16 @@ SELECT {ALERT_OUT}, detection_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, anomaly_type, window_end
                                ORDER BY detection_timestamp, window_start, ip_address) AS rn
   FROM stamped) WHERE rn = 1""",
+    "new_alerts": STAMPED + f"""
+SELECT {ALERT_OUT}, detection_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, anomaly_type, window_end
+                               ORDER BY detection_timestamp, window_start, ip_address) AS rn
+  FROM stamped) f
+WHERE rn = 1 AND NOT EXISTS (
+  SELECT 1 FROM stamped r
+  WHERE epoch(r.window_start) < (SELECT (min(epoch(window_start)) + max(epoch(window_start))) / 2 FROM stamped)
+    AND r.user_id IS NOT DISTINCT FROM f.user_id AND r.anomaly_type IS NOT DISTINCT FROM f.anomaly_type
+    AND r.window_end IS NOT DISTINCT FROM f.window_end)""",
     "latest_alerts": STAMPED + f"SELECT {ALERT_OUT}, detection_timestamp FROM stamped",
     "recent_alerts": STAMPED + f"SELECT {ALERT_OUT}, detection_timestamp FROM stamped ORDER BY {ORDER_ALERTS} LIMIT 200",
     "alert_feed": STAMPED + f"""
@@ -206,23 +216,23 @@ SELECT detection_timestamp, anomaly_type, severity, user_id, ip_address, event_c
 FROM stamped ORDER BY {ORDER_ALERTS} LIMIT 30""",
     "recent_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev ORDER BY event_time DESC, event_id DESC LIMIT 1000",
     "alert_kpis": ALL_ALERTS + """
-SELECT CAST(count(*) AS INTEGER) AS total_alerts,
-       CAST(count(*) FILTER (WHERE severity = 'CRITICAL') AS INTEGER) AS critical_alerts,
-       CAST(count(*) FILTER (WHERE severity = 'HIGH') AS INTEGER) AS high_alerts,
-       CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS INTEGER) AS flagged_ips
+SELECT CAST(count(*) AS BIGINT) AS total_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'CRITICAL') AS BIGINT) AS critical_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'HIGH') AS BIGINT) AS high_alerts,
+       CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS BIGINT) AS flagged_ips
 FROM alerts""",
     "buffer_kpis": STAMPED + f"""
-SELECT CAST(count(*) AS INTEGER) AS total_alerts,
-       CAST(count(*) FILTER (WHERE severity = 'CRITICAL') AS INTEGER) AS critical_alerts,
-       CAST(count(*) FILTER (WHERE severity = 'HIGH') AS INTEGER) AS high_alerts,
-       CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS INTEGER) AS flagged_ips
+SELECT CAST(count(*) AS BIGINT) AS total_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'CRITICAL') AS BIGINT) AS critical_alerts,
+       CAST(count(*) FILTER (WHERE severity = 'HIGH') AS BIGINT) AS high_alerts,
+       CAST(count(DISTINCT CASE WHEN ip_address <> '' THEN ip_address END) AS BIGINT) AS flagged_ips
 FROM (SELECT * FROM stamped ORDER BY {ORDER_ALERTS} LIMIT 200)""",
-    "event_count": f"WITH {EV}\nSELECT CAST(count(*) AS INTEGER) AS total_events FROM ev",
+    "event_count": f"WITH {EV}\nSELECT CAST(count(*) AS BIGINT) AS total_events FROM ev",
     "alerts_by_type": ALL_ALERTS + """
-SELECT anomaly_type, CAST(count(*) AS INTEGER) AS alert_count FROM alerts
+SELECT anomaly_type, CAST(count(*) AS BIGINT) AS alert_count FROM alerts
 WHERE anomaly_type IS NOT NULL GROUP BY anomaly_type""",
     "top_ips": ALL_ALERTS + """
-SELECT ip_address, CAST(count(*) AS INTEGER) AS alert_count FROM alerts
+SELECT ip_address, CAST(count(*) AS BIGINT) AS alert_count FROM alerts
 WHERE ip_address IS NOT NULL GROUP BY ip_address
 ORDER BY alert_count DESC, ip_address ASC LIMIT 6""",
     "encode_alerts_roundtrip": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",

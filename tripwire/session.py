@@ -3,6 +3,7 @@ checkpoint folder every lineage cut and streaming checkpoint goes under."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
@@ -57,7 +57,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if sc is None or not sc.master.startswith("local"):
+    if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
     # spark.checkpoint.dir is a core (startup) setting; at run time the
     # context's checkpoint folder is the one to set.

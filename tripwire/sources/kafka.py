@@ -38,11 +38,8 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
     """Kafka records (key, value, topic, partition, offset, timestamp, ...)."""
     reader = spark.readStream if streaming else spark.read
     if not streaming:
-        # A batch read takes explicit offsets; "latest" is not a valid start.
-        options = {k: v for k, v in options.items() if k != "startingOffsets"} | {
-            "startingOffsets": "earliest" if options.get("startingOffsets", "latest") == "latest"
-            else options["startingOffsets"]
-        }
+        if options.get("startingOffsets", "latest") == "latest":
+            raise ValueError("a batch read can't start at the latest offset; give startingOffsets (say, earliest)")
     return reader.format("kafka").options(**options).load()
 
 

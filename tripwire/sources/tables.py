@@ -25,11 +25,11 @@ ACTION_OF_TYPE = {
     "click": "product_click",
     "signup": "login_success",
 }
-# Derived payload attributes.
-DEVICE_TYPES = ("desktop", "mobile", "tablet")  # by k % 3
-COUNTRIES = ("US", "DE", "IN", "BR")  # by user_id % 4
-CITIES = ("San Francisco", "Berlin", "Mumbai", "Sao Paulo")  # by user_id % 4
-USER_AGENT = "Mozilla/5.0"
+# Derived payload attributes (own choice; the table has no such columns).
+DEVICE_TYPES = ("phone", "laptop", "kiosk")  # by k % 3
+COUNTRIES = ("NO", "PT", "KE", "PE")  # by user_id % 4
+CITIES = ("Bergen", "Porto", "Nairobi", "Lima")  # by user_id % 4
+USER_AGENT = "agent/1"
 NOT_JSON_EVERY = 97
 BAD_TIMESTAMP_EVERY = 89
 # The driver's events table. Given explicitly so a read does not
@@ -77,15 +77,6 @@ def event_records(table: DataFrame) -> DataFrame:
     )
 
 
-def _too_few_splits(scan: DataFrame) -> int:
-    """The session's parallelism if a batch scan has fewer splits than that, else 0."""
-    try:
-        want = scan.sparkSession.sparkContext.defaultParallelism
-        return want if scan.rdd.getNumPartitions() < want else 0
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave the scan as it is
-        return 0
-
-
 def spread(df: DataFrame, parts: int, key: str = "event_id") -> DataFrame:
     """Fan a small input out to ``parts`` tasks (no-op for ``parts == 0``).
 
@@ -94,8 +85,8 @@ def spread(df: DataFrame, parts: int, key: str = "event_id") -> DataFrame:
     parsing, window expansion, partial aggregation) would run on one core. A
     hash repartition on the unique ``key`` spreads that work evenly and is
     deterministic, so a retried task gets the same rows (round-robin would
-    need a sort first to be). A large input already has at least as many
-    splits as cores, and then nothing is added.
+    need a sort first to be). It is the caller's choice: a table of many row
+    groups needs none.
     """
     return df.repartition(parts, key) if parts else df
 
@@ -105,15 +96,15 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
+                       max_files_per_trigger: int | None = None, parts: int = 0) -> DataFrame:
     """Payload records from ``{sf_dir}/events.parquet``, as a batch or a stream.
 
     The streaming form is a file source over the directory restricted to the
-    events file, with the table's fixed schema.
+    events file, with the table's fixed schema. ``parts`` fans the rows out
+    (see :func:`spread`); 0 leaves the scan as it is.
     """
     path = table_path(sf_dir, "events")
     scan = spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(path)
-    parts = _too_few_splits(scan)
     if not streaming:
         return event_records(spread(scan, parts))
     reader = spark.readStream.schema(EVENTS_TABLE_SCHEMA).option("pathGlobFilter", "events.parquet")
