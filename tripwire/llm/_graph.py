@@ -14,6 +14,7 @@ from tripwire.llm._tables import stored
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over one partition's edges; each node with its root (the least node it met)."""
     parent: dict = {}
+    kind = None
 
     def root(x):
         top = x
@@ -24,6 +25,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return top
 
     for batch in batches:
+        kind = batch.column(0).type
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             parent.setdefault(a, a)
             parent.setdefault(b, b)
@@ -33,7 +35,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     nodes = [x for x in parent if root(x) != x]
     for at in range(0, len(nodes), 10_000):
         part = nodes[at : at + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([root(x) for x in part], pa.binary())], names=["u", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(part, kind), pa.array([root(x) for x in part], kind)], names=["u", "v"])
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -51,14 +53,15 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(node, root)`` for every node of ``edges`` (two binary columns) that is not the least of its component.
+    """``(node, root)`` for every node of ``edges`` (two columns of one type) that is not the least of its component.
 
     Edges never reach the driver; it sees two numbers a round. The rounds end
     when contraction changes nothing, after a number of rounds that grows with
     the logarithm of the longest chain.
     """
     a, b = edges.columns
-    e = edges.select(a, b).where(F.col(a) != F.col(b)).mapInArrow(_forest, "u binary, v binary")
+    kind = edges.schema[a].dataType.simpleString()
+    e = edges.select(a, b).where(F.col(a) != F.col(b)).mapInArrow(_forest, f"u {kind}, v {kind}")
     e = stored(e.distinct(), "forest")
     before = None
     while True:

@@ -8,13 +8,14 @@ and steps whose ranks can't improve any place are not taken (early stopping).
 Texts with equal shingle sets form a *class*; classes, not copies, are
 compared. A class meets the others of a band bucket through a pivot (the
 bucket's least class), never all pairs, and the links that hold are grouped.
-Only buckets that still have classes of several groups are looked at again, in
-blocks: a task gets two blocks of a bucket and joins those classes of different
-groups that share two bands or more into candidate clusters, of which it returns
-a spanning forest. Clusters that hold several groups are compared in full, again
-in blocks, and again only a forest of the confirmed links is returned. So rows
-grow with the classes, and every candidate pair of different groups is decided.
-Each link is confirmed on the full shingle sets.
+Only buckets that still have classes of several groups are looked at again:
+their classes go once to each pair of their bands, and the classes of a pair
+that holds several groups form a candidate cluster (the classes that any two
+classes of different groups with two bands in common connect). Clusters that
+hold several groups are compared in full, two blocks of classes at a time, and a
+task returns only links between groups that it hasn't joined yet. So rows grow
+with the classes, and every candidate pair of different groups is decided. Each
+link is confirmed on the full shingle sets.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and keep their own id as component (null for a null id). A text with
@@ -38,10 +39,9 @@ from tripwire.llm import _text
 from tripwire.llm._graph import components
 from tripwire.llm._tables import partitions, stored
 
-BANDS, ROWS = 28, 4  # a pair at similarity 0.8 shares no band with probability 3.9e-7
-SHARED_BANDS = 2  # a pair at 0.8 shares fewer than this many bands with probability 8e-6
+BANDS, ROWS = 28, 4  # a pair at similarity 0.8 shares no band with probability 3.9e-7, fewer than two with 8e-6
 MEMBERS_A_TASK_GROUP = 64
-BLOCK_CLASSES = 192  # of a bucket or cluster that meet another block at a time
+BLOCK_CLASSES = 192  # of a cluster that meet another block at a time
 _LISTED = 6  # steps after which the permutations of the elements still at work are held whole
 _BLOCK = 100_000  # elements at a time
 _U = np.uint64
@@ -183,31 +183,25 @@ def _in_blocks(member: DataFrame, key: str) -> DataFrame:
     return own.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "root")
 
 
-def _forest(near: np.ndarray, classes: list[bytes]) -> list[tuple[bytes, bytes]]:
-    """A spanning forest of a symmetric relation: each class with the first of its tree."""
-    left, edges = np.ones(len(classes), bool), []
-    for seed in range(len(classes)):
-        if not left[seed]:
-            continue
-        left[seed] = False
-        front = np.array([seed])
-        while len(front):
-            front = np.flatnonzero(near[front].any(0) & left)
-            left[front] = False
-            edges += [(classes[seed], classes[k]) for k in front.tolist()]
-    return edges
+def _candidates(split: DataFrame) -> DataFrame:
+    """``(cluster, class, root)``: the clusters that classes of different groups with two bands in common connect.
 
-
-def _share_bands(classes: list[bytes], roots: np.ndarray, bodies: list) -> np.ndarray:
-    bands = np.array(bodies, np.int64)
-    shared = np.zeros((len(classes), len(classes)), np.int16)
-    for k in range(bands.shape[1]):
-        shared += bands[:, k][:, None] == bands[:, k][None, :]
-    return (shared >= SHARED_BANDS) & (roots[:, None] != roots[None, :])
+    All classes with one pair of bands are joined to the least of them if they hold several groups, which connects
+    the same classes as all links between its groups would. Classes go by 64 bits of their digest here: two that
+    agree in these would only be compared once more.
+    """
+    named = split.groupBy("class", "root").agg(F.array_sort(F.collect_list("bucket")).alias("buckets"))  # BANDS or fewer
+    named = stored(named.withColumn("node", F.xxhash64("class")), "split")
+    pairs = "flatten(transform(buckets, (x, i) -> transform(slice(buckets, i + 2, size(buckets)), y -> xxhash64(x, y))))"
+    rows = named.select("node", F.xxhash64("root").alias("group"), F.explode(F.expr(pairs)).alias("pair"))
+    mixed = rows.groupBy("pair").agg(F.min("group").alias("least"), F.max("group").alias("most"), F.min("node").alias("first")).where("least != most")
+    clusters = components(rows.join(mixed, "pair").select("node", "first"))
+    inside = clusters.select("node", F.col("root").alias("cluster")).union(clusters.select("root", "root").distinct())
+    return named.join(inside, "node").select("cluster", "class", "root")
 
 
 def _compare_all(percent: int):
-    def compare(classes: list[bytes], roots: np.ndarray, bodies: list) -> np.ndarray:
+    def compare(roots: np.ndarray, bodies: list) -> np.ndarray:
         sets = [np.frombuffer(b, np.uint64) for b in bodies]
         sizes = np.array([len(x) for x in sets])
         owner = np.repeat(np.arange(len(sets)), sizes)
@@ -230,14 +224,26 @@ def _compare_all(percent: int):
 
 
 def _by_blocks(rows: DataFrame, key: str, relation) -> DataFrame:
-    """Forests ``(a, b)`` of a relation between the classes of two blocks, one pair of blocks at a time.
-    ``rows``: key, i, j, class, root and what the relation looks at."""
+    """Links ``(a, b)`` by a relation between the classes of two blocks, one pair of blocks at a time; of those
+    that join the same groups, a task returns one. ``rows``: key, i, j, class, root and what the relation looks at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined: dict[bytes, bytes] = {}  # groups that this task has joined to another
+
+        def top(group: bytes) -> bytes:
+            while group in joined:
+                joined[group] = joined.get(joined[group], joined[group])
+                group = joined[group]
+            return group
+
         def send(held: list) -> pa.RecordBatch:
-            names = [r[0] for r in held]
+            names, edges = [r[0] for r in held], []
             _, roots = np.unique(np.array([r[1] for r in held], object), return_inverse=True)
-            edges = _forest(relation(names, roots, [r[2] for r in held]), names)
+            for a, b in np.argwhere(np.triu(relation(roots, [r[2] for r in held]))).tolist():
+                one, other = top(held[a][1]), top(held[b][1])
+                if one != other:
+                    joined[max(one, other)] = min(one, other)
+                    edges.append((names[a], names[b]))
             return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.binary()), pa.array([e[1] for e in edges], pa.binary())], names=["a", "b"])
 
         held, current = [], None
@@ -291,12 +297,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     roots = components(links)
 
     member = crowded.join(roots.withColumnRenamed("node", "class"), "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("root"))
-    split = _several_groups(member, "bucket")
-    with_bands = _in_blocks(split, "bucket").join(classes.select("class", "bands"), "class").select("bucket", "i", "j", "class", "root", "bands")
-    near = _by_blocks(with_bands, "bucket", _share_bands)
-    clusters = components(near.distinct())
-    inside = clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")).union(clusters.select("root", "root").distinct())
-    inside = inside.join(roots.withColumnRenamed("node", "class"), "class", "left").select("cluster", "class", F.coalesce("root", "class").alias("root"))
+    inside = _candidates(_several_groups(member, "bucket"))
     split = _several_groups(inside, "cluster")
     sets = _sets_of(split.select("class").distinct(), classes, documents, shingle)
     with_sets = _in_blocks(split, "cluster").join(sets, "class").select("cluster", "i", "j", "class", "root", "shingles")
