@@ -136,6 +136,16 @@ def test_keep_representatives_keeps_one_row_of_each_group(documents, nothing):
     assert near_dedup.keep_representatives(nothing).count() == 0
 
 
+def test_unrelated_texts_without_id_or_of_one_id_all_stay(spark):
+    rng = random.Random(11)
+    texts = [prose(rng, 40) for _ in range(7)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (3, texts[3]), (3, texts[4]), (3, texts[4]), (1, texts[4]), (4, texts[5]), (None, texts[5])]
+    rows += [(5, texts[6] + " b"), (5, texts[6] + " a"), (None, " ")]
+    kept = near_dedup.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    expected = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (3, texts[3]), (1, texts[4]), (4, texts[5]), (5, texts[6] + " a"), (None, " ")]
+    assert plain(kept.collect(), "doc_id", "text") == Counter(expected)
+
+
 def brute_cut(rows, window=20):
     order = sorted({(float("inf") if d is None else d, i) for i, (d, *_) in enumerate(rows)})
     first: dict = {}

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.llm import _text
@@ -114,8 +114,8 @@ def _signed(shingle: int):
                 sizes = np.diff(bounds)
                 bands = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32), keys[sizes > 0].ravel())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), bands],
-                    names=["doc_id", "n_shingles", "class", "bands"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), bands],
+                    names=["doc_id", "key", "n_shingles", "class", "bands"],
                 )
 
     return run
@@ -164,9 +164,9 @@ def _compare(percent: int):
 
 def _sets_of(asked: DataFrame, classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
     """``(class, shingles)`` of the classes asked for, each from one of its texts."""
-    needed = classes.join(asked, "class").select("class", "doc_id")
-    texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["doc_id"])).select("class", "text")
-    # repeated rows of one id give the same set more than once
+    needed = classes.join(asked, "class").select("class", "key")
+    texts = documents.join(needed, "key").select("class", "text")
+    # repeated rows give the same set more than once
     return stored(texts.mapInArrow(_expected_sets(shingle), "class binary, shingles binary").dropDuplicates(["class"]), "sets")
 
 
@@ -276,18 +276,17 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingle
     return stored(dealt.select("a", "b", "shingles").mapInArrow(_compare(percent), "a binary, b binary"), "links")
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for each row of ``documents (doc_id, text)``.
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
 
-    Words are lower-cased (A-Z) and split at ASCII white space; documents link
-    when ``100 * intersection >= percent * union`` of their distinct
-    ``shingle``-word shingles. ``component_id`` is the least doc_id reachable.
-    """
-    documents = documents.select("doc_id", "text")
-    signed = stored(documents.mapInArrow(_signed(shingle), "doc_id long, n_shingles long, class binary, bands array<long>"), "signed")
-    classes = stored(
-        signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes"
-    )
+
+def _grouped(documents: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(doc_id, key, n_shingles, root, component_id)`` for each row; ``root`` names its group (null without words)
+    and ``component_id`` is the least doc_id of that (null if no row of it has one)."""
+    documents = documents.select("doc_id", "text", _row_key().alias("key"))
+    signed = stored(documents.mapInArrow(_signed(shingle), "doc_id long, key long, n_shingles long, class binary, bands array<long>"), "signed")
+    one = signed.where("class is not null").groupBy("class")
+    classes = stored(one.agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.first("bands").alias("bands")), "classes")
     rows = classes.select("class", F.explode("bands").alias("bucket"))
     crowded = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("pivot")).where("n > 1").drop("n")
     crowded = stored(rows.join(crowded, "bucket"), "buckets")
@@ -306,15 +305,33 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
 
     grouped = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(least, "root").select("class", "component_id")
-    own = signed.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = grouped.join(least, "root").select("class", "root", "component_id")
+    return signed.join(named, "class", "left").select("doc_id", "key", "n_shingles", "root", "component_id")
+
+
+def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for each row of ``documents (doc_id, text)``.
+
+    Words are lower-cased (A-Z) and split at ASCII white space; documents link
+    when ``100 * intersection >= percent * union`` of their distinct
+    ``shingle``-word shingles. ``component_id`` is the least doc_id reachable.
+    """
+    rows = _grouped(documents, shingle, percent)
+    own = rows.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return own.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def keep_representatives(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` without the rows that repeat another: one row of each component stays, that of the
-    least doc_id (repeated rows of that id: the least text). Rows without words stay, identical ones too."""
-    verdict = near_duplicates(documents, shingle, percent).where("kept and n_shingles > 0").select(F.col("doc_id").alias("__kept_id")).distinct()
+    """``documents`` without the rows that repeat another: one row of each component stays, that of the least
+    (doc_id, text), null ids last. Rows without words stay, identical ones too."""
+    rows = _grouped(documents, shingle, percent).where("root is not null")
+    least = stored(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("root", "key").distinct(), "least")
+    numbered = least.groupBy("root").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    # several texts under the least id (or under none): the least text of them
+    several = least.join(numbered.where("n > 1").select("root"), "root")
+    by_text = documents.select("text", _row_key().alias("key")).join(several, "key").groupBy("root").agg(F.min_by("key", "text").alias("key"))
+    chosen = numbered.where("n = 1").select("key").union(by_text.select("key")).withColumnRenamed("key", "__kept")
     wordless = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
-    spoken = documents.where(~wordless).join(verdict, documents["doc_id"].eqNullSafe(F.col("__kept_id")), "left_semi")
-    return documents.where(wordless).unionByName(spoken.dropDuplicates(["doc_id"]))
+    spoken = documents.where(~wordless).withColumn("__key", _row_key())
+    spoken = spoken.join(stored(chosen, "chosen"), F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"])
+    return documents.where(wordless).unionByName(spoken.drop("__key"))
