@@ -346,6 +346,37 @@ def test_classifiers_learn_and_take_awkward_rows(spark, documents, nothing, modu
     assert module.score_documents(nothing, labels, fit=fold(3) == 0, calibrate=fold(3) == 1).count() == 0
 
 
+def test_ngram_and_word_counts_are_exact(spark, monkeypatch):
+    """Every distinct n-gram and word has counts of its own, with the Kneser-Ney ratios of a direct count."""
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 5000)
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("abcdef gh") for _ in range(300))) for i in range(40)]
+    seen = [Counter(), Counter()]
+    for i, t in rows[:20]:
+        seen[i % 2].update(t[k : k + 6] for k in range(len(t) - 5))
+    distinct = {t[k : k + 6] for _, t in rows for k in range(len(t) - 5)}
+    continued = Counter(g[1:] for g in distinct)
+    every, kinds = Counter(g[1:5] for g in distinct), Counter(e[:4] for e in continued)
+    totals = [Counter() for _ in seen]
+    types = [Counter() for _ in seen]
+    for k, counts in enumerate(seen):
+        for g, n in counts.items():
+            totals[k][g[:5]] += n
+            types[k][g[:5]] += 1
+
+    def p(k, g):
+        low = (continued[g[1:]] - 0.75 + 0.75 * kinds[g[1:5]] / 256) / every[g[1:5]]
+        return max(seen[k][g] - 0.75, 0) / (totals[k][g[:5]] + 1) + (0.75 * types[k][g[:5]] + 1) / (totals[k][g[:5]] + 1) * low
+
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    out = toxicity.score_documents(table, labels, fit=F.col("doc_id") < 20, calibrate=F.col("doc_id") >= 20).collect()
+    for r in out:
+        t = rows[r["doc_id"]][1]
+        expected = sum(np.log(p(1, t[k : k + 6]) / p(0, t[k : k + 6])) for k in range(len(t) - 5)) / len(t) * 100
+        assert abs(r["llr"] - expected) < 1e-3
+
+
 def test_isotonic_pools_violators():
     fitted = quality_classifier.isotonic(np.array([0.0, 3, 1, 0, 4]), np.array([4.0, 4, 4, 0, 4]))
     assert np.allclose(fitted, [0, 0.5, 0.5, 0.75, 1])
