@@ -233,6 +233,24 @@ def test_contaminated_finds_exact_and_near_items_only(spark, documents, nothing)
     assert decontaminate.contaminated(nothing, bench).count() == 0 == decontaminate.contaminated(documents, bench.limit(0)).count()
 
 
+def test_near_copies_of_repeated_items_are_found_whatever_the_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    item, passage = prose(rng, 60), prose(rng, 50)
+    bench = [(i, item) for i in range(10)] + [(20 + i, f"{passage} {prose(rng, 10)}") for i in range(10)]
+    texts = [item, bench[12][1]]
+    for k, t in enumerate(list(texts)):
+        words = t.split()
+        words[25] = "changed"
+        texts[k] = f"{prose(rng, 30)} {' '.join(words)} {prose(rng, 30)}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = [decontaminate.contaminated(docs, items).collect()]
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 300)
+    found.append(decontaminate.contaminated(docs, items).collect())
+    assert {(r["doc_id"], r["item_id"]) for r in found[0]} >= {*((0, i) for i in range(10)), (1, 22)}
+    assert Counter(found[0]) == Counter(found[1])
+
+
 def test_hamming_blocks_find_everything_within_the_radius():
     rng = random.Random(9)
     index = decontaminate.Index([(i, np.array([rng.getrandbits(64) for _ in range(20)], np.uint64), {rng.getrandbits(63): 1.0}) for i in range(40)])

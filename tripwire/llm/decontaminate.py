@@ -1,12 +1,15 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact verification.
 
 A window of a document has as many words as the benchmark item it is held
-against. Windows and items get a 64-bit SimHash of their weighted five-word
-shingles (a shingle of several items weighs less). Items are indexed by the
+against. Windows and items get a 64-bit SimHash of their five-word shingles. Items are indexed by the
 blocks of their fingerprints: two fingerprints within RADIUS bits agree in some
 block up to one bit, because the differing bits can't all avoid it, so looking
 up each block and its one-bit neighbours finds every item within the radius.
-What is found is verified by exact weighted Jaccard similarity.
+What is found is verified by exact Jaccard similarity, weighted or plain,
+whichever is more: a shingle weighs 1 / (number of different item texts that
+hold it), and one that the item doesn't hold weighs as much as the item's do on
+average, so an edit counts like the words it replaced and nothing depends on
+the block that an item is in.
 
 A window that reaches the threshold holds a shingle of the item, so windows are
 fingerprinted only where a document has a shingle of some item; every place of
@@ -43,11 +46,18 @@ _U = np.uint64
 _FILTER_BITS = 20
 
 
-def fingerprint(shingles: np.ndarray, weights: np.ndarray) -> int:
-    """SimHash: the signs of the weighted sums of the shingles' bits."""
-    bits = ((_text.mix(shingles + _U(0x51ED270B))[:, None] >> np.arange(BITS, dtype=np.uint64)) & _U(1)).astype(np.int8)
-    signs = (weights @ (2.0 * bits - 1.0)) > 0
-    return int((signs.astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum())
+def _bits(shingles: np.ndarray) -> np.ndarray:
+    """The shingles' hashed bits, as -1 and 1."""
+    return ((_text.mix(shingles + _U(0x51ED270B))[:, None] >> np.arange(BITS, dtype=np.uint64)) & _U(1)).astype(np.int64) * 2 - 1
+
+
+def _signs(sums: np.ndarray) -> list[int]:
+    return ((sums > 0).astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).tolist()
+
+
+def fingerprint(shingles: np.ndarray) -> int:
+    """SimHash: the signs of the sums of the distinct shingles' bits."""
+    return _signs(_bits(shingles).sum(axis=0)[None, :])[0]
 
 
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,13 +82,10 @@ class Index:
 
     def __init__(self, items: list[tuple[int, np.ndarray, dict[int, float]]]):
         self.items = [(i, len(words), shingles) for i, words, shingles in items]
-        self.weight: dict[int, float] = {}
         self.tables: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(BLOCKS)]
         self.prints, self.at = [], {}
         for n, (_, words, shingles) in enumerate(items):
-            self.weight.update(shingles)
-            keys = np.array(sorted(shingles), np.uint64)
-            p = fingerprint(keys, np.array([shingles[int(k)] for k in keys]))
+            p = fingerprint(np.array(sorted(shingles), np.uint64))
             self.prints.append(p)
             for b in range(BLOCKS):
                 self.tables[b].setdefault((len(words), p >> (b * BITS // BLOCKS) & (1 << BITS // BLOCKS) - 1), []).append(n)
@@ -100,10 +107,10 @@ class Index:
         return {n for n in found if (self.prints[n] ^ print_).bit_count() <= RADIUS}
 
     def similarity(self, own: list[int], item: int) -> float:
-        weigh = lambda s: self.weight.get(s, 1.0)
         other = self.items[item][2]
-        both = sum(weigh(s) for s in own if s in other)
-        return both / (sum(map(weigh, own)) + sum(other.values()) - both)
+        shared = [other[s] for s in own if s in other]
+        foreign, total = len(own) - len(shared), sum(other.values())
+        return max(sum(shared) / (total + foreign * total / len(other)), len(shared) / (len(other) + foreign))
 
     def hits(self, hashes: np.ndarray) -> np.ndarray:
         """Places of ``hashes`` that are an item's shingle."""
@@ -122,7 +129,7 @@ def _search(index: Index):
         for size, start in sorted(windows):
             part = words[start : start + size]
             own = np.unique(_text.grams(part, min(SHINGLE, len(part))))
-            print_ = fingerprint(own, np.array([index.weight.get(s, 1.0) for s in own.tolist()]))
+            print_ = fingerprint(own)
             for n in index.near(size, print_):
                 share = index.similarity(own.tolist(), n)
                 if share >= SIMILARITY - 1e-12 and (n not in best or share > best[n][2]):
@@ -153,12 +160,12 @@ def _search(index: Index):
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, first_word, n_words, similarity, hamming)``: each document and item with a window of the
-    document whose weighted shingle similarity to the item is SIMILARITY or more, and the most similar window.
+    document whose weighted or plain shingle similarity to the item is SIMILARITY or more, and the most similar window.
 
     Words are lower-cased (A-Z) runs of ASCII letters, digits and non-ASCII characters, counted from 0.
     """
     items = stored(benchmark.select("item_id", "text").mapInArrow(_item_words, "item_id long, words array<long>, shingles array<long>").where(F.size("words") > 0), "items")
-    shared = items.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg((1.0 / F.count("*")).alias("weight"))
+    shared = items.dropDuplicates(["words"]).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg((1.0 / F.count("*")).alias("weight"))
     weighed = items.select("item_id", "words", F.explode("shingles").alias("shingle")).join(shared, "shingle")
     weighed = weighed.groupBy("item_id", "words").agg(F.collect_list(F.struct("shingle", "weight")).alias("shingles"))
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
