@@ -251,6 +251,29 @@ def test_near_copies_of_repeated_items_are_found_whatever_the_blocks(spark, monk
     assert Counter(found[0]) == Counter(found[1])
 
 
+def test_every_window_of_an_items_size_is_looked_at(spark):
+    rng = random.Random(13)
+    x, y, short = prose(rng, 30), prose(rng, 30), prose(rng, 12)
+    rows = [(1, f"{prose(rng, 41)} {y} {x} {prose(rng, 50)}"), (2, prose(rng, 90)), (3, f"{x} {prose(rng, 40)} {y}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(10, f"{x} {y}"), (11, short)], "item_id long, text string")
+    out = decontaminate.contaminated(table, items).collect()
+    assert [(r["doc_id"], r["item_id"], r["first_word"], r["n_words"]) for r in out] == [(1, 10, 41, 60)]
+    assert abs(out[0]["similarity"] - 52 / 60) < 1e-9
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(table, items).collect()) == [2, 3]
+
+
+def test_rolled_fingerprints_equal_those_of_each_window():
+    rng = np.random.default_rng(14)
+    words = rng.integers(0, 3, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    starts = np.array([0, 1, 2, 5, 90, 91, 300, 380])
+    out = list(decontaminate._windows(words, 20, 5, starts))
+    assert [w[0] for w in out] == starts.tolist()
+    for start, own, print_ in out:
+        distinct = np.unique(decontaminate._text.grams(words[start : start + 20], 5))
+        assert own == distinct.tolist() and print_ == decontaminate.fingerprint(distinct)
+
+
 def test_hamming_blocks_find_everything_within_the_radius():
     rng = random.Random(9)
     index = decontaminate.Index([(i, np.array([rng.getrandbits(64) for _ in range(20)], np.uint64), {rng.getrandbits(63): 1.0}) for i in range(40)])

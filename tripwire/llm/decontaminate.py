@@ -11,9 +11,9 @@ hold it), and one that the item doesn't hold weighs as much as the item's do on
 average, so an edit counts like the words it replaced and nothing depends on
 the block that an item is in.
 
-A window that reaches the threshold holds a shingle of the item, so windows are
-fingerprinted only where a document has a shingle of some item; every place of
-every document is looked at for that. The documents are read once and not
+Every window of an item's size that can reach the threshold is fingerprinted, by
+sums that roll along the document. A window can't if the shingles in it that
+items of its size have, counted and weighed, are too few for any of them. The documents are read once and not
 shuffled. Items go to the tasks in blocks of at most BLOCK_WORDS words; a larger
 benchmark takes several passes, and no block grows with the data.
 
@@ -78,20 +78,23 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """One block of items: fingerprints by block, shingles with weights, and where each shingle stands in which item."""
+    """One block of items: fingerprints by block, and for each size of item, the shingles and what a window needs of them."""
 
     def __init__(self, items: list[tuple[int, np.ndarray, dict[int, float]]]):
         self.items = [(i, len(words), shingles) for i, words, shingles in items]
         self.tables: list[dict[tuple[int, int], list[int]]] = [{} for _ in range(BLOCKS)]
         self.prints, self.at = [], {}
+        self.needed: dict[int, tuple[float, float]] = {}
         for n, (_, words, shingles) in enumerate(items):
             p = fingerprint(np.array(sorted(shingles), np.uint64))
             self.prints.append(p)
             for b in range(BLOCKS):
                 self.tables[b].setdefault((len(words), p >> (b * BITS // BLOCKS) & (1 << BITS // BLOCKS) - 1), []).append(n)
-            placed = _text.grams(words, min(SHINGLE, len(words)))
-            for offset, g in enumerate(placed.tolist()):
-                self.at.setdefault(g, set()).add((len(words), offset))
+            size, counted, weighed = len(words), len(shingles), sum(shingles.values())
+            least = self.needed.get(size, (counted, weighed))
+            self.needed[size] = min(least[0], counted), min(least[1], weighed)
+            for g, w in shingles.items():
+                self.at.setdefault(g, {})[size] = w  # the same in every item
         self.shingles = np.sort(np.array(list(self.at), np.uint64))
         self.short = sorted({size for _, size, _ in self.items if size < SHINGLE})
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
@@ -118,22 +121,61 @@ class Index:
         return maybe[np.isin(hashes[maybe], self.shingles)]
 
 
+def _promising(hits: list[tuple[int, float]], words: int, size: int, width: int, counted: float, weighed: float) -> np.ndarray:
+    """Starts of the windows of ``size`` words whose hits ``(place, weight)`` can do for an item that has at least
+    this many shingles, or these weights."""
+    place, weight = (np.array(c) for c in zip(*sorted(hits), strict=True))
+    run = size - width + 1  # shingles of a window
+    # windows that hold the same hits: they change where one comes in or leaves
+    edges = np.unique(np.concatenate([place - run + 1, place + 1]).clip(0, words - size + 1))
+    sums = np.concatenate([[0.0], np.cumsum(weight)])
+    lo, hi = np.searchsorted(place, edges[:-1]), np.searchsorted(place, edges[:-1] + run)
+    enough = (hi > lo) & ((hi - lo >= SIMILARITY * counted - 1e-6) | (sums[hi] - sums[lo] >= SIMILARITY * weighed - 1e-6))
+    spans = [np.arange(a, b) for a, b in zip(edges[:-1][enough].tolist(), edges[1:][enough].tolist(), strict=True)]
+    return np.concatenate(spans) if spans else np.zeros(0, np.int64)
+
+
+def _windows(words: np.ndarray, size: int, width: int, starts: np.ndarray) -> Iterator[tuple[int, list[int], int]]:
+    """``(start, distinct shingles, fingerprint)`` of the windows of ``size`` words; starts ascend."""
+    run = size - width + 1
+    # a run of windows that lie close together, of 4096 places at most
+    for own in np.split(starts, np.flatnonzero((np.diff(starts) > run) | (np.diff(starts >> 12) > 0)) + 1):
+        if len(own):
+            first = int(own[0])
+            grams = _text.grams(words[first : int(own[-1]) + size], width)
+            bits = _bits(grams)
+            sums = np.concatenate([np.zeros((1, BITS), np.int64), np.cumsum(bits, axis=0)])
+            rolled = sums[own - first + run] - sums[own - first]
+            last: dict[int, int] = {}
+            for i, g in enumerate(grams.tolist()):
+                before = last.get(g)
+                if before is not None and i - before < run:  # in the windows that hold both, it counts once
+                    a, b = np.searchsorted(own - first, i - run + 1), np.searchsorted(own - first, before, "right")
+                    rolled[a:b] -= bits[i]
+                last[g] = i
+            for start, print_ in zip(own.tolist(), _signs(rolled), strict=True):
+                yield start, np.unique(grams[start - first : start - first + run]).tolist(), print_
+
+
 def _search(index: Index):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()]
     names = ["doc_id", "item_id", "first_word", "n_words", "similarity", "hamming"]
 
     def of(words: np.ndarray, places: list[tuple[int, int]]) -> dict[int, tuple]:
         """The best window of a document (its word hashes) for each item; places: (place, shingle)."""
-        windows = {(size, min(max(place - offset, 0), max(len(words) - size, 0))) for place, gram in places for size, offset in index.at[gram]}
+        by_size: dict[int, list[tuple[int, float]]] = {}
+        for place, gram in places:
+            for size, weight in index.at[gram].items():
+                by_size.setdefault(size, []).append((place, weight))
         best: dict[int, tuple] = {}
-        for size, start in sorted(windows):
-            part = words[start : start + size]
-            own = np.unique(_text.grams(part, min(SHINGLE, len(part))))
-            print_ = fingerprint(own)
-            for n in index.near(size, print_):
-                share = index.similarity(own.tolist(), n)
-                if share >= SIMILARITY - 1e-12 and (n not in best or share > best[n][2]):
-                    best[n] = start, len(part), share, (index.prints[n] ^ print_).bit_count()
+        for size, hits in sorted(by_size.items()):
+            n = min(size, len(words))
+            width = min(SHINGLE, n)
+            for start, own, print_ in _windows(words, n, width, _promising(hits, len(words), n, width, *index.needed[size])):
+                for item in index.near(size, print_):
+                    share = index.similarity(own, item)
+                    if share >= SIMILARITY - 1e-12 and (item not in best or share > best[item][2]):
+                        best[item] = start, n, share, (index.prints[item] ^ print_).bit_count()
         return best
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
