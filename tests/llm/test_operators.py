@@ -347,6 +347,13 @@ def test_html_templates_are_counted_by_host(spark):
     assert html_extract.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_template_of_a_section_of_a_large_host(spark):
+    box = '<div class="frame"><p>Read our guide to everything</p></div>'
+    rows = [(i, f"https://large.org/{i}", f"<body><article><p>Story number {i}</p>{box if i % 20 == 0 else ''}</article></body>") for i in range(160)]
+    out = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"Story number {i}" for i in range(160)}
+
+
 def test_chats_keep_maximal_conversations(spark):
     rows = [(1, 0, "user", "a", 1), (1, 1, "assistant", "b", 1), (2, 0, "user", "a", 1), (3, 0, "user", "a", 1), (3, 1, "assistant", "b", 1), (3, 2, "user", "c", 1),
             (4, 0, "user", "z", 1), (5, 0, "user", "z", 1), (6, 0, None, None, 1), (None, 0, "user", "q", 1), (None, 1, "user", "q", 1), (7, 0, "user", "b", 1), (7, 0, "user", "b", 1)]

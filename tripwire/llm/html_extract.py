@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tripwire.llm._tables import stored
 
 MIN_PAGES = 5  # different main texts of a host around a subtree
-MIN_SHARE = 0.2  # of the host's different main texts
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,9 +244,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def site_templates(subtrees: DataFrame) -> DataFrame:
     """``(host, subtree)`` found around enough different main texts of a host."""
     different = subtrees.select("host", "main", F.explode("subtrees").alias("subtree")).distinct()
-    counted = different.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    totals = subtrees.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("total"))
-    return counted.join(totals, "host").where(F.col("n") >= MIN_SHARE * F.col("total")).select("host", "subtree")
+    return different.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "subtree")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
