@@ -218,6 +218,20 @@ def test_license_places_match_brute_force(spark, documents, nothing):
     assert license_scan.scan_licenses(documents).count() == documents.count() and license_scan.scan_licenses(nothing).count() == 0
 
 
+def test_wrapped_license_notices_are_found(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following\nconditions are met:"
+    lgpl = "# you can redistribute it and/or modify it\n# under the terms of the GNU Lesser General Public\n# License as published"
+    mit = "some words before it\nPermission is hereby granted, free of charge, to any person obtaining a\ncopy of this software and associated documentation files (the"
+    one_line = "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License\nas published by them"
+    apart = "Redistribution and use in source and binary forms\n\nwith or without modification are permitted"
+    far = "Redistribution and use in source and binary forms " + "x " * 9 + "\n with or without modification are permitted"
+    rows = list(enumerate([bsd, lgpl, mit, one_line, apart, far, f"{bsd}\n\n{bsd}\n\n{mit}"]))
+    out = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert [out[i]["labels"] for i in range(7)] == ["bsd", "gpl,lgpl", "mit", "gpl,lgpl", "", "", "bsd,mit"]
+    assert [out[i]["blocks"] for i in range(7)] == [1, 1, 1, 1, 0, 0, 3]
+    assert out[0]["score"] == 1.0 and out[0]["n_base"] == 0
+
+
 def test_contaminated_finds_exact_and_near_items_only(spark, documents, nothing):
     rng = random.Random(3)
     item, other = prose(rng, 60), prose(rng, 40)

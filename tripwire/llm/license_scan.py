@@ -1,7 +1,9 @@
 """Licence notices by an exact set-similarity join of text blocks with templates.
 
-Blocks are the lines of every document, as sets of words; templates are the
-fixed notices below. A block meets a template when it holds at least
+Blocks are the lines of every document, as sets of words, and the windows of a
+template's length (and as many words more as it may miss) that go over line
+ends, but not over a line without words; templates are the fixed notices below.
+A block meets a template when it holds at least
 ``CONTAINMENT`` of the template's distinct words. All words are put in one
 global order, rarest in the corpus first, counted over all documents. A block
 that meets a template holds at least one of the template's ``size - need + 1``
@@ -22,6 +24,7 @@ doc_id and text are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,20 +99,21 @@ class _Join:
     """The templates in the global word order, with an index of their prefixes."""
 
     def __init__(self, templates: tuple, rank: dict[int, tuple[int, int]], containment: float):
-        self.templates = []
+        self.templates, self.widths = [], []
         index: dict[int, list[tuple[int, int]]] = {}
         for t, (text, label) in enumerate(templates):
             words = sorted({int(h) for h in word_hashes(text.split())}, key=rank.__getitem__)
             need = math.ceil(round(containment * len(words), 9))
             self.templates.append((words, need, label))
+            self.widths.append(len(text.split()) + len(words) - need)
             for at, w in enumerate(words[: len(words) - need + 1]):
                 index.setdefault(w, []).append((t, at))
         self.index = index
         self.rank = rank
         self.prefixes = np.sort(np.array(list(index), np.uint64))
 
-    def block(self, words: np.ndarray) -> Iterator[tuple[str, float]]:
-        """Labels and containments of the templates that a block (its word hashes) meets, the most specific ones."""
+    def block(self, words: np.ndarray) -> Iterator[tuple[frozenset, str, float]]:
+        """Words, labels and containments of the templates that a block (its word hashes) meets, the most specific ones."""
         size = len(set(words.tolist()))
         have = sorted((w for w in set(words.tolist()) if w in self.rank), key=self.rank.__getitem__)
         seen, met = set(), []
@@ -124,10 +128,31 @@ class _Join:
                     continue
                 both = len(set(ordered).intersection(have))
                 if both >= need:
-                    met.append((set(ordered), label, both / len(ordered)))
+                    met.append((frozenset(ordered), label, both / len(ordered)))
         for own, label, share in met:
             if not any(own < other for other, _, _ in met):
-                yield label, share
+                yield own, label, share
+
+    def wrapped(self, words: np.ndarray, at: int) -> Iterator[tuple[int, int, frozenset, str, float]]:
+        """``(first, end, words, label, containment)`` of the templates that have the word at this place of a run of
+        lines in their prefix and that a window around it meets, the fullest window of each."""
+        for t, _ in self.index[int(words[at])]:
+            ordered, need, label = self.templates[t]
+            own, width = frozenset(ordered), self.widths[t]
+            lo = max(0, at - width + 1)
+            have = [(lo + i, w) for i, w in enumerate(words[lo : at + width].tolist()) if w in own]
+            if len({w for _, w in have}) < need:
+                continue
+            best, first, inside = (0, 0, 0), 0, Counter()
+            for place, w in have:
+                inside[w] += 1
+                while have[first][0] <= place - width:
+                    inside[have[first][1]] -= 1
+                    inside -= Counter()
+                    first += 1
+                best = max(best, (len(inside), -have[first][0], -place))
+            if best[0] >= need:
+                yield -best[1], 1 - best[2], own, label, best[0] / len(ordered)
 
 
 def _scan(phrases: tuple, templates: tuple, rank: dict, containment: float):
@@ -160,14 +185,37 @@ def _scan(phrases: tuple, templates: tuple, rank: dict, containment: float):
                         base_labels[d].add(label)
                         labels[d].add(label)
                         score[d] = 1.0
+                lines: dict[int, list] = {}
                 slot = np.searchsorted(join.prefixes, hashes).clip(0, len(join.prefixes) - 1)
                 for b in np.unique(line[join.prefixes[slot] == hashes]).tolist():
                     lo_w, hi_w = np.searchsorted(line, b), np.searchsorted(line, b, "right")
                     d, hit = int(words.doc[lo_w]), False
-                    for label, share in join.block(hashes[lo_w:hi_w]):
+                    for own, label, share in join.block(hashes[lo_w:hi_w]):
                         labels[d].add(label)
                         score[d], hit = max(score[d], share), True
+                        lines.setdefault(d, []).append((int(lo_w), int(hi_w), own))
                     met[d] += hit
+                # a line without words, and a document, ends a run of lines
+                edges = np.flatnonzero((np.diff(line) > 1) | (np.diff(words.doc) > 0)) + 1
+                found: dict[int, set] = {}
+                for at in np.flatnonzero(join.prefixes[slot] == hashes).tolist():
+                    run = int(np.searchsorted(edges, at, "right"))
+                    first_w, end_w = int(edges[run - 1]) if run else 0, int(edges[run]) if run < len(edges) else len(hashes)
+                    if line[first_w] != line[end_w - 1]:
+                        for a, b, *what in join.wrapped(hashes[first_w:end_w], at - first_w):
+                            if line[first_w + a] != line[first_w + b - 1]:
+                                found.setdefault(int(words.doc[at]), set()).add((first_w + a, first_w + b, *what))
+                for d, hits in found.items():
+                    # what a line has met there, or a template with more words, is not met again
+                    known, until = [(a, b, own) for a, b, own in lines.get(d, ())], -1
+                    over = lambda a, b, own, c, e, other: a < e and c < b and own < other
+                    for a, b, own, label, share in sorted(hits, key=lambda h: h[:2]):
+                        if any(a < e and c < b and own <= other for c, e, other in known) or any(over(a, b, own, *h[:3]) for h in hits):
+                            continue
+                        labels[d].add(label)
+                        score[d] = max(score[d], share)
+                        met[d] += a >= until
+                        until = max(until, b)
                 columns = [batch.column(0).slice(lo, n), counts, base, first, last, [",".join(sorted(x)) for x in base_labels], [",".join(sorted(x)) for x in labels], score, met]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -181,7 +229,7 @@ def scan_licenses(documents: DataFrame, phrases: tuple = PHRASES, templates: tup
     characters. ``n_base`` places hold a phrase; ``first_word`` and
     ``last_word`` are their least and greatest word positions. ``labels`` adds
     to ``base_labels`` those of the templates that some block meets;
-    ``blocks`` counts these blocks. ``score`` is 1 with a phrase, else the
+    ``blocks`` counts these blocks (windows that overlap as one). ``score`` is 1 with a phrase, else the
     largest containment met.
     """
     texts = documents.select("doc_id", "text")
