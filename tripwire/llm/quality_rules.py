@@ -1,11 +1,15 @@
 """Quality rules as weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Each rule looks at one measure of a text and votes that it is good, votes that
-it is bad, or abstains between its two thresholds. No rule decides alone
-(except the base limits): over all texts, the EM of Dawid and Skene estimates
-how often each rule votes "bad" on bad and on good texts, and how many texts
-are bad, from the counts of the vote patterns. A text is kept when the
-posterior probability of "good" is at least 0.5.
+it is bad, or abstains between its two thresholds. Over all texts, the EM of
+Dawid and Skene estimates how often each rule votes "bad" on bad and on good
+texts, and how many texts are bad, from the counts of the vote patterns. A text
+is kept when the posterior probability of "good" is at least 0.5.
+
+The estimates are kept within MAX_FALSE and MIN_HIT, so the rules are nearly
+hard: one bad vote costs at least ln(MIN_HIT / MAX_FALSE) = 3.9 and mostly
+decides alone, and a rule that is wrong on many good texts loses no weight. The
+README has the figures, also those of estimates without these bounds.
 
 Everything runs in DataFrame expressions. Measures need no shuffle: repeated
 windows are found in each text's own array of window hashes. The vote patterns
