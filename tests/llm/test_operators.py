@@ -170,6 +170,24 @@ def test_repeats_match_brute_force(documents, awkward):
     assert plain(out, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_cut(awkward)
 
 
+def test_a_window_value_is_sent_once_by_a_task():
+    rng = np.random.default_rng(8)
+    doc, start = rng.integers(0, 500, 3000), rng.integers(0, 3, 3000).astype(np.uint32)
+    value = rng.integers(0, 3, 3000).astype(np.uint64) + np.uint64(1 << 40)
+    sent, later = [], set()
+    for batch in substring_dedup._settled((value % np.uint64(7)).astype(np.int64), value, doc, start, 7):
+        for row in batch.to_pylist():
+            if row["kind"] == substring_dedup.PACKED:
+                sent += list(zip(*(c.tolist() for c in substring_dedup._unpack(row["body"], np.int64, np.uint32, np.uint64)), strict=True))
+            else:
+                part = substring_dedup._unpack(row["body"], np.int64, np.uint32, np.uint32)
+                assert set(substring_dedup._doc_bucket(part[0], 7).tolist()) == {row["key"]}
+                later |= set(zip(*(c.tolist() for c in part), strict=True))
+    places = set(zip(doc.tolist(), start.tolist(), value.tolist(), strict=True))
+    assert sorted(sent) == sorted(min(p for p in places if p[2] == v) for v in {p[2] for p in places})
+    assert later == {(d, s, v & 0xFFFFFFFF) for d, s, v in places - set(sent)}
+
+
 def test_cut_repeats_keeps_rows_and_columns(documents, nothing):
     out = substring_dedup.cut_repeats(documents)
     assert out.columns == documents.columns and out.count() == documents.count()

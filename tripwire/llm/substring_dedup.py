@@ -45,7 +45,7 @@ _U = np.uint64
 ROW = "key int, kind int, doc_id long, rk long, n_words long, n_removed long, kept_sha256 string, body binary"
 _NAMES = ["key", "kind", "doc_id", "rk", "n_words", "n_removed", "kept_sha256", "body"]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-PACKED, TEXT, DONE = 0, 1, 2
+PACKED, TEXT, DONE, LATER = 0, 1, 2, 3
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -195,12 +195,26 @@ def _finished(key: int, doc_id, rk, raw: bytes) -> tuple:
     return (key, DONE, doc_id, rk, len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), None)
 
 
+def _settled(bucket: np.ndarray, value: np.ndarray, doc: np.ndarray, start: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of each value, the task's first place, for the others to compare; its other places are later whatever these
+    have, and go on to their documents' buckets."""
+    order = np.lexsort((start, doc, value, bucket))
+    bucket, value, doc, start = bucket[order], value[order], doc[order], start[order]
+    head = np.ones(len(value), bool)
+    head[1:] = (value[1:] != value[:-1]) | (bucket[1:] != bucket[:-1])
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    later = (doc != doc[lead]) | (start != start[lead])  # the same place again, of a repeated row, is the first one
+    at = np.flatnonzero(head)[np.lexsort((start[head], doc[head]))]
+    yield from _packed(bucket[at], doc[at], start[at], value[at])
+    at = np.flatnonzero(later)[np.lexsort((start[later], doc[later]))]
+    yield from _packed(_doc_bucket(doc[at], buckets), doc[at], start[at], value[at].astype(np.uint32), kind=LATER)
+
+
 def _extend(window: int, buckets: int):
     """Texts with their hits -> all windows that hold a hit, by value, and those texts; other texts are finished."""
 
     def send(held: list) -> Iterator[pa.RecordBatch]:
-        bucket, value, doc, start = (np.concatenate(c) for c in zip(*held, strict=True))
-        yield from _packed(bucket, doc, start, value)
+        yield from _settled(*(np.concatenate(c) for c in zip(*held, strict=True)), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -262,8 +276,8 @@ def _first(buckets: int):
                 if row[1] == PACKED:
                     parts.append(_unpack(row[-1], np.int64, np.uint32, np.uint64))
                     continue
-                key = row[0] if row[1] == DONE else int(_doc_bucket(np.array([NO_ID if row[2] is None else row[2]]), buckets)[0])
-                out.append((key, *row[1:]))
+                key = int(_doc_bucket(np.array([NO_ID if row[2] is None else row[2]]), buckets)[0]) if row[1] == TEXT else row[0]
+                out.append((key, PACKED if row[1] == LATER else row[1], *row[2:]))
                 size += len(row[-1] or b"")
                 if size > 1 << 22:
                     yield _rows(out)
