@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwire.llm import (
-    chat_format, decontaminate, html_extract, license_scan, near_dedup, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, toxicity,
+    chat_format, decontaminate, html_extract, license_scan, near_dedup, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, substring_dedup, toxicity,
 )
 from tripwire.llm._tables import read_table
 
@@ -99,6 +99,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8,
     "op9_license_scan": op9,
     "op10_substring_dedup": op10,
+    "op13_ranked_search": op13,
     "pipeline": pipeline,
 }
 
@@ -180,5 +185,18 @@ words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FRO
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
+""",
+    "op13_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS ws FROM documents),
+total AS (SELECT count(*) FILTER (WHERE len(ws) > 0) AS n_docs, sum(len(ws)) AS n_terms FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+c AS (SELECT d.r, doc_id, tf.term, (1000000000 * tf) // (1000 * tf + 12 * (75 + CAST((25 * len(ws) * n_docs) // n_terms AS BIGINT))) AS c
+      FROM d JOIN tf USING (r), total),
+i AS (SELECT k, item_id, term, count(*) AS times FROM (SELECT row_number() OVER () AS k, item_id,
+      unnest(regexp_extract_all({_LOWER}, {_ALNUM})) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+s AS (SELECT k, item_id, r, doc_id, CAST(sum(times * w * c) AS BIGINT) AS score FROM i JOIN w USING (term) JOIN c USING (term) GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
