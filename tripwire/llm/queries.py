@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripwire.llm import (
     chat_format, decontaminate, html_extract, license_scan, near_dedup, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, substring_dedup, toxicity,
+    vector_codes,
 )
 from tripwire.llm._tables import read_table
 
@@ -99,6 +100,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
 
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8,
     "op9_license_scan": op9,
     "op10_substring_dedup": op10,
+    "op11_vector_codes": op11,
     "op13_ranked_search": op13,
     "pipeline": pipeline,
 }
@@ -129,6 +135,13 @@ _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _TEMPLATES = ", ".join(f"({i}, '{text}', '{label}')" for i, (text, label) in enumerate(license_scan.TEMPLATES))
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+# Product quantisation: parts to their nearest entry, and entries to the floor of their parts' means.
+_ASSIGN = """{to} AS (SELECT r, part, arg_min(entry, d * 64 + entry) AS entry, min(d) AS d FROM
+      (SELECT r, part, entry, CAST(list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM p JOIN {books} USING (part)) GROUP BY r, part)"""
+_LEARN = """{to} AS (SELECT part, entry, coalesce(new, e) AS e FROM {books} LEFT JOIN (SELECT part, entry, list(c ORDER BY i) AS new FROM
+      (SELECT part, entry, i, CAST(floor(sum(c) / count(*)) AS BIGINT) AS c FROM
+       (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM {rows} JOIN p USING (r, part)) GROUP BY part, entry, i) GROUP BY part, entry) USING (part, entry))"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_near_duplicates": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
@@ -185,6 +198,21 @@ words AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FRO
 kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
+""",
+    "op11_vector_codes": f"""
+WITH kept AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, part, v[part * len(v) // 16 + 1:(part + 1) * len(v) // 16] AS x FROM kept, range(16) t(part)),
+seed AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS entry FROM kept QUALIFY entry < 64),
+b0 AS (SELECT part, entry, x AS e FROM seed JOIN p USING (r)),
+{_ASSIGN.format(to="a0", books="b0")},
+{_LEARN.format(to="b1", rows="a0", books="b0")},
+{_ASSIGN.format(to="a1", books="b1")},
+{_LEARN.format(to="b2", rows="a1", books="b1")},
+{_ASSIGN.format(to="a2", books="b2")},
+coded AS (SELECT r, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS s FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256 FROM kept JOIN coded USING (r), digest
 """,
     "op13_ranked_search": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS ws FROM documents),
