@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tripwire.llm import (
     chat_format, decontaminate, html_extract, license_scan, near_dedup, quality_classifier, quality_rules, ranked_search, sentencepiece_codec, substring_dedup, toxicity,
-    vector_codes,
+    vector_codes, warc,
 )
 from tripwire.llm._tables import read_table
+from tripwire.session import scratch_path
 
 TOKENIZER = "piece_bpe_32k.model"
 _shipped: set[str] = set()
@@ -104,6 +105,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.page_records(warc.salvage_archives(spark, path, scratch_path(spark, "quarantine"), payload=False))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
 
@@ -126,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9,
     "op10_substring_dedup": op10,
     "op11_vector_codes": op11,
+    "op12_warc": op12,
     "op13_ranked_search": op13,
     "pipeline": pipeline,
 }
@@ -213,6 +221,14 @@ b0 AS (SELECT part, entry, x AS e FROM seed JOIN p USING (r)),
 coded AS (SELECT r, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
 digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS s FROM b2)
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256 FROM kept JOIN coded USING (r), digest
+""",
+    "op12_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+f AS (SELECT page_id, n, h, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
 """,
     "op13_ranked_search": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS ws FROM documents),
