@@ -1,0 +1,157 @@
+"""Ranked search against direct scoring."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tripwire.llm import ranked_search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+SCHEMA = "doc_id long, text string, item_id int, rank string, score double, term int"
+
+
+def terms(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(rows, items, k):
+    docs = [(d, Counter(terms(t)), len(terms(t))) for d, t in rows]
+    n_docs, n_terms = sum(n > 0 for *_, n in docs), sum(n for *_, n in docs)
+    df = Counter(t for _, tf, _ in docs for t in tf)
+    out = Counter()
+    for item, text in dict.fromkeys(items):
+        scores = []
+        for d, tf, n in docs:
+            score = 0
+            for t in terms(text):
+                if tf[t]:
+                    m = 75 + (25 * n * n_docs) // n_terms
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += w * ((1_000_000_000 * tf[t]) // (1000 * tf[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, d is None, d or 0))
+        out.update((item, r + 1, None if null else d, -s) for r, (s, null, d) in enumerate(sorted(scores)[:k]))
+    return out
+
+
+def found(spark, rows, items, k, parts=5, **more):
+    docs = spark.createDataFrame([(d, t, 1, "x", 0.5, 2) for d, t in rows], SCHEMA).repartition(parts)
+    table = spark.createDataFrame([(i, t, 3) for i, t in items], "item_id long, text string, doc_id int")
+    return Counter(tuple(r) for r in ranked_search.rank_documents(docs, table, k, **more).collect())
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice(["ka", "Lo", "mi", "é", "9"]) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    prose = lambda n: " ".join(vocabulary[min(int(rng.expovariate(0.02)), 299)] for _ in range(n))
+    rows = [(d, prose(rng.randint(1, 60))) for d in range(400)]
+    rows += [(400, None), (401, ""), (402, "... !!"), (403, prose(30_000)), (None, prose(20)), (None, None)]
+    rows += [(500 + d, rows[5][1]) for d in range(60)] + [rows[7], rows[7], (7, "another text of that id"), (-3, rows[5][1])]
+    items = [(i, prose(rng.randint(1, 25))) for i in range(50)]
+    items += [(60, None), (61, "?"), (62, "wordofnodocument"), (63, rows[5][1]), (64, rows[403][1]), items[0], (0, "ka lo"), (None, items[1][1]), (65, "Ka ka KA kA" * 3)]
+    return rows, items
+
+
+@pytest.mark.parametrize("k, block_words, parts", [(20, ranked_search.BLOCK_WORDS, 5), (1, 300, 2), (7, 2000, 70)])
+def test_equals_direct_scoring(spark, corpus, k, block_words, parts):
+    rows, items = corpus
+    assert found(spark, rows, items, k, parts, block_words=block_words) == brute(rows, items, k)
+
+
+def test_many_small_trees(spark, corpus, monkeypatch):
+    monkeypatch.setattr(ranked_search, "CELLS", 200)
+    rows, items = corpus
+    assert found(spark, rows, items, 20, 1) == brute(rows, items, 20)
+
+
+def test_no_documents_or_items(spark):
+    assert not found(spark, [], [(1, "a")], 5)
+    assert not found(spark, [(1, "a")], [], 5)
+    assert not found(spark, [(1, None), (2, "!")], [(1, "a")], 5)
+    assert found(spark, [(1, "A b")], [(1, "a")], 5) == brute([(1, "A b")], [(1, "a")], 5)
+
+
+def _searched(n_docs, seed):
+    """One batch of documents of a few kinds of words, and items of one kind each."""
+    rng = np.random.default_rng(seed)
+    kinds = [np.arange(k * 40, k * 40 + 40) for k in range(12)]
+    ptr, term, tf = [0], [], []
+    for _ in range(n_docs):
+        words, times = np.unique(rng.choice(kinds[rng.integers(12)], 30), return_counts=True)
+        term.append(words)
+        tf.append(times)
+        ptr.append(ptr[-1] + len(words))
+    texts = [" ".join(f"w{w}" for w in rng.choice(kinds[i % 12], 15)) for i in range(60)]
+    block = ranked_search.make_block(list(range(60)), texts)
+    place = {int(h): i for i, h in enumerate(block.vocabulary)}
+    names = ranked_search.make_block([0], [" ".join(f"w{w}" for w in range(480))])
+    del names
+    import pyarrow as pa
+
+    word_hash = {w: int(h[0]) for w in range(480) for _, _, h in ranked_search._term_hashes(pa.array([f"w{w}"]))}
+    batch = {"ids": np.arange(n_docs), "n": np.full(n_docs, 30), "ptr": np.array(ptr), "term": np.concatenate(term), "tf": np.concatenate(tf)}
+    keep = np.array([word_hash[int(w)] in place for w in batch["term"]])
+    batch["ptr"] = np.concatenate([[0], np.cumsum(keep)])[batch["ptr"]]
+    batch["term"] = np.array([place.get(word_hash[int(w)], -1) for w in batch["term"]])[keep]
+    batch["tf"] = batch["tf"][keep]
+    return block, batch
+
+
+def test_bounds_leave_out_most_pairs():
+    block, batch = _searched(2000, 1)
+    weight = np.full(len(block.vocabulary), 3000, np.int64)
+    root = ranked_search.item_tree(block, weight)
+    search = ranked_search.Search(root, 60, 5, np.zeros(60, np.int64), np.full(60, ranked_search._NULL_ID))
+    for tree, place in ranked_search.doc_trees(**batch, weight=weight, n_docs=2000, n_terms=60_000):
+        search.add(tree, place)
+    assert 0 < search.scored < 0.25 * 60 * 2000
+    assert all(best is not None and len(best[0]) == 5 for best in search.best)
+
+
+def test_bounds_are_never_below_a_score():
+    block, batch = _searched(300, 2)
+    weight = np.random.default_rng(1).integers(0, 20_000, len(block.vocabulary))
+    root = ranked_search.item_tree(block, weight)
+    (tree, place), = ranked_search.doc_trees(**batch, weight=weight, n_docs=300, n_terms=9000)
+    values = np.zeros((60, len(weight)))
+    for i in range(60):
+        s = slice(block.ptr[i], block.ptr[i + 1])
+        values[i, block.term[s]] = block.times[s] * weight[block.term[s]]
+    used = np.flatnonzero(place >= 0)
+    scores = tree.table[:, place[used]].astype(float) @ values[:, used].T
+
+    def check(node):
+        held = place[node.term] >= 0
+        for depth, level in enumerate(tree.levels):
+            bounds = level[:, place[node.term][held]].astype(float) @ node.top[held]
+            span = ranked_search.DOC_LEAF * ranked_search.FAN ** (len(tree.levels) - 1 - depth)
+            for g, bound in enumerate(bounds):
+                assert scores[g * span : (g + 1) * span, node.items].max() <= bound
+        for child in node.children:
+            check(child)
+
+    check(root)
+
+
+def test_long_items_are_summed_in_whole_numbers():
+    """Beyond 2^53 doubles would round; scores stay exact."""
+    block = ranked_search.make_block([0], [" ".join(["alpha"] * 3 + ["beta"] * 5)])
+    block.times = np.array([10**10 + 1, 10**10 + 7])
+    weight = np.array([10_001, 9_999])
+    root = ranked_search.item_tree(block, weight)
+    search = ranked_search.Search(root, 1, 2, np.zeros(1, np.int64), np.full(1, ranked_search._NULL_ID))
+    batch = {"ids": np.array([5, 6]), "n": np.array([3, 4]), "ptr": np.array([0, 2, 4]), "term": np.array([0, 1, 0, 1]), "tf": np.array([1, 2, 3, 1])}
+    for tree, place in ranked_search.doc_trees(**batch, weight=weight, n_docs=2, n_terms=7):
+        search.add(tree, place)
+    want = []
+    for d, n, tf in ((5, 3, (1, 2)), (6, 4, (3, 1))):
+        m = 75 + 25 * n * 2 // 7
+        want.append((sum(int(block.times[j]) * int(weight[j]) * (10**9 * tf[j] // (1000 * tf[j] + 12 * m)) for j in (0, 1)), d))
+    assert [(int(s), int(d)) for s, d in zip(*search.best[0], strict=True)] == sorted(want, key=lambda x: (-x[0], x[1]))

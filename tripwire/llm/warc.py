@@ -48,7 +48,7 @@ _EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000030300") + bytes(8)  # no bytes
 _FIRST_BYTES = 1 << 16
 _HEADER_BYTES = 1 << 20
 _START = re.compile(rb"WARC/\d+\.\d+\r?\n")
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/\d+\.\d+\r?\n")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r?\n")
 _ENTRY = "archive string, at long, size long, gap string, type string, record_id string, refers_to string, target string, digest string, payload_bytes long, payload binary"
 
 
