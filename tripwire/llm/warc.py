@@ -153,6 +153,8 @@ def _record_at(data: bytes | memoryview, at: int) -> tuple[Record, int]:
     end = head.find(END)
     if end < 0:
         raise Damage("header without end")
+    if any(b":" not in line and line[:1] not in (b" ", b"\t") for line in head[:end].split(b"\n")[1:]):
+        raise Damage("header line without a name")
     fields = _fields(head[:end])
     length = fields.get("content-length", "")
     if not re.fullmatch("[0-9]{1,18}", length):
