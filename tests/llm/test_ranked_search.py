@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripwire.llm import ranked_search
@@ -91,10 +92,6 @@ def _searched(n_docs, seed):
     texts = [" ".join(f"w{w}" for w in rng.choice(kinds[i % 12], 15)) for i in range(60)]
     block = ranked_search.make_block(list(range(60)), texts)
     place = {int(h): i for i, h in enumerate(block.vocabulary)}
-    names = ranked_search.make_block([0], [" ".join(f"w{w}" for w in range(480))])
-    del names
-    import pyarrow as pa
-
     word_hash = {w: int(h[0]) for w in range(480) for _, _, h in ranked_search._term_hashes(pa.array([f"w{w}"]))}
     batch = {"ids": np.arange(n_docs), "n": np.full(n_docs, 30), "ptr": np.array(ptr), "term": np.concatenate(term), "tf": np.concatenate(tf)}
     keep = np.array([word_hash[int(w)] in place for w in batch["term"]])
@@ -143,7 +140,7 @@ def test_bounds_are_never_below_a_score():
 def test_long_items_are_summed_in_whole_numbers():
     """Beyond 2^53 doubles would round; scores stay exact."""
     block = ranked_search.make_block([0], [" ".join(["alpha"] * 3 + ["beta"] * 5)])
-    block.times = np.array([10**10 + 1, 10**10 + 7])
+    block.times = np.array([10**9 + 1, 10**9 + 7])
     weight = np.array([10_001, 9_999])
     root = ranked_search.item_tree(block, weight)
     search = ranked_search.Search(root, 1, 2, np.zeros(1, np.int64), np.full(1, ranked_search._NULL_ID))

@@ -9,7 +9,8 @@ vector of repeats * w, a document one of c, and nothing is negative.
 Method. Items form a tree (leaves of ``ITEM_LEAF``, ``FAN`` children above) and the documents of each batch form
 another; a node holds the largest value of each coordinate below it. The product of an item node with a document node
 bounds every score between the two, so the pair is dropped whole when that bound is below the weakest k-th score of the
-node's items. What remains is descended on both sides; leaf pairs are scored exactly, best bounds first.
+node's items. What remains is descended on both sides, an item leaf with one bound for each of its items; leaf pairs are
+scored exactly, best bounds first.
 
 How it runs. Items are taken in blocks of ``BLOCK_WORDS`` words (a longer item is a block by itself), one block at a
 time. One pass over ``documents`` counts N, L and df and writes, for each task, batches of the postings of the block's
@@ -50,6 +51,7 @@ ITEM_LEAF, DOC_LEAF, FAN = 8, 16, 4
 PACK_DOCS = 512
 CELLS = 1 << 22
 LEAVES_AT_ONCE = 4
+TURNS = 3
 _EXACT = float(1 << 53)
 _C_MAX = 1e6  # c is below this: m is 75 at least
 _SLACK = 1 + 1e-9  # more than doubles lose in a sum of a block's terms
@@ -182,17 +184,49 @@ def _merged(term: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return term[first], np.maximum.reduceat(value, first)
 
 
+def alike(ptr: np.ndarray, column: np.ndarray, value: np.ndarray, width: int, leaf: int) -> np.ndarray:
+    """The rows of a sparse matrix, in an order that has similar ones in the same leaf and the same subtree: they are halved
+    again and again by their place along a direction of large variance (``TURNS`` power iterations from a fixed start)."""
+    n = len(ptr) - 1
+    owner = np.repeat(np.arange(n), np.diff(ptr))
+    length = np.sqrt(np.bincount(owner, value * value, n))
+    unit = value / np.where(length > 0, length, 1)[owner]
+    start = np.random.default_rng(1).standard_normal(width)
+    out = []
+
+    def halve(rows: np.ndarray) -> None:
+        if len(rows) <= leaf:
+            out.append(rows)
+            return
+        each = ptr[rows + 1] - ptr[rows]
+        ends = np.cumsum(each)
+        at = np.arange(ends[-1]) + np.repeat(ptr[rows] - ends + each, each)
+        c, u, own = column[at], unit[at], np.repeat(np.arange(len(rows)), each)
+        along = np.bincount(own, u * start[c], len(rows))
+        for _ in range(TURNS):
+            along -= along.mean()
+            along /= max(np.abs(along).max(), 1e-300)
+            along = np.bincount(own, u * np.bincount(c, u * along[own], width)[c], len(rows))
+        order = np.argsort(along, kind="stable")
+        half = -(-(len(rows) // 2) // leaf) * leaf
+        halve(rows[order[:half]])
+        halve(rows[order[half:]])
+
+    halve(np.arange(n))
+    return np.concatenate(out)
+
+
 def item_tree(block: Block, weight: np.ndarray) -> ItemNode | None:
-    """Items that share their heaviest terms side by side, in leaves of ``ITEM_LEAF``; None without terms."""
+    """Similar items in the same leaf of ``ITEM_LEAF``; None if no item has a term of some weight."""
     value = block.times * weight[block.term].astype(np.float64)
-    keys = []
-    for i, (lo, hi) in enumerate(pairwise(block.ptr)):
-        if hi > lo and value[lo:hi].any():
-            keys.append((*block.term[lo:hi][np.argsort(-value[lo:hi], kind="stable")[:3]].tolist(), -i))
-    order = [-key[-1] for key in sorted(keys)]
+    some = np.array([i for i, (lo, hi) in enumerate(pairwise(block.ptr)) if value[lo:hi].any()], np.int64)
+    if not len(some):
+        return None
+    order = alike(block.ptr, block.term, value, len(weight), ITEM_LEAF)
+    order = order[np.isin(order, some)]
     nodes = []
     for at in range(0, len(order), ITEM_LEAF):
-        items = np.array(order[at : at + ITEM_LEAF])
+        items = order[at : at + ITEM_LEAF]
         spans = [slice(block.ptr[i], block.ptr[i + 1]) for i in items]
         term, top = _merged(np.concatenate([block.term[s] for s in spans]), np.concatenate([value[s] for s in spans]))
         dense = np.zeros((len(items), len(term)))
@@ -206,19 +240,16 @@ def item_tree(block: Block, weight: np.ndarray) -> ItemNode | None:
             term, top = _merged(np.concatenate([x.term for x in below]), np.concatenate([x.top for x in below]))
             above.append(ItemNode(np.concatenate([x.items for x in below]), term, top, below, None))
         nodes = above
-    return nodes[0] if nodes else None
+    return nodes[0]
 
 
 class DocTree:
     """A tree over some documents. ``levels[0]`` is the root, the last level the leaves of ``DOC_LEAF`` documents."""
 
     def __init__(self, ids: np.ndarray, ptr: np.ndarray, column: np.ndarray, values: np.ndarray, heavy: np.ndarray, width: int):
-        rows = np.repeat(np.arange(len(ids)), np.diff(ptr))
-        # documents that share their heaviest term, and then the term's value, stand side by side
-        lead = np.lexsort((-heavy, rows))[ptr[:-1]]
-        order = np.lexsort((ids, -heavy[lead], column[lead]))
+        order = alike(ptr, column, heavy.astype(np.float64), width, DOC_LEAF)
         table = np.zeros((len(ids), width), np.float32)
-        table[rows, column] = values
+        table[np.repeat(np.arange(len(ids)), np.diff(ptr)), column] = values
         self.table, self.ids = table[order], ids[order]
         levels = [np.maximum.reduceat(self.table, np.arange(0, len(ids), DOC_LEAF), axis=0)]
         while len(levels[0]) > 1:
@@ -249,41 +280,46 @@ class Search:
         if not held.any():
             return
         column = column[held]
-        bounds = tree.levels[depth][np.ix_(groups, column)].astype(np.float64) @ node.top[held] * _SLACK
-        self.bounded += len(groups)
-        alive = (bounds > 0) & (bounds >= self.score[node.items].min())
-        if not alive.any():
-            return
-        groups, bounds = groups[alive], bounds[alive]
-        leaves = depth == len(tree.levels) - 1
-        if node.children:
-            below = groups if leaves else tree.below(depth, groups)
-            for child in node.children:
-                self._visit(tree, place, child, depth if leaves else depth + 1, below)
-        elif not leaves:
-            self._visit(tree, place, node, depth + 1, tree.below(depth, groups))
-        else:
-            order = np.argsort(-bounds, kind="stable")
-            for at in range(0, len(order), LEAVES_AT_ONCE):
-                now = order[at : at + LEAVES_AT_ONCE]
-                if bounds[now[0]] < self.score[node.items].min():
-                    return
-                self._score(tree, node, held, column, groups[now])
-
-    def _score(self, tree: DocTree, node: ItemNode, held: np.ndarray, column: np.ndarray, leaves: np.ndarray) -> None:
-        rows = (leaves[:, None] * DOC_LEAF + np.arange(DOC_LEAF)).ravel()
-        rows = rows[rows < len(tree.ids)]
-        dense = node.dense[:, held]
-        kind = np.float64 if dense.sum(axis=1).max() * _C_MAX < _EXACT else np.int64
-        scores = (tree.table[np.ix_(rows, column)].astype(kind) @ dense.T.astype(kind)).astype(np.int64)
-        self.scored += scores.size
-        ids = tree.ids[rows]
-        for j, item in enumerate(node.items):
-            s = scores[:, j]
-            better = (s > self.score[item]) | ((s == self.score[item]) & (ids < self.doc[item]))
-            better &= s > 0
-            if better.any():
-                self._keep(item, s[better], ids[better])
+        while True:
+            # of inner nodes one bound for all items, of leaves one for each
+            weakest = self.score[node.items] if node.dense is not None else self.score[node.items].min(keepdims=True)
+            values = node.dense[:, held] if node.dense is not None else node.top[None, held]
+            bounds = values @ tree.levels[depth][np.ix_(groups, column)].T.astype(np.float64) * _SLACK
+            self.bounded += bounds.size
+            alive = ((bounds > 0) & (bounds >= weakest[:, None])).any(axis=0)
+            if not alive.any():
+                return
+            groups, bounds = groups[alive], bounds[:, alive]
+            last = depth == len(tree.levels) - 1
+            if node.children:
+                below = groups if last else tree.below(depth, groups)
+                for child in node.children:
+                    self._visit(tree, place, child, depth if last else depth + 1, below)
+                return
+            if last:
+                self._score(tree, node, values, column, groups, bounds)
+                return
+            groups, depth = tree.below(depth, groups), depth + 1
+
+    def _score(self, tree: DocTree, node: ItemNode, values: np.ndarray, column: np.ndarray, leaves: np.ndarray, bounds: np.ndarray) -> None:
+        kind = np.float64 if values.sum(axis=1).max() * _C_MAX < _EXACT else np.int64
+        order = np.argsort(-bounds.max(axis=0), kind="stable")
+        for at in range(0, len(order), LEAVES_AT_ONCE):
+            now = order[at : at + LEAVES_AT_ONCE]
+            alive = (bounds[:, now] > 0) & (bounds[:, now] >= self.score[node.items][:, None])
+            items, now = np.flatnonzero(alive.any(axis=1)), now[alive.any(axis=0)]
+            if not len(items):
+                continue
+            rows = (leaves[now][:, None] * DOC_LEAF + np.arange(DOC_LEAF)).ravel()
+            rows = rows[rows < len(tree.ids)]
+            scores = (tree.table[np.ix_(rows, column)].astype(kind) @ values[items].T.astype(kind)).astype(np.int64)
+            self.scored += scores.size
+            ids = tree.ids[rows]
+            for j, item in enumerate(node.items[items]):
+                s = scores[:, j]
+                better = ((s > self.score[item]) | ((s == self.score[item]) & (ids < self.doc[item]))) & (s > 0)
+                if better.any():
+                    self._keep(item, s[better], ids[better])
 
     def _keep(self, item: int, score: np.ndarray, doc: np.ndarray) -> None:
         if self.best[item] is not None:
