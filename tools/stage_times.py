@@ -41,11 +41,13 @@ def main() -> None:
     ap.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.1")
     ap.add_argument("--runs", type=int, default=2, help="runs; stages of the last one are shown")
     ap.add_argument("--cpus", type=int, default=8, help="local cores (and shuffle partitions)")
+    ap.add_argument("--parts", type=int, default=0, help="deal the test table's rows out to so many tasks")
     args = ap.parse_args()
 
     from pyspark.sql import SparkSession
 
     from tripwire.plans import QUERIES
+    from tripwire.plans.driver import PARTS_CONF
     from tripwire.session import ENGINE_CONF
 
     log_dir = tempfile.mkdtemp(prefix="run-eventlog-", dir="/tmp")
@@ -57,6 +59,7 @@ def main() -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set(PARTS_CONF, str(args.parts))
     for i in range(args.runs):
         spark.sparkContext.setJobGroup(f"run{i}", args.plan)
         QUERIES[args.plan](spark, args.sf_dir).write.format("noop").mode("overwrite").save()

@@ -8,6 +8,7 @@ from tripwire.operators.parse import (
     split_events,
     validate_events,
 )
+from tripwire.operators.panes import detect_alerts_panes
 from tripwire.operators.rules import (
     brute_force,
     click_burst,
@@ -20,7 +21,7 @@ from tripwire.operators.trailing import latest_event_time, trailing_alerts
 
 __all__ = [
     "alert_feed", "alert_kpis", "alerts_by_type", "brute_force", "classify_events", "click_burst",
-    "decode_alerts", "decode_events", "detect_alerts", "detect_alerts_union", "encode_alerts",
+    "decode_alerts", "decode_events", "detect_alerts", "detect_alerts_panes", "detect_alerts_union", "encode_alerts",
     "encode_events", "event_count", "first_alerts", "latest_alerts", "latest_event_time", "new_alerts", "parse_events", "recent_alerts",
     "recent_events", "rejected_events", "rejected_messages", "split_events", "top_ips", "trailing_alerts",
     "transaction_velocity", "validate_events",

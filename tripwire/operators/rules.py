@@ -33,12 +33,17 @@ from tripwire.schemas import (
 
 DEFAULT_KEYS = ("user_id", "ip_address")
 RULE_ACTIONS = (LOGIN_FAILED, TRANSACTION_SUCCESS, *CLICK_ACTIONS)
+MEASURES = ("n_login", "n_txn", "txn_amount", "n_click")
 
 
-def _grouped(events: DataFrame, cond: Column, rules: Rules, keys: Sequence[str]):
+def check_keys(keys: Sequence[str]) -> None:
     if not keys or not set(keys) <= set(DEFAULT_KEYS):
         # The alert record carries user_id and ip_address only.
         raise ValueError(f"keys must be a non-empty subset of {DEFAULT_KEYS}, got {tuple(keys)}")
+
+
+def _grouped(events: DataFrame, cond: Column, rules: Rules, keys: Sequence[str]):
+    check_keys(keys)
     return events.filter(watermark_safe(events, cond)).groupBy(
         F.window("event_time", rules.window, rules.slide).alias("window"), *keys
     )
@@ -137,16 +142,27 @@ def detect_alerts(events: DataFrame, rules: Rules = Rules(), keys: Sequence[str]
     adds the ``window`` struct (the event-time column) for a later stateful
     step on the stream, e.g. ``first_alerts``.
     """
-    is_login = F.col("action") == LOGIN_FAILED
-    is_txn = F.col("action") == TRANSACTION_SUCCESS
-    is_click = F.col("action").isin(*CLICK_ACTIONS)
-    agg = _grouped(events, F.col("action").isin(*RULE_ACTIONS), rules, keys).agg(
+    agg = _grouped(events, F.col("action").isin(*RULE_ACTIONS), rules, keys).agg(*rule_measures())
+    return alerts_of(agg, rules, keys, keep_window)
+
+
+def rule_measures(when: Column | None = None) -> list[Column]:
+    """The four additive measures of the rules, over the rows for which ``when`` holds."""
+    also = F.lit(True) if when is None else when
+    is_login = (F.col("action") == LOGIN_FAILED) & also
+    is_txn = (F.col("action") == TRANSACTION_SUCCESS) & also
+    is_click = F.col("action").isin(*CLICK_ACTIONS) & also
+    return [
         F.count_if(is_login).alias("n_login"),
         F.count_if(is_txn).alias("n_txn"),
         F.sum(F.when(is_txn, nan_to_null("amount"))).alias("txn_amount"),
         F.count_if(is_click).alias("n_click"),
-    )
-    n_login, n_txn, amount, n_click = (F.col(c) for c in ("n_login", "n_txn", "txn_amount", "n_click"))
+    ]
+
+
+def alerts_of(agg: DataFrame, rules: Rules, keys: Sequence[str] = DEFAULT_KEYS, keep_window: bool = False) -> DataFrame:
+    """The alerts of measured windows: ``window``, the keys and the columns of :func:`rule_measures`."""
+    n_login, n_txn, amount, n_click = (F.col(c) for c in MEASURES)
     candidates = [
         (BRUTE_FORCE, (n_login > 0) & (n_login >= rules.max_failed_logins), n_login, F.lit(0.0)),
         (VELOCITY, (n_txn > 0) & ((n_txn >= rules.max_transaction_velocity)

@@ -27,6 +27,7 @@ from tripwire.operators import (
     decode_alerts,
     decode_events,
     detect_alerts,
+    detect_alerts_panes,
     detect_alerts_union,
     encode_alerts,
     encode_events,
@@ -59,8 +60,9 @@ from tripwire.streaming import (
     write_events,
 )
 
-# The test tables are files of one row group: their rows are dealt out to this many tasks.
-PARTS = 8
+# The test tables are files of one row group, which a scan can't split. A caller with more cores than row groups
+# (bench.py) may have their rows dealt out to so many tasks; by default the scan stays as it is.
+PARTS_CONF = "spark.tripwire.parts"
 # Rule parameters for the driver's events table.
 DRIVER_RULES = Rules(
     window="5 days",
@@ -107,9 +109,13 @@ def stamped(alerts: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- inputs
 
+def _parts(spark: SparkSession) -> int:
+    return int(spark.conf.get(PARTS_CONF, "0"))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return read_event_records(spark, sf_dir, parts=PARTS)
+    return read_event_records(spark, sf_dir, parts=_parts(spark))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +176,18 @@ def q_detect_alerts_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(detect_alerts_union(events(spark, sf_dir), DRIVER_RULES))
 
 
+def q_pane_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 from panes: windows are put together behind the shuffle."""
+    return comparable_alerts(detect_alerts_panes(events(spark, sf_dir), DRIVER_RULES))
+
+
+def q_pane_alerts_long_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 from panes with windows of 20 half-day slides, per user only."""
+    long = DRIVER_RULES.with_(window="10 days", slide="12 hours", max_failed_logins=6, max_transaction_velocity=6,
+                              max_transaction_amount=600.0, max_clicks_per_window=10)
+    return comparable_alerts(detect_alerts_panes(events(spark, sf_dir), long, keys=("user_id",)))
+
+
 def q_per_user_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 keyed by user only: a burst spread over several IPs still counts."""
     return comparable_alerts(transaction_velocity(events(spark, sf_dir), DRIVER_RULES, keys=("user_id",)))
@@ -264,7 +282,7 @@ def q_stream_events_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     the watermark, written to Parquet by action, read back."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_events")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     parsed = parse_events(raw, DRIVER_RULES.watermark)
     run_once(write_events(parsed, f"{base}/events", f"{base}/_checkpoint", trigger={"availableNow": True}))
     return comparable_events(read_events(spark, f"{base}/events"))
@@ -275,7 +293,7 @@ def q_backfill_from_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     run through the rules; the rules' action filter prunes the folders."""
     ensure_utc(spark)
     base = scratch_path(spark, "backfill")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     run_once(write_events(parse_events(raw, DRIVER_RULES.watermark), f"{base}/events", f"{base}/_checkpoint",
                           trigger={"availableNow": True}))
     at_rest = read_events(spark, f"{base}/events")
@@ -287,7 +305,7 @@ def q_stream_alerts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows the watermark has closed come out."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_alerts")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
     run_once(write_alerts(live, f"{base}/alerts", f"{base}/_checkpoint", trigger={"availableNow": True},
                           state_partitions=_state_partitions(spark)))
@@ -298,7 +316,7 @@ def q_stream_first_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 on a stream: first-wins dedup sharing the rules' watermark, in append mode."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_first")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES, keep_window=True)
     run_once(write_alerts(first_alerts(live), f"{base}/alerts", f"{base}/_checkpoint",
                           trigger={"availableNow": True}, state_partitions=_state_partitions(spark)))
@@ -310,7 +328,7 @@ def q_pipeline_alerts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame
     committed output, so each payload is parsed once; closed windows come out."""
     ensure_utc(spark)
     base = scratch_path(spark, "live_job")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     spec = PipelineSpec(events_path=f"{base}/events", alerts_path=f"{base}/alerts", checkpoint_base=f"{base}/_ck",
                         rules=DRIVER_RULES, trigger={"availableNow": True}, alerts_from_events=True,
                         state_partitions=_state_partitions(spark))
@@ -328,7 +346,7 @@ def q_stream_alerts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     is logged as it happens; the latest version of each alert is the batch result."""
     ensure_utc(spark)
     base = scratch_path(spark, "stream_updates")
-    raw = read_event_records(spark, sf_dir, streaming=True, parts=PARTS)
+    raw = read_event_records(spark, sf_dir, streaming=True, parts=_parts(spark))
     live = detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
     run_once(write_alert_updates(live, f"{base}/updates", f"{base}/_checkpoint", trigger={"availableNow": True},
                                  state_partitions=_state_partitions(spark)))
@@ -344,6 +362,8 @@ QUERIES = {
     "click_burst": q_click_burst,
     "detect_alerts": q_detect_alerts,
     "detect_alerts_union": q_detect_alerts_union,
+    "pane_alerts": q_pane_alerts,
+    "pane_alerts_long_windows": q_pane_alerts_long_windows,
     "per_user_velocity": q_per_user_velocity,
     "tumbling_alerts": q_tumbling_alerts,
     "split_valid_events": q_split_valid_events,

@@ -159,6 +159,26 @@ agg AS (
   GROUP BY window_start, user_id
 )"""
 
+# Windows of 10 days sliding by 12 hours, per user, with thresholds of their own.
+LONG = EV + """,
+win AS (
+  SELECT time_bucket(INTERVAL '12 hours', event_time, TIMESTAMP '1970-01-01') - to_hours(CAST(12 * i AS BIGINT))
+           AS window_start, *
+  FROM (SELECT *, UNNEST(range(20)) AS i FROM ev)
+),
+agg AS (
+  SELECT window_start, window_start + INTERVAL 10 DAY AS window_end, user_id, CAST(NULL AS VARCHAR) AS ip_address,
+         count(*) FILTER (WHERE action = 'login_failed') AS n_login,
+         count(*) FILTER (WHERE action = 'transaction_success') AS n_txn,
+         sum(amount) FILTER (WHERE action = 'transaction_success' AND NOT isnan(amount)) AS txn_amount,
+         count(*) FILTER (WHERE action IN ('page_view', 'product_click')) AS n_click
+  FROM win GROUP BY window_start, user_id
+)"""
+LONG_ALERTS = ("WITH " + LONG + ",\nalerts AS (" + "\n  UNION ALL".join((
+    LOGIN_ROWS.replace("n_login >= 3", "n_login >= 6"),
+    TXN_ROWS.replace("n_txn >= 3 OR txn_amount >= 200.0", "n_txn >= 6 OR txn_amount >= 600.0"),
+    CLICK_ROWS.replace("n_click >= 4", "n_click >= 10"))) + "\n)\n")
+
 ORACLE_SQL = {
     "parse_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "rejected_events": """
@@ -188,6 +208,8 @@ FROM fields WHERE (SELECT count(*) FROM events WHERE event_id % 97 = 0) > 0""",
     "click_burst": _alerts_cte(CLICK_ROWS) + f"SELECT {ALERT_OUT} FROM alerts",
     "detect_alerts": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "detect_alerts_union": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "pane_alerts": ALL_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "pane_alerts_long_windows": LONG_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
     "per_user_velocity": "WITH " + PER_USER + ",\nalerts AS (" + TXN_ROWS + "\n)\n" + f"SELECT {ALERT_OUT} FROM alerts",
     "tumbling_alerts": "WITH " + TUMBLING + ",\nalerts AS (" + "\n  UNION ALL".join((LOGIN_ROWS, TXN_ROWS, CLICK_ROWS))
                        + "\n)\n" + f"SELECT {ALERT_OUT} FROM alerts",
