@@ -37,8 +37,7 @@ MAX_PANES = 6
 
 def interval_micros(df: DataFrame, interval: str) -> int:
     """Microseconds of a Spark interval string (folded by the optimizer, no job)."""
-    at = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
-    return df.sparkSession.range(1).select(at).first()[0]
+    return df.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {interval})").first()[0]
 
 
 def pane_size(df: DataFrame, rules: Rules) -> tuple[int, int, int]:

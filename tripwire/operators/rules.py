@@ -58,7 +58,7 @@ def _alert(kind: str, count: Column, total: Column) -> list[Column]:
     return [
         F.lit(kind).alias("anomaly_type"),
         F.lit(SEVERITY[kind]).alias("severity"),
-        count.cast("int").alias("event_count"),
+        F.least(count, F.lit(2**31 - 1)).cast("int").alias("event_count"),  # the record holds an INT
         total.cast("double").alias("total_amount"),
         F.lit(DETAILS[kind]).alias("details"),
     ]

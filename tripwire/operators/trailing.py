@@ -25,16 +25,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions import nan_to_null
+from tripwire.operators.rules import MEASURES, RULE_ACTIONS, rule_measures
 from tripwire.schemas import (
     AUTOMATED_CLIENT,
     BOT_BURST,
     BRUTE_FORCE,
-    CLICK_ACTIONS,
-    LOGIN_FAILED,
     SEVERITY,
     TRAILING_DETAILS,
-    TRANSACTION_SUCCESS,
     VELOCITY,
     Rules,
 )
@@ -58,11 +55,11 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
 
     ``as_of`` defaults to the clock, so one event dated in the future can't
     move the range; an explicit value becomes a literal filter that reaches the
-    scan, and a Column (say, :func:`latest_event_time`) is used as it is. Batch only: on a stream the
-    hopping-window rules (``detect_alerts``) are the equivalent.
+    scan, and a Column (say, :func:`latest_event_time`) is used as it is. Batch only: on a stream
+    ``tripwire.streaming.TrailingStore`` keeps the range.
     """
     if events.isStreaming:
-        raise ValueError("trailing_alerts reads a bounded range; on a stream use detect_alerts")
+        raise ValueError("trailing_alerts reads a bounded range; on a stream use streaming.TrailingStore")
     minutes = rules.trailing_minutes
     end = _as_of(events, as_of)
     start = end - F.make_interval(mins=F.lit(minutes))
@@ -73,23 +70,23 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
         # Events at rest partitioned by date (write_events(by_date=True)): bound the
         # partition column too, so only the range's date folders are listed and read.
         in_range = in_range & (F.col("event_date") >= F.to_date(start))
-    is_login = F.col("action") == LOGIN_FAILED
-    is_txn = F.col("action") == TRANSACTION_SUCCESS
-    is_click = F.col("action").isin(*CLICK_ACTIONS)
-
-    levels = (
-        events.filter(in_range & (is_login | is_txn | is_click))
-        .groupingSets([["user_id", "ip_address"], ["ip_address"]], "user_id", "ip_address")
-        .agg(
-            F.grouping("user_id").alias("per_ip"),  # 1 on the (ip) grouping set
-            F.count_if(is_login).alias("n_login"),
-            F.count_if(is_txn).alias("n_txn"),
-            F.coalesce(F.sum(F.when(is_txn, nan_to_null("amount"))), F.lit(0.0)).alias("txn_amount"),
-            F.count_if(is_click).alias("n_click"),
-        )
-    )
+    measures = rule_measures()
+    levels = by_pair_and_ip(events.filter(in_range & F.col("action").isin(*RULE_ACTIONS)), measures)
+    return alerts_of_levels(levels, rules, start, end)
+
+
+def by_pair_and_ip(rows: DataFrame, measures: list[Column]) -> DataFrame:
+    """The measures of each (user, ip) and of each ip, from one grouping."""
+    return rows.groupingSets([["user_id", "ip_address"], ["ip_address"]], "user_id", "ip_address").agg(
+        F.grouping("user_id").alias("per_ip"), *measures)  # per_ip is 1 on the (ip) grouping set
+
+
+def alerts_of_levels(levels: DataFrame, rules: Rules, start: Column, end: Column) -> DataFrame:
+    """A5-A7 from the measures of :func:`by_pair_and_ip` over the range from ``start`` to ``end``."""
+    minutes = rules.trailing_minutes
+    levels = levels.withColumn("txn_amount", F.coalesce("txn_amount", F.lit(0.0)))
     pair, per_ip = F.col("per_ip") == 0, F.col("per_ip") == 1
-    n_login, n_txn, amount, n_click = (F.col(c) for c in ("n_login", "n_txn", "txn_amount", "n_click"))
+    n_login, n_txn, amount, n_click = (F.col(c) for c in MEASURES)
     candidates = [
         (BRUTE_FORCE, pair & (n_login > 0) & (n_login >= rules.trailing_failed_logins),
          F.col("user_id"), n_login, F.lit(0.0),
@@ -107,7 +104,7 @@ def trailing_alerts(events: DataFrame, rules: Rules = Rules(), as_of=None, upper
             user.cast("string").alias("user_id"),
             F.lit(kind).alias("anomaly_type"),
             F.lit(SEVERITY[kind]).alias("severity"),
-            count.cast("int").alias("event_count"),
+            F.least(count, F.lit(2**31 - 1)).cast("int").alias("event_count"),  # the record holds an INT
             total.cast("double").alias("total_amount"),
             details.alias("details"),
         ))

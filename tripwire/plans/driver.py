@@ -49,9 +49,17 @@ from tripwire.operators import (
 from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.schemas import EVENT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
-from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_events
+from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_event_slices, read_events
 from tripwire.streaming import (
+    AlertFanOut,
+    AlertLog,
+    LatestView,
     PipelineSpec,
+    TrailingStore,
+    WindowStore,
+    recent_alert_rows,
+    recent_event_rows,
+    replay,
     run_once,
     start_pipeline,
     stop_all,
@@ -353,6 +361,102 @@ def q_stream_alerts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(latest_alerts(read_alert_updates(spark, f"{base}/updates").drop("batch_id")))
 
 
+# ---------------------------------------------------------------- several runs over one checkpoint
+# The table comes in three slices, and every eleventh event only with the last: by then its windows may be closed.
+
+def _replayed(spark: SparkSession, sf_dir: str, name: str, start) -> tuple[str, list]:
+    """Run ``start(stream, base, state partitions)`` over each slice; the outputs lie under ``base``."""
+    ensure_utc(spark)
+    base = scratch_path(spark, name)
+    reports = replay(spark, read_event_slices(spark, sf_dir), f"{base}/source", lambda raw: start(raw, base))
+    return base, reports
+
+
+def _once(spark: SparkSession) -> dict:
+    return {"trigger": {"availableNow": True}, "state_partitions": _state_partitions(spark)}
+
+
+def _live_alerts(raw: DataFrame) -> DataFrame:
+    return detect_alerts(parse_events(raw, DRIVER_RULES.watermark), DRIVER_RULES)
+
+
+def q_sliced_alerts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2, ST3, ST6: state and watermark carried over three runs; late (window, key) rows are left out."""
+    base, _ = _replayed(spark, sf_dir, "sliced_append", lambda raw, base: write_alerts(
+        _live_alerts(raw), f"{base}/alerts", f"{base}/_checkpoint", **_once(spark)))
+    return comparable_alerts(read_alerts(spark, f"{base}/alerts"))
+
+
+def q_sliced_window_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2, ST3: the same windows from the store that accounts for late rows."""
+    base = _window_store(spark, sf_dir)
+    return comparable_alerts(WindowStore(f"{base}/store", DRIVER_RULES).alerts(spark))
+
+
+def q_sliced_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 side output: each late event, how many of its windows were closed, and whether all were."""
+    base = _window_store(spark, sf_dir)
+    late = WindowStore(f"{base}/store", DRIVER_RULES).late_rows(spark)
+    return late.select("event_id", "user_id", "action", as_ntz("event_time").alias("event_time"),
+                       F.size("closed_windows").alias("n_closed"), "dropped", F.col("batch_id").cast("int").alias("batch_id"))
+
+
+def _window_store(spark: SparkSession, sf_dir: str) -> str:
+    store = lambda base: WindowStore(f"{base}/store", DRIVER_RULES)
+    return _replayed(spark, sf_dir, "window_store", lambda raw, base: store(base).start(
+        parse_events(raw), f"{base}/_checkpoint", **_once(spark)))[0]
+
+
+def q_sliced_alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 on a stream against the alert log: the version of each alert that fired first, over three runs of updates."""
+    base, _ = _replayed(spark, sf_dir, "alert_log", lambda raw, base: AlertLog(f"{base}/log").start(
+        _live_alerts(raw), f"{base}/_checkpoint", **_once(spark)))
+    return comparable_alerts(AlertLog(f"{base}/log").alerts(spark))
+
+
+def q_sliced_latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2, ST5: the maintained view of the latest version of each alert, over three runs of updates."""
+    base, _ = _replayed(spark, sf_dir, "latest_view", lambda raw, base: LatestView(f"{base}/view", buckets=16).start(
+        _live_alerts(raw), f"{base}/_checkpoint", **_once(spark)))
+    return comparable_alerts(LatestView(f"{base}/view", buckets=16).alerts(spark))
+
+
+def q_sliced_recent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 on a stream: the newest 1000 events after three runs."""
+    base, _ = _replayed(spark, sf_dir, "newest_events", lambda raw, base: recent_event_rows(f"{base}/newest").start(
+        parse_events(raw), f"{base}/_checkpoint", **_once(spark)))
+    return comparable_events(recent_event_rows(f"{base}/newest").rows(spark))
+
+
+def q_sliced_recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on a stream: the newest 200 alerts of closed windows after three runs."""
+    base, _ = _replayed(spark, sf_dir, "newest_alerts", lambda raw, base: recent_alert_rows(f"{base}/newest").start(
+        stamped(_live_alerts(raw)), f"{base}/_checkpoint", **_once(spark)))
+    return comparable_alerts(recent_alert_rows(f"{base}/newest").rows(spark), stamp=True)
+
+
+def q_sliced_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5-A7 on a stream: the trailing range's alerts after each of three runs, as of the latest event so far."""
+    store = lambda base: TrailingStore(f"{base}/store", DRIVER_RULES, slot="1 day", clock=lambda latest: latest)
+    base, _ = _replayed(spark, sf_dir, "trailing_store", lambda raw, base: store(base).start(
+        parse_events(raw), f"{base}/_checkpoint", **_once(spark)))
+    out = None
+    for n in range(3):
+        part = comparable_alerts(store(base).alerts(spark, n), stamp=True).withColumn("batch_id", F.lit(n))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_sliced_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7, K2 + K3's log: final and changing alerts from one aggregate; ``sink`` names the output, the log reduced by D2."""
+    base, _ = _replayed(spark, sf_dir, "fan_out", lambda raw, base: AlertFanOut(f"{base}/out").start(
+        _live_alerts(raw), f"{base}/_checkpoint", **_once(spark)))
+    out = AlertFanOut(f"{base}/out")
+    final = comparable_alerts(out.alerts(spark)).withColumn("sink", F.lit("alerts"))
+    log = comparable_alerts(latest_alerts(out.updates(spark).drop("batch_id"))).withColumn("sink", F.lit("updates"))
+    return final.unionByName(log)
+
+
 QUERIES = {
     "parse_events": q_parse_events,
     "rejected_events": q_rejected_events,
@@ -387,4 +491,13 @@ QUERIES = {
     "stream_alerts_update": q_stream_alerts_update,
     "stream_first_alerts": q_stream_first_alerts,
     "pipeline_alerts_from_events": q_pipeline_alerts_from_events,
+    "sliced_alerts_append": q_sliced_alerts_append,
+    "sliced_window_store": q_sliced_window_store,
+    "sliced_late_rows": q_sliced_late_rows,
+    "sliced_alert_log": q_sliced_alert_log,
+    "sliced_latest_view": q_sliced_latest_view,
+    "sliced_recent_events": q_sliced_recent_events,
+    "sliced_recent_alerts": q_sliced_recent_alerts,
+    "sliced_trailing_alerts": q_sliced_trailing_alerts,
+    "sliced_fan_out": q_sliced_fan_out,
 }

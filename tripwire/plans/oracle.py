@@ -179,6 +179,58 @@ LONG_ALERTS = ("WITH " + LONG + ",\nalerts AS (" + "\n  UNION ALL".join((
     TXN_ROWS.replace("n_txn >= 3 OR txn_amount >= 200.0", "n_txn >= 6 OR txn_amount >= 600.0"),
     CLICK_ROWS.replace("n_click >= 4", "n_click >= 10"))) + "\n)\n")
 
+# The table in three slices: equal parts of its time, but every eleventh event comes with the last one. A slice meets the
+# watermark of the slices before it; a window that ends at or before that is closed to its events.
+SLICED = EV + """,
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+sev AS (
+  SELECT ev.*, CASE WHEN e.event_id % 11 = 0 THEN 2 ELSE ((epoch_us(e.ts) - lo) * 3) // (hi - lo + 1) END AS slice
+  FROM ev JOIN events e ON ev.event_id = CAST(e.event_id AS VARCHAR), span
+),
+wm AS (
+  SELECT s, (SELECT date_trunc('milliseconds', max(event_time)) FROM sev WHERE slice < s) - INTERVAL 10 MINUTE AS mark
+  FROM range(4) r(s)
+),
+swin AS (
+  SELECT *, window_start + INTERVAL 5 DAY AS window_end FROM (
+    SELECT time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') - to_days(CAST(i AS INTEGER)) AS window_start, *
+    FROM (SELECT *, UNNEST(range(5)) AS i FROM sev))
+),
+met AS (SELECT swin.*, mark IS NOT NULL AND window_end <= mark AS late FROM swin JOIN wm ON wm.s = slice)"""
+SLICED_AGG = """
+  SELECT window_start, window_end, user_id, ip_address,
+         count(*) FILTER (WHERE action = 'login_failed') AS n_login,
+         count(*) FILTER (WHERE action = 'transaction_success') AS n_txn,
+         sum(amount) FILTER (WHERE action = 'transaction_success' AND NOT isnan(amount)) AS txn_amount,
+         count(*) FILTER (WHERE action IN ('page_view', 'product_click')) AS n_click
+  FROM met WHERE NOT late"""
+ALL_RULES = "\n  UNION ALL".join((LOGIN_ROWS, TXN_ROWS, CLICK_ROWS))
+SLICED_ALERTS = ("WITH " + SLICED + f",\nagg AS ({SLICED_AGG}\n  GROUP BY ALL),\nalerts AS ({ALL_RULES}\n),\n"
+                 "closed AS (SELECT * FROM alerts WHERE window_end <= (SELECT mark FROM wm WHERE s = 3))\n")
+# What each window amounts to after each slice; the version that fires first is the one that is logged.
+SLICED_FIRST = ("WITH " + SLICED + f""",
+after0 AS ({SLICED_AGG} AND slice <= 0 GROUP BY ALL), after1 AS ({SLICED_AGG} AND slice <= 1 GROUP BY ALL), after2 AS ({SLICED_AGG} GROUP BY ALL),
+versions AS (
+  SELECT 0 AS batch, * FROM ({ALL_RULES.replace("FROM agg", "FROM after0")})
+  UNION ALL SELECT 1, * FROM ({ALL_RULES.replace("FROM agg", "FROM after1")})
+  UNION ALL SELECT 2, * FROM ({ALL_RULES.replace("FROM agg", "FROM after2")})
+),
+alerts AS (SELECT * EXCLUDE (batch) FROM versions QUALIFY row_number() OVER (
+  PARTITION BY user_id, ip_address, anomaly_type, window_end ORDER BY batch) = 1)
+""")
+
+
+def _sliced_trailing() -> str:
+    """The trailing rules over the slices so far, as of their latest event."""
+    body = TRAILING[TRAILING.index("rng AS"):]
+    parts = []
+    for n in range(3):
+        part = body.replace("FROM ev", f"FROM (SELECT * FROM sev WHERE slice <= {n})")
+        ctes, _, select = part.partition("\nSELECT as_of - INTERVAL")
+        parts.append(f"SELECT *, {n} AS batch_id FROM (WITH {ctes} SELECT as_of - INTERVAL{select})")
+    return "WITH " + SLICED + "\n" + "\nUNION ALL ".join(parts)
+
+
 ORACLE_SQL = {
     "parse_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "rejected_events": """
@@ -271,4 +323,20 @@ WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
     "stream_alerts_append": ALL_ALERTS + f"""
 SELECT {ALERT_OUT} FROM alerts
 WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
+    "sliced_alerts_append": SLICED_ALERTS + f"SELECT {ALERT_OUT} FROM closed",
+    "sliced_window_store": SLICED_ALERTS + f"SELECT {ALERT_OUT} FROM closed",
+    "sliced_late_rows": "WITH " + SLICED + """
+SELECT event_id, user_id, action, event_time, CAST(count(*) FILTER (WHERE late) AS INTEGER) AS n_closed,
+       bool_and(late) AS dropped, CAST(slice AS INTEGER) AS batch_id
+FROM met WHERE action IN ('login_failed', 'transaction_success', 'page_view', 'product_click')
+GROUP BY event_id, user_id, action, event_time, slice HAVING bool_or(late)""",
+    "sliced_alert_log": SLICED_FIRST + f"SELECT {ALERT_OUT} FROM alerts",
+    "sliced_latest_view": SLICED_ALERTS + f"SELECT {ALERT_OUT} FROM alerts",
+    "sliced_recent_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev ORDER BY event_time DESC, event_id DESC LIMIT 1000",
+    "sliced_recent_alerts": SLICED_ALERTS + f"""
+SELECT {ALERT_OUT}, detection_timestamp FROM (SELECT *, window_end AS detection_timestamp FROM closed)
+ORDER BY {ORDER_ALERTS} LIMIT 200""",
+    "sliced_trailing_alerts": _sliced_trailing(),
+    "sliced_fan_out": SLICED_ALERTS + f"""
+SELECT {ALERT_OUT}, 'alerts' AS sink FROM closed UNION ALL SELECT {ALERT_OUT}, 'updates' AS sink FROM alerts""",
 }

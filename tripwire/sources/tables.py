@@ -111,3 +111,14 @@ def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return event_records(spread(reader.parquet(sf_dir), parts))
+
+
+def read_event_slices(spark: SparkSession, sf_dir: str, n: int = 3, held_every: int = 11) -> list[DataFrame]:
+    """The payload records of the whole table in ``n`` slices, as a feed would deliver them with delays: equal parts of
+    the table's time, but every ``held_every``-th event id comes only with the last slice."""
+    table = spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(table_path(sf_dir, "events"))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = table.agg(F.min(micros), F.max(micros)).first()
+    place = F.call_function("div", (micros - F.lit(low)) * n, F.lit(high - low + 1))
+    place = F.when(F.col("event_id") % held_every == 0, F.lit(n - 1)).otherwise(place)
+    return [event_records(table.filter(place == k)) for k in range(n)]

@@ -6,6 +6,17 @@ from tripwire.streaming.job import (
     stop_all,
     watermark_report,
 )
+from tripwire.streaming.live import (
+    AlertFanOut,
+    AlertLog,
+    LatestView,
+    NewestRows,
+    TrailingStore,
+    WindowStore,
+    recent_alert_rows,
+    recent_event_rows,
+)
+from tripwire.streaming.replay import replay
 from tripwire.streaming.sinks import (
     kafka_sink_options,
     write_alert_updates,
@@ -18,6 +29,7 @@ from tripwire.streaming.sinks import (
 )
 
 __all__ = [
+    "AlertFanOut", "AlertLog", "LatestView", "NewestRows", "TrailingStore", "WindowStore", "recent_alert_rows", "recent_event_rows", "replay",
     "PipelineSpec", "await_pipeline", "kafka_sink_options", "run_once", "start_pipeline", "stop_all",
     "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka", "write_rejected",
 ]
