@@ -89,7 +89,8 @@ class WindowStore(BatchStore):
             batch.unpersist()
         if after is not None and after != mark:
             self.write_batch(self._closed(spark, mark, after, window, slide, pane), "alerts", batch_id)
-            self._expire(spark, after, window)
+        if mark is not None:
+            self._expire(spark, mark, window)  # not up to ``after``: a replay of this batch reads those slots again
         return {"watermark": after, **n_late}
 
     def _write_late(self, rows: DataFrame, batch_id: int, mark: int | None, window: int, slide: int) -> dict:
@@ -125,9 +126,9 @@ class WindowStore(BatchStore):
     def _pane_schema(self) -> str:
         return ", ".join([*[f"{k} string" for k in self.keys], "pane long", _MEASURE_TYPES, "met long", "slot long", "batch_id long"])
 
-    def _expire(self, spark: SparkSession, after: int, window: int) -> None:
+    def _expire(self, spark: SparkSession, mark: int, window: int) -> None:
         for slot in values(spark, f"{self.path}/panes", "slot"):
-            if (slot + 2) * window <= after:  # the last window that needs the slot's last pane is closed
+            if (slot + 2) * window <= mark:  # the last window that needs the slot's last pane is closed
                 drop(spark, f"{self.path}/panes/slot={slot}")
 
     def alerts(self, spark: SparkSession) -> DataFrame:
