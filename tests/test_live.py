@@ -12,7 +12,7 @@ from tripwire.plans import QUERIES
 from tripwire.plans.driver import DRIVER_RULES, _live_alerts, _once
 from tripwire.schemas import ALERT_COLUMNS, ALERT_SCHEMA, CLICK_ACTIONS, LOGIN_FAILED, TRANSACTION_SUCCESS, Rules
 from tripwire.sources import read_event_slices
-from tripwire.streaming import AlertFanOut, AlertLog, LatestView, TrailingStore, WindowStore, live, recent_alert_rows, recent_event_rows, replay
+from tripwire.streaming import AlertFanOut, AlertLog, EventStore, LatestView, TrailingStore, WindowStore, live, recent_alert_rows, recent_event_rows, replay
 from tripwire.streaming.store import children, drop, values
 
 START = datetime(2025, 6, 30, 23, 50, tzinfo=timezone.utc)
@@ -273,6 +273,53 @@ def test_trailing_store_as_the_clock_moves(spark, scratch):
         assert [a["event_count"] for a in store.alerts(spark, n).collect()] == counts, n
 
 
+# ---------------------------------------------------------------- events in few files
+
+def test_compaction_shows_every_row_once(spark, scratch, monkeypatch):
+    parts = frames(spark, batches(seed=4, n=5, each=80, late=0.4))
+    parts = [p.withColumns({c: F.lit("x") for c in ("timestamp", "session_id", "device_type", "location_country", "location_city", "url_path", "user_agent")}) for p in parts]
+    store = EventStore(scratch)
+    ids = lambda: sorted(r[0] for r in store.events(spark).select("event_id").collect())
+    want = lambda n: sorted(f"{b}-{k}" for b in range(n) for k in range(80))
+    for n in range(3):
+        store.handle(parts[n], n)
+    midnight = int(datetime(2025, 7, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
+    assert store.compact(spark, midnight - 1) == 0  # the day is not over
+    # while it is rewritten: the new version is there, its record is not
+    commits = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, rows, schema=None, **kw: (_ for _ in ()).throw(RuntimeError("died")) if schema == "value string" else commits(self, rows, schema, **kw))
+    with pytest.raises(RuntimeError):
+        store.compact(spark, midnight)
+    assert children(spark, f"{scratch}/compact") == ["version=0"] and ids() == want(3)
+    monkeypatch.undo()
+    assert store.compact(spark, midnight) == 1 and ids() == want(3)
+    files = [f for f in store.events(spark).inputFiles() if "/compact/" in f]
+    assert 0 < len(files) <= len(ACTIONS) and store.compact(spark, midnight) == 0
+    # late events of the rewritten day, before and after the next rewrite and the clean-up
+    for n in (3, 4):
+        store.handle(parts[n], n)
+    old = sum(r[0] < 20270 for r in parts[3].unionByName(parts[4]).select(F.unix_date(F.to_date("event_time"))).collect())
+    assert old > 0 and ids() == want(5)
+    assert store.compact(spark, midnight) == 1 and ids() == want(5)
+    store.vacuum(spark)
+    assert ids() == want(5)
+    day = min(values(spark, f"{scratch}/raw", "event_date"))
+    assert values(spark, f"{scratch}/raw/event_date={day}", "batch_id") == []
+    assert len([f for f in store.events(spark).inputFiles() if f"event_date={day}" in f]) <= len(ACTIONS)
+
+
+def test_a_batch_without_commit_is_not_read(spark, scratch):
+    store = EventStore(scratch)
+    frame = frames(spark, batches(n=1))[0].withColumns({c: F.lit("x") for c in ("timestamp", "session_id", "device_type", "location_country", "location_city", "url_path", "user_agent")})
+    assert store.events(spark).count() == 0 and store.compact(spark, 10**18) == 0
+    store.handle(frame, 0)
+    store.handle(frame, 1)
+    drop(spark, f"{scratch}/commits/batch_id=1")
+    assert store.events(spark).count() == 60
+    store.handle(frame, 1)
+    assert store.events(spark).count() == 120
+
+
 # ---------------------------------------------------------------- over real runs
 
 def test_three_runs_drop_late_rows_and_keep_state(spark, scratch):

@@ -7,6 +7,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tripwire.operators import classify_events, decode_events, parse_events, split_events, validate_events
 from tripwire.functions import event_time
+from tripwire.sources import read_split
+from tripwire.streaming import write_split
 
 
 def payloads(spark, *texts):
@@ -111,13 +113,6 @@ def test_repeated_keys_are_an_object(spark):
     assert out.reject_reason == "bad_timestamp"
 
 
-def test_materialize_is_refused_on_a_stream(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    stream = spark.readStream.schema("value string").json(str(tmp_path / "in"))
-    with pytest.raises(ValueError, match="batch"):
-        split_events(stream, materialize=True)
-
-
 def test_classify_keeps_payload(spark):
     out = classify_events(payloads(spark, "garbage")).first()
     assert out.payload == "garbage" and out.reject_reason == "not_json_object"
@@ -134,9 +129,25 @@ def test_amount_type(spark):
     assert dict(parse_events(payloads(spark, VALID)).dtypes)["amount"] == DoubleType().simpleString()
 
 
-def test_split_materialized_reads_one_decode(spark):
-    raw = payloads(spark, VALID, INVALID, "garbage")
-    valid, rejected = split_events(raw, level="core", materialize=True)
-    assert valid.count() == 1 and rejected.count() == 2
-    text = valid._jdf.queryExecution().executedPlan().toString()
-    assert "from_json" not in text  # reads the checkpointed rows, no second parse
+def test_both_sides_in_one_write(spark, tmp_path):
+    raw = payloads(spark, VALID, INVALID, "garbage", '{"event_id":"b","timestamp":"bad"}', None)
+    write_split(raw, str(tmp_path / "split"), level="core")
+    valid, rejected = read_split(spark, str(tmp_path / "split"))
+    want_valid, want_rejected = split_events(raw, level="core")
+    assert valid.collect() == want_valid.collect() and valid.columns == want_valid.columns
+    assert sorted(map(str, rejected.select(*want_rejected.columns).collect())) == sorted(map(str, want_rejected.collect()))
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan  # no second parse
+    assert "PartitionFilters: [isnotnull(outcome" in plan
+    assert valid.inputFiles() and all("outcome=" in f for f in valid.inputFiles())
+
+
+def test_both_sides_of_a_stream_in_one_query(spark, tmp_path):
+    source = str(tmp_path / "in")
+    payloads(spark, VALID, "garbage", INVALID).select(F.col("value").cast("string").alias("value")).write.text(source)
+    query = write_split(spark.readStream.text(source), str(tmp_path / "out"), "strict", str(tmp_path / "ck"), {"availableNow": True})
+    query.awaitTermination(120)
+    assert query.exception() is None
+    valid, rejected = read_split(spark, str(tmp_path / "out"))
+    assert valid.count() == 1 and {r.reject_reason for r in rejected.collect()} == {"not_json_object", "missing_fields"}
+    assert len(query.lastProgress["sources"]) == 1

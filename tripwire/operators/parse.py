@@ -85,23 +85,14 @@ def classify_events(raw: DataFrame, level: str | None = None, value_col: str = "
 
 
 def split_events(raw: DataFrame, level: str | None = None, watermark: str | None = None,
-                 value_col: str = "value", materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+                 value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``. Valid rows have the parsed-event columns (and the
     watermark, if given); rejected rows keep ``payload`` and ``reject_reason``.
 
-    Both are filters of one decoded frame. Writing both from a batch source
-    would decode the input twice; with ``materialize`` the decoded frame is
-    checkpointed once (written under the session's checkpoint folder, which
-    also cuts the lineage) and both outputs read it.
+    Both are filters of one decoded frame: writing both would decode a batch source twice. To keep both sides,
+    write them at once with ``streaming.write_split`` and read them back with ``sources.read_split``.
     """
     classified = classify_events(raw, level, value_col)
-    if materialize and raw.isStreaming:
-        raise ValueError("materialize needs a batch frame; on a stream write both sides in foreachBatch")
-    if materialize:
-        from tripwire.session import checkpoint_root
-
-        checkpoint_root(raw.sparkSession)  # a shared folder must be set (local sessions get one)
-        classified = classified.checkpoint(eager=True)
     valid = classified.filter(F.col("reject_reason").isNull()).drop("payload", "reject_reason")
     if watermark:
         valid = valid.withWatermark("event_time", watermark)

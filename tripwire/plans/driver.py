@@ -14,6 +14,8 @@ thresholds (``DRIVER_RULES``); the operators' defaults stay the reference's.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,6 @@ from tripwire.operators import (
     recent_alerts,
     recent_events,
     rejected_events,
-    split_events,
     top_ips,
     latest_event_time,
     new_alerts,
@@ -49,10 +50,11 @@ from tripwire.operators import (
 from tripwire.operators.alerts import REFERENCE_FIRST_KEYS
 from tripwire.schemas import EVENT_FIELDS, Rules
 from tripwire.session import ensure_utc, scratch_path
-from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_event_slices, read_events
+from tripwire.sources import read_alert_updates, read_alerts, read_event_records, read_event_slices, read_events, read_split
 from tripwire.streaming import (
     AlertFanOut,
     AlertLog,
+    EventStore,
     LatestView,
     PipelineSpec,
     TrailingStore,
@@ -66,6 +68,7 @@ from tripwire.streaming import (
     write_alert_updates,
     write_alerts,
     write_events,
+    write_split,
 )
 
 # The test tables are files of one row group, which a scan can't split. A caller with more cores than row groups
@@ -151,7 +154,11 @@ def q_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per validation level and field: how many records lack that field."""
-    decoded = decode_events(records(spark, sf_dir))
+    return _errors_by_field(records(spark, sf_dir))
+
+
+def _errors_by_field(raw: DataFrame) -> DataFrame:
+    decoded = decode_events(raw)
     checked = validate_events(validate_events(decoded, "core", column="core"), "strict", column="strict")
     per_level = checked.select(F.inline(F.array(
         F.struct(F.lit("core").alias("level"), F.col("core").alias("errors")),
@@ -207,9 +214,48 @@ def q_tumbling_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_split_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3 split with the decoded rows checkpointed once (lineage cut), valid side."""
-    valid, _ = split_events(records(spark, sf_dir), materialize=True)
-    return comparable_events(valid)
+    """V3 split in one write, valid side."""
+    path = scratch_path(spark, "split")
+    write_split(records(spark, sf_dir), path)
+    return comparable_events(read_split(spark, path)[0])
+
+
+def partial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads with single fields missing."""
+    ensure_utc(spark)
+    return read_event_records(spark, sf_dir, parts=_parts(spark), partial=True)
+
+
+def q_split_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 split in one write, rejected side: three reasons."""
+    path = scratch_path(spark, "split")
+    write_split(partial_records(spark, sf_dir), path, level="core")
+    return read_split(spark, path)[1].select("event_id", "user_id", "action", "reject_reason")
+
+
+def q_partial_rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1, V3: records that lack a timestamp or any other field at all."""
+    return rejected_events(partial_records(spark, sf_dir), level="strict").select("event_id", "user_id", "action", "reject_reason")
+
+
+def q_partial_validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1, V2: per validation level and field, how many records lack it."""
+    return _errors_by_field(partial_records(spark, sf_dir))
+
+
+def q_default_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 with V1: parsed events with a missing amount taken as 0, and the names of what else is missing."""
+    checked = validate_events(parse_events(partial_records(spark, sf_dir)), "strict", default_amount=True)
+    return checked.select("event_id", as_ntz("event_time").alias("event_time"), "amount", F.array_join("errors", ",").alias("errors"))
+
+
+def q_alert_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9: all alerts of a run carry one detection stamp, the run's own time."""
+    before = datetime.now(timezone.utc)
+    stamp = F.col("detection_timestamp")
+    return alerts(spark, sf_dir).groupBy("anomaly_type").agg(
+        F.count("*").alias("n_alerts"), F.countDistinct(stamp).alias("n_stamps"),
+        ((F.min(stamp) >= F.lit(before)) & (F.max(stamp) <= F.current_timestamp())).alias("stamped_now"))
 
 
 def q_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,6 +481,23 @@ def q_sliced_recent_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_alerts(recent_alert_rows(f"{base}/newest").rows(spark), stamp=True)
 
 
+def q_sliced_compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: events of three runs by day, with the days that were over before the last run rewritten into single files."""
+    store = lambda base: EventStore(f"{base}/events")
+    ensure_utc(spark)
+    base = scratch_path(spark, "event_store")
+    slices = read_event_slices(spark, sf_dir)
+
+    def start(raw):
+        return store(base).start(parse_events(raw), f"{base}/_checkpoint", **_once(spark))
+
+    replay(spark, slices[:2], f"{base}/source", start)
+    latest = store(base).events(spark).agg(F.max(F.unix_micros("event_time"))).first()[0]
+    store(base).compact(spark, latest)
+    replay(spark, slices[2:], f"{base}/source", start)  # brings events of rewritten days too
+    return comparable_events(store(base).events(spark))
+
+
 def q_sliced_trailing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5-A7 on a stream: the trailing range's alerts after each of three runs, as of the latest event so far."""
     store = lambda base: TrailingStore(f"{base}/store", DRIVER_RULES, slot="1 day", clock=lambda latest: latest)
@@ -491,6 +554,12 @@ QUERIES = {
     "stream_alerts_update": q_stream_alerts_update,
     "stream_first_alerts": q_stream_first_alerts,
     "pipeline_alerts_from_events": q_pipeline_alerts_from_events,
+    "split_rejected_events": q_split_rejected_events,
+    "partial_rejected_events": q_partial_rejected_events,
+    "partial_validation_errors": q_partial_validation_errors,
+    "default_amounts": q_default_amounts,
+    "alert_stamps": q_alert_stamps,
+    "sliced_compacted_events": q_sliced_compacted_events,
     "sliced_alerts_append": q_sliced_alerts_append,
     "sliced_window_store": q_sliced_window_store,
     "sliced_late_rows": q_sliced_late_rows,

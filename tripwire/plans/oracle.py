@@ -220,6 +220,45 @@ alerts AS (SELECT * EXCLUDE (batch) FROM versions QUALIFY row_number() OVER (
 """)
 
 
+# Records with single fields missing: field i is left out where the event id is a multiple of 101 + i.
+_FIELDS = ("event_id", "timestamp", "user_id", "session_id", "ip_address", "device_type", "location_country",
+           "location_city", "action", "url_path", "amount", "user_agent")
+_CORE = ("event_id", "timestamp", "user_id", "session_id", "ip_address", "action")
+_NO_JSON = "event_id % 97 = 0"
+
+
+def _lacks(field: str) -> str:
+    return f"event_id % {101 + _FIELDS.index(field)} = 0"
+
+
+def _partial_rejected(required: tuple[str, ...]) -> str:
+    kept = {"event_id": "CAST(event_id AS VARCHAR)", "user_id": "'usr_' || CAST(user_id AS VARCHAR)",
+            "action": "CASE event_type WHEN 'error' THEN 'login_failed' WHEN 'purchase' THEN 'transaction_success' "
+                      "WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_click' WHEN 'signup' THEN 'login_success' ELSE event_type END"}
+    columns = ", ".join(f"CASE WHEN {_NO_JSON} OR {_lacks(n)} THEN NULL ELSE {e} END AS {n}" for n, e in kept.items())
+    missing = " OR ".join(_lacks(f) for f in required)
+    return f"""
+SELECT {columns}, CASE WHEN {_NO_JSON} THEN 'not_json_object' WHEN event_id % 89 = 0 OR {_lacks("timestamp")} THEN 'bad_timestamp'
+       ELSE 'missing_fields' END AS reject_reason
+FROM events WHERE {_NO_JSON} OR event_id % 89 = 0 OR {missing}"""
+
+
+def _partial_errors() -> str:
+    strict = [f for f in _FIELDS if f != "amount"]
+    parts = [f"SELECT '{level}' AS level, '{f}' AS field, CAST(count(*) AS INTEGER) AS n_events FROM events WHERE {_NO_JSON} OR {_lacks(f)}"
+             for level, fields in (("core", _CORE), ("strict", strict)) for f in fields]
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_events > 0"
+
+
+def _default_amounts() -> str:
+    names = ", ".join(f"CASE WHEN {_lacks(f)} THEN '{f}' END" for f in _FIELDS if f not in ("amount", "timestamp"))
+    return f"""
+SELECT CASE WHEN {_lacks("event_id")} THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id, ts AS event_time,
+       CASE WHEN event_type = 'purchase' AND NOT ({_lacks("amount")}) THEN value ELSE CAST(0.0 AS DOUBLE) END AS amount,
+       concat_ws(',', {names}) AS errors
+FROM events WHERE NOT ({_NO_JSON}) AND event_id % 89 <> 0 AND NOT ({_lacks("timestamp")})"""
+
+
 def _sliced_trailing() -> str:
     """The trailing rules over the slices so far, as of their latest event."""
     body = TRAILING[TRAILING.index("rng AS"):]
@@ -323,6 +362,14 @@ WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
     "stream_alerts_append": ALL_ALERTS + f"""
 SELECT {ALERT_OUT} FROM alerts
 WHERE window_end <= (SELECT max(event_time) FROM ev) - INTERVAL 10 MINUTE""",
+    "split_rejected_events": _partial_rejected(_CORE),
+    "partial_rejected_events": _partial_rejected(tuple(f for f in _FIELDS if f != "amount")),
+    "partial_validation_errors": _partial_errors(),
+    "default_amounts": _default_amounts(),
+    "alert_stamps": ALL_ALERTS + """
+SELECT anomaly_type, CAST(count(*) AS BIGINT) AS n_alerts, CAST(1 AS BIGINT) AS n_stamps, true AS stamped_now
+FROM alerts GROUP BY anomaly_type""",
+    "sliced_compacted_events": f"WITH {EV}\nSELECT {EV_COLUMNS} FROM ev",
     "sliced_alerts_append": SLICED_ALERTS + f"SELECT {ALERT_OUT} FROM closed",
     "sliced_window_store": SLICED_ALERTS + f"SELECT {ALERT_OUT} FROM closed",
     "sliced_late_rows": "WITH " + SLICED + """

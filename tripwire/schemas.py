@@ -96,6 +96,10 @@ FEED_ROWS = 30
 TOP_IPS = 6
 
 
+# Outcome of a payload that no reject reason applies to.
+VALID = "valid"
+
+
 @dataclass(frozen=True)
 class Rules:
     """Window sizes and thresholds. Defaults (fixed values) are the reference configuration.

@@ -9,9 +9,10 @@ Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
-from tripwire.schemas import ALERT_SCHEMA, PARSED_EVENT_SCHEMA
+from tripwire.schemas import ALERT_SCHEMA, PARSED_EVENT_SCHEMA, VALID
 
 
 def _nullable(schema: StructType) -> StructType:
@@ -42,6 +43,14 @@ def read_events(spark: SparkSession, path: str, streaming: bool = False, by_date
     return _reader(spark, streaming, max_files_per_trigger).schema(schema).parquet(path)
 
 
+def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(valid, rejected)`` of a folder written by ``write_split``; each reads its own outcome folders only."""
+    schema = StructType([StructField("payload", StringType()), *PARSED_EVENT_SCHEMA.fields, StructField("outcome", StringType())])
+    rows = spark.read.schema(schema).parquet(path)
+    valid = rows.filter(F.col("outcome") == VALID).drop("payload", "outcome")
+    return valid, rows.filter(F.col("outcome") != VALID).withColumnRenamed("outcome", "reject_reason")
+
+
 def read_alerts(spark: SparkSession, path: str, streaming: bool = False,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     return _reader(spark, streaming, max_files_per_trigger).schema(_nullable(ALERT_SCHEMA)).parquet(path)

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwire.schemas import EVENT_FIELDS
+
 # Mapping of the table's event types to event actions.
 ACTION_OF_TYPE = {
     "error": "login_failed",
@@ -32,6 +34,7 @@ CITIES = ("Bergen", "Porto", "Nairobi", "Lima")  # by user_id % 4
 USER_AGENT = "agent/1"
 NOT_JSON_EVERY = 97
 BAD_TIMESTAMP_EVERY = 89
+PARTIAL_EVERY = 101
 # The driver's events table. Given explicitly so a read does not
 # open a Parquet footer to infer it.
 EVENTS_TABLE_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -49,27 +52,29 @@ def _action(event_type: Column) -> Column:
     return out.otherwise(event_type)
 
 
-def event_records(table: DataFrame) -> DataFrame:
-    """``events`` rows -> ``(key STRING, value BINARY)`` payload records."""
+def event_records(table: DataFrame, partial: bool = False) -> DataFrame:
+    """``events`` rows -> ``(key STRING, value BINARY)`` payload records. With ``partial`` single fields are missing too:
+    the i-th field (from 0) from the payloads of event ids that are a multiple of ``PARTIAL_EVERY + i``."""
     k = F.get_json_object("props", "$.k").cast("int")
     uid = F.col("user_id")
     iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-    payload = F.to_json(
-        F.struct(
-            F.col("event_id").cast("string").alias("event_id"),
-            F.when(F.col("event_id") % BAD_TIMESTAMP_EVERY == 0, F.lit("bad-ts")).otherwise(iso).alias("timestamp"),
-            F.concat(F.lit("usr_"), uid.cast("string")).alias("user_id"),
-            F.concat(F.lit("sess_"), uid.cast("string")).alias("session_id"),
-            F.concat_ws(".", F.lit("10.0"), (uid % 8).cast("string"), (k % 4).cast("string")).alias("ip_address"),
-            _pick(DEVICE_TYPES, k % 3).alias("device_type"),
-            _pick(COUNTRIES, uid % 4).alias("location_country"),
-            _pick(CITIES, uid % 4).alias("location_city"),
-            _action(F.col("event_type")).alias("action"),
-            F.concat(F.lit("/"), F.col("event_type")).alias("url_path"),
-            F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0)).alias("amount"),
-            F.lit(USER_AGENT).alias("user_agent"),
-        )
-    )
+    fields = [
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("event_id") % BAD_TIMESTAMP_EVERY == 0, F.lit("bad-ts")).otherwise(iso).alias("timestamp"),
+        F.concat(F.lit("usr_"), uid.cast("string")).alias("user_id"),
+        F.concat(F.lit("sess_"), uid.cast("string")).alias("session_id"),
+        F.concat_ws(".", F.lit("10.0"), (uid % 8).cast("string"), (k % 4).cast("string")).alias("ip_address"),
+        _pick(DEVICE_TYPES, k % 3).alias("device_type"),
+        _pick(COUNTRIES, uid % 4).alias("location_country"),
+        _pick(CITIES, uid % 4).alias("location_city"),
+        _action(F.col("event_type")).alias("action"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("url_path"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0)).alias("amount"),
+        F.lit(USER_AGENT).alias("user_agent"),
+    ]
+    if partial:  # NULL fields are left out of the JSON text
+        fields = [F.when(F.col("event_id") % (PARTIAL_EVERY + i) != 0, f).alias(n) for i, (f, (n, _, _)) in enumerate(zip(fields, EVENT_FIELDS, strict=True))]
+    payload = F.to_json(F.struct(*fields))
     value = F.when(F.col("event_id") % NOT_JSON_EVERY == 0, F.lit("not json")).otherwise(payload)
     return table.select(
         F.concat(F.lit("usr_"), uid.cast("string")).alias("key"),
@@ -96,21 +101,21 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_event_records(spark: SparkSession, sf_dir: str, streaming: bool = False,
-                       max_files_per_trigger: int | None = None, parts: int = 0) -> DataFrame:
+                       max_files_per_trigger: int | None = None, parts: int = 0, partial: bool = False) -> DataFrame:
     """Payload records from ``{sf_dir}/events.parquet``, as a batch or a stream.
 
     The streaming form is a file source over the directory restricted to the
     events file, with the table's fixed schema. ``parts`` fans the rows out
-    (see :func:`spread`); 0 leaves the scan as it is.
+    (see :func:`spread`); 0 leaves the scan as it is. ``partial``: see :func:`event_records`.
     """
     path = table_path(sf_dir, "events")
     scan = spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(path)
     if not streaming:
-        return event_records(spread(scan, parts))
+        return event_records(spread(scan, parts), partial)
     reader = spark.readStream.schema(EVENTS_TABLE_SCHEMA).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return event_records(spread(reader.parquet(sf_dir), parts))
+    return event_records(spread(reader.parquet(sf_dir), parts), partial)
 
 
 def read_event_slices(spark: SparkSession, sf_dir: str, n: int = 3, held_every: int = 11) -> list[DataFrame]:

@@ -9,6 +9,7 @@ from tripwire.streaming.job import (
 from tripwire.streaming.live import (
     AlertFanOut,
     AlertLog,
+    EventStore,
     LatestView,
     NewestRows,
     TrailingStore,
@@ -26,10 +27,11 @@ from tripwire.streaming.sinks import (
     write_events,
     write_events_kafka,
     write_rejected,
+    write_split,
 )
 
 __all__ = [
-    "AlertFanOut", "AlertLog", "LatestView", "NewestRows", "TrailingStore", "WindowStore", "recent_alert_rows", "recent_event_rows", "replay",
+    "AlertFanOut", "AlertLog", "EventStore", "LatestView", "NewestRows", "TrailingStore", "WindowStore", "recent_alert_rows", "recent_event_rows", "replay",
     "PipelineSpec", "await_pipeline", "kafka_sink_options", "run_once", "start_pipeline", "stop_all",
-    "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka", "write_rejected",
+    "watermark_report", "write_alert_updates", "write_alerts", "write_alerts_kafka", "write_console", "write_events", "write_events_kafka", "write_rejected", "write_split",
 ]

@@ -5,6 +5,7 @@
 * :class:`AlertFanOut` - several alert sinks from one stateful aggregate (ST7, K2-K4)
 * :class:`LatestView` - the latest version of every alert, kept up to date (D2, ST5)
 * :class:`NewestRows` - the newest n alerts or events (L1, L2)
+* :class:`EventStore` - events by date with closed days rewritten into few files (K1)
 * :class:`TrailingStore` - the trailing-range rules as the clock moves (A5-A7)
 
 What a batch reads back is bounded by what it changes or what the range holds,
@@ -26,9 +27,9 @@ from tripwire.operators.alerts import ALERT_KEYS, FIRST_KEYS, latest_alerts, new
 from tripwire.operators.panes import floor_div, interval_micros, pane_size
 from tripwire.operators.rules import DEFAULT_KEYS, MEASURES, RULE_ACTIONS, alerts_of, check_keys, rule_measures
 from tripwire.operators.trailing import alerts_of_levels, by_pair_and_ip
-from tripwire.schemas import ALERT_COLUMNS, ALERT_SCHEMA, Rules
+from tripwire.schemas import ALERT_COLUMNS, ALERT_SCHEMA, PARSED_EVENT_SCHEMA, Rules
 from tripwire.sources.parquet import read_alerts
-from tripwire.streaming.store import BatchStore, children, drop, read_parts, values
+from tripwire.streaming.store import BatchStore, children, drop, exists, read_parts, values
 
 _MEASURE_TYPES = "n_login long, n_txn long, txn_amount double, n_click long"
 _ALERTS = StructType([StructField(f.name, f.dataType, True) for f in ALERT_SCHEMA.fields])
@@ -401,3 +402,82 @@ class TrailingStore(BatchStore):
         if n is None:
             return spark.createDataFrame([], _ALERTS)
         return read_alerts(spark, f"{self.path}/alerts/batch_id={n}")
+
+
+class EventStore(BatchStore):
+    """K1 with bounded files: events by date, batch and action, and closed days rewritten into few files.
+
+    A batch writes its own folders under ``raw``. :meth:`compact` rewrites the
+    days before a date into ``files`` files a folder under a version of its own, and
+    then records, for each day, that version and the last batch it holds. Readers
+    take a day from the version its record names, plus the batches behind it, so
+    they see every row once before, while and after a day is rewritten, and late
+    events of a rewritten day too (the next rewrite takes them in).
+    """
+
+    def apply(self, batch: DataFrame, batch_id: int, before: dict) -> dict:
+        rows = batch.filter(F.col("event_time").isNotNull()).withColumn("event_date", _day("event_time"))
+        (rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").partitionBy("event_date", "batch_id", "action")
+         .option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/raw"))
+        return {}
+
+    def _record(self, spark: SparkSession) -> tuple[int, dict[int, list[int]]]:
+        done = [v for v in values(spark, f"{self.path}/compactions", "version") if exists(spark, f"{self.path}/compactions/version={v}/_SUCCESS")]
+        if not done:
+            return -1, {}
+        text = spark.read.text(f"{self.path}/compactions/version={done[-1]}").first()[0]
+        return done[-1], {int(d): x for d, x in json.loads(text).items()}
+
+    def _paths(self, spark: SparkSession, record: dict[int, list[int]], last: int, only: Sequence[int] | None = None) -> tuple[list[str], list[str]]:
+        """Folders of the rewritten days, and of the batches behind them up to ``last``."""
+        whole = [f"{self.path}/compact/version={v}/event_date={d}" for d, (v, _) in record.items() if only is None or d in only]
+        raw = []
+        for day in values(spark, f"{self.path}/raw", "event_date"):
+            if only is None or day in only:
+                behind = record.get(day, [0, -1])[1]
+                raw += [f"{self.path}/raw/event_date={day}/batch_id={n}" for n in values(spark, f"{self.path}/raw/event_date={day}", "batch_id") if behind < n <= last]
+        return whole, raw
+
+    def _rows(self, spark: SparkSession, whole: list[str], raw: list[str]) -> DataFrame:
+        schema = StructType([*PARSED_EVENT_SCHEMA.fields, StructField("event_date", LongType())])
+        out = spark.createDataFrame([], schema)
+        for base, paths in (("compact", whole), ("raw", raw)):
+            if paths:
+                out = out.unionByName(spark.read.schema(schema).option("basePath", f"{self.path}/{base}").parquet(*paths).select(*schema.names))
+        return out
+
+    def events(self, spark: SparkSession) -> DataFrame:
+        """Every event of the committed batches, with ``event_date`` (days since 1970)."""
+        last = self.last_batch(spark)
+        return self._rows(spark, *self._paths(spark, self._record(spark)[1], -1 if last is None else last))
+
+    def compact(self, spark: SparkSession, before_micros: int, files: int = 1) -> int:
+        """Rewrite the days that end at or before ``before_micros`` and have batches not rewritten yet; returns how many."""
+        last = self.last_batch(spark)
+        version, record = self._record(spark)
+        if last is None:
+            return 0
+        closed = [d for d in values(spark, f"{self.path}/raw", "event_date") if (d + 1) * 86_400_000_000 <= before_micros]
+        days = [d for d in closed if self._paths(spark, record, last, [d])[1]]
+        if not days:
+            return 0
+        version += 1
+        bucket = F.pmod(F.xxhash64("event_id"), F.lit(files))
+        (self._rows(spark, *self._paths(spark, record, last, days)).repartition("event_date", "action", bucket)
+         .write.mode("overwrite").partitionBy("event_date", "action").parquet(f"{self.path}/compact/version={version}"))
+        record |= {d: [version, last] for d in days}
+        spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{self.path}/compactions/version={version}")
+        return len(days)
+
+    def vacuum(self, spark: SparkSession) -> None:
+        """Drop what no reader of the newest record needs: rewritten batches and older versions. Call it when readers
+        that began before the newest record have ended."""
+        version, record = self._record(spark)
+        for day, (kept, behind) in record.items():
+            for n in values(spark, f"{self.path}/raw/event_date={day}", "batch_id"):
+                if n <= behind:
+                    drop(spark, f"{self.path}/raw/event_date={day}/batch_id={n}")
+            for v in range(version + 1):
+                if v != kept:
+                    drop(spark, f"{self.path}/compact/version={v}/event_date={day}")

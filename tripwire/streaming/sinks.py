@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripwire.operators.codec import encode_alerts, encode_events
-from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, TRIGGER_INTERVAL
+from tripwire.operators.parse import classify_events
+from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, TRIGGER_INTERVAL, VALID
 
 DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 
@@ -127,6 +128,22 @@ def write_rejected(rejected: DataFrame, path: str, checkpoint: str | None = None
     return None
 
 
+def write_split(raw: DataFrame, path: str, level: str | None = None, checkpoint: str | None = None,
+                trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery | None:
+    """V3: valid and rejected payloads in one write, so each payload is decoded once.
+
+    Rows lie by ``outcome``: ``valid`` or the reject reason. ``sources.read_split``
+    reads either side, and only its folders. The payload text is kept for rejected rows only.
+    """
+    reason = F.col("reject_reason")
+    out = classify_events(raw, level).withColumn("outcome", F.coalesce(reason, F.lit(VALID))).withColumn(
+        "payload", F.when(reason.isNotNull(), F.col("payload"))).drop("reject_reason")
+    if out.isStreaming:
+        return _start(out, "parquet", {"path": path}, _need_checkpoint(checkpoint), trigger, "append", ("outcome",), query_name)
+    out.write.mode("append").partitionBy("outcome").parquet(path)
+    return None
+
+
 def write_alert_updates(alerts: DataFrame, path: str, checkpoint: str | None = None,
                         trigger: dict | None = None, query_name: str | None = None,
                         state_partitions: int | None = None) -> StreamingQuery | None:
