@@ -361,3 +361,21 @@ def test_slices_are_the_whole_table(spark):
     n = spark.read.parquet(f"{SF}/events.parquet").count()
     assert len(parts) == 3 and sum(p.count() for p in parts) == n
     assert DRIVER_RULES.watermark == "10 minutes"
+
+
+def test_pipeline_with_one_aggregate_for_all_alert_sinks(spark, scratch, capsys):
+    from tripwire.sources import read_event_records
+    from tripwire.streaming import PipelineSpec, run_once, start_pipeline
+
+    raw = read_event_records(spark, SF, streaming=True)
+    spec = PipelineSpec(f"{scratch}/events", f"{scratch}/alerts", f"{scratch}/ck", DRIVER_RULES, trigger={"availableNow": True},
+                        state_partitions=2, console=True, one_aggregate=True)
+    queries = start_pipeline(spark, raw, spec)
+    assert [q.name for q in queries] == ["events_parquet", "alerts_fan_out"]
+    for q in queries:
+        run_once(q)
+    assert sum(len(p["stateOperators"]) for p in queries[1].recentProgress) == len(queries[1].recentProgress)
+    out = AlertFanOut(f"{scratch}/alerts")
+    names = ("user_id", "ip_address", "anomaly_type", "event_count")
+    assert key(out.alerts(spark), *names) == key(QUERIES["stream_alerts_append"](spark, SF), *names)
+    assert key(latest_alerts(out.updates(spark).drop("batch_id")), *names) == key(QUERIES["detect_alerts"](spark, SF), *names)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +19,7 @@ from tripwire.operators.rules import detect_alerts
 from tripwire.schemas import ALERTS_TOPIC, EVENTS_TOPIC, Rules
 from tripwire.session import checkpoint_root, ensure_utc
 from tripwire.sources.parquet import read_events
+from tripwire.streaming.live import AlertFanOut
 from tripwire.streaming.sinks import (
     session_conf,
     write_alerts,
@@ -52,6 +54,10 @@ class PipelineSpec:
     # latency; late rows are judged on the sink's batch boundaries. The event folder must hold data
     # when the alert query first starts (seed it with a run-once start); an empty one is refused.
     alerts_from_events: bool = False
+    # All alert sinks from one stateful aggregate (``live.AlertFanOut``): ``alerts_path`` then holds ``alerts`` (closed windows),
+    # ``updates`` (every change) and the commits, and Kafka and the console are fed from the same batches. One source read
+    # and one state store whatever the number of sinks. Fixed at the first start: a checkpoint belongs to one of the two forms.
+    one_aggregate: bool = False
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -73,7 +79,7 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
     # checkpoint), so it is set only while these queries start.
     provider = ROCKSDB_PROVIDER if spec.rocksdb_state else None
     try:
-        events_query = write_events(events, spec.events_path, f"{base}/raw_events",
+        events_query = write_events(events, spec.events_path, f"{base}/events_sink",
                                     by_date=spec.events_by_date, trigger=spec.trigger,
                                     query_name="events_parquet", files_per_folder=spec.event_files_per_folder)
         queries.append(events_query)
@@ -94,30 +100,49 @@ def start_pipeline(spark: SparkSession, raw: DataFrame, spec: PipelineSpec) -> l
         else:
             alerts = detect_alerts(events, spec.rules)
         with session_conf(spark, "spark.sql.streaming.stateStore.providerClass", provider):
-            queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/anomalies_parquet",
-                                        trigger=spec.trigger, query_name="alerts_parquet",
-                                        state_partitions=spec.state_partitions))
-            if spec.kafka_bootstrap_servers:
-                queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
-                                                  f"{base}/anomalies_kafka", trigger=spec.trigger,
-                                                  query_name="alerts_kafka", state_partitions=spec.state_partitions))
+            if spec.one_aggregate:
+                queries.append(_fan_out(spec).start(alerts, f"{base}/alerts_fan_out", trigger=spec.trigger,
+                                                    query_name="alerts_fan_out", state_partitions=spec.state_partitions))
+            else:
+                _start_alert_queries(queries, alerts, spec, base)
         if spec.rejected_path:
             queries.append(write_rejected(rejected, spec.rejected_path, f"{base}/rejected",
                                           trigger=spec.trigger, query_name="rejected_parquet"))
-        if spec.console:
-            queries.append(write_console(alerts, "live_anomalies"))
+        if spec.console and not spec.one_aggregate:
+            queries.append(write_console(alerts, "alerts_console"))
     except Exception:
         stop_all(queries)
         raise
     return queries
 
 
+def _start_alert_queries(queries: list[StreamingQuery], alerts: DataFrame, spec: PipelineSpec, base: str) -> None:
+    """A query with a state store of its own for each alert sink."""
+    queries.append(write_alerts(alerts, spec.alerts_path, f"{base}/alerts_closed", trigger=spec.trigger,
+                                query_name="alerts_parquet", state_partitions=spec.state_partitions))
+    if spec.kafka_bootstrap_servers:
+        queries.append(write_alerts_kafka(alerts, spec.kafka_bootstrap_servers, spec.alerts_topic,
+                                          f"{base}/alerts_messages", trigger=spec.trigger,
+                                          query_name="alerts_kafka", state_partitions=spec.state_partitions))
+
+
+def _fan_out(spec: PipelineSpec) -> AlertFanOut:
+    also = []
+    if spec.kafka_bootstrap_servers:
+        also.append(lambda batch, _: write_alerts_kafka(batch, spec.kafka_bootstrap_servers, spec.alerts_topic))
+    if spec.console:
+        also.append(lambda batch, _: batch.show(1000, truncate=False))
+    return AlertFanOut(spec.alerts_path, also)
+
+
 def _has_partitioned_output(spark: SparkSession, path: str, partition_cols: list[str]) -> bool:
-    """Whether ``path`` holds committed data with the given partition folders."""
+    """Whether ``path`` holds committed data with the given partition folders. Any other failure than missing data is raised."""
     try:
         return set(partition_cols) <= set(spark.read.parquet(path).columns)
-    except Exception:  # nothing committed yet: no schema to infer
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def stop_all(queries: list[StreamingQuery]) -> None:
@@ -217,6 +242,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--state-partitions", type=int, help="window-state partitions of a new alert query")
     ap.add_argument("--event-files-per-folder", type=int, help="about this many event files per folder and batch")
     ap.add_argument("--events-by-date", action="store_true", help="partition events by action and date")
+    ap.add_argument("--one-aggregate", action="store_true", help="all alert sinks from one query and state store")
     ap.add_argument("--alerts-from-events", action="store_true",
                     help="alert query reads the event sink's output (parse once)")
     args = ap.parse_args(argv)
@@ -246,6 +272,7 @@ def main(argv: list[str] | None = None) -> int:
         event_files_per_folder=args.event_files_per_folder,
         events_by_date=args.events_by_date,
         alerts_from_events=args.alerts_from_events,
+        one_aggregate=args.one_aggregate,
     )
     queries = start_pipeline(spark, raw, spec)
     try:
