@@ -426,35 +426,45 @@ def test_classifiers_learn_and_take_awkward_rows(spark, documents, nothing, modu
     assert module.score_documents(nothing, labels, fit=fold(3) == 0, calibrate=fold(3) == 1).count() == 0
 
 
-def test_ngram_and_word_counts_are_exact(spark, monkeypatch):
-    """Every distinct n-gram and word has counts of its own, with the Kneser-Ney ratios of a direct count."""
+def test_word_ratios_equal_a_direct_count(spark, documents, awkward, monkeypatch):
+    """Ratios and features over many chunks and buckets, with awkward rows, ids and labels."""
     monkeypatch.setattr(toxicity, "CHUNK_BYTES", 5000)
     rng = random.Random(6)
-    rows = [(i, "".join(rng.choice("abcdef gh") for _ in range(300))) for i in range(40)]
-    seen = [Counter(), Counter()]
-    for i, t in rows[:20]:
-        seen[i % 2].update(t[k : k + 6] for k in range(len(t) - 5))
-    distinct = {t[k : k + 6] for _, t in rows for k in range(len(t) - 5)}
-    continued = Counter(g[1:] for g in distinct)
-    every, kinds = Counter(g[1:5] for g in distinct), Counter(e[:4] for e in continued)
-    totals = [Counter() for _ in seen]
-    types = [Counter() for _ in seen]
-    for k, counts in enumerate(seen):
-        for g, n in counts.items():
-            totals[k][g[:5]] += n
-            types[k][g[:5]] += 1
-
-    def p(k, g):
-        low = (continued[g[1:]] - 0.75 + 0.75 * kinds[g[1:5]] / 256) / every[g[1:5]]
-        return max(seen[k][g] - 0.75, 0) / (totals[k][g[:5]] + 1) + (0.75 * types[k][g[:5]] + 1) / (totals[k][g[:5]] + 1) * low
-
-    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
-    out = toxicity.score_documents(table, labels, fit=F.col("doc_id") < 20, calibrate=F.col("doc_id") >= 20).collect()
-    for r in out:
-        t = rows[r["doc_id"]][1]
-        expected = sum(np.log(p(1, t[k : k + 6]) / p(0, t[k : k + 6])) for k in range(len(t) - 5)) / len(t) * 100
-        assert abs(r["llr"] - expected) < 1e-3
+    rows = [(i * 1111 - 30_000, prose(rng, rng.randint(0, 80)) + " A-b é9 9") for i in range(60)]
+    rows += [(r[0], r[1]) for r in awkward if r[0] is None or r[0] > 7] + [rows[3], rows[4]]
+    known = [(i, k % 2) for k, (i, _) in enumerate(rows[:60])] + [(rows[2][0], 1), (rows[2][0], 1), (None, 1), (rows[5][0], None), (rows[5][0], 7), (10**15, 0)]
+    fit = {i for k, (i, _) in enumerate(rows[:60]) if k < 40}
+    words = [(i, ALNUM.findall(low(t or ""))) for i, t in rows]
+    held, seen = Counter(), [Counter(), Counter()]
+    for i, w in words:
+        held.update(set(w))
+        for label in {label for j, label in known if j == i and i in fit and label in (0, 1)}:
+            seen[label].update(set(w))
+    everything = sum(held.values())
+
+    def log_p(k, w):
+        spare = 0.9 * len(seen[k]) + 1
+        return np.log((max(seen[k][w] - 0.9, 0) + spare * held[w] / everything) / (sum(seen[k].values()) + 1))
+
+    expected = Counter()
+    for i, w in words:
+        ratio = [log_p(1, x) - log_p(0, x) for x in w]
+        expected[i, round(10 * sum(ratio) / max(len(w), 1), 6)] += 1
+    table = spark.createDataFrame([(i, t, "x", 1, 2, 3) for i, t in rows], "doc_id long, text string, chunk string, kind int, of int, toxic int").repartition(5)
+    labels = spark.createDataFrame([(i, k, 1) for i, k in known], "doc_id long, toxic int, kind int")
+    in_fit = F.col("doc_id").isin(*fit)
+    out = toxicity.score_documents(table, labels, fit=in_fit, calibrate=~in_fit).collect()
+    got = Counter((r["doc_id"], round(r["llr"], 6)) for r in out)
+    assert {k: abs(v) for k, v in (got - expected).items()} == {} and got == expected
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(3)
+    for kind in (np.uint8, np.uint32, np.int64, np.uint64):
+        for n in (0, 1, 1000):
+            x = rng.integers(0, np.iinfo(kind).max, n, dtype=kind, endpoint=True)
+            assert (toxicity._unpack(toxicity._pack(x), kind) == x).all()
+            assert (toxicity._unpack_sorted(toxicity._pack_sorted(np.sort(x)), kind) == np.sort(x)).all()
 
 
 def test_isotonic_pools_violators():
