@@ -195,6 +195,18 @@ def test_cut_repeats_keeps_rows_and_columns(documents, nothing):
     assert substring_dedup.cut_repeats(nothing).count() == 0 and substring_dedup.repeats(nothing).count() == 0
 
 
+def test_cut_repeats_equals_the_cut_texts_under_clashing_names(documents):
+    """Every row with its own text, whatever its other columns are called; rows without id and of one id included."""
+    cut = {(r["rk"], r["doc_id"]): r["kept"] for r in substring_dedup.repeats(documents).collect() if r["n_removed"]}
+    keyed = documents.withColumn("rk", F.xxhash64("doc_id", "text"))
+    expected = Counter((r["doc_id"], cut.get((r["rk"], r["doc_id"]), r["text"])) for r in keyed.collect())
+    clash = documents.select("doc_id", "text", *[F.lit(k).alias(n) for k, n in enumerate(["row", "rk", "kept", "of", "ones", "touched", "id", "__key", "__kept", "a.b"])])
+    out = substring_dedup.cut_repeats(clash)
+    rows = out.collect()
+    assert out.columns == clash.columns and Counter((r["doc_id"], r["text"]) for r in rows) == expected and len(cut) > 5
+    assert {tuple(r)[2:] for r in rows} == {tuple(range(10))}
+
+
 def test_quality_rules_base_matches_brute_force(documents, awkward, nothing):
     def base(text):
         text = text or ""

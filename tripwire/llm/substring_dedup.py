@@ -10,7 +10,8 @@ first place (smallest doc_id, then start). The runs of later places are the
 maximal repeats, which are cut.
 
 Four exchanges carry this: probes by value, hits back to the texts, windows of
-the hit regions by value, and repeats back to those texts. Probes and windows
+the hit regions by value, and repeats back to those texts, which take no part in
+the third: the windows and the texts of a hit are told apart from one exchange. Probes and windows
 travel packed and compressed, a few rows for each task and bucket; values
 that a task sees several times are settled there and sent once, so a passage
 that a third of all documents hold costs each task one entry. A bucket is read
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.llm import _text
-from tripwire.llm._tables import partitions
+from tripwire.llm._tables import partitions, stored
 
 WINDOW = 20
 HELD = 1 << 21  # probes that a task packs at a time
@@ -210,8 +211,9 @@ def _settled(bucket: np.ndarray, value: np.ndarray, doc: np.ndarray, start: np.n
     yield from _packed(_doc_bucket(doc[at], buckets), doc[at], start[at], value[at].astype(np.uint32), kind=LATER)
 
 
-def _extend(window: int, buckets: int):
-    """Texts with their hits -> all windows that hold a hit, by value, and those texts; other texts are finished."""
+def _extend(window: int, buckets: int, texts: bool):
+    """Texts with their hits -> all windows that hold a hit, by value; with ``texts`` instead those texts, by the document's
+    bucket, and the other texts finished."""
 
     def send(held: list) -> Iterator[pa.RecordBatch]:
         yield from _settled(*(np.concatenate(c) for c in zip(*held, strict=True)), buckets)
@@ -240,14 +242,17 @@ def _extend(window: int, buckets: int):
                     if len(hashes) >= window:
                         is_hit = np.concatenate([[0], np.cumsum(np.isin(_probes(values, buckets), hits[1][lo:hi]))])
                         starts = np.flatnonzero(is_hit[window - window // 2 + 1 :] > is_hit[: len(hashes) - window + 1])
-                if len(starts):
+                if texts:
+                    if len(starts):
+                        own = np.array([NO_ID if doc_id is None else doc_id])
+                        out.append((int(_doc_bucket(own, buckets)[0]), TEXT, doc_id, rk, None, None, None, body))
+                    else:
+                        out.append(_finished(rk % buckets, doc_id, rk, raw))
+                elif len(starts):
                     wide = _text.grams(hashes, window)[starts]
                     at = (_text.grams(_text.mix(hashes + _U(0x632BE59BD9B4E019)), window)[starts] % _U(buckets)).astype(np.int64)
                     held.append((at, wide, np.full(len(starts), NO_ID if doc_id is None else doc_id), starts.astype(np.uint32)))
                     n += len(starts)
-                    out.append((rk % buckets, TEXT, doc_id, rk, None, None, None, body))
-                else:
-                    out.append(_finished(rk % buckets, doc_id, rk, raw))
                 size += len(body)
                 if size > 1 << 22:
                     yield _rows(out)
@@ -267,23 +272,16 @@ def _doc_bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _first(buckets: int):
-    """Windows of a bucket -> those that aren't the first of their value, by the document's bucket; the rest goes through."""
+    """Windows of a bucket -> those that aren't the first of their value, by the document's bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches):
-            parts, out, size = [], [], 0
+            parts = []
             for row in rows:
                 if row[1] == PACKED:
                     parts.append(_unpack(row[-1], np.int64, np.uint32, np.uint64))
-                    continue
-                key = int(_doc_bucket(np.array([NO_ID if row[2] is None else row[2]]), buckets)[0]) if row[1] == TEXT else row[0]
-                out.append((key, PACKED if row[1] == LATER else row[1], *row[2:]))
-                size += len(row[-1] or b"")
-                if size > 1 << 22:
-                    yield _rows(out)
-                    out, size = [], 0
-            if out:
-                yield _rows(out)
+                else:  # LATER: settled in a task already
+                    yield _rows([(row[0], PACKED, *row[2:])])
             if parts:
                 doc, start, value = (np.concatenate(c) for c in zip(*parts, strict=True))
                 order = np.lexsort((start, doc, value))
@@ -372,17 +370,30 @@ def repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         return df.repartitionById(parts, "key").sortWithinPartitions("key", "kind")
 
     hits = dealt(rows.mapInArrow(_probe(window, buckets), ROW)).mapInArrow(_match(buckets), ROW)
-    extended = dealt(hits.union(rows.mapInArrow(_texts(buckets), ROW))).mapInArrow(_extend(window, buckets), ROW)
-    later = dealt(extended).mapInArrow(_first(buckets), ROW)
-    return dealt(later).mapInArrow(_cut(window), ROW).select("rk", "doc_id", "n_words", "n_removed", "kept_sha256", F.col("body").cast("string").alias("kept"))
+    met = dealt(hits.union(rows.mapInArrow(_texts(buckets), ROW)))  # one exchange, read for the windows and for the texts
+    later = dealt(met.mapInArrow(_extend(window, buckets, False), ROW)).mapInArrow(_first(buckets), ROW)
+    return dealt(later.union(met.mapInArrow(_extend(window, buckets, True), ROW))).mapInArrow(_cut(window), ROW).select("rk", "doc_id", "n_words", "n_removed", "kept_sha256", F.col("body").cast("string").alias("kept"))
 
 
 def cut_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """``documents`` with the repeated words cut from ``text`` (kept words joined by one space) and ``n_chars``
     brought up to date if there is such a column; texts without repeats stay as they are."""
-    cut = repeats(documents, window).where("n_removed > 0").select(F.col("rk").alias("__rk"), F.col("kept").alias("__kept")).dropDuplicates(["__rk"])
-    joined = documents.withColumn("__key", F.xxhash64("doc_id", "text")).join(cut, F.col("__key") == F.col("__rk"), "left")
-    out = joined.withColumn("text", F.coalesce("__kept", "text"))
+    # The rows of documents without cuts go straight through: a bitmap for each 32,768 ids says which they are, a table
+    # that Spark sends to all tasks while it is small. Only the others are joined, by row key and id.
+    cut = repeats(documents, window).where("n_removed > 0").select("rk", "doc_id", "kept").dropDuplicates(["rk", "doc_id"])
+    cut = stored(cut, "cut")
+    place = F.bitmap_bit_position("doc_id")
+    marks = cut.where("doc_id IS NOT NULL").groupBy(F.bitmap_bucket_number("doc_id").alias("of")).agg(F.bitmap_construct_agg(place).alias("ones"))
+    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("doc_id", "text").alias("key"))
+    marked = row.join(stored(marks, "cut_marks"), F.bitmap_bucket_number("id") == F.col("of"), "left")
+    at = F.bitmap_bit_position("id")
+    byte = F.conv(F.hex(F.substring("ones", (F.call_function("div", at, F.lit(8)) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    touched = F.col("id").isNull() | F.coalesce(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    marked = marked.select("row", "id", "key", touched.alias("touched"))
+    same = (F.col("key") == F.col("rk")) & F.col("id").eqNullSafe(F.col("doc_id"))
+    changed = marked.where("touched").join(cut, same, "left").select("row", "kept")
+    rows = marked.where("NOT touched").select("row", F.lit(None).cast("string").alias("kept")).union(changed)
+    new = {"text": F.coalesce("kept", "row.text")}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+        new["n_chars"] = F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.length("kept")).cast(documents.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in documents.columns])
