@@ -398,6 +398,91 @@ def test_html_template_of_a_section_of_a_large_host(spark):
     assert out == {i: f"Story number {i}" for i in range(160)}
 
 
+def page_text(source, templates=frozenset()):
+    return html_extract.Page(source, frozenset(templates)).text()
+
+
+def test_html_keeps_all_of_the_article():
+    """All articles, what stands beside them in main, and elements whose class or id only begins like a mark."""
+    assert page_text("<body><p>out</p><article><p>one</p></article><div>between</div><article><p>two</p></article></body>") == "one\ntwo"
+    assert page_text("<main><h1>Head</h1><p>Lead</p><article><p>Body</p></article><p>End</p></main><p>out</p>") == "Head\nLead\nBody\nEnd"
+    assert page_text("<article><p>a</p><article class='comment'><p>reader</p></article><p>b</p></article>") == "a\nb"
+    kept = ['<section id="related-work">', '<div class="comment-on-the-law">', '<p class="notice-of-death">', '<div class="adverbs">', '<div id="address">', '<div class="shareholders meeting">']
+    for tag in kept:
+        name = tag[1:].split()[0]
+        assert page_text(f"<article><p>a</p>{tag}x</{name}><p>b</p></article>") == "a\nx\nb", tag
+    for tag in ['<section id="comments">', '<div class="comment-list">', '<p class="notice">', '<div class="x ad-slot-1">', '<div class="related posts">', '<div class="cookie-notice">', '<div id="sidebar_left">', '<div class="nav">']:
+        name = tag[1:].split()[0]
+        assert page_text(f"<article><p>a</p>{tag}x</{name}><p>b</p></article>") == "a\nb", tag
+
+
+@pytest.mark.parametrize("piece", ["<a b='", '<a b="', "<p ", "<", "<!", "<!--", "</p", "<p>", "<div>", "</div><b>", "<b></i>", "<i>", "&", "<article>", "<header>", "<![CDATA[", "<script", "<li>", "<p><b><br>", "<a b='c' ", "'>\"", "<x y=\"'>", "<table><tr><td>"])
+def test_html_is_read_in_linear_time(piece):
+    """A megabyte of any malformed piece, with text behind it."""
+    import time
+
+    source = f"<article><p>Words before.</p>{piece * (1_000_000 // len(piece))}"
+    began = time.process_time()
+    text = page_text(source)
+    assert time.process_time() - began < 12
+    assert text.startswith("Words before.")
+
+
+def test_html_broken_tags_keep_the_text():
+    assert page_text("<p>one <a href='x>two</a> three</p><p>four</p>") == "one two three\nfour"
+    assert page_text("<p>one</p><p>two < three <4 <") == "one\ntwo < three <4 <"
+    assert page_text('<p title="a > b">one</p><p>two') == "one\ntwo"
+    deep = "<div>" * 5000 + "<p>inside</p>" + "</div>" * 5000 + "<p>after</p>"
+    assert page_text(f"<body><nav>menu</nav><article>{deep}</article><p>out</p></body>") == "inside\nafter"
+
+
+def brute_templates(pages):
+    """Templates of each host by the definition, over all subtrees of all pages."""
+    around: dict = {}
+    mains: dict = {}
+    for host, source in pages:
+        page = html_extract.Page(source)
+        mains.setdefault(host, set()).add(page.text())
+        low, high = page.main()[0][0], page.main()[-1][1]
+        for subtree, first, end, content in page.subtrees:
+            if not (first <= low and high <= end and first < end):
+                around.setdefault((host, subtree, content), set()).add(page.text())
+    return {(host, s) for (host, s, content), texts in around.items() if len(texts) >= 5 and (not content or 2 * len(texts) >= len(mains[host]))}
+
+
+def test_html_templates_equal_a_direct_count(spark):
+    """Planted templates of several kinds and shares, and content that recurs: texts, recall and precision."""
+    rng = random.Random(12)
+    rows, truth = [], {}
+    table = "<table><tr><td>1</td><td>2</td></tr></table>"
+    for host, n in (("big.org", 60), ("mid.org", 20), ("few.org", 4)):
+        for i in range(n):
+            own = [f"{host} paragraph {i} {prose(rng, 8)}" for _ in range(3)]
+            body = "".join(f"<p>{p}</p>" for p in own)
+            if i % 5 == 0:
+                body += table  # the same figures in a fifth of the articles
+            parts = [
+                "<p>All rights and cookies of this site</p>",  # on every page, in a bare paragraph
+                "<div><p>Campaign of the week</p></div>" if i % 6 == 0 else "",  # a box on some pages
+                "<ul><li>Send</li><li>Print</li></ul>",
+            ]
+            rows.append((len(rows), f"http://{host}/{i}", f"<body><article><h1>T{i}</h1>{body}{''.join(parts)}</article></body>"))
+            cut = n >= 5
+            kept = [f"T{i}", *own] + (["1", "2"] if i % 5 == 0 else [])
+            if not cut:
+                kept += ["All rights and cookies of this site"]
+            if i % 6 == 0 and (n + 5) // 6 < 5:
+                kept += ["Campaign of the week"]
+            if not cut:
+                kept += ["Send", "Print"]
+            truth[len(rows) - 1] = "\n".join(kept)
+    out = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    found = brute_templates([(u.split("/")[2], h) for _, u, h in rows])
+    direct = {i: page_text(h, {s for host, s in found if host == u.split("/")[2]}) for i, u, h in rows}
+    assert out == direct
+    assert out == truth
+
+
 def test_chats_keep_maximal_conversations(spark):
     rows = [(1, 0, "user", "a", 1), (1, 1, "assistant", "b", 1), (2, 0, "user", "a", 1), (3, 0, "user", "a", 1), (3, 1, "assistant", "b", 1), (3, 2, "user", "c", 1),
             (4, 0, "user", "z", 1), (5, 0, "user", "z", 1), (6, 0, None, None, 1), (None, 0, "user", "q", 1), (None, 1, "user", "q", 1), (7, 0, "user", "b", 1), (7, 0, "user", "b", 1)]

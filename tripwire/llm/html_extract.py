@@ -1,12 +1,17 @@
 """Main text of web pages, with removal of site templates.
 
-A page is read as a tree of elements. Navigation, forms, scripts and the like
-are left out by what they are; templates by how they recur: every container's
-subtree (its tag, classes, text and children) is hashed, Spark counts each hash
-per host, and subtrees found around many different main texts of a host are
-deleted from its pages. Copies of one page have one main text and count once,
-and paragraphs and headings are no containers, so an article that a site prints
-many times, or a passage that many articles share, is no template.
+A page is read as a tree of elements, in time linear in its length. Navigation,
+forms, scripts and the like are left out by what they are, or where a whole
+class or id says so; templates by how they recur: every element's subtree (its
+tag, classes, text and children) is hashed, Spark counts each hash per host by
+the different main texts around it, and what recurs is deleted from the host's
+pages. A box (a div, section or the like) is a template around MIN_PAGES
+different main texts. What articles are made of (paragraphs, lists, tables,
+figures, quotations, headings) may well recur in some of them, and is a template
+only if it is also around half of the host's main texts. Copies of one page
+have one main text and count once. The main text is all of the page's outermost
+articles and main elements, with what stands beside articles in them, or the
+whole page if it has none.
 
 Pages are parsed twice (to count, and to extract). What moves between is a few
 hashes a page; (host, hash) counts are made distinct and summed before they
@@ -14,13 +19,17 @@ are shuffled, so a host with a third of all pages is no hot key.
 
 Defined results: a null or empty page gives an empty text. A null url is a host
 of its own. Repeated pages and ids give repeated rows. Columns other than
-page_id, url and html are ignored.
+page_id, url and html are ignored. A tag that is never closed by ``>`` is text;
+a quoted value that never ends ends with its tag. Elements more than DEPTH deep count
+as text of the element at that depth.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +40,8 @@ from pyspark.sql import functions as F
 from tripwire.llm._tables import stored
 
 MIN_PAGES = 5  # different main texts of a host around a subtree
+CONTENT_SHARE = 0.5  # of the host's different main texts, for what articles are made of
+DEPTH = 512
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,25 +50,38 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 LEFT_OUT = frozenset("head nav aside form footer menu dialog button select svg math object audio video canvas".split())
-CONTAINERS = frozenset("div section ul ol dl table header nav aside footer form menu figure details address center".split())
+BOXES = frozenset("div section header nav aside footer form menu center".split())
+CONTENT = frozenset("p ul ol li dl table figure details address blockquote pre h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
-# Words in class and id that mark what is no main text.
+# Words that mark what is no main text, in a class or id of such words and PLAIN ones only: "comment-list"
+# is marked, "comment-on-the-law" and "related-work" are not.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsored sponsor promo promotion cookie cookies consent notice notices alert popup modal overlay "
     "sidebar menu nav navbar navigation breadcrumb breadcrumbs share sharing social comment comments disqus related recommended newsletter subscribe "
     "subscription signup login footer masthead skip pagination pager toolbar widget".split()
 )
+PLAIN = frozenset(
+    "list box wrap wrapper container block section area item items bar panel slot unit group inner outer top bottom left right side site page global main "
+    "header content text row col column link links button buttons icon icons posts articles stories js id module component region holder frame message".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_IN_TAG = re.compile(r"""[^>"']*""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 
 
+def _marked(name: str) -> bool:
+    """Whether a class or id consists of mark words and plain ones, with a mark word."""
+    words = _WORD.findall(name)
+    return any(w in MARKS for w in words) and all(w in MARKS or w in PLAIN for w in words)
+
+
 def _attributes(text: str) -> dict[str, str]:
     return {name.lower(): html.unescape(value.strip("\"'")) for name, value in _ATTRIBUTE.findall(text)} if text.strip(" /") else {}
 
@@ -75,11 +99,14 @@ class Page:
 
     def __init__(self, source: str, templates: frozenset[int] = frozenset()):
         self.blocks: list[str] = []
-        self.regions: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
-        self.subtrees: list[tuple[int, int, int]] = []  # hash, first and past-the-last block
+        self.regions: list[tuple[int, int]] = []
+        self.subtrees: list[tuple[int, int, int, bool]] = []  # hash, first and past-the-last block, is it content
         self.templates = templates
         self._text: list[str] = []
         self._stack = [_Open("", {}, False, 0, False)]
+        self._open: Counter = Counter()  # open elements by tag
+        self._skipped: Counter = Counter()  # those too deep to be pushed
+        self._open_regions = 0
         self._read(source)
         while len(self._stack) > 1:
             self._pop()
@@ -100,15 +127,20 @@ class Page:
                 self._text.append(text)
 
     def _left_out(self, tag: str, attributes: dict, parent: _Open) -> bool:
-        if parent.out or tag in LEFT_OUT or (tag == "header" and not any(o.region for o in self._stack)):
+        if parent.out or tag in LEFT_OUT or (tag == "header" and not self._open_regions):
             return True
         if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role", "").lower() in ROLES:
             return True
-        if tag in ("article", "main", "body", "html"):
+        if tag in ("main", "body", "html"):
             return False
-        return any(w in MARKS for w in _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+        return any(map(_marked, f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()))
 
     def _push(self, tag: str, attribute_text: str) -> None:
+        if len(self._stack) > DEPTH:
+            self._skipped[tag] += 1
+            if tag not in INLINE:
+                self._end_block()
+            return
         attributes = _attributes(attribute_text)
         if tag not in INLINE:
             self._end_block()
@@ -117,22 +149,33 @@ class Page:
             self._text.append(" ")
         region = tag in ("article", "main") or attributes.get("role") in ("main", "article")
         self._stack.append(_Open(tag, attributes, out, len(self.blocks), region))
+        self._open[tag] += 1
+        self._open_regions += region
 
     def _pop(self) -> None:
         top = self._stack.pop()
+        self._open[top.tag] -= 1
+        self._open_regions -= top.region
         if top.tag not in INLINE:
             self._end_block()
         parent = self._stack[-1]
-        subtree = xxhash.xxh64_intdigest(f"<{top.tag} {top.attributes.get('class', '')}>{''.join(top.parts)}") & (1 << 63) - 1
+        subtree = xxhash.xxh64_intdigest(f"<{top.tag} {top.attributes.get('class', '')}>{''.join(top.parts)}") & (1 << 62) - 1
         parent.parts.append(f"<{subtree}>")
-        if top.tag in CONTAINERS and any(p.strip() for p in top.parts):
+        if (top.tag in BOXES or top.tag in CONTENT) and any(p.strip() for p in top.parts):
             if subtree in self.templates:
                 del self.blocks[top.first_block :]
-            self.subtrees.append((subtree, top.first_block, len(self.blocks)))
+            self.subtrees.append((subtree, top.first_block, len(self.blocks), top.tag in CONTENT))
         if top.region and not top.out:
-            self.regions["main" if top.tag == "main" or top.attributes.get("role") == "main" else "article"].append((top.first_block, len(self.blocks)))
+            self.regions.append((top.first_block, len(self.blocks)))
 
     def _close(self, tag: str) -> None:
+        if self._skipped[tag]:
+            self._skipped[tag] -= 1
+            if tag not in INLINE:
+                self._end_block()
+            return
+        if not self._open[tag]:
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             if self._stack[depth].tag == tag:
                 for _ in range(len(self._stack) - depth):
@@ -143,7 +186,7 @@ class Page:
 
     def _close_before(self, tag: str) -> None:
         """End tags that may be left away before a start tag."""
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and self._open["p"]:
             for depth in range(len(self._stack) - 1, 0, -1):
                 if self._stack[depth].tag == "p":
                     for _ in range(len(self._stack) - depth):
@@ -159,19 +202,38 @@ class Page:
                     self._pop()
 
     def _read(self, source: str) -> None:
-        at = 0
+        at, quotes = 0, True
         while at < len(source):
-            token = _TOKEN.search(source, at)
-            if token is None:
+            start = source.find("<", at)
+            if start < 0:
                 self._say(source[at:])
                 break
-            self._say(source[at : token.start()])
-            at = token.end()
-            closing, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
-            if tag is None:
-                if token[0].startswith("<![CDATA["):
-                    self._say(html.escape(token[0][9:].removesuffix("]]>")))
+            self._say(source[at:start])
+            opening = source[start : start + 9]
+            if opening.startswith("<!--") or opening == "<![CDATA[":
+                end = source.find("-->" if opening.startswith("<!--") else "]]>", start + (4 if opening.startswith("<!--") else 9))
+                if opening == "<![CDATA[":
+                    self._say(html.escape(source[start + 9 : end if end >= 0 else len(source)]))
+                at = end + 3 if end >= 0 else len(source)
                 continue
+            if opening.startswith(("<!", "<?")):
+                end = source.find(">", start)
+                at = end + 1 if end >= 0 else len(source)
+                continue
+            name = _TAG.match(source, start)
+            if name is None:
+                self._say("<")
+                at = start + 1
+                continue
+            end = _tag_end(source, name.end()) if quotes else -1
+            if end < 0:  # a quoted value without end: from here on quotes mean nothing, so no stretch is read again and again
+                quotes = False
+                end = source.find(">", name.end())
+                if end < 0:
+                    self._say(source[start:])
+                    break
+            closing, tag, attributes = name[1], name[2], source[name.end() : end]
+            at = end + 1
             tag = tag.lower()
             if closing:
                 if tag == "br":
@@ -197,28 +259,50 @@ class Page:
                 if (attributes or "").endswith("/") and tag in ("path", "circle", "rect", "use"):
                     self._pop()
 
-    def main(self) -> tuple[int, int]:
-        """Blocks of the article: of articles the one with most text, else the main element, else the page."""
-        for kind in ("article", "main"):
-            outer = [r for r in self.regions[kind] if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in self.regions[kind])]
-            if outer:
-                return max(outer, key=lambda r: sum(map(len, self.blocks[r[0] : r[1]])))
-        return 0, len(self.blocks)
+    def main(self) -> list[tuple[int, int]]:
+        """Runs of the blocks of the outermost articles and main elements, in page order, or all blocks."""
+        runs: list[tuple[int, int]] = []
+        for first, end in sorted(self.regions, key=lambda r: (r[0], -r[1])):
+            if runs and first < runs[-1][1]:
+                runs[-1] = runs[-1][0], max(end, runs[-1][1])
+            elif end > first:
+                runs.append((first, end))
+        return runs or [(0, len(self.blocks))]
+
+    def text(self) -> str:
+        return "\n".join(block for first, end in self.main() for block in self.blocks[first:end])
+
+
+def _tag_end(source: str, at: int) -> int:
+    """The place of the ``>`` that ends a tag, outside quoted values; -1 if there is none."""
+    while True:
+        at = _IN_TAG.match(source, at).end()
+        if at >= len(source):
+            return -1
+        if source[at] == ">":
+            return at
+        at = source.find(source[at], at + 1) + 1
+        if not at:
+            return -1
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page: the hash of its main text, its subtree hashes, and those inside the main text (not around it)."""
+    """Per page: the hash of its main text, its subtree hashes, and those inside the main text (not around it). The last
+    bit of a subtree's number says that it is content."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 200):
             part = batch.slice(lo, 200)
             mains, all_hashes, inside = [], [], []
             for source in part.column(2).to_pylist():
                 page = Page(source or "")
-                first, end = page.main()
-                mains.append(xxhash.xxh64_intdigest("\n".join(page.blocks[first:end])) & (1 << 63) - 1)
-                around = [not (a <= first and end <= b and a < b) for _, a, b in page.subtrees]
-                all_hashes.append(sorted({h for (h, _, _), ok in zip(page.subtrees, around, strict=True) if ok}))
-                inside.append(sorted({h for (h, a, b), ok in zip(page.subtrees, around, strict=True) if ok and first <= a < b <= end}))
+                runs = page.main()
+                mains.append(xxhash.xxh64_intdigest(page.text()) & (1 << 63) - 1)
+                starts, low, high = [first for first, _ in runs], runs[0][0], runs[-1][1]
+                # subtrees around the whole main text aren't in it; of the others those that hold a block of it may be deleted
+                around = [x for x in page.subtrees if not (x[1] <= low and high <= x[2] and x[1] < x[2])]
+                all_hashes.append(sorted({2 * x[0] + x[3] for x in around}))
+                held = [x for x in around if x[2] > x[1] and (k := bisect.bisect_left(starts, x[2])) and runs[k - 1][1] > x[1]]
+                inside.append(sorted({2 * x[0] + x[3] for x in held}))
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(mains, pa.int64()), pa.array(all_hashes, kind), pa.array(inside, kind)],
@@ -232,9 +316,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(lo, 200)
             texts = []
             for source, templates in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                page = Page(source or "", frozenset(templates or ()))
-                first, end = page.main()
-                texts.append("\n".join(page.blocks[first:end]))
+                texts.append(Page(source or "", frozenset(t >> 1 for t in templates or ())).text())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
@@ -244,7 +326,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def site_templates(subtrees: DataFrame) -> DataFrame:
     """``(host, subtree)`` found around enough different main texts of a host."""
     different = subtrees.select("host", "main", F.explode("subtrees").alias("subtree")).distinct()
-    return different.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "subtree")
+    counts = different.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
+    mains = subtrees.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("mains"))
+    is_content = F.col("subtree").bitwiseAND(1) == 1
+    return counts.join(mains, "host").where(~is_content | (F.col("n") >= CONTENT_SHARE * F.col("mains"))).select("host", "subtree")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
