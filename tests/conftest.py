@@ -8,7 +8,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-BASE = datetime(2026, 8, 20, 10, 0, 0, tzinfo=timezone.utc)
+BASE = datetime(2025, 11, 3, 10, 0, 0, tzinfo=timezone.utc)
 
 
 def at(seconds: float = 0, minutes: float = 0) -> datetime:

@@ -4,7 +4,7 @@ from tripwire.operators import alert_feed, first_alerts, latest_alerts, recent_a
 from tripwire.operators.alerts import FEED_COLUMNS, REFERENCE_FIRST_KEYS
 from tripwire.schemas import ALERT_SCHEMA
 
-T = datetime(2026, 8, 20, 10, 0)
+T = datetime(2025, 11, 3, 10, 0)
 
 
 def alert(rows, spark):

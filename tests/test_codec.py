@@ -6,7 +6,7 @@ from tripwire.schemas import ALERT_COLUMNS, ALERT_SCHEMA
 from tripwire.sources import kafka_source_options
 from tripwire.streaming import kafka_sink_options
 
-T = datetime(2026, 8, 20, 10, 0)
+T = datetime(2025, 11, 3, 10, 0)
 
 
 def test_alert_message_format_and_roundtrip(spark):
@@ -16,7 +16,7 @@ def test_alert_message_format_and_roundtrip(spark):
     msgs = encode_alerts(df).collect()
     assert msgs[0].key == "u1" and msgs[1].key is None
     body = json.loads(msgs[0].value)
-    assert body["window_start"] == "2026-08-20T10:00:00.000Z"
+    assert body["window_start"] == "2025-11-03T10:00:00.000Z"
     assert "details" not in body  # NULL fields are dropped
     assert list(body) == [c for c in ALERT_COLUMNS if c != "details"]
     back = decode_alerts(encode_alerts(df))
@@ -25,7 +25,7 @@ def test_alert_message_format_and_roundtrip(spark):
 
 
 def test_event_roundtrip(spark):
-    payload = ('{"event_id":"e1","timestamp":"2026-08-20T10:00:00+00:00","user_id":"u","session_id":"s",'
+    payload = ('{"event_id":"e1","timestamp":"2025-11-03T10:00:00+00:00","user_id":"u","session_id":"s",'
                '"ip_address":"i","action":"login_failed","amount":2.5}')
     events = parse_events(spark.createDataFrame([(payload,)], "value string"))
     msgs = encode_events(events)

@@ -42,10 +42,10 @@ def test_permissive_field_parsing(spark):
     ("nope", None),
     ("", None),
     (None, None),
-    ("2026-08-20T10:00:00+00:00", datetime(2026, 8, 20, 10, 0)),
-    ("2026-08-20T10:00:00Z", datetime(2026, 8, 20, 10, 0)),
-    ("2026-08-20T12:00:00+02:00", datetime(2026, 8, 20, 10, 0)),
-    ("2026-08-20T10:00:00.123456", datetime(2026, 8, 20, 10, 0, 0, 123456)),
+    ("2025-11-03T10:00:00+00:00", datetime(2025, 11, 3, 10, 0)),
+    ("2025-11-03T10:00:00Z", datetime(2025, 11, 3, 10, 0)),
+    ("2025-11-03T12:00:00+02:00", datetime(2025, 11, 3, 10, 0)),
+    ("2025-11-03T10:00:00.123456", datetime(2025, 11, 3, 10, 0, 0, 123456)),
 ])
 def test_event_time_text(spark, text, expected):
     df = spark.createDataFrame([(text,)], StructType([StructField("t", StringType())]))
@@ -55,29 +55,29 @@ def test_event_time_text(spark, text, expected):
 def test_parse_drops_rows_without_event_time(spark):
     raw = payloads(
         spark,
-        '{"event_id":"a","timestamp":"2026-08-20T10:00:00Z","action":"login_failed"}',
+        '{"event_id":"a","timestamp":"2025-11-03T10:00:00Z","action":"login_failed"}',
         '{"event_id":"b","timestamp":"bad"}',
         "not json",
     ).withColumn("value", F.col("value").cast("binary"))
     out = parse_events(raw).collect()
     assert [r.event_id for r in out] == ["a"]
-    assert out[0].event_time == datetime(2026, 8, 20, 10, 0)
+    assert out[0].event_time == datetime(2025, 11, 3, 10, 0)
     assert len(parse_events(raw).columns) == 13
 
 
 def test_parse_parses_each_payload_once(spark):
     """Filters on parsed fields must not be pushed below the parse (one from_json)."""
-    raw = payloads(spark, '{"event_id":"a","timestamp":"2026-08-20T10:00:00Z","action":"x"}')
+    raw = payloads(spark, '{"event_id":"a","timestamp":"2025-11-03T10:00:00Z","action":"x"}')
     df = parse_events(raw).filter(F.col("action") == "x")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
 
 
-VALID = ('{"event_id":"ev-0001","timestamp":"2026-08-20T10:00:00+00:00",'
+VALID = ('{"event_id":"ev-0001","timestamp":"2025-11-03T10:00:00+00:00",'
          '"user_id":"ada","session_id":"s-17","ip_address":"172.16.4.9",'
          '"device_type":"kiosk","location_country":"KE","location_city":"Nairobi",'
          '"action":"page_view","url_path":"/shelf/7","amount":0.0,"user_agent":"agent/1"}')
-INVALID = ('{"event_id":"x1","timestamp":"2026-08-20T10:00:00+00:00","session_id":"s",'
+INVALID = ('{"event_id":"x1","timestamp":"2025-11-03T10:00:00+00:00","session_id":"s",'
            '"ip_address":"10.0.0.1"}')
 
 

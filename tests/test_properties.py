@@ -19,7 +19,7 @@ SCHEMA = StructType([
     StructField("amount", DoubleType()),
     StructField("event_time", TimestampType()),
 ])
-T0 = datetime(2026, 8, 20, 10, 0)
+T0 = datetime(2025, 11, 3, 10, 0)
 ACTIONS = ["login_failed", "transaction_success", "page_view", "product_click", "add_to_cart", None]
 RULES = Rules(max_failed_logins=2, max_transaction_velocity=2, max_transaction_amount=5000.0,
               max_clicks_per_window=3, trailing_failed_logins=2, trailing_transaction_velocity=2,

@@ -74,9 +74,9 @@ def test_job_cli_once(spark, scratch):
 
     from tripwire.streaming.job import main
 
-    lines = [_json.dumps({"event_id": str(i), "timestamp": f"2026-08-20T10:00:{10 + i:02d}Z", "user_id": "u",
+    lines = [_json.dumps({"event_id": str(i), "timestamp": f"2025-11-03T10:00:{10 + i:02d}Z", "user_id": "u",
                           "session_id": "s", "ip_address": "i", "action": "login_failed"}) for i in range(5)]
-    lines.append(_json.dumps({"event_id": "z", "timestamp": "2026-08-20T11:00:00Z", "user_id": "z",
+    lines.append(_json.dumps({"event_id": "z", "timestamp": "2025-11-03T11:00:00Z", "user_id": "z",
                               "session_id": "s", "ip_address": "j", "action": "page_view"}))
     src = write_files(f"{scratch}/raw", [lines[:5], lines[5:]], as_text=True)
     assert main(["--source-dir", src, "--events-path", f"{scratch}/ev", "--alerts-path", f"{scratch}/al",
@@ -123,7 +123,7 @@ def test_read_events_by_date_leaves_the_shared_schema_alone(spark, scratch):
 
     write_events(parse_events(spark.createDataFrame([(VALID,)], "value string")), f"{scratch}/ev", by_date=True)
     back = read_events(spark, f"{scratch}/ev", by_date=True)
-    assert back.columns[-1] == "event_date" and back.first().event_date.isoformat() == "2026-08-20"
+    assert back.columns[-1] == "event_date" and back.first().event_date.isoformat() == "2025-11-03"
     assert len(PARSED_EVENT_SCHEMA.fields) == n and batch is not None
 
 

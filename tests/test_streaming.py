@@ -40,7 +40,7 @@ def write_files(folder, batches, as_text=False):
 
 def logins(user, minute, n=5, ip="i"):
     return [{"user_id": user, "ip_address": ip, "action": "login_failed", "amount": 0.0,
-             "event_time": f"2026-08-20T{minute}:{s:02d}Z"} for s in range(10, 10 + 10 * n, 10)]
+             "event_time": f"2025-11-03T{minute}:{s:02d}Z"} for s in range(10, 10 + 10 * n, 10)]
 
 
 def stream(spark, folder):
@@ -95,8 +95,8 @@ def test_event_sink_keeps_late_rows_and_restarts_exactly_once(spark, scratch):
 
 WATERMARK_BATCHES = [
     logins("u", "10:00"),
-    [{"user_id": "u", "ip_address": "i", "action": "page_view", "amount": 0.0, "event_time": "2026-08-20T10:00:55Z"}],
-    [{"user_id": "z", "ip_address": "j", "action": "add_to_cart", "amount": 0.0, "event_time": "2026-08-20T11:00:00Z"}],
+    [{"user_id": "u", "ip_address": "i", "action": "page_view", "amount": 0.0, "event_time": "2025-11-03T10:00:55Z"}],
+    [{"user_id": "z", "ip_address": "j", "action": "add_to_cart", "amount": 0.0, "event_time": "2025-11-03T11:00:00Z"}],
 ]
 WM_RULES = Rules(max_failed_logins=5, max_clicks_per_window=1)
 
@@ -111,7 +111,7 @@ def test_every_event_advances_the_watermark(spark, scratch):
     for r in out:
         kinds[r.anomaly_type] = kinds.get(r.anomaly_type, 0) + 1
     assert kinds == {"CREDENTIAL_STUFFING_BRUTE_FORCE": 5, "BOT_SCRAPING_BURST": 5}
-    assert q.lastProgress["eventTime"]["watermark"] == "2026-08-20T10:50:00.000Z"
+    assert q.lastProgress["eventTime"]["watermark"] == "2025-11-03T10:50:00.000Z"
 
 
 def test_update_mode_reduced_by_latest_equals_batch(spark, scratch):
@@ -131,7 +131,7 @@ def test_pipeline_from_raw_payloads(spark, scratch):
     lines = []
     for minute in ("10:00", "10:20"):
         for s in range(10, 60, 10):
-            lines.append(json.dumps({"event_id": f"{minute}-{s}", "timestamp": f"2026-08-20T{minute}:{s:02d}Z",
+            lines.append(json.dumps({"event_id": f"{minute}-{s}", "timestamp": f"2025-11-03T{minute}:{s:02d}Z",
                                      "user_id": "u", "session_id": "s", "ip_address": "i",
                                      "action": "login_failed"}))
     lines += ["not json", '{"event_id":"b","timestamp":"bad"}']
@@ -192,7 +192,7 @@ def test_watermark_report_counts_late_rows(spark, scratch):
     report = watermark_report(q)
     assert sum(r["dropped_late_rows"] for r in report) == 5  # late2: 5 events x 5 windows, pre-aggregated
     assert [r["input_rows"] for r in report][:6] == [5] * 6
-    assert report[-1]["watermark"] == "2026-08-20T11:50:50.000Z"
+    assert report[-1]["watermark"] == "2025-11-03T11:50:50.000Z"
 
 
 def test_stateful_restart_resumes_from_checkpoint(spark, scratch):
@@ -231,7 +231,7 @@ def test_fused_rules_keep_one_state_store(spark, scratch):
 def test_continuous_pipeline_picks_up_new_files(spark, scratch):
     """Processing-time trigger: files arriving while the queries run are processed."""
     def payload(i, minute, user="u"):
-        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2026-08-20T{minute}:{10 + i:02d}Z",
+        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2025-11-03T{minute}:{10 + i:02d}Z",
                            "user_id": user, "session_id": "s", "ip_address": "i", "action": "login_failed"})
 
     src = f"{scratch}/raw"
@@ -292,7 +292,7 @@ def test_incremental_backfill_over_events_at_rest(spark, scratch):
 
 
 def test_stream_parses_each_payload_once(spark, scratch):
-    lines = [json.dumps({"event_id": str(i), "timestamp": f"2026-08-20T10:00:{10 + i:02d}Z", "user_id": "u",
+    lines = [json.dumps({"event_id": str(i), "timestamp": f"2025-11-03T10:00:{10 + i:02d}Z", "user_id": "u",
                          "session_id": "s", "ip_address": "i", "action": "login_failed"}) for i in range(5)]
     src = write_files(f"{scratch}/raw", [lines], as_text=True)
     live = detect_alerts(parse_events(spark.readStream.text(src), "10 minutes"), Rules())
@@ -316,7 +316,7 @@ def test_pipeline_alerts_from_the_event_sink(spark, scratch):
     lines = []
     for minute in ("10:00", "10:20"):
         for s in range(10, 60, 10):
-            lines.append(json.dumps({"event_id": f"{minute}-{s}", "timestamp": f"2026-08-20T{minute}:{s:02d}Z",
+            lines.append(json.dumps({"event_id": f"{minute}-{s}", "timestamp": f"2025-11-03T{minute}:{s:02d}Z",
                                      "user_id": "u", "session_id": "s", "ip_address": "i",
                                      "action": "login_failed"}))
     src = write_files(f"{scratch}/raw", [lines[:5], lines[5:]], as_text=True)
@@ -344,7 +344,7 @@ def test_continuous_alerts_from_the_event_sink(spark, scratch):
     """Seed with a run-once start, then run continuously: the alert query keeps reading the event
     sink's output from its checkpoint. Starting on an empty event folder is refused."""
     def payload(i, minute, user="u"):
-        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2026-08-20T{minute}:{10 + i:02d}Z",
+        return json.dumps({"event_id": f"{minute}-{i}", "timestamp": f"2025-11-03T{minute}:{10 + i:02d}Z",
                            "user_id": user, "session_id": "s", "ip_address": "i", "action": "login_failed"})
 
     src = f"{scratch}/raw"

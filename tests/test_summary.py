@@ -3,7 +3,7 @@ from datetime import datetime
 from tripwire.operators import alert_kpis, alerts_by_type, event_count, top_ips
 from tripwire.schemas import ALERT_SCHEMA
 
-T = datetime(2026, 8, 20, 10, 0)
+T = datetime(2025, 11, 3, 10, 0)
 
 
 def alerts(spark, specs):

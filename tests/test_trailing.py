@@ -35,8 +35,8 @@ def test_trailing_rules(spark):
     login = got["CREDENTIAL_STUFFING_BRUTE_FORCE"]
     assert [(r.user_id, r.event_count) for r in login] == [("u1", 5)]
     assert login[0].details == "5 failed login attempts in 5-minute sliding window"
-    assert login[0].window_start == datetime(2026, 8, 20, 9, 57)
-    assert login[0].window_end == login[0].detection_timestamp == datetime(2026, 8, 20, 10, 2)
+    assert login[0].window_start == datetime(2025, 11, 3, 9, 57)
+    assert login[0].window_end == login[0].detection_timestamp == datetime(2025, 11, 3, 10, 2)
     txn = got["TRANSACTION_VELOCITY_SPIKE"][0]
     assert (txn.event_count, txn.total_amount) == (3, 4234.5)
     assert txn.details == "Rapid sequence: 3 transactions totaling $4,234.50"
@@ -65,7 +65,7 @@ def test_as_of_the_latest_event(spark):
     rows.append(("z", "i", "page_view", 0.0, at(minutes=4)))
     df = spark.createDataFrame(rows, SCHEMA)
     out = trailing_alerts(df, as_of=latest_event_time(df)).collect()
-    assert len(out) == 1 and out[0].window_end == datetime(2026, 8, 20, 10, 4)
+    assert len(out) == 1 and out[0].window_end == datetime(2025, 11, 3, 10, 4)
     assert out[0].window_end - out[0].window_start == timedelta(minutes=5)
 
 
