@@ -41,6 +41,7 @@ from tripwire.llm._tables import partitions, stored
 
 BANDS, ROWS = 28, 4  # a pair at similarity 0.8 shares no band with probability 3.9e-7, fewer than two with 8e-6
 MEMBERS_A_TASK_GROUP = 64
+CELLS = 1 << 18  # of the counts that order shingles
 BLOCK_CLASSES = 192  # of a cluster that meet another block at a time
 _LISTED = 6  # steps after which the permutations of the elements still at work are held whole
 _BLOCK = 100_000  # elements at a time
@@ -193,13 +194,53 @@ def _candidates(split: DataFrame) -> DataFrame:
     named = split.groupBy("class", "root").agg(F.array_sort(F.collect_list("bucket")).alias("buckets"))  # BANDS or fewer
     named = stored(named.withColumn("node", F.xxhash64("class")), "split")
     pairs = "flatten(transform(buckets, (x, i) -> transform(slice(buckets, i + 2, size(buckets)), y -> xxhash64(x, y))))"
-    rows = named.select("node", F.xxhash64("root").alias("group"), F.explode(F.expr(pairs)).alias("pair"))
+    return _connected(named, named.select("node", F.xxhash64("root").alias("group"), F.explode(F.expr(pairs)).alias("pair")))
+
+
+def _connected(named: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(cluster, class, root)`` of the classes ``named (class, root, node)`` that the rows ``(node, group, pair)`` connect."""
     mixed = rows.groupBy("pair").agg(F.min("group").alias("least"), F.max("group").alias("most"), F.min("node").alias("first")).where("least != most")
     clusters = components(rows.join(mixed, "pair").select("node", "first"))
     inside = clusters.select("node", F.col("root").alias("cluster")).union(clusters.select("root", "root").distinct())
     return named.join(inside, "node").select("cluster", "class", "root")
 
 
+def _cell_counts(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            for packed in batch.column(0):
+                counts += np.bincount((np.frombuffer(packed.as_buffer(), np.uint64) % _U(size)).astype(np.int64), minlength=size)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(counts[cells], pa.int64())], names=["cell", "n"])
+
+    return run
+
+
+def _rare_first(counts: np.ndarray, percent: int):
+    """Of each class the shingles of which a link must share one, in the order of the counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, group, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                values = np.frombuffer(packed.as_buffer(), np.uint64)
+                n = len(values) + (-percent * len(values) // 100) + 1
+                first = values[np.lexsort((values, counts[(values % _U(len(counts))).astype(np.int64)]))[:n]].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, node)), pa.array(np.full(n, group)), pa.array(first)], names=["node", "group", "pair"])
+
+    return run
+
+
+def _split_by_rare_shingles(split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(cluster, class, root)``: the classes that may link, connected by the shingles that a link must share."""
+    counts = np.zeros(CELLS, np.int64)
+    for row in sets.select("shingles").mapInArrow(_cell_counts(CELLS), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows at most
+        counts[row["cell"]] = row["n"]
+    named = stored(split.select("class", "root").distinct().withColumn("node", F.xxhash64("class")), "split")
+    asked = named.join(sets, "class").select("node", F.xxhash64("root").alias("group"), "shingles")
+    return _connected(named, stored(asked.mapInArrow(_rare_first(counts, percent), "node long, group long, pair long"), "rare"))
+
+
 def _compare_all(percent: int):
     def compare(roots: np.ndarray, bodies: list) -> np.ndarray:
         sets = [np.frombuffer(b, np.uint64) for b in bodies]
@@ -299,6 +340,7 @@ def _grouped(documents: DataFrame, shingle: int, percent: int) -> DataFrame:
     inside = _candidates(_several_groups(member, "bucket"))
     split = _several_groups(inside, "cluster")
     sets = _sets_of(split.select("class").distinct(), classes, documents, shingle)
+    split = _several_groups(_split_by_rare_shingles(split, sets, percent), "cluster")
     with_sets = _in_blocks(split, "cluster").join(sets, "class").select("cluster", "i", "j", "class", "root", "shingles")
     links = links.union(stored(_by_blocks(with_sets, "cluster", _compare_all(percent)), "links"))
     roots = components(links)
