@@ -109,57 +109,6 @@ def test_links_of_a_large_bucket_are_found_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in out} == label
 
 
-def template_texts(n, similar=0):
-    """Texts of one template at similarity 0.57, and some near copies of single ones."""
-    rng = random.Random(n)
-    template = [f"t{i}" for i in range(146)]
-    rows = [(i, " ".join(template + [f"o{i}_{k}" for k in range(54)])) for i in range(n)]
-    for j in range(similar):
-        words = rows[rng.randrange(n)][1].split()
-        words[rng.randrange(200)] = f"edit{j}"
-        rows.append((n + j, " ".join(words)))
-    return rows
-
-
-def test_unlinked_texts_of_one_template_are_not_compared_in_full(spark, monkeypatch):
-    """What is sent to the blocks for four times the texts of one template: not sixteen times as much."""
-    sent = []
-    blocks = near_dedup._in_blocks
-    monkeypatch.setattr(near_dedup, "_in_blocks", lambda member, key: sent.append(member.count()) or blocks(member, key))
-    for n in (300, 1200):
-        rows = template_texts(n, 20)
-        sets = {i: shingles(t, 5) for i, t in rows}
-        near = {(a, b) for b in range(n, n + 20) for a in sets if a != b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-        out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80).collect()
-        component = {r["doc_id"]: r["component_id"] for r in out}
-        assert all(component[a] == component[b] for a, b in near)
-        touched = {x for pair in near for x in pair}
-        assert all(component[i] == i for i in range(n) if i not in touched)
-    assert sent[1] <= 5 * max(sent[0], 20)
-
-
-def test_clusters_split_by_rare_shingles_lose_no_link(spark, monkeypatch):
-    """Links near the threshold inside one template, with counts so coarse that the order says little."""
-    monkeypatch.setattr(near_dedup, "CELLS", 64)
-    rng = random.Random(8)
-    template = [f"t{i}" for i in range(100)]
-    rows = []
-    for i in range(90):
-        words = list(template)
-        for _ in range(rng.randint(0, 9)):
-            words[rng.randrange(100)] = f"x{rng.randrange(60)}"
-        rows.append((i, " ".join(words)))
-    sets = [(d, shingles(t, 4)) for d, t in rows]
-    label = {d: d for d, _ in sets}
-    for _ in range(len(sets)):
-        for d, a in sets:
-            for e, b in sets:
-                if 100 * len(a & b) >= 80 * len(a | b):
-                    label[d] = label[e] = min(label[d], label[e])
-    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
-    assert {r["doc_id"]: r["component_id"] for r in out} == label
-
-
 def test_super_minhash_equals_its_definition():
     def slow(values, m):
         ranks = np.full(m, np.inf)
