@@ -73,15 +73,13 @@ def test_refused(spark):
         detect_alerts_panes(spark.readStream.format("rate").load().select(F.lit("u").alias("user_id")), Rules())
 
 
-def test_intervals(spark):
-    frame = spark.range(1)
-    assert interval_micros(frame, "5 minutes") == 300_000_000
-    assert interval_micros(frame, "1 day 2 hours 250 milliseconds") == 93_600_250_000
-
-
-def executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+def test_intervals():
+    assert interval_micros("5 minutes") == 300_000_000
+    assert interval_micros("1 day 2 hours 250 milliseconds") == 93_600_250_000
+    assert interval_micros(" INTERVAL 1  week") == 604_800_000_000
+    for wrong in ("", "5", "minutes", "1 month", "5 minutes x", "1.5 hours", "-1 day"):
+        with pytest.raises(ValueError):
+            interval_micros(wrong)
 
 
 @pytest.mark.parametrize("window, exchanges", [("5 days", 1), (f"{MAX_PANES} days", 1), (f"{MAX_PANES + 1} days", 2)])

@@ -24,6 +24,7 @@ exchange for each of the two groupings. Both plans give the same rows as
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,14 +36,22 @@ from tripwire.schemas import Rules
 MAX_PANES = 6
 
 
-def interval_micros(df: DataFrame, interval: str) -> int:
-    """Microseconds of a Spark interval string (folded by the optimizer, no job)."""
-    return df.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL {interval})").first()[0]
+# Microseconds of the interval units that windows may be given in.
+UNITS = {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86_400 * 10**6,
+         "week": 7 * 86_400 * 10**6}
 
 
-def pane_size(df: DataFrame, rules: Rules) -> tuple[int, int, int]:
+def interval_micros(interval: str) -> int:
+    """Microseconds of an interval such as ``5 minutes`` or ``1 day 2 hours`` (no months or years, as for windows)."""
+    parts = re.findall(r"(\d+)\s+([a-z]+?)s?(?:\s+|$)", interval.strip().lower().removeprefix("interval "))
+    if not parts or "".join(f"{n}{u}" for n, u in parts) != re.sub(r"\s+|s\b", "", interval.strip().lower().removeprefix("interval ")) or any(u not in UNITS for _, u in parts):
+        raise ValueError(f"not an interval of whole {', '.join(UNITS)}s: {interval!r}")
+    return sum(int(n) * UNITS[u] for n, u in parts)
+
+
+def pane_size(rules: Rules) -> tuple[int, int, int]:
     """``(window, slide, pane)`` in microseconds; every window start and end is a multiple of the pane."""
-    window, slide = interval_micros(df, rules.window), interval_micros(df, rules.slide)
+    window, slide = interval_micros(rules.window), interval_micros(rules.slide)
     if not 0 < slide <= window:
         raise ValueError(f"need 0 < slide <= window, got {rules.slide} and {rules.window}")
     return window, slide, math.gcd(window, slide)
@@ -104,7 +113,7 @@ def detect_alerts_panes(events: DataFrame, rules: Rules = Rules(), keys: Sequenc
     if events.isStreaming:
         raise ValueError("panes are a batch plan; on a stream use detect_alerts")
     check_keys(keys)
-    window, slide, pane = pane_size(events, rules)
+    window, slide, pane = pane_size(rules)
     rows = events.filter(F.col("action").isin(*RULE_ACTIONS) & F.col("event_time").isNotNull()).select(
         *keys, "action", "amount", floor_div(F.unix_micros("event_time"), pane).alias("pane"))
     if pane == slide and window // pane <= MAX_PANES:

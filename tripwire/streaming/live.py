@@ -71,8 +71,8 @@ class WindowStore(BatchStore):
 
     def apply(self, batch: DataFrame, batch_id: int, before: dict) -> dict:
         spark = batch.sparkSession
-        window, slide, pane = pane_size(batch, self.rules)
-        delay = interval_micros(batch, self.rules.watermark)
+        window, slide, pane = pane_size(self.rules)
+        delay = interval_micros(self.rules.watermark)
         mark = before.get("watermark")
         batch = batch.persist()  # one parse for the four reads below
         try:
@@ -359,7 +359,7 @@ class TrailingStore(BatchStore):
 
     def apply(self, batch: DataFrame, batch_id: int, before: dict) -> dict:
         spark = batch.sparkSession
-        size = interval_micros(batch, self.slot)
+        size = interval_micros(self.slot)
         keys = list(DEFAULT_KEYS)
         batch = batch.persist()
         try:
