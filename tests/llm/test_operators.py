@@ -555,6 +555,60 @@ def test_word_ratios_equal_a_direct_count(spark, documents, awkward, monkeypatch
     assert {k: abs(v) for k, v in (got - expected).items()} == {} and got == expected
 
 
+def test_ngram_ratios_equal_a_direct_kneser_ney(spark, awkward, monkeypatch):
+    """Discounted n-grams, continuation counts of every shorter order, equal shares at the end; over many chunks."""
+    monkeypatch.setattr(toxicity, "CHUNK_BYTES", 3000)
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randint(0, 40)) + "\tA-b é9\n9") for i in range(50)]
+    rows += [(r[0] + 100, r[1]) for r in awkward if r[0] is not None and r[0] != 7] + [rows[3], (None, "no id")]
+    known = [(i, i % 2) for i in range(40)] + [(2, 1), (2, 1), (None, 1), (5, None), (45, 0), (160, 1)]
+    fit = set(range(30)) | {160}
+    plainer = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\v\f\r", bytes(range(97, 123)) + b" " * 5)
+    texts = [(i, bytes(4) + (t or "").encode().translate(plainer)) for i, t in rows]
+    counts = []
+    for label in (0, 1):
+        of = [Counter() for _ in range(6)]
+        for i, t in texts:
+            if i in fit and (i, label) in known:
+                of[5].update(t[k - 4 : k + 1] for k in range(4, len(t)))
+        for order in range(4, 0, -1):
+            of[order].update(gram[1:] for gram in of[order + 1])
+        after = [Counter() for _ in range(6)], [Counter() for _ in range(6)]
+        for order in range(1, 6):
+            for gram, n in of[order].items():
+                after[0][order][gram[:-1]] += n
+                after[1][order][gram[:-1]] += 1
+        counts.append((of, *after))
+
+    def p(label, gram):
+        if not gram:
+            return 1 / 256
+        of, total, kinds = (x[len(gram)] for x in counts[label])
+        context, less = gram[:-1], p(label, gram[1:])
+        return (max(of[gram] - 0.75, 0) + 0.75 * kinds[context] * less) / total[context] if total[context] else less
+
+    expected = Counter()
+    for i, t in texts:
+        ratio = [np.log(p(1, t[k - 4 : k + 1]) / p(0, t[k - 4 : k + 1])) for k in range(4, len(t))]
+        expected[i, round(100 * sum(ratio) / max(len(ratio), 1), 3)] += 1
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    in_fit = F.col("doc_id").isin(*fit)
+    out = toxicity.score_documents(table, spark.createDataFrame(known, "doc_id long, toxic int"), fit=in_fit, calibrate=~in_fit).collect()
+    got = sorted((r["doc_id"] or -1, r["ngram_llr"]) for r in out)
+    wanted = sorted((i or -1, x) for (i, x), n in expected.items() for _ in range(n))
+    assert [i for i, _ in got] == [i for i, _ in wanted] and np.allclose([x for _, x in got], [x for _, x in wanted], atol=2e-3)
+    assert max(x for _, x in got) > 1 and min(x for _, x in got) < -1
+
+
+def test_ngram_probabilities_add_up_to_one():
+    rng = np.random.default_rng(5)
+    contexts = np.unique(rng.integers(0, 1 << 10, 40)).astype(np.uint64)
+    keys = (contexts[:, None] << np.uint64(8) | np.arange(256, dtype=np.uint64)).ravel()
+    counts = rng.poisson(0.02, len(keys))
+    p = toxicity.kneser_ney(keys, counts, 3, 1, lambda x: np.full(len(x), 1 / 256)).reshape(-1, 256)
+    assert np.allclose(p.sum(1), 1) and (p > 0).all()
+
+
 def test_packed_numbers_come_back():
     rng = np.random.default_rng(3)
     for kind in (np.uint8, np.uint32, np.int64, np.uint64):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwire.session import scratch_path
@@ -17,6 +19,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``stored``, in Spark's buckets of ``key``: rows are joined or grouped by it without an exchange."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"tripwire_{uuid.uuid4().hex}"
+    df.write.bucketBy(partitions(spark), key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    out.schema  # resolved: the files are read from here on, the name isn't needed
+    spark.sql(f"DROP TABLE {table}")  # of a table with a path, the files stay
+    return out
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 

@@ -74,7 +74,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score_documents(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), fit=_fold(5).isin(2, 3, 4), calibrate=_fold(5) == 1, threshold=0.5
     )
-    return out.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", "llr")
+    return out.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", "llr", "ngram_llr")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
