@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -600,6 +601,26 @@ def test_ngram_ratios_equal_a_direct_kneser_ney(spark, awkward, monkeypatch):
     assert max(x for _, x in got) > 1 and min(x for _, x in got) < -1
 
 
+@pytest.mark.parametrize("operator", [sentencepiece_codec.encode, sentencepiece_codec.round_trip])
+def test_word_table_goes_with_its_task(operator):
+    """Spark's workers live on: what a task has learned of words must not stay in them beside the next stages."""
+    import public_tokenizers
+
+    class Table:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    codec = sentencepiece_codec._codec(sentencepiece_codec._model(path))
+    out = operator(Table(), path)(iter([pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two", "two three"]})] * 2))
+    next(out)
+    assert codec.by_word and {"one", "two", "three"} <= set(codec.words)
+    assert sum(1 for _ in out) == 1 and not codec.words
+
+
 def test_ngram_probabilities_add_up_to_one():
     rng = np.random.default_rng(5)
     contexts = np.unique(rng.integers(0, 1 << 10, 40)).astype(np.uint64)

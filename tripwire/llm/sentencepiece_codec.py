@@ -18,6 +18,7 @@ other than doc_id and text are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import re
 from collections.abc import Iterator
@@ -84,7 +85,8 @@ class Codec:
             and not self.squeeze and not proto.trainer_spec.treat_whitespace_as_suffix
             and proto.pieces[self.processor.piece_to_id(_MARK)].piece == _MARK and not any(p.type == 4 or re.search(f"[^{_MARK}]{_MARK}", p.piece) for p in proto.pieces)
         )
-        self.words: dict[str, tuple[str, bytes, bytes]] = {}
+        self.words: dict[str, tuple[str, bytes, bytes] | bytes] = {}
+        self.only_ids = False  # the table has nothing but the ids of each word
 
     def normalise(self, text: str) -> tuple[bytes, np.ndarray]:
         """The normalised bytes, and the source byte of each (and the source's length at the end)."""
@@ -128,7 +130,29 @@ class Codec:
         # a chunk is what follows the prefix that the processor puts in front
         for chunk, ids in zip(new, self.processor.encode(new, num_threads=1), strict=True):
             ids = ids if chunk else [self.processor.piece_to_id(_MARK)]
-            self.words[chunk] = ",".join(map(str, ids)), np.array(ids, np.int32).tobytes(), b"".join([self.surface[i] for i in ids])
+            packed = np.array(ids, np.int32).tobytes()
+            self.words[chunk] = packed if self.only_ids else (",".join(map(str, ids)), packed, b"".join([self.surface[i] for i in ids]))
+
+    def _words(self, text: str, only_ids: bool) -> list:
+        """What the table has of each word of a text."""
+        if self.only_ids != only_ids:
+            self.words.clear()
+            self.only_ids = only_ids
+        chunks = text.split(" ") if text else []
+        if "" in chunks or _MARK in text:
+            # the first white space of a chunk is the prefix that the processor adds again
+            chunks = [c[1:] for c in _CHUNKS.findall(_MARK + text)] if text else []
+        try:
+            return [self.words[c] for c in chunks]
+        except KeyError:
+            self._learn(set(chunks))
+            return [self.words[c] for c in chunks]
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if not self.by_word:
+            return [np.array(self.processor.encode(t) if t else [], np.int32) for t in texts]
+        return [np.frombuffer(b"".join(self._words(t, True)), np.int32) for t in texts]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, bytes | None]]:
         """For each text its ids, these joined by commas, and their decoded bytes where known already."""
@@ -138,15 +162,7 @@ class Codec:
                 yield np.array(ids, np.int32), ",".join(map(str, ids)), None
             return
         for text in texts:
-            chunks = text.split(" ") if text else []
-            if "" in chunks or _MARK in text:
-                # the first white space of a chunk is the prefix that the processor adds again
-                chunks = [c[1:] for c in _CHUNKS.findall(_MARK + text)] if text else []
-            try:
-                parts = [self.words[c] for c in chunks]
-            except KeyError:
-                self._learn(set(chunks))
-                parts = [self.words[c] for c in chunks]
+            parts = self._words(text, False)
             yield np.frombuffer(b"".join([p[1] for p in parts]), np.int32), ",".join([p[0] for p in parts]), b"".join([p[2] for p in parts])[1:]
 
     def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,6 +233,17 @@ def _codec(model: bytes) -> Codec:
     return _CODECS[key]
 
 
+@contextlib.contextmanager
+def _opened(model: bytes) -> Iterator[Codec]:
+    """The codec for one task. Its table of words is emptied after that: Spark keeps the worker for other tasks and
+    stages, which would run beside it."""
+    codec = _codec(model)
+    try:
+        yield codec
+    finally:
+        codec.words.clear()
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 128):
@@ -228,15 +255,15 @@ def encode(documents: DataFrame, model_path: str) -> DataFrame:
     model = _model(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model)
-        for doc_ids, texts in _runs(batches):
-            ids = [x[0] for x in codec.encode(texts)]
-            spans = [codec.spans(t, i) for t, i in zip(texts, ids, strict=True)]
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array(ids, kind), pa.array([s[0].astype(np.int32) for s in spans], kind), pa.array([s[1].astype(np.int32) for s in spans], kind)],
-                names=["doc_id", "ids", "starts", "ends"],
-            )
+        with _opened(model) as codec:
+            for doc_ids, texts in _runs(batches):
+                ids = codec.ids(texts)
+                spans = [codec.spans(t, i) for t, i in zip(texts, ids, strict=True)]
+                kind = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc_ids, pa.int64()), pa.array(ids, kind), pa.array([s[0].astype(np.int32) for s in spans], kind), pa.array([s[1].astype(np.int32) for s in spans], kind)],
+                    names=["doc_id", "ids", "starts", "ends"],
+                )
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
@@ -261,16 +288,16 @@ def round_trip(documents: DataFrame, model_path: str) -> DataFrame:
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "tiled"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model)
-        for doc_ids, texts in _runs(batches):
-            rows = []
-            for d, text, (ids, joined, decoded) in zip(doc_ids, texts, codec.encode(texts), strict=True):
-                starts, ends = codec.spans(text, ids)
-                size = len(text.encode())
-                tiled = bool((starts[1:] == ends[:-1]).all() and (not len(ids) or starts[0] == 0 and ends[-1] == size))
-                decoded = codec.decode(ids).encode() if decoded is None else decoded
-                rows.append((d, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), size, tiled))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        with _opened(model) as codec:
+            for doc_ids, texts in _runs(batches):
+                rows = []
+                for d, text, (ids, joined, decoded) in zip(doc_ids, texts, codec.encode(texts), strict=True):
+                    starts, ends = codec.spans(text, ids)
+                    size = len(text.encode())
+                    tiled = bool((starts[1:] == ends[:-1]).all() and (not len(ids) or starts[0] == 0 and ends[-1] == size))
+                    decoded = codec.decode(ids).encode() if decoded is None else decoded
+                    rows.append((d, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), size, tiled))
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long, tiled boolean")
