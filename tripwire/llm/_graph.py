@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.llm._tables import stored
+from tripwire.llm._tables import merged, stored
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,13 +42,13 @@ def _large_star(e: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the least node of its neighbourhood."""
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return merged(both.where("v > u"), least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of them. Edges run from the larger node u to v."""
     least = e.groupBy("u").agg(F.min("v").alias("m"))
-    tied = e.join(least, "u")
+    tied = merged(e, least, "u")
     return tied.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

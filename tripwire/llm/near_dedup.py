@@ -15,7 +15,8 @@ classes of different groups with two bands in common connect). Clusters that
 hold several groups are compared in full, two blocks of classes at a time, and a
 task returns only links between groups that it hasn't joined yet. So rows grow
 with the classes, and every candidate pair of different groups is decided. Each
-link is confirmed on the full shingle sets.
+link is confirmed on the full shingle sets. All joins are sort-merge joins: no
+side of them goes through the driver.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and keep their own id as component (null for a null id). A text with
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tripwire.llm import _text
 from tripwire.llm._graph import components
-from tripwire.llm._tables import partitions, stored
+from tripwire.llm._tables import merged, partitions, stored
 
 BANDS, ROWS = 28, 4  # a pair at similarity 0.8 shares no band with probability 3.9e-7, fewer than two with 8e-6
 MEMBERS_A_TASK_GROUP = 64
@@ -164,8 +165,8 @@ def _compare(percent: int):
 
 def _sets_of(asked: DataFrame, classes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
     """``(class, shingles)`` of the classes asked for, each from one of its texts."""
-    needed = classes.join(asked, "class").select("class", "key")
-    texts = documents.join(needed, "key").select("class", "text")
+    needed = merged(classes, asked, "class").select("class", "key")
+    texts = merged(documents, needed, "key").select("class", "text")
     # repeated rows give the same set more than once
     return stored(texts.mapInArrow(_expected_sets(shingle), "class binary, shingles binary").dropDuplicates(["class"]), "sets")
 
@@ -173,7 +174,7 @@ def _sets_of(asked: DataFrame, classes: DataFrame, documents: DataFrame, shingle
 def _several_groups(member: DataFrame, key: str) -> DataFrame:
     """The rows of those buckets or clusters that hold classes of several groups, with their number."""
     mixed = member.groupBy(key).agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n")).where("least != most")
-    return stored(member.join(mixed.select(key, "n"), key), "split")
+    return stored(merged(member, mixed.select(key, "n"), key), "split")
 
 
 def _in_blocks(member: DataFrame, key: str) -> DataFrame:
@@ -195,9 +196,9 @@ def _candidates(split: DataFrame) -> DataFrame:
     pairs = "flatten(transform(buckets, (x, i) -> transform(slice(buckets, i + 2, size(buckets)), y -> xxhash64(x, y))))"
     rows = named.select("node", F.xxhash64("root").alias("group"), F.explode(F.expr(pairs)).alias("pair"))
     mixed = rows.groupBy("pair").agg(F.min("group").alias("least"), F.max("group").alias("most"), F.min("node").alias("first")).where("least != most")
-    clusters = components(rows.join(mixed, "pair").select("node", "first"))
+    clusters = components(merged(rows, mixed, "pair").select("node", "first"))
     inside = clusters.select("node", F.col("root").alias("cluster")).union(clusters.select("root", "root").distinct())
-    return named.join(inside, "node").select("cluster", "class", "root")
+    return merged(named, inside, "node").select("cluster", "class", "root")
 
 
 def _compare_all(percent: int):
@@ -267,10 +268,10 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingle
     classes_asked = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     sets = _sets_of(classes_asked, classes, documents, shingle)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS_A_TASK_GROUP)).cast("int").alias("parts"))
-    members = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"))
+    members = merged(pairs, parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"))
     pivots = parts.select("a", F.lit(None).cast("binary").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
-    rows = members.join(sets.withColumnRenamed("class", "b"), "b").select("a", "b", "shingles", "salt").union(
-        pivots.join(sets.withColumnRenamed("class", "a"), "a").select("a", "b", "shingles", "salt")
+    rows = merged(members, sets.withColumnRenamed("class", "b"), "b").select("a", "b", "shingles", "salt").union(
+        merged(pivots, sets.withColumnRenamed("class", "a"), "a").select("a", "b", "shingles", "salt")
     )
     dealt = rows.repartition(partitions(documents.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return stored(dealt.select("a", "b", "shingles").mapInArrow(_compare(percent), "a binary, b binary"), "links")
@@ -289,24 +290,24 @@ def _grouped(documents: DataFrame, shingle: int, percent: int) -> DataFrame:
     classes = stored(one.agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.first("bands").alias("bands")), "classes")
     rows = classes.select("class", F.explode("bands").alias("bucket"))
     crowded = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("pivot")).where("n > 1").drop("n")
-    crowded = stored(rows.join(crowded, "bucket"), "buckets")
+    crowded = stored(merged(rows, crowded, "bucket"), "buckets")
 
     asked = crowded.where("class != pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
     links = _confirm(stored(asked, "pairs"), classes, documents, shingle, percent)
     roots = components(links)
 
-    member = crowded.join(roots.withColumnRenamed("node", "class"), "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("root"))
+    member = merged(crowded, roots.withColumnRenamed("node", "class"), "class", "left").select("bucket", "class", F.coalesce("root", "class").alias("root"))
     inside = _candidates(_several_groups(member, "bucket"))
     split = _several_groups(inside, "cluster")
     sets = _sets_of(split.select("class").distinct(), classes, documents, shingle)
-    with_sets = _in_blocks(split, "cluster").join(sets, "class").select("cluster", "i", "j", "class", "root", "shingles")
+    with_sets = merged(_in_blocks(split, "cluster"), sets, "class").select("cluster", "i", "j", "class", "root", "shingles")
     links = links.union(stored(_by_blocks(with_sets, "cluster", _compare_all(percent)), "links"))
     roots = components(links)
 
-    grouped = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
+    grouped = merged(classes.select("class", "doc_id"), roots.withColumnRenamed("node", "class"), "class", "left").select("class", "doc_id", F.coalesce("root", "class").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(least, "root").select("class", "root", "component_id")
-    return signed.join(named, "class", "left").select("doc_id", "key", "n_shingles", "root", "component_id")
+    named = merged(grouped, least, "root").select("class", "root", "component_id")
+    return merged(signed, named, "class", "left").select("doc_id", "key", "n_shingles", "root", "component_id")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -328,10 +329,10 @@ def keep_representatives(documents: DataFrame, shingle: int = 5, percent: int =
     least = stored(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("root", "key").distinct(), "least")
     numbered = least.groupBy("root").agg(F.min("key").alias("key"), F.count("*").alias("n"))
     # several texts under the least id (or under none): the least text of them
-    several = least.join(numbered.where("n > 1").select("root"), "root")
-    by_text = documents.select("text", _row_key().alias("key")).join(several, "key").groupBy("root").agg(F.min_by("key", "text").alias("key"))
+    several = merged(least, numbered.where("n > 1").select("root"), "root")
+    by_text = merged(documents.select("text", _row_key().alias("key")), several, "key").groupBy("root").agg(F.min_by("key", "text").alias("key"))
     chosen = numbered.where("n = 1").select("key").union(by_text.select("key")).withColumnRenamed("key", "__kept")
     wordless = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
     spoken = documents.where(~wordless).withColumn("__key", _row_key())
-    spoken = spoken.join(stored(chosen, "chosen"), F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"])
+    spoken = merged(spoken, stored(chosen, "chosen"), F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"])
     return documents.where(wordless).unionByName(spoken.drop("__key"))
