@@ -168,6 +168,17 @@ def test_keep_representatives_sends_no_side_of_a_join_through_the_driver(documen
     assert not [x for x in plans if "Broadcast" in x]
 
 
+def test_near_duplicates_sends_no_side_of_a_join_through_the_driver(spark, monkeypatch):
+    """Nor do those of the classes that meet by pairs of bands."""
+    rng, words, rows = random.Random(3), [f"w{i}" for i in range(100)], []
+    for i in range(40):
+        words[rng.randrange(100)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    plans = plans_of(monkeypatch, lambda: near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80))
+    assert any("explode(flatten" in x and "SortMergeJoin" in x for x in plans)
+    assert not [x for x in plans if "Broadcast" in x]
+
+
 def brute_cut(rows, window=20):
     order = sorted({(float("inf") if d is None else d, i) for i, (d, *_) in enumerate(rows)})
     first: dict = {}
